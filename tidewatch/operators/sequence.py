@@ -290,3 +290,27 @@ def chain_affine(maps: DataFrame, keys, order: str, a: str, c: str, out: str) ->
         return res
 
     return maps.groupBy(*keys).applyInPandas(scan, schema)
+
+
+def ffill_blocked(d: DataFrame, keys, cols: Sequence[str], outs: Sequence[str] | None = None,
+                  *, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Last non-null value at or before each row (``d`` carries ``_pos``).
+
+    Inside a block a running ``last(ignoreNulls)`` window does the work;
+    the value entering a block comes from the block table (last non-null
+    of every earlier block), so no task holds more than one block.
+    """
+    keys, cols = as_list(keys), list(cols)
+    outs = list(outs or cols)
+    d = d.withColumn(BLK, F.floor(F.col(POS) / block))
+    bt = d.groupBy(*keys, BLK).agg(*[
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(POS))).alias(f"_l{i}")
+        for i, c in enumerate(cols)])
+    before = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    bt = bt.select(*keys, BLK, *[F.last(f"_l{i}", ignorenulls=True).over(before).alias(f"_c{i}")
+                                 for i in range(len(cols))])
+    d = join_on(d, bt, [*keys, BLK])
+    run = Window.partitionBy(*keys, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumns({o: F.coalesce(F.last(c, ignorenulls=True).over(run), F.col(f"_c{i}"))
+                       for i, (c, o) in enumerate(zip(cols, outs))})
+    return d.drop(BLK, *[f"_c{i}" for i in range(len(cols))])

@@ -70,8 +70,8 @@ f AS (
          CASE WHEN p.sd >= 0.01 * abs(p.x) THEN p.sd ELSE 0.01 * abs(p.x) END AS std
   FROM p JOIN rec USING (l_suppkey, pos)),
 g AS (SELECT *, ema + {k} * std AS ucl, ema - {k} * std AS lcl FROM f)
-SELECT l_suppkey, l_shipdate, x AS {feature}, round(ema, {round_d}) AS ema,
-       round(ucl, {round_d}) AS ucl, round(lcl, {round_d}) AS lcl
+SELECT l_suppkey, l_shipdate, x AS {feature}, {S.rnd('ema', round_d)} AS ema,
+       {S.rnd('ucl', round_d)} AS ucl, {S.rnd('lcl', round_d)} AS lcl
 FROM g WHERE {cmp} AND pos >= {window}"""
 
 
@@ -97,3 +97,323 @@ def q_ewma_detect_low(spark, sf_dir):
 @register("ewma_detect_both", _ewma_l_sql("avg_price", 100, 2.0, "both", 2))
 def q_ewma_detect_both(spark, sf_dir):
     return _ewma_l(spark, sf_dir, "avg_price", 100, 2.0, "both", 2)
+
+
+# ---------------------------------------------------------------------------
+# cleaning, parsing, sources
+# ---------------------------------------------------------------------------
+_K_SQL = """regexp_extract(props, '"k": (\\d+)', 1)"""
+
+
+@register("to_numeric", f"""SELECT event_id,
+  {S.rnd(f"TRY_CAST(CASE WHEN event_id % 13 = 0 THEN 'x' || {_K_SQL} ELSE {_K_SQL} END AS DOUBLE)", 2)} AS k_num
+FROM events""")
+def q_to_numeric(spark, sf_dir):
+    from tidewatch.functions.scalar import to_numeric
+    ev = S.table(spark, sf_dir, "events")
+    k = F.regexp_extract("props", r'"k": (\d+)', 1)
+    txt = F.when(F.col("event_id") % 13 == 0, F.concat(F.lit("x"), k)).otherwise(k)
+    return ev.select("event_id", to_numeric(txt, 2).alias("k_num"))
+
+
+@register("parse_epoch_ms", """SELECT event_id,
+  CASE WHEN event_id % 17 = 0 THEN NULL
+       ELSE make_timestamp((epoch_us(ts) // 1000 // 1000) * 1000000) END AS time
+FROM events""")
+def q_parse_epoch_ms(spark, sf_dir):
+    from tidewatch.functions.scalar import epoch_us, parse_epoch_ms
+    ev = S.table(spark, sf_dir, "events")
+    ms = F.floor(epoch_us("ts") / 1000).cast("string")
+    txt = F.when(F.col("event_id") % 17 == 0, F.lit("bad")).otherwise(ms)
+    return ev.select("event_id", parse_epoch_ms(txt).alias("time"))
+
+
+def _raw_logs(spark, sf_dir):
+    """Events rendered as a raw text log (quoted ids, epoch-ms text),
+    every row present twice."""
+    from tidewatch.functions.scalar import epoch_us
+    ev = S.table(spark, sf_dir, "events")
+    raw = ev.select(F.col("user_id").cast("string").alias("sn"),
+                    F.concat(F.lit('"'), F.col("event_type"), F.lit('"')).alias("mdn"),
+                    F.floor(epoch_us("ts") / 1000).cast("string").alias("ts"),
+                    F.col("value").cast("string").alias("value"),
+                    F.col("event_type").alias("ModelName"))
+    return raw.unionByName(raw)
+
+
+@register("clean_dedup", f"""SELECT DISTINCT CAST(user_id AS VARCHAR) AS sn, event_type AS MDN,
+  make_timestamp((epoch_us(ts) // 1000 // 1000) * 1000000) AS time, {S.rnd('value', 2)} AS value
+FROM events WHERE event_type IN ('click', 'view')""")
+def q_clean_dedup(spark, sf_dir):
+    from tidewatch.operators.clean import clean_raw
+    return clean_raw(_raw_logs(spark, sf_dir), ["value"],
+                     filters=[F.col("ModelName").isin("click", "view")])
+
+
+@register("extract_json_metric", "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
+def q_extract_json_metric(spark, sf_dir):
+    from tidewatch.operators.clean import extract_json_metric
+    ev = S.table(spark, sf_dir, "events")
+    return extract_json_metric(ev, "props", {"k": "int"}).select("event_id", "k")
+
+
+@register("flatten_struct", """SELECT event_id, user_id AS e_user_id, event_type AS e_m_event_type,
+  value AS e_m_value FROM events""")
+def q_flatten_struct(spark, sf_dir):
+    from tidewatch.operators.clean import flatten_struct
+    ev = S.table(spark, sf_dir, "events")
+    nested = ev.select("event_id", F.struct("user_id", F.struct("event_type", "value").alias("m")).alias("e"))
+    return flatten_struct(nested)
+
+
+@register("partition_coverage", """WITH p AS (SELECT DISTINCT event_type, date_trunc('hour', ts) AS bucket FROM events),
+r AS (SELECT event_type, min(bucket) AS lo, max(bucket) AS hi FROM p GROUP BY event_type),
+e AS (SELECT event_type, unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS bucket FROM r)
+SELECT e.event_type, e.bucket FROM e ANTI JOIN p ON e.event_type = p.event_type AND e.bucket = p.bucket""")
+def q_partition_coverage(spark, sf_dir):
+    from tidewatch.sources.io import partition_coverage
+    return partition_coverage(S.table(spark, sf_dir, "events"), "event_type", "ts", "hour")
+
+
+# ---------------------------------------------------------------------------
+# feature engineering
+# ---------------------------------------------------------------------------
+
+@register("time_bucket_avg", f"""SELECT event_type, date_trunc('hour', ts) AS ts, {S.rnd('avg(value)', 2)} AS value,
+  arg_min(user_id, event_id) AS user_id, min(event_id) AS event_id
+FROM events GROUP BY event_type, date_trunc('hour', ts)""")
+def q_time_bucket_avg(spark, sf_dir):
+    from tidewatch.operators.features import time_bucket_avg
+    ev = S.table(spark, sf_dir, "events").select("event_type", "ts", "value", "user_id", "event_id")
+    return time_bucket_avg(ev, "event_type", "ts", ["value"], unit="hour", carry_order="event_id")
+
+
+def _incr_sql(src: str, x: str = "counter") -> str:
+    return f"""l AS (
+  SELECT *, lag({x}, 1) OVER w AS x1, lag({x}, 2) OVER w AS x2, lag({x}, 3) OVER w AS x3
+  FROM {src} WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+i AS (
+  SELECT *, CASE WHEN {x} < x1 THEN coalesce(x1 - x2, 0.0) ELSE {x} - x1 END AS inc,
+            CASE WHEN x1 < x2 THEN coalesce(x2 - x3, 0.0) ELSE x1 - x2 END AS inc_prev FROM l),
+sm AS (
+  SELECT user_id, ts, event_id, {S.rnd('CASE WHEN inc < 0 THEN inc_prev ELSE inc END', 2)} AS {x}
+  FROM i WHERE (CASE WHEN inc < 0 THEN inc_prev ELSE inc END) IS NOT NULL)"""
+
+
+@register("smoothed_increment", f"""WITH c AS ({S.U_COUNTER_SQL}),
+{_incr_sql('c')}
+SELECT * FROM sm""")
+def q_smoothed_increment(spark, sf_dir):
+    from tidewatch.operators.features import smoothed_increment
+    return smoothed_increment(S.user_counter(spark, sf_dir), "user_id", "ts", ["counter"], tiebreak=["event_id"])
+
+
+@register("feature_steps", f"""WITH c AS ({S.U_COUNTER_SQL}),
+h AS (SELECT user_id, ts, {S.rnd('avg(counter)', 2)} AS counter, min(event_id) AS event_id
+      FROM c GROUP BY user_id, ts),
+{_incr_sql('h')},
+lg AS (SELECT user_id, ts, event_id,
+              {S.rnd('ln(1 + CASE WHEN counter < 0 THEN 0 ELSE counter END)', 2)} AS counter FROM sm)
+SELECT user_id, ts, event_id,
+       last_value(CASE WHEN counter = 0 THEN NULL ELSE counter END IGNORE NULLS)
+         OVER (PARTITION BY user_id ORDER BY ts, event_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS counter
+FROM lg""")
+def q_feature_steps(spark, sf_dir):
+    from tidewatch.operators.features import run_feature_steps
+    return run_feature_steps(S.user_counter(spark, sf_dir), "user_id", "ts", ["counter"],
+                             steps=("incr", "log", "fill"), tiebreak=["event_id"], carry_order="event_id")
+
+
+_FFILL_SQL = """last_value(CASE WHEN value = 0 THEN NULL ELSE value END IGNORE NULLS)
+  OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
+@register("ffill_zeros", f"""WITH u AS ({S.U0_SQL})
+SELECT user_id, ts, event_id, event_type, {_FFILL_SQL} AS value FROM u""")
+def q_ffill_zeros(spark, sf_dir):
+    from tidewatch.operators.features import ffill_zeros
+    return ffill_zeros(S.user_events_with_zeros(spark, sf_dir), "user_id", "ts", ["value"], tiebreak=["event_id"])
+
+
+@register("forward_fill", f"""WITH u AS ({S.U0_SQL})
+SELECT user_id, ts, event_id, event_type,
+       {S.rnd(f'coalesce({_FFILL_SQL}, (SELECT avg(value) FROM u))', 6)} AS value FROM u""")
+def q_forward_fill(spark, sf_dir):
+    from tidewatch.operators.features import forward_fill
+    d = forward_fill(S.user_events_with_zeros(spark, sf_dir), "user_id", "ts", ["value"], tiebreak=["event_id"])
+    return d.withColumn("value", F.round("value", 6))
+
+
+# ---------------------------------------------------------------------------
+# reshape
+# ---------------------------------------------------------------------------
+
+@register("wide_to_long", f"""WITH s AS ({S.L_SQL})
+""" + "\nUNION ALL\n".join(
+    f"SELECT l_suppkey, l_shipdate, '{c}' AS feature, {c} AS value FROM s" for c in S.L_FEATURES))
+def q_wide_to_long(spark, sf_dir):
+    from tidewatch.operators.reshape import wide_to_long
+    return wide_to_long(S.supplier_daily(spark, sf_dir), ["l_suppkey", "l_shipdate"], S.L_FEATURES)
+
+
+_SLICE_SQL = """WITH u AS (SELECT user_id, ts, event_id, value,
+                  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+n AS (SELECT user_id, max(rn) AS N FROM u GROUP BY user_id HAVING max(rn) >= {L}),
+s AS (SELECT user_id, unnest(generate_series(1, N - {L} + 1, {S})) AS s FROM n),
+j AS (SELECT u.*, s.s FROM u JOIN s USING (user_id) WHERE u.rn >= s.s AND u.rn < s.s + {L})
+SELECT user_id, ts, event_id, value, s - 1 AS slice_start,
+       CAST(user_id AS VARCHAR) || '_' || strftime(min(ts) OVER (PARTITION BY user_id, s), '%Y%m%d%H%M%S')
+         AS series_id
+FROM j"""
+
+
+@register("slice_series", _SLICE_SQL.format(L=20, S=5))
+def q_slice_series(spark, sf_dir):
+    from tidewatch.operators.reshape import slice_series
+    u = S.user_events(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    return slice_series(u, "user_id", "ts", 20, 5, tiebreak=["event_id"])
+
+
+@register("slice_series_overlap", _SLICE_SQL.format(L=24, S=12))
+def q_slice_series_overlap(spark, sf_dir):
+    from tidewatch.operators.reshape import slice_series
+    u = S.user_events(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    return slice_series(u, "user_id", "ts", 24, overlap=0.5, tiebreak=["event_id"])
+
+
+_RN_DESC = "row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)"
+
+
+@register("split_tail", f"SELECT user_id, ts, event_id, value, {_RN_DESC} <= 5 AS is_test FROM events")
+def q_split_tail(spark, sf_dir):
+    from tidewatch.operators.reshape import split_tail
+    u = S.user_events(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    return split_tail(u, "user_id", "ts", 5, tiebreak=["event_id"])
+
+
+@register("recent_only", f"""SELECT user_id, ts, event_id, value FROM (
+  SELECT *, {_RN_DESC} AS rd FROM events) WHERE rd <= 10""")
+def q_recent_only(spark, sf_dir):
+    from tidewatch.operators.reshape import recent_only
+    u = S.user_events(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    return recent_only(u, "user_id", "ts", 10, tiebreak=["event_id"])
+
+
+@register("min_points", """SELECT user_id, ts, event_id, value FROM events
+WHERE user_id IN (SELECT user_id FROM events GROUP BY user_id HAVING count(*) >= 70)""")
+def q_min_points(spark, sf_dir):
+    from tidewatch.operators.reshape import min_points
+    u = S.user_events(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    return min_points(u, "user_id", 70)
+
+
+# ---------------------------------------------------------------------------
+# per-series statistics
+# ---------------------------------------------------------------------------
+_PL = "PARTITION BY l_suppkey"
+
+
+@register("scale_standard", f"""WITH s AS ({S.L_SQL})
+SELECT l_suppkey, l_shipdate, sum_price,
+  {S.rnd(f'(sum_price - avg(sum_price) OVER ({_PL})) / CASE WHEN stddev_pop(sum_price) OVER ({_PL}) = 0 THEN 1 ELSE stddev_pop(sum_price) OVER ({_PL}) END', 6)} AS scaled
+FROM s""")
+def q_scale_standard(spark, sf_dir):
+    from tidewatch.operators.stats import scale_series
+    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "sum_price")
+    return scale_series(l, "l_suppkey", "l_shipdate", "sum_price", "standard").withColumn(
+        "scaled", F.round("scaled", 6))
+
+
+@register("scale_minmax", f"""WITH s AS ({S.L_SQL})
+SELECT l_suppkey, l_shipdate, avg_qty,
+  {S.rnd(f'(avg_qty - min(avg_qty) OVER ({_PL})) / CASE WHEN max(avg_qty) OVER ({_PL}) - min(avg_qty) OVER ({_PL}) = 0 THEN 1 ELSE max(avg_qty) OVER ({_PL}) - min(avg_qty) OVER ({_PL}) END', 6)} AS scaled
+FROM s""")
+def q_scale_minmax(spark, sf_dir):
+    from tidewatch.operators.stats import scale_series
+    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_qty")
+    return scale_series(l, "l_suppkey", "l_shipdate", "avg_qty", "minmax").withColumn(
+        "scaled", F.round("scaled", 6))
+
+
+@register("rolling_std", f"""WITH s AS ({S.L_SQL})
+SELECT l_suppkey, l_shipdate, avg_price,
+  {S.rnd('CASE WHEN count(avg_price) OVER w = 30 THEN stddev_samp(avg_price) OVER w END', 6)} AS rolling_std
+FROM s WINDOW w AS ({_PL} ORDER BY l_shipdate ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""")
+def q_rolling_std(spark, sf_dir):
+    from tidewatch.operators.stats import rolling_std
+    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_price")
+    return rolling_std(l, "l_suppkey", "l_shipdate", "avg_price", 30).withColumn(
+        "rolling_std", F.round("rolling_std", 6))
+
+
+def _ew_std_sql(span: int) -> str:
+    from tidewatch.operators.ewma import ew_weights
+    wl = "[" + ", ".join(repr(w) + "::DOUBLE" for w in ew_weights(span)) + "]"
+    mu = f"list_reduce(list_transform(arr, lambda x, i: x * {wl}[i]), lambda acc, v: acc + v)"
+    var = (f"list_reduce(list_transform(arr, lambda x, i: {wl}[i] * (x - mu) * (x - mu)), "
+           f"lambda acc, v: acc + v)")
+    return f"""WITH s AS ({S.L_SQL}),
+a AS (SELECT l_suppkey, l_shipdate, avg_qty, list(avg_qty) OVER w AS arr, count(avg_qty) OVER w AS c,
+             row_number() OVER ({_PL} ORDER BY l_shipdate) - 1 AS pos
+      FROM s WINDOW w AS ({_PL} ORDER BY l_shipdate ROWS BETWEEN {span - 1} PRECEDING AND CURRENT ROW)),
+b AS (SELECT *, {mu} AS mu FROM a)
+SELECT l_suppkey, l_shipdate, avg_qty,
+       {S.rnd(f'CASE WHEN c = {span} AND pos >= {span} THEN sqrt({var}) END', 6)} AS ew_std
+FROM b"""
+
+
+@register("ew_std", _ew_std_sql(20))
+def q_ew_std(spark, sf_dir):
+    from tidewatch.operators.stats import ew_std
+    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_qty")
+    return ew_std(l, "l_suppkey", "l_shipdate", "avg_qty", 20).withColumn("ew_std", F.round("ew_std", 6))
+
+
+_QS = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+@register("series_percentiles", f"""WITH s AS ({S.L_SQL})
+SELECT l_suppkey, """ + ", ".join(
+    f"{S.rnd(f'quantile_cont(avg_price, {q})', 6)} AS p{int(round(q * 100)):02d}" for q in _QS)
+    + " FROM s GROUP BY l_suppkey")
+def q_series_percentiles(spark, sf_dir):
+    from tidewatch.operators.stats import series_percentiles
+    d = series_percentiles(S.supplier_daily(spark, sf_dir), "l_suppkey", "avg_price", _QS)
+    return d.select("l_suppkey", *[r(c) for c in d.columns[1:]])
+
+
+@register("trim_tails", f"""WITH s AS ({S.L_SQL}),
+b AS (SELECT l_suppkey, quantile_cont(avg_qty, 0.05) AS lo, quantile_cont(avg_qty, 0.95) AS hi
+      FROM s GROUP BY l_suppkey)
+SELECT s.l_suppkey, s.l_shipdate, s.avg_qty FROM s JOIN b USING (l_suppkey)
+WHERE s.avg_qty BETWEEN b.lo AND b.hi""")
+def q_trim_tails(spark, sf_dir):
+    from tidewatch.operators.stats import trim_tails
+    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_qty")
+    return trim_tails(l, "l_suppkey", "avg_qty", 90)
+
+
+@register("rolling_detect", f"""WITH s AS ({S.L_SQL}),
+a AS (SELECT l_suppkey, l_shipdate, avg_price,
+             CASE WHEN count(avg_price) OVER w = 100 THEN avg(avg_price) OVER w END AS m,
+             CASE WHEN count(avg_price) OVER w = 100 THEN stddev_samp(avg_price) OVER w END AS sd
+      FROM s WINDOW w AS ({_PL} ORDER BY l_shipdate ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING))
+SELECT l_suppkey, l_shipdate, avg_price, {S.rnd('m', 4)} AS train_mean, {S.rnd('sd', 4)} AS train_std
+FROM a WHERE avg_price < m - 2.0 * sd OR avg_price > m + 2.0 * sd""")
+def q_rolling_detect(spark, sf_dir):
+    from tidewatch.operators.stats import rolling_detect
+    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_price")
+    d = rolling_detect(l, "l_suppkey", "l_shipdate", "avg_price", train=100, k=2.0)
+    return d.select("l_suppkey", "l_shipdate", "avg_price", r("train_mean", 4), r("train_std", 4))
+
+
+@register("ewma_anomaly_type", _ewma_l_sql("avg_price", 100, 2.0, "both", 2).replace(
+    "SELECT l_suppkey, l_shipdate, x AS avg_price,",
+    "SELECT l_suppkey, l_shipdate, CASE WHEN x < lcl THEN 'low' WHEN x > ucl THEN 'high' END AS anomaly_type,"
+).replace(f"{S.rnd('ema', 2)} AS ema,\n       {S.rnd('ucl', 2)} AS ucl, {S.rnd('lcl', 2)} AS lcl", "1 AS one"))
+def q_ewma_anomaly_type(spark, sf_dir):
+    from tidewatch.operators.ewma import ewma_detect
+    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_price")
+    out = ewma_detect(l, "l_suppkey", "l_shipdate", "avg_price", window=100, no_of_stds=2.0, direction="both")
+    return out.select("l_suppkey", "l_shipdate", "anomaly_type", F.lit(1).alias("one"))

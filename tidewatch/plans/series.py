@@ -14,6 +14,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+def rnd(expr: str, d: int) -> str:
+    """SQL rounding that matches Spark's ``round``: HALF_UP applied to the
+    shortest decimal text of the double (DuckDB's ``round(double)`` rounds
+    the binary value, which differs on ties such as 1.015)."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,20)), {d}) AS DOUBLE)"
+
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -35,11 +42,11 @@ def supplier_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.round(F.sum("l_extendedprice"), 2).alias("sum_price")))
 
 
-L_SQL = """SELECT l_suppkey, l_shipdate,
-       round(avg(l_quantity), 4) AS avg_qty,
-       round(avg(l_extendedprice), 4) AS avg_price,
-       round(avg(l_discount), 4) AS avg_disc,
-       round(sum(l_extendedprice), 2) AS sum_price
+L_SQL = f"""SELECT l_suppkey, l_shipdate,
+       {rnd('avg(l_quantity)', 4)} AS avg_qty,
+       {rnd('avg(l_extendedprice)', 4)} AS avg_price,
+       {rnd('avg(l_discount)', 4)} AS avg_disc,
+       {rnd('sum(l_extendedprice)', 2)} AS sum_price
 FROM lineitem GROUP BY l_suppkey, l_shipdate"""
 
 
@@ -79,15 +86,15 @@ def user_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.round(F.sum("value").over(ws), 2).alias("counter"))
 
 
-U_COUNTER_SQL = """WITH a AS (
+U_COUNTER_SQL = f"""WITH a AS (
   SELECT user_id, ts, event_id, value,
          sum(CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END)
            OVER (PARTITION BY user_id ORDER BY ts, event_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg
   FROM events)
 SELECT user_id, ts, event_id,
-       round(sum(value) OVER (PARTITION BY user_id, seg ORDER BY ts, event_id
-                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 2) AS counter
+       {rnd("""sum(value) OVER (PARTITION BY user_id, seg ORDER BY ts, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", 2)} AS counter
 FROM a"""
 
 
@@ -98,5 +105,5 @@ def type_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
               .agg(F.round(F.avg("value"), 4).alias("avg_value")))
 
 
-E_SQL = """SELECT event_type, date_trunc('hour', ts) AS hour, round(avg(value), 4) AS avg_value
+E_SQL = f"""SELECT event_type, date_trunc('hour', ts) AS hour, {rnd('avg(value)', 4)} AS avg_value
 FROM events GROUP BY event_type, date_trunc('hour', ts)"""
