@@ -399,13 +399,13 @@ a AS (SELECT l_suppkey, l_shipdate, avg_price,
              CASE WHEN count(avg_price) OVER w = 100 THEN avg(avg_price) OVER w END AS m,
              CASE WHEN count(avg_price) OVER w = 100 THEN stddev_samp(avg_price) OVER w END AS sd
       FROM s WINDOW w AS ({_PL} ORDER BY l_shipdate ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING))
-SELECT l_suppkey, l_shipdate, avg_price, {S.rnd('m', 4)} AS train_mean, {S.rnd('sd', 4)} AS train_std
+SELECT l_suppkey, l_shipdate, avg_price, {S.rnd('m', 6)} AS train_mean, {S.rnd('sd', 4)} AS train_std
 FROM a WHERE avg_price < m - 2.0 * sd OR avg_price > m + 2.0 * sd""")
 def q_rolling_detect(spark, sf_dir):
     from tidewatch.operators.stats import rolling_detect
     l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_price")
     d = rolling_detect(l, "l_suppkey", "l_shipdate", "avg_price", train=100, k=2.0)
-    return d.select("l_suppkey", "l_shipdate", "avg_price", r("train_mean", 4), r("train_std", 4))
+    return d.select("l_suppkey", "l_shipdate", "avg_price", r("train_mean", 6), r("train_std", 4))
 
 
 @register("ewma_anomaly_type", _ewma_l_sql("avg_price", 100, 2.0, "both", 2).replace(
@@ -417,3 +417,107 @@ def q_ewma_anomaly_type(spark, sf_dir):
     l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_price")
     out = ewma_detect(l, "l_suppkey", "l_shipdate", "avg_price", window=100, no_of_stds=2.0, direction="both")
     return out.select("l_suppkey", "l_shipdate", "anomaly_type", F.lit(1).alias("one"))
+
+
+# ---------------------------------------------------------------------------
+# KDE (oracle: brute-force pairwise sums, fine at the check scale)
+# ---------------------------------------------------------------------------
+import math as _math  # noqa: E402
+
+
+def _kde_norm(h: float) -> str:
+    return repr(h * _math.sqrt(2 * _math.pi))
+
+
+def _kde_sql(src: str, key: str, order_desc: str, v: str, h: float, train, new, filt: float, thr: float,
+             direction: str, out_cols: str, row_cols: str) -> str:
+    train_cond = "TRUE" if train == "all" else f"rpos >= {train[1]}"
+    new_cond = "TRUE" if new == "all" else f"rpos < {new[1]}"
+    k2 = f"((a.{v} - b.{v}) / {h!r}) * ((a.{v} - b.{v}) / {h!r})"
+    if filt < 100:
+        lo = (100 - filt) / 2 / 100
+        trim = f"""fb AS (SELECT {key}, quantile_cont({v}, {lo!r}) AS flo, quantile_cont({v}, {1 - lo!r}) AS fhi
+       FROM tr0 GROUP BY {key}),
+tr AS (SELECT tr0.{key}, tr0.{v} FROM tr0 JOIN fb USING ({key}) WHERE tr0.{v} BETWEEN fb.flo AND fb.fhi),"""
+    else:
+        trim = f"tr AS (SELECT {key}, {v} FROM tr0),"
+    p = thr / 100
+    cmp = {"low": f"{v} < lower", "high": f"{v} > upper",
+           "both": f"({v} < lower OR {v} > upper)"}[direction]
+    return f"""WITH u AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order_desc}) - 1 AS rpos
+           FROM ({src}) WHERE {v} IS NOT NULL),
+tr0 AS (SELECT * FROM u WHERE {train_cond}),
+{trim}
+st AS (SELECT {key}, count(*) AS n, quantile_cont({v}, {1 - p!r}) AS lower, quantile_cont({v}, {p!r}) AS upper
+       FROM tr GROUP BY {key}),
+tri AS (SELECT *, row_number() OVER () AS rid FROM tr),
+trd AS (SELECT a.{key}, a.rid, sum(exp(-0.5 * {k2})) AS s FROM tri a JOIN tr b USING ({key})
+        GROUP BY a.{key}, a.rid),
+th AS (SELECT trd.{key}, quantile_cont(trd.s / (st.n * {_kde_norm(h)}), 0.01) AS threshold
+       FROM trd JOIN st USING ({key}) GROUP BY trd.{key}),
+nw AS (SELECT * FROM u WHERE {new_cond}),
+nd AS (SELECT {row_cols}, sum(exp(-0.5 * {k2})) AS s FROM nw a JOIN tr b USING ({key}) GROUP BY {row_cols}),
+f AS (SELECT nd.*, nd.s / (st.n * {_kde_norm(h)}) AS density, st.lower, st.upper, th.threshold
+      FROM nd JOIN st USING ({key}) JOIN th USING ({key}))
+SELECT {out_cols} FROM f WHERE density < threshold * (1 - 1e-9) AND {cmp}"""
+
+
+_U_ROW = "a.user_id, a.ts, a.event_id, a.value"
+_U_OUT = f"user_id, ts, event_id, value, {S.rnd('density', 6)} AS density"
+
+
+def _kde_u(spark, sf_dir, **kw):
+    from tidewatch.operators.kde import kde_detect
+    u = S.user_events(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    d = kde_detect(u, "user_id", "ts", "value", tiebreak=["event_id"], **kw)
+    return d.select("user_id", "ts", "event_id", "value", r("density"))
+
+
+@register("kde_detect_all", _kde_sql(S.U_SQL, "user_id", "ts DESC, event_id DESC", "value", 0.5, "all", "all",
+                                     99, 95, "both", _U_OUT, _U_ROW))
+def q_kde_detect_all(spark, sf_dir):
+    return _kde_u(spark, sf_dir, bandwidth=0.5, filter_percentile=99, threshold_percentile=95,
+                  direction="both")
+
+
+@register("kde_novelty", _kde_sql(S.U_SQL, "user_id", "ts DESC, event_id DESC", "value", 0.5, ("head", 10),
+                                  ("tail", 10), 100, 95, "both", _U_OUT, _U_ROW))
+def q_kde_novelty(spark, sf_dir):
+    return _kde_u(spark, sf_dir, bandwidth=0.5, train=("head", 10), new=("tail", 10),
+                  filter_percentile=100, threshold_percentile=95, direction="both")
+
+
+@register("kde_detect_recent", _kde_sql(S.L_SQL, "l_suppkey", "l_shipdate DESC", "avg_qty", 0.5, "all",
+                                        ("tail", 30), 99, 95, "both",
+                                      f"l_suppkey, l_shipdate, avg_qty, {S.rnd('density', 6)} AS density",
+                                      "a.l_suppkey, a.l_shipdate, a.avg_qty"))
+def q_kde_detect_recent(spark, sf_dir):
+    from tidewatch.operators.kde import kde_detect
+    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_qty")
+    d = kde_detect(l, "l_suppkey", "l_shipdate", "avg_qty", bandwidth=0.5, new=("tail", 30),
+                   filter_percentile=99, threshold_percentile=95, direction="both")
+    return d.select("l_suppkey", "l_shipdate", "avg_qty", r("density"))
+
+
+@register("kde_density", f"""WITH u AS ({S.U_SQL})
+SELECT a.user_id, a.event_id,
+       {S.rnd(f"sum(exp(-0.5 * ((a.value - b.value) / 0.5) * ((a.value - b.value) / 0.5))) / (count(*) * {_kde_norm(0.5)})", 6)} AS density
+FROM u a JOIN u b USING (user_id) GROUP BY a.user_id, a.event_id""")
+def q_kde_density(spark, sf_dir):
+    from tidewatch.operators.kde import kde_density
+    u = S.user_events(spark, sf_dir).select("user_id", "event_id", "value")
+    return kde_density(u, u, "user_id", "value", 0.5).select("user_id", "event_id", r("density"))
+
+
+@register("kde_curve", f"""WITH u AS ({S.U_SQL}),
+g0 AS (SELECT user_id, min(value) - 1 AS lo, max(value) + 1 AS hi, count(*) AS n FROM u GROUP BY user_id),
+g AS (SELECT user_id, n, i, CASE WHEN i = 999 THEN hi ELSE lo + i * ((hi - lo) / 999) END AS x
+      FROM g0, generate_series(0, 999) t(i))
+SELECT g.user_id, g.i, {S.rnd('g.x', 6)} AS x,
+       {S.rnd(f"sum(exp(-0.5 * ((g.x - u.value) / 0.5) * ((g.x - u.value) / 0.5))) / (g.n * {_kde_norm(0.5)})", 6)} AS density
+FROM g JOIN u USING (user_id) GROUP BY g.user_id, g.i, g.x, g.n""")
+def q_kde_curve(spark, sf_dir):
+    from tidewatch.operators.kde import kde_curve
+    u = S.user_events(spark, sf_dir).select("user_id", "value")
+    d = kde_curve(u, "user_id", "value", 0.5)
+    return d.select("user_id", F.col("i").cast("long").alias("i"), r("x"), r("density"))
