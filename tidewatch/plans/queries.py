@@ -521,3 +521,208 @@ def q_kde_curve(spark, sf_dir):
     u = S.user_events(spark, sf_dir).select("user_id", "value")
     d = kde_curve(u, "user_id", "value", 0.5)
     return d.select("user_id", F.col("i").cast("long").alias("i"), r("x"), r("density"))
+
+
+# ---------------------------------------------------------------------------
+# resampling, gap filling, forecasting
+# ---------------------------------------------------------------------------
+_HOUR_US = 3_600_000_000
+
+
+def _resample_sql(src: str, key: str, t: str, v: str, us: int) -> str:
+    """CTEs a (bucket means), j (spine with pos, column v nullable)."""
+    return f"""a AS (SELECT {key}, (epoch_us({t}) // {us}) * {us} AS b, avg({v}) AS v FROM ({src}) GROUP BY 1, 2),
+r AS (SELECT {key}, min(b) AS lo, max(b) AS hi FROM a GROUP BY 1),
+sp AS (SELECT {key}, unnest(generate_series(lo, hi, {us})) AS b FROM r),
+j AS (SELECT sp.{key}, sp.b, a.v, row_number() OVER (PARTITION BY sp.{key} ORDER BY sp.b) - 1 AS pos
+      FROM sp LEFT JOIN a USING ({key}, b))"""
+
+
+def _fill_sql(key: str, method: str) -> str:
+    w = f"PARTITION BY {key} ORDER BY pos"
+    prev = f"OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    nxt = f"OVER ({w} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    if method == "zero":
+        return "coalesce(v, 0.0)"
+    if method == "ffill":
+        return f"last_value(v IGNORE NULLS) {prev}"
+    if method == "bfill":
+        return f"first_value(v IGNORE NULLS) {nxt}"
+    y0, x0 = f"last_value(v IGNORE NULLS) {prev}", f"last_value(CASE WHEN v IS NOT NULL THEN pos END IGNORE NULLS) {prev}"
+    y1, x1 = f"first_value(v IGNORE NULLS) {nxt}", f"first_value(CASE WHEN v IS NOT NULL THEN pos END IGNORE NULLS) {nxt}"
+    return (f"CASE WHEN v IS NOT NULL THEN v WHEN ({y1}) IS NULL THEN {y0} "
+            f"ELSE (({y1}) - ({y0})) / (({x1}) - ({x0})) * (pos - ({x0})) + ({y0}) END")
+
+
+def _filled_sql(src, key, t, v, us, method):
+    return f"""{_resample_sql(src, key, t, v, us)},
+fl AS (SELECT {key}, make_timestamp(b) AS {t}, pos, {_fill_sql(key, method)} AS {v} FROM j)"""
+
+
+for _m in ("interpolate", "ffill", "bfill", "zero"):
+    def _mk(method):
+        def q(spark, sf_dir):
+            from tidewatch.operators.resample import fill_gaps, resample_mean
+            ev = S.table(spark, sf_dir, "events").select("event_type", "ts", "value")
+            d = fill_gaps(resample_mean(ev, "event_type", "ts", "value", "1 hour"), "event_type", "ts", "value",
+                          method)
+            return d.select("event_type", "ts", r("value"))
+        return q
+    register(f"resample_fill_{_m}", f"""WITH {_filled_sql('SELECT * FROM events', 'event_type', 'ts', 'value', _HOUR_US, _m)}
+SELECT event_type, ts, {S.rnd('value', 6)} AS value FROM fl""")(_mk(_m))
+
+
+def _geo_sql(rr: str, k: str) -> str:
+    return f"(CASE WHEN {rr} = 1 THEN CAST({k} AS DOUBLE) ELSE (1 - pow({rr}, {k})) / (1 - {rr}) END)"
+
+
+def _ols_sql(y: str, xs: list, pre: str) -> str:
+    a = [f"count(*) AS {pre}n", f"avg({y}) AS {pre}my", f"var_pop({y}) AS {pre}syy"]
+    for i, x in enumerate(xs, 1):
+        a += [f"avg({x}) AS {pre}m{i}", f"var_pop({x}) AS {pre}s{i}{i}", f"covar_pop({x}, {y}) AS {pre}s{i}y"]
+    if len(xs) == 2:
+        a.append(f"covar_pop({xs[0]}, {xs[1]}) AS {pre}s12")
+    return ", ".join(a)
+
+
+def _ols_solve_sql(k: int, pre: str) -> str:
+    c = lambda n: f"{pre}{n}"
+    if k == 0:
+        return f"{c('my')} AS {pre}c, {c('n')} * {c('syy')} AS {pre}sse"
+    if k == 1:
+        b1 = f"({c('s1y')} / {c('s11')})"
+        return (f"{b1} AS {pre}b1, {c('my')} - {b1} * {c('m1')} AS {pre}c, "
+                f"{c('n')} * ({c('syy')} - {b1} * {c('s1y')}) AS {pre}sse")
+    det = f"({c('s11')} * {c('s22')} - {c('s12')} * {c('s12')})"
+    b1 = f"(({c('s1y')} * {c('s22')} - {c('s2y')} * {c('s12')}) / {det})"
+    b2 = f"(({c('s2y')} * {c('s11')} - {c('s1y')} * {c('s12')}) / {det})"
+    return (f"{b1} AS {pre}b1, {b2} AS {pre}b2, {c('my')} - {b1} * {c('m1')} - {b2} * {c('m2')} AS {pre}c, "
+            f"{c('n')} * ({c('syy')} - {b1} * {c('s1y')} - {b2} * {c('s2y')}) AS {pre}sse")
+
+
+def _flag_sql(v, direction):
+    return {"low": (f"{v} < lo", f"CASE WHEN {v} < lo THEN 'low' END"),
+            "high": (f"{v} > hi", f"CASE WHEN {v} > hi THEN 'high' END"),
+            "both": (f"({v} < lo OR {v} > hi)",
+                     f"CASE WHEN {v} < lo THEN 'low' WHEN {v} > hi THEN 'high' END")}[direction]
+
+
+def _fc_out(key, t, v, direction, extra=""):
+    f, a = _flag_sql(v, direction)
+    return (f"SELECT {key}, {t}, {extra}{S.rnd(v, 6)} AS {v}, {S.rnd('forecast', 4)} AS forecast, "
+            f"{S.rnd('lo', 4)} AS lo, {S.rnd('hi', 4)} AS hi, coalesce({f}, false) AS is_anomaly, {a} AS anomaly_type")
+
+
+def _ar_sql(prep: str, key: str, t: str, v: str, H: int, level: float, direction: str) -> str:
+    from tidewatch.operators.forecast import z_value
+    z = repr(z_value(level))
+    return f"""WITH {prep},
+d AS (SELECT {key}, {t}, {v}, row_number() OVER (PARTITION BY {key} ORDER BY {t} DESC) - 1 AS rpos FROM fl),
+tr AS (SELECT *, lag({v}, 1) OVER (PARTITION BY {key} ORDER BY {t}) AS x1 FROM d WHERE rpos >= {H}),
+f0 AS (SELECT {key}, {_ols_sql(v, ['x1'], 'f_')} FROM tr WHERE {v} IS NOT NULL AND x1 IS NOT NULL GROUP BY 1),
+f1 AS (SELECT *, {_ols_solve_sql(1, 'f_')} FROM f0),
+fit AS (SELECT f1.*, sqrt(f_sse / (f_n - 2)) AS sig, l.yT FROM f1
+        JOIN (SELECT {key}, arg_max({v}, {t}) AS yT FROM tr GROUP BY 1) l USING ({key})),
+te AS (SELECT d.{key}, d.{t}, {H} - d.rpos AS step, d.{v}, fit.* EXCLUDE ({key}) FROM d JOIN fit USING ({key})
+       WHERE d.rpos < {H}),
+fc AS (SELECT *, f_c * {_geo_sql('f_b1', 'step')} + pow(f_b1, step) * yT AS forecast,
+              pow(sig, 2) * {_geo_sql('f_b1 * f_b1', 'step')} AS var FROM te),
+b AS (SELECT *, forecast - {z} * sqrt(var) AS lo, forecast + {z} * sqrt(var) AS hi FROM fc)
+{_fc_out(key, t, v, direction, 'step, ')} FROM b"""
+
+
+@register("ar_forecast_detect", _ar_sql(_filled_sql("SELECT * FROM events", "event_type", "ts", "value", _HOUR_US,
+                                                    "interpolate"), "event_type", "ts", "value", 24, 0.99, "both"))
+def q_ar_forecast_detect(spark, sf_dir):
+    from tidewatch.operators.forecast import ar_forecast_detect
+    ev = S.table(spark, sf_dir, "events")
+    d = ar_forecast_detect(ev, "event_type", "ts", "value", horizon=24, level=0.99, direction="both",
+                           freq="1 hour", fill_method="interpolate")
+    return d.select("event_type", "ts", "step", r("value"), r("forecast", 4), r("lo", 4), r("hi", 4),
+                    "is_anomaly", "anomaly_type")
+
+
+def _arma_sql(prep: str, key: str, t: str, v: str, H: int, level: float, direction: str) -> str:
+    from tidewatch.operators.forecast import z_value
+    z = repr(z_value(level))
+    w = f"PARTITION BY {key} ORDER BY {t}"
+    return f"""WITH {prep},
+d AS (SELECT {key}, {t}, {v}, row_number() OVER (PARTITION BY {key} ORDER BY {t} DESC) - 1 AS rpos FROM fl),
+tr AS (SELECT *, lag({v}, 1) OVER ({w}) AS x1, lag({v}, 2) OVER ({w}) AS x2 FROM d WHERE rpos >= {H}),
+s10 AS (SELECT {key}, {_ols_sql(v, ['x1', 'x2'], 'a_')} FROM tr
+        WHERE {v} IS NOT NULL AND x1 IS NOT NULL AND x2 IS NOT NULL GROUP BY 1),
+s1 AS (SELECT *, {_ols_solve_sql(2, 'a_')} FROM s10),
+e AS (SELECT tr.*, tr.{v} - s1.a_c - s1.a_b1 * tr.x1 - s1.a_b2 * tr.x2 AS e FROM tr JOIN s1 USING ({key})),
+e1 AS (SELECT *, lag(e, 1) OVER ({w}) AS e1 FROM e),
+s20 AS (SELECT {key}, {_ols_sql(v, ['x1', 'e1'], 'h_')} FROM e1
+        WHERE {v} IS NOT NULL AND x1 IS NOT NULL AND e1 IS NOT NULL GROUP BY 1),
+s2 AS (SELECT *, {_ols_solve_sql(2, 'h_')} FROM s20),
+fit AS (SELECT s2.*, sqrt(h_sse / (h_n - 3)) AS sig, l.yT, l.eT FROM s2
+        JOIN (SELECT {key}, arg_max({v}, {t}) AS yT, arg_max(e, {t}) AS eT FROM e1 GROUP BY 1) l USING ({key})),
+te AS (SELECT d.{key}, d.{t}, {H} - d.rpos AS step, d.{v}, fit.* EXCLUDE ({key}) FROM d JOIN fit USING ({key})
+       WHERE d.rpos < {H}),
+fc AS (SELECT *, h_c * {_geo_sql('h_b1', 'step - 1')} + pow(h_b1, step - 1) * (h_c + h_b1 * yT + h_b2 * eT) AS forecast,
+              pow(sig, 2) * (1 + pow(h_b1 + h_b2, 2) * {_geo_sql('h_b1 * h_b1', 'step - 1')}) AS var FROM te),
+b AS (SELECT *, forecast - {z} * sqrt(var) AS lo, forecast + {z} * sqrt(var) AS hi FROM fc)
+{_fc_out(key, t, v, direction, 'step, ')} FROM b"""
+
+
+@register("arma11_forecast_detect", _arma_sql(_filled_sql("SELECT * FROM events", "event_type", "ts", "value",
+                                                          _HOUR_US, "ffill"), "event_type", "ts", "value", 12, 0.95,
+                                              "both"))
+def q_arma11_forecast_detect(spark, sf_dir):
+    from tidewatch.operators.forecast import arma11_forecast_detect
+    ev = S.table(spark, sf_dir, "events")
+    d = arma11_forecast_detect(ev, "event_type", "ts", "value", horizon=12, level=0.95, direction="both",
+                               freq="1 hour", fill_method="ffill")
+    return d.select("event_type", "ts", "step", r("value"), r("forecast", 4), r("lo", 4), r("hi", 4),
+                    "is_anomaly", "anomaly_type")
+
+
+def _auto_sql(prep: str, key: str, t: str, v: str, level: float, direction: str) -> str:
+    from tidewatch.operators.forecast import AUTO_CANDIDATES, z_value
+    z = repr(z_value(level))
+    w = f"PARTITION BY {key} ORDER BY {t}"
+    targets = {0: (v, ["y1", "y2"]), 1: ("d0", ["d1", "d2"])}
+    aggs = ", ".join(_ols_sql(targets[dd][0], targets[dd][1][:p], f"c{p}{dd}_") for p, dd in AUTO_CANDIDATES)
+    solves = ", ".join(_ols_solve_sql(p, f"c{p}{dd}_") for p, dd in AUTO_CANDIDATES)
+    structs = []
+    for p, dd in AUTO_CANDIDATES:
+        pre, kk = f"c{p}{dd}_", p + 2
+        n = f"{pre}n"
+        aicc = f"{n} * ln({pre}sse / {n}) + {2 * kk} + {2 * kk * (kk + 1)} / ({n} - {kk + 1})"
+        b1 = f"{pre}b1" if p >= 1 else "0.0::DOUBLE"
+        b2 = f"{pre}b2" if p >= 2 else "0.0::DOUBLE"
+        structs.append(f"{{'aicc': {aicc}, 'd': {dd}, 'p': {p}, 'c': {pre}c, 'b1': {b1}, 'b2': {b2}, "
+                       f"'sigma': sqrt({pre}sse / ({n} - {p + 1}))}}")
+    return f"""WITH {prep},
+d AS (SELECT {key}, {t}, {v}, row_number() OVER (PARTITION BY {key} ORDER BY {t} DESC) - 1 AS rpos
+      FROM fl WHERE {v} IS NOT NULL),
+tr AS (SELECT *, lag({v}, 1) OVER ({w}) AS y1, lag({v}, 2) OVER ({w}) AS y2, lag({v}, 3) OVER ({w}) AS y3
+       FROM d WHERE rpos >= 1),
+cs AS (SELECT *, {v} - y1 AS d0, y1 - y2 AS d1, y2 - y3 AS d2 FROM tr WHERE y3 IS NOT NULL),
+f0 AS (SELECT {key}, {aggs} FROM cs GROUP BY 1),
+f1 AS (SELECT *, {solves} FROM f0),
+f2 AS (SELECT {key}, c00_n, list_sort(list_filter([{', '.join(structs)}], lambda s: s.aicc IS NOT NULL AND NOT isnan(s.aicc)))[1] AS m FROM f1),
+lt AS (SELECT {key}, arg_max({v}, {t}) AS l1, arg_max(y1, {t}) AS l2, arg_max(y2, {t}) AS l3 FROM tr GROUP BY 1),
+te AS (SELECT d.{key}, d.{t}, d.{v}, f2.m, lt.l1, lt.l2, lt.l3 FROM d JOIN f2 USING ({key}) JOIN lt USING ({key})
+       WHERE d.rpos < 1 AND f2.c00_n + 3 >= 10),
+fc AS (SELECT *, m.p AS p, m.d AS d,
+              CASE WHEN m.d = 0 THEN m.c + m.b1 * l1 + m.b2 * l2
+                   ELSE l1 + m.c + m.b1 * (l1 - l2) + m.b2 * (l2 - l3) END AS forecast FROM te),
+b AS (SELECT *, forecast - {z} * m.sigma AS lo, forecast + {z} * m.sigma AS hi FROM fc)
+{_fc_out(key, t, v, direction, 'p, d, ')} FROM b"""
+
+
+_L_DAILY_US = 86_400_000_000
+
+
+@register("auto_ar_detect", _auto_sql(_filled_sql(S.L_SQL, "l_suppkey", "l_shipdate", "sum_price", _L_DAILY_US,
+                                                  "zero"), "l_suppkey", "l_shipdate", "sum_price", 0.99, "low"))
+def q_auto_ar_detect(spark, sf_dir):
+    from tidewatch.operators.forecast import auto_ar_detect
+    l = S.supplier_daily(spark, sf_dir)
+    d = auto_ar_detect(l, "l_suppkey", "l_shipdate", "sum_price", level=0.99, direction="low", freq="1 day",
+                       fill_method="zero")
+    return d.select("l_suppkey", "l_shipdate", F.col("p").cast("int").alias("p"), F.col("d").cast("int").alias("d"),
+                    r("sum_price"), r("forecast", 4), r("lo", 4), r("hi", 4), "is_anomaly", "anomaly_type")
