@@ -726,3 +726,81 @@ def q_auto_ar_detect(spark, sf_dir):
                        fill_method="zero")
     return d.select("l_suppkey", "l_shipdate", F.col("p").cast("int").alias("p"), F.col("d").cast("int").alias("d"),
                     r("sum_price"), r("forecast", 4), r("lo", 4), r("hi", 4), "is_anomaly", "anomaly_type")
+
+
+# ---------------------------------------------------------------------------
+# ensembles and run metrics
+# ---------------------------------------------------------------------------
+_ENS_PARAMS = {"bandwidth": 0.5, "filter_percentile": 99, "threshold_percentile": 95,
+               "anomaly_direction": "both", "window": 100, "no_of_stds": 2.0, "recent_window_size": "all",
+               "arima_level": 0.95, "arima_horizon": 1}
+
+
+def _ens_parts_sql() -> dict:
+    kde = _kde_sql(S.L_SQL, "l_suppkey", "l_shipdate DESC", "avg_qty", 0.5, "all", "all", 99, 95, "both",
+                   "l_suppkey, l_shipdate", "a.l_suppkey, a.l_shipdate, a.avg_qty")
+    ewma = _ewma_l_sql("avg_qty", 100, 2.0, "both", 4)
+    arma = _arma_sql(f"fl AS (SELECT l_suppkey, l_shipdate, avg_qty FROM ({S.L_SQL}) q)", "l_suppkey",
+                     "l_shipdate", "avg_qty", 1, 0.95, "both")
+    return {"kde": f"SELECT l_suppkey, l_shipdate FROM ({kde}) t",
+            "ewma": f"SELECT l_suppkey, l_shipdate FROM ({ewma}) t",
+            "arma": f"SELECT l_suppkey, l_shipdate FROM ({arma}) t WHERE is_anomaly"}
+
+
+def _ens_sql(dets, need: int, select: str | None = None, group: str = "") -> str:
+    parts = _ens_parts_sql()
+    ctes = ",\n".join(f"{d} AS ({parts[d]})" for d in dets)
+    joins = "\n".join(f"LEFT JOIN {d} ON {d}.l_suppkey = s.l_suppkey AND {d}.l_shipdate = s.l_shipdate"
+                      for d in dets)
+    votes = " + ".join(f"CASE WHEN {d}.l_suppkey IS NOT NULL THEN 1 ELSE 0 END" for d in dets)
+    flags = ", ".join(f"{d}.l_suppkey IS NOT NULL AS is_outlier_{d}" for d in dets)
+    sel = select or f"s.l_suppkey, s.l_shipdate, s.avg_qty, {flags}"
+    return f"""WITH s AS ({S.L_SQL}),
+{ctes}
+SELECT {sel} FROM s
+{joins}
+WHERE {votes} >= {need} {group}"""
+
+
+def _ens(spark, sf_dir, dets, rule):
+    from tidewatch.operators.ensemble import ensemble
+    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_qty")
+    return ensemble(l, "l_suppkey", "l_shipdate", "avg_qty", detectors=dets, rule=rule, params=_ENS_PARAMS)
+
+
+@register("ensemble_any", _ens_sql(["kde", "ewma"], 1))
+def q_ensemble_any(spark, sf_dir):
+    return _ens(spark, sf_dir, ["kde", "ewma"], "any")
+
+
+@register("ensemble_all", _ens_sql(["kde", "ewma"], 2))
+def q_ensemble_all(spark, sf_dir):
+    return _ens(spark, sf_dir, ["kde", "ewma"], "all")
+
+
+@register("ensemble_kde_ewma_arma", _ens_sql(["kde", "ewma", "arma"], 1))
+def q_ensemble_kde_ewma_arma(spark, sf_dir):
+    return _ens(spark, sf_dir, ["kde", "ewma", "arma"], "any")
+
+
+def _run_metrics_sql() -> str:
+    import json
+    params = json.dumps(_ENS_PARAMS, sort_keys=True, default=str).replace("'", "''")
+    inner = _ens_sql(["kde", "ewma"], 1)
+    return f"""WITH a AS ({inner}),
+n AS (SELECT l_suppkey, count(*) AS n_points FROM ({S.L_SQL}) q GROUP BY 1),
+c AS (SELECT l_suppkey, CAST(count_if(is_outlier_kde) AS BIGINT) AS anomalies_kde,
+             CAST(count_if(is_outlier_ewma) AS BIGINT) AS anomalies_ewma,
+             count(*) AS anomalies_detected FROM a GROUP BY 1)
+SELECT n.l_suppkey, n.n_points, coalesce(c.anomalies_kde, 0) AS anomalies_kde,
+       coalesce(c.anomalies_ewma, 0) AS anomalies_ewma, coalesce(c.anomalies_detected, 0) AS anomalies_detected,
+       '{params}' AS params, 'r1' AS run_id, CAST(NULL AS VARCHAR) AS error
+FROM n LEFT JOIN c ON n.l_suppkey = c.l_suppkey"""
+
+
+@register("run_metrics", _run_metrics_sql())
+def q_run_metrics(spark, sf_dir):
+    from tidewatch.operators.ensemble import run_metrics
+    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_qty")
+    an = _ens(spark, sf_dir, ["kde", "ewma"], "any")
+    return run_metrics(l, an, "l_suppkey", detectors=["kde", "ewma"], params=_ENS_PARAMS, run_id="r1")
