@@ -53,28 +53,33 @@ def ewma_rec_sql(src: str, key: str, x: str, span: int, start: int = 1) -> str:
 # flagship: supplier-daily revenue, EWMA chart, high side
 # ---------------------------------------------------------------------------
 
-def _ewma_l_sql(feature: str, window: int, k: float, direction: str, round_d: int) -> str:
+def _ewma_sql(src: str, key: str, t: str, feature: str, window: int, k: float, direction: str,
+              round_d: int) -> str:
     cmp = {"high": "x > ucl", "low": "x < lcl", "both": "(x > ucl OR x < lcl)"}[direction]
-    return f"""WITH RECURSIVE s AS ({S.L_SQL}),
+    return f"""WITH RECURSIVE s AS ({src}),
 p AS (
-  SELECT l_suppkey, l_shipdate, {feature} AS x,
-         row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate) - 1 AS pos,
-         lag({feature}, 1) OVER (PARTITION BY l_suppkey ORDER BY l_shipdate) AS target,
+  SELECT {key}, {t}, {feature} AS x,
+         row_number() OVER (PARTITION BY {key} ORDER BY {t}) - 1 AS pos,
+         lag({feature}, 1) OVER (PARTITION BY {key} ORDER BY {t}) AS target,
          CASE WHEN count({feature}) OVER w = {window} THEN stddev_samp({feature}) OVER w END AS sd
   FROM s
-  WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_shipdate
+  WINDOW w AS (PARTITION BY {key} ORDER BY {t}
                ROWS BETWEEN {window} PRECEDING AND 1 PRECEDING)),
-{ewma_rec_sql('p', 'l_suppkey', 'target', window)},
+{ewma_rec_sql('p', key, 'target', window)},
 f AS (
   SELECT p.*, rec.ema,
          CASE WHEN p.sd >= 0.01 * abs(p.x) THEN p.sd ELSE 0.01 * abs(p.x) END AS std
-  FROM p JOIN rec USING (l_suppkey, pos)),
+  FROM p JOIN rec USING ({key}, pos)),
 g AS (SELECT *, ema + {k} * std AS ucl, ema - {k} * std AS lcl FROM f)
-SELECT l_suppkey, l_shipdate, x AS {feature}, {S.rnd('ema', round_d)} AS ema,
+SELECT {key}, {t}, x AS {feature}, {S.rnd('ema', round_d)} AS ema,
        {S.rnd('ucl', round_d)} AS ucl, {S.rnd('lcl', round_d)} AS lcl
 FROM g WHERE {cmp} AND pos >= {window}"""
 
 
+def _ewma_l_sql(feature: str, window: int, k: float, direction: str, round_d: int) -> str:
+    return _ewma_sql(S.L_SQL, "l_suppkey", "l_shipdate", feature, window, k, direction, round_d)
+
+
 def _ewma_l(spark, sf_dir, feature, window, k, direction, round_d):
     from tidewatch.operators.ewma import ewma_detect
     l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", feature)
@@ -804,3 +809,185 @@ def q_run_metrics(spark, sf_dir):
     l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_qty")
     an = _ens(spark, sf_dir, ["kde", "ewma"], "any")
     return run_metrics(l, an, "l_suppkey", detectors=["kde", "ewma"], params=_ENS_PARAMS, run_id="r1")
+
+
+# ---------------------------------------------------------------------------
+# slices -> vectors, reconstruction model, score reports
+# ---------------------------------------------------------------------------
+
+def _slice_sql(src: str, key: str, order: str, cols: str, L: int, Sh: int, t: str) -> str:
+    return f"""u AS (SELECT {cols}, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn FROM ({src}) q),
+n AS (SELECT {key}, max(rn) AS N FROM u GROUP BY {key} HAVING max(rn) >= {L}),
+st AS (SELECT {key}, unnest(generate_series(1, N - {L} + 1, {Sh})) AS s FROM n),
+j AS (SELECT u.*, st.s FROM u JOIN st USING ({key}) WHERE u.rn >= st.s AND u.rn < st.s + {L}),
+sl AS (SELECT *, s - 1 AS slice_start,
+       CAST({key} AS VARCHAR) || '_' || strftime(min({t}) OVER (PARTITION BY {key}, s), '%Y%m%d%H%M%S') AS series_id
+       FROM j)"""
+
+
+_LV = f"""{_slice_sql(S.L_SQL, 'l_suppkey', 'l_shipdate', 'l_suppkey, l_shipdate, avg_qty', 24, 12, 'l_shipdate')},
+vec AS (SELECT l_suppkey, slice_start, series_id, list(avg_qty ORDER BY l_shipdate) AS x
+        FROM sl GROUP BY l_suppkey, slice_start, series_id)"""
+
+
+def _l_vectors(spark, sf_dir):
+    from tidewatch.operators.recon import slices_to_vectors
+    from tidewatch.operators.reshape import slice_series
+    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_qty")
+    sl = slice_series(l, "l_suppkey", "l_shipdate", 24, 12)
+    return slices_to_vectors(sl, "l_suppkey", "l_shipdate", "avg_qty", length=24)
+
+
+@register("slices_to_vectors", f"WITH {_LV} SELECT * FROM vec")
+def q_slices_to_vectors(spark, sf_dir):
+    return _l_vectors(spark, sf_dir)
+
+
+def _recon_scores(spark, sf_dir):
+    from tidewatch.operators.recon import ReconstructionModel
+    v = _l_vectors(spark, sf_dir)
+    model = ReconstructionModel.fit(v, "x", k=4, scaler="standard", threshold_percentile=99)
+    return model.score(v, "x").select("l_suppkey", "slice_start", "series_id", "score", "threshold", "is_anomaly")
+
+
+@register("score_slices")
+def q_score_slices(spark, sf_dir):
+    return _recon_scores(spark, sf_dir)
+
+
+@register("slice_outliers")
+def q_slice_outliers(spark, sf_dir):
+    return _recon_scores(spark, sf_dir).filter("is_anomaly")
+
+
+_DEV = ("sqrt(list_reduce(list_transform(x, lambda v: (v - list_reduce(x, lambda a, b: a + b) / len(x)) * "
+        "(v - list_reduce(x, lambda a, b: a + b) / len(x))), lambda a, b: a + b))")
+_SC = f"""{_LV},
+sc AS (SELECT *, {_DEV} AS score FROM vec),
+th AS (SELECT quantile_disc(score, 0.99) AS threshold FROM sc),
+fl AS (SELECT sc.*, th.threshold, sc.score > th.threshold AS is_outlier FROM sc, th)"""
+
+
+def _dev_scores(spark, sf_dir):
+    from tidewatch.operators.report import slice_dev_score
+    return slice_dev_score(_l_vectors(spark, sf_dir))
+
+
+@register("score_summary", f"""WITH {_SC}
+SELECT {S.rnd('any_value(threshold)', 6)} AS threshold, {S.rnd('avg(score)', 6)} AS mean,
+       {S.rnd('stddev_pop(score)', 6)} AS std, count(*) AS n, CAST(count_if(is_outlier) AS BIGINT) AS n_anomalies
+FROM fl""")
+def q_score_summary(spark, sf_dir):
+    from tidewatch.operators.report import score_summary
+    d = score_summary(_dev_scores(spark, sf_dir), 99)
+    return d.select(r("threshold"), r("mean"), r("std"), "n", "n_anomalies")
+
+
+@register("score_histogram", f"""WITH {_SC},
+mm AS (SELECT min(score) AS mn, max(score) AS mx FROM sc),
+b AS (SELECT CAST(coalesce(least(floor((score - mn) / (mx - mn) * 30), 29), 0) AS INTEGER) AS bin, mn, mx
+      FROM sc, mm)
+SELECT bin, {S.rnd('any_value(mn) + bin * ((any_value(mx) - any_value(mn)) / 30)', 6)} AS lo,
+       {S.rnd('any_value(mn) + (bin + 1) * ((any_value(mx) - any_value(mn)) / 30)', 6)} AS hi, count(*) AS count
+FROM b GROUP BY bin""")
+def q_score_histogram(spark, sf_dir):
+    from tidewatch.operators.report import score_histogram
+    return score_histogram(_dev_scores(spark, sf_dir), 30).select("bin", r("lo"), r("hi"), "count")
+
+
+@register("slice_profile", f"""WITH {_SC},
+e AS (SELECT is_outlier, unnest(x) AS v, generate_subscripts(x, 1) - 1 AS pos FROM fl)
+SELECT is_outlier, CAST(pos AS INTEGER) AS pos, {S.rnd('avg(v)', 6)} AS mean, {S.rnd('stddev_pop(v)', 6)} AS std,
+       quantile_disc(v, 0.1) AS p10, quantile_disc(v, 0.9) AS p90, count(*) AS n
+FROM e GROUP BY is_outlier, pos""")
+def q_slice_profile(spark, sf_dir):
+    from tidewatch.operators.report import slice_profile, with_outlier_flag
+    d = slice_profile(with_outlier_flag(_dev_scores(spark, sf_dir), 99))
+    return d.select("is_outlier", "pos", r("mean"), r("std"), "p10", "p90", "n")
+
+
+_HASH_SQL = "(l_suppkey * 7919 + slice_start * 104729) % 1000003"
+
+
+@register("sample_slices", f"""WITH {_SC}
+SELECT l_suppkey, slice_start, series_id, {S.rnd('score', 6)} AS score FROM fl WHERE NOT is_outlier
+ORDER BY {_HASH_SQL}, l_suppkey, slice_start LIMIT 20""")
+def q_sample_slices(spark, sf_dir):
+    from tidewatch.operators.report import sample_slices, with_outlier_flag
+    d = with_outlier_flag(_dev_scores(spark, sf_dir), 99)
+    key = F.pmod(F.col("l_suppkey") * 7919 + F.col("slice_start") * 104729, F.lit(1000003))
+    d = sample_slices(d, 20, [key, F.col("l_suppkey"), F.col("slice_start")], "is_outlier", False)
+    return d.select("l_suppkey", "slice_start", "series_id", r("score"))
+
+
+@register("select_by_score", f"""WITH {_SC}
+SELECT l_suppkey, slice_start, series_id, {S.rnd('score', 6)} AS score FROM fl WHERE score > threshold""")
+def q_select_by_score(spark, sf_dir):
+    from tidewatch.operators.report import select_by_score, with_outlier_flag
+    d = select_by_score(with_outlier_flag(_dev_scores(spark, sf_dir), 99), "abnormal")
+    return d.select("l_suppkey", "slice_start", "series_id", r("score"))
+
+
+@register("entity_of_slice", f"""WITH {_LV}
+SELECT series_id, split_part(series_id, '_', 1) AS entity FROM vec""")
+def q_entity_of_slice(spark, sf_dir):
+    from tidewatch.functions.scalar import entity_of_slice
+    return _l_vectors(spark, sf_dir).select("series_id", entity_of_slice("series_id").alias("entity"))
+
+
+# ---------------------------------------------------------------------------
+# granularity, two-stage detection, roll-up
+# ---------------------------------------------------------------------------
+_NATION_SQL = f"""SELECT s.s_nationkey AS s_nationkey, l.l_shipdate, {S.rnd('sum(l.sum_price)', 2)} AS sum_price
+FROM ({S.L_SQL}) l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY 1, 2"""
+
+
+@register("detect_by_segment", _ewma_sql(_NATION_SQL, "s_nationkey", "l_shipdate", "sum_price", 100, 2.0, "both", 2))
+def q_detect_by_segment(spark, sf_dir):
+    from tidewatch.operators.report import segment_series
+    from tidewatch.operators.ewma import ewma_detect
+    l = S.supplier_daily(spark, sf_dir)
+    sup = S.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    j = l.join(sup, l.l_suppkey == sup.s_suppkey)
+    seg = segment_series(j, ["s_nationkey"], "l_shipdate", "sum_price").withColumn("sum_price", F.round("sum_price", 2))
+    out = ewma_detect(seg, "s_nationkey", "l_shipdate", "sum_price", window=100, no_of_stds=2.0, direction="both")
+    return out.select("s_nationkey", "l_shipdate", "sum_price", r("ema", 2), r("ucl", 2), r("lcl", 2))
+
+
+_CAND_SQL = f"""SELECT * FROM ({S.L_SQL}) q WHERE l_suppkey IN (
+  SELECT l_suppkey FROM ({_ewma_l_sql('sum_price', 100, 3.0, 'high', 2)}) c)"""
+
+
+@register("two_stage_detect", _kde_sql(_CAND_SQL, "l_suppkey", "l_shipdate DESC", "avg_qty", 0.5, "all", "all", 99,
+                                       95, "both",
+                                       f"l_suppkey, l_shipdate, avg_qty, {S.rnd('density', 6)} AS density",
+                                       "a.l_suppkey, a.l_shipdate, a.avg_qty"))
+def q_two_stage_detect(spark, sf_dir):
+    from tidewatch.operators.kde import kde_detect
+    from tidewatch.operators.report import two_stage_detect
+    l = S.supplier_daily(spark, sf_dir)
+
+    def stage2(d):
+        k = kde_detect(d.select("l_suppkey", "l_shipdate", "avg_qty"), "l_suppkey", "l_shipdate", "avg_qty",
+                       bandwidth=0.5, filter_percentile=99, threshold_percentile=95, direction="both")
+        return k.select("l_suppkey", "l_shipdate", "avg_qty", r("density"))
+    return two_stage_detect(l, "l_suppkey", "l_shipdate", "sum_price",
+                            stage1=dict(window=100, no_of_stds=3.0, direction="high"), stage2=stage2)
+
+
+@register("anomaly_rollup", f"""WITH a AS ({_ewma_l_sql('sum_price', 100, 3.0, 'high', 2)}),
+h AS (SELECT r.r_name, n.n_name, CAST(a.l_suppkey AS VARCHAR) AS l_suppkey FROM a JOIN supplier s ON a.l_suppkey = s.s_suppkey
+      JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey)
+SELECT r_name, n_name, l_suppkey, count(*) AS n_anomalies,
+       CAST(3 - bit_count(CAST(GROUPING(r_name, n_name, l_suppkey) AS BIGINT)) AS INTEGER) AS level
+FROM h GROUP BY ROLLUP (r_name, n_name, l_suppkey)""")
+def q_anomaly_rollup(spark, sf_dir):
+    from tidewatch.operators.report import anomaly_rollup
+    a = q_ewma_detect_high(spark, sf_dir).select("l_suppkey")
+    sup = S.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    nat = S.table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    reg = S.table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    h = (a.join(sup, a.l_suppkey == sup.s_suppkey).join(nat, sup.s_nationkey == nat.n_nationkey)
+          .join(reg, nat.n_regionkey == reg.r_regionkey)
+          .select("r_name", "n_name", F.col("l_suppkey").cast("string").alias("l_suppkey")))
+    return anomaly_rollup(h, ["r_name", "n_name", "l_suppkey"])
