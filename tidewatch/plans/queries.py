@@ -991,3 +991,86 @@ def q_anomaly_rollup(spark, sf_dir):
           .join(reg, nat.n_regionkey == reg.r_regionkey)
           .select("r_name", "n_name", F.col("l_suppkey").cast("string").alias("l_suppkey")))
     return anomaly_rollup(h, ["r_name", "n_name", "l_suppkey"])
+
+
+# ---------------------------------------------------------------------------
+# streaming (file source over the events table, availableNow, Parquet sink)
+# ---------------------------------------------------------------------------
+_MX = "(SELECT max(ts) FROM events)"
+
+
+def _events_stream(spark, sf_dir):
+    from tidewatch.streaming.jobs import file_stream
+    return file_stream(spark, sf_dir, "events")
+
+
+@register("stream_bucket_avg", f"""SELECT event_type, date_trunc('hour', ts) AS window_start,
+       date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, {S.rnd('avg(value)', 6)} AS mean, count(*) AS n
+FROM events GROUP BY 1, 2, 3 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= {_MX} - INTERVAL 1 HOUR""")
+def q_stream_bucket_avg(spark, sf_dir):
+    from tidewatch.streaming.jobs import run_available, stream_bucket_avg
+    s = stream_bucket_avg(_events_stream(spark, sf_dir), "event_type", "ts", "value", window="1 hour",
+                          delay="1 hour")
+    return run_available(s, "bucket_avg").select("event_type", "window_start", "window_end", r("mean"), "n")
+
+
+@register("stream_sliding_stats", f"""WITH e AS (SELECT event_type, value, date_trunc('hour', ts) AS h FROM events),
+w AS (SELECT event_type, value, h - k * INTERVAL 1 HOUR AS window_start FROM e, range(0, 24) t(k))
+SELECT event_type, window_start, window_start + INTERVAL 24 HOUR AS window_end, {S.rnd('avg(value)', 6)} AS mean,
+       {S.rnd('stddev_samp(value)', 6)} AS std, count(*) AS n
+FROM w GROUP BY 1, 2, 3 HAVING window_start + INTERVAL 24 HOUR <= {_MX} - INTERVAL 1 HOUR""")
+def q_stream_sliding_stats(spark, sf_dir):
+    from tidewatch.streaming.jobs import run_available, stream_sliding_stats
+    s = stream_sliding_stats(_events_stream(spark, sf_dir), "event_type", "ts", "value")
+    return run_available(s, "sliding").select("event_type", "window_start", "window_end", r("mean"), r("std"), "n")
+
+
+@register("stream_dedup", "SELECT DISTINCT event_id, ts, user_id, event_type, value FROM events")
+def q_stream_dedup(spark, sf_dir):
+    from tidewatch.streaming.jobs import run_available, stream_dedup
+    s = _events_stream(spark, sf_dir)
+    s = s.unionByName(_events_stream(spark, sf_dir))
+    d = run_available(stream_dedup(s, ["event_id"], "ts"), "dedup")
+    return d.select("event_id", "ts", "user_id", "event_type", "value")
+
+
+@register("stream_ewma_detect", _ewma_sql(S.U_SQL, "user_id", "ts", "value", 20, 3.0, "high", 6))
+def q_stream_ewma_detect(spark, sf_dir):
+    from tidewatch.streaming.jobs import run_available, stream_ewma_detect
+    s = _events_stream(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    d = run_available(stream_ewma_detect(s, "user_id", "ts", "value", tiebreak="event_id", window=20,
+                                         no_of_stds=3.0, direction="high"), "ewma")
+    return d.filter("is_outlier").select("user_id", "ts", "value", r("ema"), r("ucl"), r("lcl"))
+
+
+@register("stream_score", f"""WITH m AS (SELECT user_id, avg(value) AS mean, stddev_samp(value) AS std FROM events
+                            GROUP BY user_id)
+SELECT e.user_id, e.ts, e.event_id, e.value, {S.rnd('(e.value - m.mean) / m.std', 6)} AS z,
+       coalesce(abs((e.value - m.mean) / m.std) > 2.5, false) AS is_anomaly
+FROM events e JOIN m ON e.user_id = m.user_id""")
+def q_stream_score(spark, sf_dir):
+    from tidewatch.session import checkpoint_dir
+    from tidewatch.streaming.jobs import fit_zscore_model, run_available, stream_score
+    import uuid
+    root = checkpoint_dir(spark, fallback="/tmp/tidewatch/checkpoints")
+    path = f"{root}/models/zscore/{uuid.uuid4().hex}"
+    fit_zscore_model(S.table(spark, sf_dir, "events"), "user_id", "value").write.parquet(path)
+    model = spark.read.parquet(path)
+    s = stream_score(_events_stream(spark, sf_dir), model, "user_id", "value", k=2.5)
+    d = run_available(s, "score")
+    return d.select("user_id", "ts", "event_id", "value", r("z"), "is_anomaly")
+
+
+@register("stream_sessions", f"""WITH a AS (
+  SELECT user_id, ts, event_id, value,
+         CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS brk
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+b AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM a),
+s AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n,
+             sum(value) AS total FROM b GROUP BY user_id, sid)
+SELECT user_id, session_start, session_end, n, {S.rnd('total', 6)} AS total FROM s
+WHERE session_end <= {_MX} - INTERVAL 1 HOUR""")
+def q_stream_sessions(spark, sf_dir):
+    from tidewatch.streaming.jobs import run_available, stream_sessions
+    s = stream_sessions(_events_stream(spark, sf_dir), "user_id", "ts", "value")
+    return run_available(s, "sessions").select("user_id", "session_start", "session_end", "n", r("total"))
