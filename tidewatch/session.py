@@ -7,8 +7,14 @@ caller supply a fallback.
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
+_SHIPPED: set = set()
+
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -33,9 +39,25 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidewatch`` importable on executors (grouped-map functions
+    are pickled by reference): zip the package once per application and
+    ``addPyFile`` it."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="tidewatch-pkg-"), "tidewatch")
+    archive = shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg), base_dir="tidewatch")
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
