@@ -28,6 +28,7 @@ from tidewatch.functions.scalar import anomaly_type, directional_flag
 from tidewatch.operators.resample import fill_gaps, resample_mean
 from tidewatch.operators.sequence import as_list, series_windowed, with_position
 from tidewatch.operators.stats import attach_by_key
+from tidewatch.session import materialize
 
 
 def z_value(level: float) -> float:
@@ -183,9 +184,9 @@ def auto_ar_detect(df: DataFrame, keys, time: str, value: str, *, level: float =
                       keys, time, 1)
     d = d.filter(F.col(value).isNotNull())
     train = d.filter(F.col("step").isNull())
-    lags = series_windowed(train, keys, [time], 3,
-                           lambda w: {f"_y{i}": F.lag(value, i).over(w) for i in (1, 2, 3)})
-    lags = lags.filter(F.col("_y3").isNotNull()).withColumns({
+    all_lags = materialize(series_windowed(train, keys, [time], 3,
+                                           lambda w: {f"_y{i}": F.lag(value, i).over(w) for i in (1, 2, 3)}))
+    lags = all_lags.filter(F.col("_y3").isNotNull()).withColumns({
         "_d0": F.col(value) - F.col("_y1"), "_d1": F.col("_y1") - F.col("_y2"),
         "_d2": F.col("_y2") - F.col("_y3")})
     targets = {0: (value, ["_y1", "_y2"]), 1: ("_d0", ["_d1", "_d2"])}
@@ -207,10 +208,8 @@ def auto_ar_detect(df: DataFrame, keys, time: str, value: str, *, level: float =
                               F.sqrt(F.col(f"{pre}sse") / (n - p - 1)).alias("sigma")))
     best = F.array_sort(F.filter(F.array(*cands), lambda s: s["aicc"].isNotNull() & ~F.isnan(s["aicc"])))[0]
     fit = fit.filter(F.col("c00_n") + 3 >= min_points).select(*keys, best.alias("m"))
-    tail = series_windowed(train, keys, [time], 2,
-                           lambda w: {"_p1": F.lag(value, 1).over(w), "_p2": F.lag(value, 2).over(w)})
-    last = tail.groupBy(*keys).agg(F.max_by(value, time).alias("_l1"), F.max_by("_p1", time).alias("_l2"),
-                                   F.max_by("_p2", time).alias("_l3"))
+    last = all_lags.groupBy(*keys).agg(F.max_by(value, time).alias("_l1"), F.max_by("_y1", time).alias("_l2"),
+                                       F.max_by("_y2", time).alias("_l3"))
     fit = attach_by_key(fit, last, keys)
     test = attach_by_key(d.filter(F.col("step").isNotNull()), fit, keys)
     m = F.col("m")

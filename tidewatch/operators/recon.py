@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators.sequence import as_list
+from tidewatch.session import materialize
 
 THRESHOLD_ACCURACY = 1_000_000
 
@@ -116,7 +117,8 @@ class ReconstructionModel:
     @classmethod
     def fit(cls, df: DataFrame, col: str = "x", *, k: int = 4, scaler="standard",
             threshold_percentile: float = 99.0) -> "ReconstructionModel":
-        d = len(df.select(col).first()[0])
+        df = materialize(df.select(col))  # four passes below read it
+        d = len(df.first()[0])
         c, s = cls.scaler_params(df, col, scaler)
         m = cls(d=d, k=min(k, d), scaler=scaler, scale_center=c, scale_div=s,
                 threshold_percentile=threshold_percentile)

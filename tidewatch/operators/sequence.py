@@ -33,13 +33,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.functions.scalar import epoch_us
+from tidewatch.functions.scalar import epoch_us, from_epoch_us
 
 POS = "_pos"
 BLK = "_blk"
 HALO = "_halo"
 DEFAULT_BLOCK = 8192
-DEFAULT_BUCKET = "1 hour"
+DEFAULT_BUCKET = "per_series"
 
 _UNITS_US = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000,
              "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000,
@@ -77,11 +77,37 @@ def join_on(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "
     return out.drop(*[f"__r_{c}" for c in cols])
 
 
-def _bucket(df: DataFrame, c: str, bucket) -> Column:
-    dt = df.schema[c].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+TARGET_BUCKET_ROWS = 4096
+
+
+def _is_time(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
+
+
+def _order_value(df: DataFrame, c: str) -> Column:
+    return epoch_us(c) if _is_time(df, c) else F.col(c).cast("double")
+
+
+def per_series_buckets(df: DataFrame, keys, c: str, target_rows: int = TARGET_BUCKET_ROWS) -> DataFrame:
+    """Attach ``_chunk``: each series is cut into buckets of its own width,
+    chosen so that a bucket holds about ``target_rows`` of its rows
+    (width = span * target_rows / count).  A series with a third of all
+    rows therefore gets proportionally more buckets instead of one huge
+    one.  The per-series table is joined back on the keys (AQE broadcasts
+    it when small and splits a skewed key otherwise)."""
+    keys = as_list(keys)
+    v = _order_value(df, c)
+    st = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bn"), F.min(v).alias("_blo"), F.max(v).alias("_bhi"))
+    width = F.greatest((F.col("_bhi") - F.col("_blo")) * target_rows / F.col("_bn"), F.lit(1.0))
+    st = st.select(*keys, "_blo", width.alias("_bw"))
+    d = join_on(df, st, keys) if keys else df.crossJoin(F.broadcast(st))
+    return d.withColumn("_chunk", F.floor((v - F.col("_blo")) / F.col("_bw"))).drop("_blo", "_bw")
+
+
+def _bucket(df: DataFrame, keys, c: str, bucket) -> Column:
+    if _is_time(df, c):
         return F.floor(epoch_us(c) / F.lit(interval_us(bucket)))
-    width = bucket if isinstance(bucket, (int, float)) and not isinstance(bucket, bool) else 4096
+    width = bucket if isinstance(bucket, (int, float)) and not isinstance(bucket, bool) else TARGET_BUCKET_ROWS
     return F.floor(F.col(c) / F.lit(width))
 
 
@@ -90,11 +116,16 @@ def with_position(df: DataFrame, keys, order, *, name: str = POS, descending: bo
     """Add the exact 0-based row position within each series.
 
     ``order`` lists the ordering columns; the first one is bucketed (time or
-    numeric).  Pass a unique tie-break as the last order column for a
-    deterministic result.
+    numeric).  ``bucket="per_series"`` sizes each series' buckets to about
+    4096 of its rows (:func:`per_series_buckets`); a fixed width ('1 hour',
+    µs, or a number for numeric order columns) skips that aggregate.  Pass a unique
+    tie-break as the last order column for a deterministic result.
     """
     keys, order = as_list(keys), as_list(order)
-    d = df.withColumn("_chunk", _bucket(df, order[0], bucket))
+    if bucket == "per_series":
+        d = per_series_buckets(df, keys, order[0])
+    else:
+        d = df.withColumn("_chunk", _bucket(df, keys, order[0], bucket))
     s = d.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     ck = F.col("_chunk").desc_nulls_last() if descending else F.col("_chunk").asc_nulls_first()
     before = Window.partitionBy(*keys).orderBy(ck).rowsBetween(Window.unboundedPreceding, -1)
@@ -175,48 +206,43 @@ def _ewm_params(span: float):
     return alpha, 1.0 - alpha
 
 
-def _gap_weight(beta: float, g: int) -> float:
-    w = 1.0
-    for _ in range(int(g)):
-        w *= beta
-    return w
-
-
-def _block_affine(pos: np.ndarray, x: np.ndarray, pnn, alpha: float, beta: float):
-    """Affine map (A, C) taking the state before a block to the state after."""
+def _gap_cap(beta: float) -> int:
+    """Rows after which ``beta**g`` underflows to 0 (the old mean is gone)."""
+    if beta <= 0:
+        return 1
+    return int(np.ceil(760.0 / -np.log(beta))) + 1 if beta < 1 else 1 << 30
+
+
+def _ewm_run(first_pos: int, first_val: float, pos: np.ndarray, x: np.ndarray, alpha: float,
+             cap: int) -> np.ndarray:
+    """pandas ``ewm(alpha, adjust=False)`` over a virtual observation
+    ``first_val`` at ``first_pos`` followed by ``x`` at ``pos`` (rows in
+    between are missing).  Returns the means at ``pos``."""
+    rel = pos - first_pos
+    gaps = np.diff(np.concatenate([[0], rel]))
+    gaps = np.minimum(gaps, cap)        # beyond the cap the old weight is exactly 0
+    idx = np.cumsum(gaps)
+    arr = np.full(int(idx[-1]) + 1 if len(idx) else 1, np.nan)
+    arr[0] = first_val
+    arr[idx] = x
+    out = pd.Series(arr).ewm(alpha=alpha, adjust=False).mean().to_numpy()
+    return out[idx]
+
+
+def _block_maps(pos: np.ndarray, x: np.ndarray, alpha: float, beta: float, cap: int):
+    """Per block: first/last observation and the affine map of the
+    observations after the first one (``y_end = A * y_first + C``)."""
     obs = ~np.isnan(x)
     if not obs.any():
-        return 1.0, 0.0
+        return None
     p, v = pos[obs], x[obs]
-    if pnn is None or (isinstance(pnn, float) and np.isnan(pnn)):
-        y, a_prod, prev, start = v[0], 0.0, p[0], 1
-    else:
-        y, a_prod, prev, start = 0.0, 1.0, int(pnn), 0
-    for i in range(start, len(v)):
-        w = beta if p[i] - prev == 1 else _gap_weight(beta, p[i] - prev)
-        a_prod *= w / (w + alpha)
-        y = (w * y + alpha * v[i]) / (w + alpha)
-        prev = p[i]
-    return a_prod, y
-
-
-def _replay(pos: np.ndarray, x: np.ndarray, y_in, pnn, alpha: float, beta: float) -> np.ndarray:
-    out = np.full(len(x), np.nan)
-    has_prev = not (pnn is None or (isinstance(pnn, float) and np.isnan(pnn)))
-    y = float(y_in) if has_prev else np.nan
-    prev = int(pnn) if has_prev else None
-    for i in range(len(x)):
-        xi = x[i]
-        if xi == xi:  # not NaN
-            if prev is None:
-                y = xi
-            elif y != xi:
-                g = pos[i] - prev
-                w = beta if g == 1 else _gap_weight(beta, g)
-                y = (w * y + alpha * xi) / (w + alpha)
-            prev = pos[i]
-        out[i] = y
-    return out
+    if len(v) == 1:
+        return int(p[0]), float(v[0]), int(p[-1]), 1.0, 0.0
+    g = np.minimum(np.diff(p), cap).astype(float)
+    w = np.power(beta, g)
+    a = float(np.prod(w / (w + alpha)))
+    c = float(_ewm_run(int(p[0]), 0.0, p[1:], v[1:], alpha, cap)[-1])
+    return int(p[0]), float(v[0]), int(p[-1]), a, c
 
 
 def ewm_blocked(d: DataFrame, keys, x: str, span: float, out: str, *,
@@ -226,70 +252,91 @@ def ewm_blocked(d: DataFrame, keys, x: str, span: float, out: str, *,
     ``d`` must carry ``_pos``.  Matches pandas ``ewm(span, adjust=False)``
     with ``ignore_na=False``: a gap of ``g`` rows weights the old mean by
     ``(1-a)^g``, null rows repeat the last mean, leading nulls stay null.
+
+    Three passes: (1) every block reduces to its first/last observation and
+    an affine map; (2) the maps are chained per series over the small block
+    table; (3) every block replays ``pandas.ewm`` from its incoming state.
     """
     keys = as_list(keys)
     alpha, beta = _ewm_params(span)
+    cap = _gap_cap(beta)
     d = d.withColumn(BLK, F.floor(F.col(POS) / block))
-    bt = d.groupBy(*keys, BLK).agg(F.max(F.when(F.col(x).isNotNull(), F.col(POS))).alias("_lnn"))
-    before = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    bt = bt.select(*keys, BLK, F.max("_lnn").over(before).alias("_pnn"))
-    dj = join_on(d, bt, [*keys, BLK])
-
     key_fields = [d.schema[k] for k in keys]
     p1_schema = T.StructType(key_fields + [T.StructField(BLK, T.LongType()),
-                                           T.StructField("_A", T.DoubleType()),
+                                           T.StructField("_fp", T.LongType()), T.StructField("_fv", T.DoubleType()),
+                                           T.StructField("_lp", T.LongType()), T.StructField("_A", T.DoubleType()),
                                            T.StructField("_C", T.DoubleType())])
 
     def phase1(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(POS)
-        pnn = pdf["_pnn"].iloc[0]
-        a, c = _block_affine(pdf[POS].to_numpy(), pdf[x].to_numpy(dtype=float),
-                             None if pd.isna(pnn) else int(pnn), alpha, beta)
+        m = _block_maps(pdf[POS].to_numpy(), pdf[x].to_numpy(dtype=float), alpha, beta, cap)
+        if m is None:  # no observation: the state passes through unchanged
+            m = (None, None, None, 1.0, 0.0)
         row = {k: [pdf[k].iloc[0]] for k in keys}
-        row.update({BLK: [int(pdf[BLK].iloc[0])], "_A": [a], "_C": [c]})
+        row.update({BLK: [int(pdf[BLK].iloc[0])], "_fp": [m[0]], "_fv": [m[1]], "_lp": [m[2]],
+                    "_A": [m[3]], "_C": [m[4]]})
         return pd.DataFrame(row)
 
-    maps = dj.select(*keys, BLK, POS, x, "_pnn").groupBy(*keys, BLK).applyInPandas(phase1, p1_schema)
-    carry = chain_affine(maps, keys, BLK, "_A", "_C", "_Y")
+    maps = d.select(*keys, BLK, POS, x).groupBy(*keys, BLK).applyInPandas(phase1, p1_schema)
+    chain_schema = T.StructType(key_fields + [T.StructField(BLK, T.LongType()),
+                                              T.StructField("_Y", T.DoubleType()),
+                                              T.StructField("_pnn", T.LongType())])
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(BLK)
+        ys, pn = np.full(len(pdf), np.nan), np.full(len(pdf), -1, dtype=np.int64)
+        y, last = None, None
+        fp, fv, lp = pdf["_fp"].to_numpy(), pdf["_fv"].to_numpy(dtype=float), pdf["_lp"].to_numpy()
+        av, cv = pdf["_A"].to_numpy(dtype=float), pdf["_C"].to_numpy(dtype=float)
+        for i in range(len(pdf)):
+            if pd.isna(fp[i]):
+                if y is not None:
+                    ys[i], pn[i] = y, last
+                continue
+            if y is not None:
+                ys[i], pn[i] = y, last
+                g = min(int(fp[i] - last), cap)
+                w = beta ** g
+                y1 = fv[i] if y == fv[i] else (w * y + alpha * fv[i]) / (w + alpha)
+            else:
+                y1 = fv[i]
+            y = av[i] * y1 + cv[i]
+            last = int(lp[i])
+        res = pdf[keys + [BLK]].copy()
+        res["_Y"], res["_pnn"] = ys, pn
+        res.loc[res["_pnn"] < 0, "_pnn"] = None
+        return res
 
-    dj = join_on(dj, carry, [*keys, BLK])
+    carry = maps.groupBy(*keys).applyInPandas(chain, chain_schema)
+    dj = join_on(d, carry, [*keys, BLK])
+    # timestamps cross Arrow as epoch microseconds (much cheaper to convert)
+    ts_cols = {f.name: f.dataType for f in dj.schema.fields
+               if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+    dj = dj.withColumns({c: epoch_us(c) for c in ts_cols})
     out_schema = T.StructType([f for f in dj.schema.fields if f.name not in ("_pnn", "_Y")]
                               + [T.StructField(out, T.DoubleType())])
     names = [f.name for f in out_schema.fields]
 
     def phase2(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(POS)
+        pos, xv = pdf[POS].to_numpy(), pdf[x].to_numpy(dtype=float)
         pnn = pdf["_pnn"].iloc[0]
-        pdf[out] = _replay(pdf[POS].to_numpy(), pdf[x].to_numpy(dtype=float), pdf["_Y"].iloc[0],
-                           None if pd.isna(pnn) else int(pnn), alpha, beta)
+        if pd.isna(pnn):
+            obs = np.flatnonzero(~np.isnan(xv))
+            res = np.full(len(xv), np.nan)
+            if len(obs):
+                j = obs[0]
+                res[j] = xv[j]
+                if j + 1 < len(xv):
+                    res[j + 1:] = _ewm_run(int(pos[j]), float(xv[j]), pos[j + 1:], xv[j + 1:], alpha, cap)
+        else:
+            res = _ewm_run(int(pnn), float(pdf["_Y"].iloc[0]), pos, xv, alpha, cap)
+        pdf[out] = res
         return pdf[names]
 
-    return dj.groupBy(*keys, BLK).applyInPandas(phase2, out_schema).drop(BLK)
-
-
-def chain_affine(maps: DataFrame, keys, order: str, a: str, c: str, out: str) -> DataFrame:
-    """State entering each row of ``y_i = a_i * y_(i-1) + c_i`` (``y_-1 = 0``).
-
-    Runs on the block table (rows / block size), so even the largest series
-    contributes only a small group here.
-    """
-    keys = as_list(keys)
-    schema = T.StructType([maps.schema[k] for k in keys]
-                          + [T.StructField(order, T.LongType()), T.StructField(out, T.DoubleType())])
-
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        av, cv = pdf[a].to_numpy(dtype=float), pdf[c].to_numpy(dtype=float)
-        ys = np.empty(len(pdf))
-        y = 0.0
-        for i in range(len(pdf)):
-            ys[i] = y
-            y = av[i] * y + cv[i]
-        res = pdf[keys + [order]].copy()
-        res[out] = ys
-        return res
-
-    return maps.groupBy(*keys).applyInPandas(scan, schema)
+    res = dj.groupBy(*keys, BLK).applyInPandas(phase2, out_schema).drop(BLK)
+    return res.withColumns({c: (from_epoch_us(c) if isinstance(t, T.TimestampNTZType)
+                                else F.timestamp_micros(F.col(c))) for c, t in ts_cols.items()})
 
 
 def ffill_blocked(d: DataFrame, keys, cols: Sequence[str], outs: Sequence[str] | None = None,

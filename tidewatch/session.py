@@ -73,3 +73,14 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     spark.conf.set("spark.checkpoint.dir", fallback)
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
+
+
+def materialize(df):
+    """Cut lineage: reliable ``checkpoint()`` into the shared checkpoint
+    folder named by ``spark.checkpoint.dir`` (a local fallback is installed
+    only when the session has none, i.e. tests).  Used where an
+    intermediate feeds several passes, so upstream scans and shuffles run
+    once; files survive executor loss, unlike a local checkpoint."""
+    spark = df.sparkSession
+    checkpoint_dir(spark, fallback=os.path.join(tempfile.gettempdir(), "tidewatch", "checkpoints"))
+    return df.checkpoint(eager=True)
