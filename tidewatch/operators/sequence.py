@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions.scalar import epoch_us, from_epoch_us
+from tidewatch.session import materialize
 
 POS = "_pos"
 BLK = "_blk"
@@ -115,25 +116,31 @@ def with_position(df: DataFrame, keys, order, *, name: str = POS, descending: bo
                   bucket=DEFAULT_BUCKET) -> DataFrame:
     """Add the exact 0-based row position within each series.
 
-    ``order`` lists the ordering columns; the first one is bucketed (time or
-    numeric).  ``bucket="per_series"`` sizes each series' buckets to about
-    4096 of its rows (:func:`per_series_buckets`); a fixed width ('1 hour',
-    µs, or a number for numeric order columns) skips that aggregate.  Pass a unique
-    tie-break as the last order column for a deterministic result.
+    ``order`` lists the ordering columns; the first one is cut into buckets
+    (``bucket``: a time interval such as '1 minute', µs, or a width for
+    numeric order columns; ``"per_series"`` sizes buckets per series, see
+    :func:`per_series_buckets`).  Rows are shuffled once by
+    ``(series, bucket)`` and numbered there; bucket sizes come from that
+    same partitioned output (no second scan of the input), get prefix
+    summed over the small bucket table, and are joined back.  Pass a
+    unique tie-break as the last order column for a deterministic result.
     """
     keys, order = as_list(keys), as_list(order)
     if bucket == "per_series":
-        d = per_series_buckets(df, keys, order[0])
+        # the input feeds the per-series widths, the bucket counts and the
+        # numbering; a checkpoint makes it one scan and keeps chained
+        # position passes from multiplying the plan
+        d = per_series_buckets(materialize(df), keys, order[0])
     else:
         d = df.withColumn("_chunk", _bucket(df, keys, order[0], bucket))
-    s = d.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    lo = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order]
+    d = d.withColumn("_lr", F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(*lo)))
+    s = d.groupBy(*keys, "_chunk").agg(F.max("_lr").alias("_n"))
     ck = F.col("_chunk").desc_nulls_last() if descending else F.col("_chunk").asc_nulls_first()
     before = Window.partitionBy(*keys).orderBy(ck).rowsBetween(Window.unboundedPreceding, -1)
     s = s.select(*keys, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     d = join_on(d, s, [*keys, "_chunk"])
-    lo = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order]
-    local = F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(*lo))
-    return d.withColumn(name, (F.col("_off") + local - 1).cast("long")).drop("_chunk", "_off")
+    return d.withColumn(name, (F.col("_off") + F.col("_lr") - 1).cast("long")).drop("_chunk", "_off", "_lr")
 
 
 def with_block(df: DataFrame, halo: int = 0, block: int = DEFAULT_BLOCK, pos: str = POS) -> DataFrame:
@@ -281,33 +288,45 @@ def ewm_blocked(d: DataFrame, keys, x: str, span: float, out: str, *,
     chain_schema = T.StructType(key_fields + [T.StructField(BLK, T.LongType()),
                                               T.StructField("_Y", T.DoubleType()),
                                               T.StructField("_pnn", T.LongType())])
+    names_c = [f.name for f in chain_schema.fields]
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(BLK)
-        ys, pn = np.full(len(pdf), np.nan), np.full(len(pdf), -1, dtype=np.int64)
-        y, last = None, None
-        fp, fv, lp = pdf["_fp"].to_numpy(), pdf["_fv"].to_numpy(dtype=float), pdf["_lp"].to_numpy()
+        n = len(pdf)
+        ys, pn = np.full(n, np.nan), np.full(n, -1, dtype=np.int64)
+        y, last = np.nan, -1
+        fp = pdf["_fp"].to_numpy(dtype=float)
+        fv, lp = pdf["_fv"].to_numpy(dtype=float), pdf["_lp"].to_numpy(dtype=float)
         av, cv = pdf["_A"].to_numpy(dtype=float), pdf["_C"].to_numpy(dtype=float)
-        for i in range(len(pdf)):
-            if pd.isna(fp[i]):
-                if y is not None:
-                    ys[i], pn[i] = y, last
-                continue
-            if y is not None:
+        for i in range(n):
+            has_state = last >= 0
+            if has_state:
                 ys[i], pn[i] = y, last
-                g = min(int(fp[i] - last), cap)
-                w = beta ** g
+            if fp[i] != fp[i]:          # block without observations
+                continue
+            if has_state:
+                w = beta ** min(int(fp[i]) - last, cap)
                 y1 = fv[i] if y == fv[i] else (w * y + alpha * fv[i]) / (w + alpha)
             else:
                 y1 = fv[i]
             y = av[i] * y1 + cv[i]
             last = int(lp[i])
-        res = pdf[keys + [BLK]].copy()
-        res["_Y"], res["_pnn"] = ys, pn
-        res.loc[res["_pnn"] < 0, "_pnn"] = None
-        return res
-
-    carry = maps.groupBy(*keys).applyInPandas(chain, chain_schema)
+        out = pdf[keys + [BLK]].copy()
+        out["_Y"], out["_pnn"] = ys, pn
+        return out[names_c]
+
+    # series with one block need no chaining; the rest are chained per
+    # series over the block table (rows / block size), spread over an
+    # explicit partition count so AQE does not fold them into one task
+    nblk = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    maps = maps.withColumn("_nb", nblk)
+    single = maps.filter(F.col("_nb") == 1).select(*keys, BLK, F.lit(None).cast("double").alias("_Y"),
+                                                    F.lit(None).cast("long").alias("_pnn"))
+    par = d.sparkSession.sparkContext.defaultParallelism
+    multi = (maps.filter(F.col("_nb") > 1).drop("_nb").repartition(par, *keys)
+                 .groupBy(*keys).applyInPandas(chain, chain_schema)
+                 .withColumn("_pnn", F.when(F.col("_pnn") >= 0, F.col("_pnn"))))
+    carry = single.unionByName(multi)
     dj = join_on(d, carry, [*keys, BLK])
     # timestamps cross Arrow as epoch microseconds (much cheaper to convert)
     ts_cols = {f.name: f.dataType for f in dj.schema.fields
