@@ -1074,3 +1074,43 @@ def q_stream_sessions(spark, sf_dir):
     from tidewatch.streaming.jobs import run_available, stream_sessions
     s = stream_sessions(_events_stream(spark, sf_dir), "user_id", "ts", "value")
     return run_available(s, "sessions").select("user_id", "session_start", "session_end", "n", r("total"))
+
+
+# ---------------------------------------------------------------------------
+# end-to-end jobs (compositions of the operators above; rows-only checks,
+# every step has its own oracle)
+# ---------------------------------------------------------------------------
+
+def _events_catalog():
+    from tidewatch.functions.catalog import FeatureCatalog
+    return FeatureCatalog(groups={"signal": ["value"], "counters": ["counter"]},
+                          zero_is_missing=("value",), entity="sn", time="time")
+
+
+def _raw_event_logs(spark, sf_dir):
+    """Events plus a resetting counter, rendered as an all-text raw log."""
+    from tidewatch.functions.scalar import epoch_us
+    u = S.user_events_with_zeros(spark, sf_dir).select("user_id", "ts", "event_id", "event_type", "value")
+    c = S.user_counter(spark, sf_dir).select("user_id", "event_id", "counter")
+    j = u.join(c, ["user_id", "event_id"])
+    return j.select(F.col("user_id").cast("string").alias("sn"),
+                    F.concat(F.lit('"'), F.col("event_type"), F.lit('"')).alias("mdn"),
+                    F.floor(epoch_us("ts") / 1000).cast("string").alias("ts"),
+                    F.col("value").cast("string").alias("value"),
+                    F.col("counter").cast("string").alias("counter"))
+
+
+@register("preprocess_job")
+def q_preprocess_job(spark, sf_dir):
+    from tidewatch.plans.jobs import preprocess_job
+    return preprocess_job(_raw_event_logs(spark, sf_dir), catalog=_events_catalog(), signal_groups=("signal",),
+                          counter_groups=("counters",), slice_length=20, slice_shift=5)
+
+
+@register("detection_job")
+def q_detection_job(spark, sf_dir):
+    from tidewatch.plans.jobs import detection_job
+    l = S.supplier_daily(spark, sf_dir)
+    anomalies, _ = detection_job(l, entity="l_suppkey", time="l_shipdate", features=["avg_qty", "avg_price"],
+                                 params=_ENS_PARAMS)
+    return anomalies
