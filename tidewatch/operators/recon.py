@@ -79,17 +79,18 @@ class ReconstructionModel:
             return float(r[0]), float(rng)
         raise ValueError(f"unknown scaler {scaler!r}")
 
-    def _scaled(self, col: str) -> Column:
+    def _elements(self, col: str) -> list[Column]:
+        """Scaled slice values as d plain columns (cheap element access;
+        no array expression re-evaluated per aggregate)."""
         c, s = self.scale_center, self.scale_div
-        return F.transform(F.col(col), lambda v: (v - F.lit(c)) / F.lit(s))
+        return [((F.col(col)[i] - F.lit(c)) / F.lit(s)) for i in range(self.d)]
 
     def _stats(self, df: DataFrame, col: str):
-        xs = self._scaled(col)
-        d = df.select(xs.alias("_xs"))
+        d = df.select(*[e.alias(f"_x{i}") for i, e in enumerate(self._elements(col))])
+        x = [F.col(f"_x{i}") for i in range(self.d)]
         aggs = [F.count(F.lit(1)).alias("n")]
-        aggs += [F.sum(F.col("_xs")[i]).alias(f"s{i}") for i in range(self.d)]
-        aggs += [F.sum(F.col("_xs")[i] * F.col("_xs")[j]).alias(f"g{i}_{j}")
-                 for i in range(self.d) for j in range(i, self.d)]
+        aggs += [F.sum(x[i]).alias(f"s{i}") for i in range(self.d)]
+        aggs += [F.sum(x[i] * x[j]).alias(f"g{i}_{j}") for i in range(self.d) for j in range(i, self.d)]
         r = d.agg(*aggs).first().asDict()
         n = int(r["n"])
         s = np.array([r[f"s{i}"] or 0.0 for i in range(self.d)])
@@ -117,7 +118,9 @@ class ReconstructionModel:
     @classmethod
     def fit(cls, df: DataFrame, col: str = "x", *, k: int = 4, scaler="standard",
             threshold_percentile: float = 99.0) -> "ReconstructionModel":
-        df = materialize(df.select(col))  # four passes below read it
+        df = df.select(col)
+        if not df.isStreaming and "checkpoint" not in df._jdf.queryExecution().optimizedPlan().toString().lower():
+            df = materialize(df)  # four passes below read it
         d = len(df.first()[0])
         c, s = cls.scaler_params(df, col, scaler)
         m = cls(d=d, k=min(k, d), scaler=scaler, scale_center=c, scale_div=s,
@@ -141,29 +144,30 @@ class ReconstructionModel:
         return m
 
     # -- scoring ----------------------------------------------------------
-    def score_expr(self, col: str = "x") -> Column:
-        xs = self._scaled(col)
-        c = F.zip_with(xs, _lit_array(self.mean), lambda a, b: a - b)
-        comps = [_lit_array(v) for v in self.components]
-        projs = [F.aggregate(F.zip_with(c, v, lambda a, b: a * b), F.lit(0.0), lambda acc, t: acc + t)
-                 for v in comps]
-
-        def resid(ci, i):
-            r = ci
-            for p, v in zip(projs, comps):
-                r = r - p * v[i]
-            return r
-        res = F.transform(c, resid)
-        return F.sqrt(F.aggregate(F.transform(res, lambda r: r * r), F.lit(0.0), lambda acc, t: acc + t))
+    def _with_score(self, df: DataFrame, col: str, out: str = "score") -> DataFrame:
+        """Residual norm after projecting the centred, scaled slice on the
+        components, as plain column arithmetic (components are literals)."""
+        d, comps = self.d, self.components
+        cen = [(e - F.lit(self.mean[i])).alias(f"_c{i}") for i, e in enumerate(self._elements(col))]
+        t = df.select("*", *cen)
+        c = [F.col(f"_c{i}") for i in range(d)]
+        proj = [sum((c[i] * F.lit(v[i]) for i in range(d)), F.lit(0.0)).alias(f"_p{j}")
+                for j, v in enumerate(comps)]
+        t = t.select("*", *proj)
+        p = [F.col(f"_p{j}") for j in range(len(comps))]
+        resid = [c[i] - sum((p[j] * F.lit(comps[j][i]) for j in range(len(comps))), F.lit(0.0))
+                 for i in range(d)]
+        score = F.sqrt(sum((r * r for r in resid), F.lit(0.0)))
+        return t.withColumn(out, score).drop(*[f"_c{i}" for i in range(d)], *[f"_p{j}" for j in range(len(comps))])
 
     def _threshold(self, df: DataFrame, col: str) -> float:
         q = self.threshold_percentile / 100
-        return float(df.select(self.score_expr(col).alias("s"))
-                       .agg(F.percentile_approx("s", q, THRESHOLD_ACCURACY)).first()[0])
+        return float(self._with_score(df.select(col), col, "s")
+                     .agg(F.percentile_approx("s", q, THRESHOLD_ACCURACY)).first()[0])
 
     def score(self, df: DataFrame, col: str = "x") -> DataFrame:
         """Adds ``score, threshold, is_anomaly`` (strict ``>``)."""
-        return (df.withColumn("score", self.score_expr(col))
+        return (self._with_score(df, col)
                   .withColumn("threshold", F.lit(float(self.threshold)))
                   .withColumn("is_anomaly", F.col("score") > F.col("threshold")))
 

@@ -44,7 +44,7 @@ def slice_series(df: DataFrame, keys, time: str, length: int, shift: int | None
         raise ValueError("length and shift must be positive")
     keys = as_list(keys)
     d = with_position(df, keys, [time, *as_list(tiebreak)])
-    d = _series_count(d, df, keys, block)
+    d = _series_count(d, d, keys, block)
     p, n = F.col(POS), F.col("_n")
     lo = F.greatest(p - (length - 1), F.lit(0))
     lo = ((lo + (shift - 1)) / shift).cast("long") * shift

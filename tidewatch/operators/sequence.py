@@ -177,10 +177,11 @@ def series_windowed(df: DataFrame, keys, order, halo: int,
     as columns before ``build`` runs.
     """
     keys = as_list(keys)
-    d = df if POS in df.columns else with_position(df, keys, order)
-    d = with_block(d, halo, block)
+    d0 = df if POS in df.columns else with_position(df, keys, order)
+    d = with_block(d0, halo, block)
     if stats:
-        d = attach_series_agg(d, df, keys, stats, block=effective_block(block, halo))
+        # aggregate the positioned rows (read from the checkpoint), not the raw input
+        d = attach_series_agg(d, d0, keys, stats, block=effective_block(block, halo))
     d = d.withColumns(build(block_window(keys)))
     d = d.filter(~F.col(HALO)).drop(HALO, BLK)
     return d if keep_pos else d.drop(POS)

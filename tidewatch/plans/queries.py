@@ -845,7 +845,8 @@ def q_slices_to_vectors(spark, sf_dir):
 
 def _recon_scores(spark, sf_dir):
     from tidewatch.operators.recon import ReconstructionModel
-    v = _l_vectors(spark, sf_dir)
+    from tidewatch.session import materialize
+    v = materialize(_l_vectors(spark, sf_dir))  # fit and scoring both read the vectors
     model = ReconstructionModel.fit(v, "x", k=4, scaler="standard", threshold_percentile=99)
     return model.score(v, "x").select("l_suppkey", "slice_start", "series_id", "score", "threshold", "is_anomaly")
 
