@@ -50,3 +50,23 @@ def test_entry_smoke(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
     assert df.count() >= 0 and "ema" in df.columns
+
+
+def test_raw_csv_roundtrip_clean(spark, tmp_path):
+    from tidewatch.functions.scalar import epoch_us
+    from tidewatch.operators.clean import clean_raw
+    from tidewatch.sources.io import read_raw_csv
+    ev = S.table(spark, SF0, "events")
+    raw = ev.select(F.col("user_id").cast("string").alias("sn"),
+                    F.concat(F.lit('"'), F.col("event_type"), F.lit('"')).alias("mdn"),
+                    F.floor(epoch_us("ts") / 1000).cast("string").alias("ts"),
+                    F.when(F.col("event_id") % 5 == 0, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+                    .alias("value"))
+    path = str(tmp_path / "raw")
+    raw.unionByName(raw).write.option("header", True).option("compression", "gzip").csv(path)
+    back = read_raw_csv(spark, path, ["sn", "mdn", "ts", "value"])
+    assert all(isinstance(f.dataType, type(back.schema["sn"].dataType)) for f in back.schema.fields)
+    clean = clean_raw(back, ["value"])
+    assert clean.count() == ev.count()                      # duplicates removed
+    assert clean.filter(F.col("value").isNull()).count() == ev.filter(F.col("event_id") % 5 == 0).count()
+    assert clean.filter(F.col("MDN").contains('"')).count() == 0
