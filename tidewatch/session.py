@@ -1,13 +1,14 @@
 """Session helpers.
 
 The library never hard-codes cluster paths.  The checkpoint folder is read
-from ``spark.checkpoint.dir``; only when it is unset (tests, laptops) may a
-caller supply a fallback.
+from ``spark.checkpoint.dir``; only a single-machine session without that
+setting gets a temporary folder.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 
@@ -59,28 +60,35 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    ``fallback`` is used (and installed) only when the session has none,
-    which is the test / single-machine case.
+    ``fallback`` is installed only when the session names none.  Without
+    either, a single-machine session (``local[n]``) gets a temporary folder
+    of its own; a cluster session raises, because a machine-local folder
+    there would be another disk on every node.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
+    if not current:
+        if fallback is None:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+                raise RuntimeError("spark.checkpoint.dir is not set; name a folder that all executors share")
+            fallback = tempfile.mkdtemp(prefix="tidewatch-checkpoint-")
+        current = fallback
+        spark.conf.set("spark.checkpoint.dir", current)
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(current)
-        return current
-    if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    return current
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for tables written between phases, readable by every executor."""
+    return checkpoint_dir(spark).rstrip("/")
 
 
 def materialize(df):
     """Cut lineage: reliable ``checkpoint()`` into the shared checkpoint
-    folder named by ``spark.checkpoint.dir`` (a local fallback is installed
-    only when the session has none, i.e. tests).  Used where an
-    intermediate feeds several passes, so upstream scans and shuffles run
-    once; files survive executor loss, unlike a local checkpoint."""
-    spark = df.sparkSession
-    checkpoint_dir(spark, fallback=os.path.join(tempfile.gettempdir(), "tidewatch", "checkpoints"))
+    folder named by ``spark.checkpoint.dir``.  Used where an intermediate
+    feeds several passes, so upstream scans and shuffles run once; files
+    survive executor loss."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
