@@ -59,3 +59,135 @@ def op4(spark, sf_dir):
     from tidewatch.llm.substrings import remove_repeats
     d = remove_repeats(table(spark, sf_dir, "documents"), window=13)
     return d.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+# --- 3: exact top-k search -------------------------------------------------
+
+@register("op3_exact_topk_search", """WITH c AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS b FROM embeddings),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS id,
+         CAST(list_sum(list_transform(range(1, 65), lambda i: abs(q.b[i] - c.b[i]))) AS INTEGER) AS distance
+  FROM c q JOIN c ON q.vec_id != c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, id, distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM p) WHERE rank <= 10""")
+def op3(spark, sf_dir):
+    from tidewatch.llm.hamming_search import nearest_codes, sign_codes
+    from tidewatch.llm._util import Scratch
+    codes = Scratch(spark, "codes").save(sign_codes(table(spark, sf_dir, "embeddings")), "codes")
+    return nearest_codes(codes, codes.filter("id % 50 = 0"), k=10)
+
+
+# --- 5: mixing sources to target weights -----------------------------------
+
+TOPIC = "CASE WHEN contains(text, 'License') THEN 'legal' WHEN contains(text, '@') THEN 'contact' ELSE 'prose' END"
+MIX_POWER = 0.7
+
+
+def _op5_sql(sweeps: int = 24) -> str:
+    dims = ("source", "lang", "topic")
+    ctes = [rf"""d AS (SELECT doc_id, source, lang, {TOPIC} AS topic,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens FROM documents)""",
+            "cells AS (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS t FROM d GROUP BY ALL)"]
+    goals = []
+    for x in dims:
+        ctes.append(f"""goal_{x} AS (SELECT {x} AS v, pow(sum(t), {MIX_POWER}) / sum(pow(sum(t), {MIX_POWER})) OVER () AS g
+  FROM cells GROUP BY {x} HAVING sum(t) > 0)""")
+        goals.append(f"LEFT JOIN goal_{x} ON cells.{x} IS NOT DISTINCT FROM goal_{x}.v")
+    ctes.append(f"""r0 AS MATERIALIZED (SELECT source, lang, topic, t, t AS w, sum(t) OVER () AS total,
+  {', '.join(f'coalesce(goal_{x}.g, 0) AS g_{x}' for x in dims)} FROM cells {' '.join(goals)})""")
+    n = 0
+    for _ in range(sweeps):
+        for x in dims:
+            ctes.append(f"""r{n + 1} AS MATERIALIZED (SELECT * EXCLUDE (w),
+  CASE WHEN sum(w) OVER (PARTITION BY {x}) > 0 THEN w * (g_{x} * total / sum(w) OVER (PARTITION BY {x})) ELSE 0 END AS w
+  FROM r{n})""")
+            n += 1
+    ctes.append(f"rate AS (SELECT *, CASE WHEN t > 0 THEN w / t ELSE 0 END AS f FROM r{n})")
+    ctes.append("p AS (SELECT *, least(1.0, f / max(f) OVER ()) AS p FROM rate)")
+    return "WITH " + ",\n".join(ctes) + """
+SELECT d.doc_id, d.topic, round(p.f, 6) AS weight, round(p.p, 6) AS p,
+       CAST(CAST('0x' || substr(md5('mix:' || d.doc_id), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 < p.p AS kept
+FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source AND d.lang IS NOT DISTINCT FROM p.lang AND d.topic = p.topic"""
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """Documents with their mixing weight, probability and draw."""
+    from tidewatch.llm.mixing import mix, word_count
+    dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": F.expr(TOPIC)}
+    return mix(docs, dims, word_count("text"), power=MIX_POWER)
+
+
+@register("op5_mixing", _op5_sql())
+def op5(spark, sf_dir):
+    d = mixed(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", F.expr(TOPIC).alias("topic"), F.round("mix_weight", 6).alias("weight"),
+                    F.round("mix_p", 6).alias("p"), F.col("mix_kept").alias("kept"))
+
+
+# --- 9: token counts -------------------------------------------------------
+
+#: Tokenizer versions of the count query: words, then words with punctuation split off.
+SPLIT_WORD = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
+
+
+@register("op9_token_counts", rf"""WITH d AS (
+  SELECT doc_id, source, lang,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n1,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '{SPLIT_WORD}')) AS BIGINT) AS n2
+  FROM documents),
+k AS (SELECT * FROM d WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))
+SELECT source, lang, 'words-1' AS tokenizer, CAST(count(*) AS BIGINT) AS docs, CAST(sum(n1) AS BIGINT) AS tokens
+FROM k GROUP BY ALL
+UNION ALL
+SELECT source, lang, 'words-2', CAST(count(*) AS BIGINT), CAST(sum(n2) AS BIGINT) FROM k GROUP BY ALL""")
+def op9(spark, sf_dir):
+    """Inserts of all documents under two tokenizer versions (the second
+    first with the counts of the first), a revision of all counts of the
+    second, deletes of the documents labelled toxic, and replays."""
+    from tidewatch.llm._util import Scratch
+    from tidewatch.llm.mixing import word_count
+    from tidewatch.llm.token_rollup import TokenRollup, change
+    scratch = Scratch(spark, "tokens")
+    n2 = F.coalesce(F.regexp_count(F.col("text"), F.lit(SPLIT_WORD)), F.lit(0)).cast("long")
+    d = table(spark, sf_dir, "documents")
+    d = scratch.save(d.select("doc_id", "source", "lang", word_count("text").alias("n1"), n2.alias("n2")), "counts")
+    toxic = table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id")
+    gone = d.join(toxic, "doc_id", "left_semi")
+    rollup = TokenRollup(spark, scratch.path("rollup"))
+    insert = change(d, "insert", "words-1", F.col("n1")).unionAll(change(d, "insert", "words-2", F.col("n1")))
+    revise = change(d, "revise", "words-2", F.col("n2"), F.col("n1"))
+    delete = change(gone, "delete", "words-1", F.col("n1")).unionAll(change(gone, "delete", "words-2", F.col("n2")))
+    rollup.commit("0001-insert", insert)
+    rollup.commit("0002-revise", revise)
+    rollup.compact()
+    rollup.commit("0003-delete", delete)
+    rollup.commit("0002-revise", revise)        # replayed batches add nothing
+    rollup.commit("0003-delete", delete)
+    return rollup.totals()
+
+
+# --- 2: WARC ---------------------------------------------------------------
+
+@register("op2_warc", """WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+g AS (SELECT h, max(page_id) AS first FROM p GROUP BY h)
+SELECT p.page_id, CAST(strlen(p.h) AS BIGINT) AS payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(1 + (((CAST('0x' || substr(p.x, (i // 4) * 5 + 1, 5) AS BIGINT)) >> (15 - 5 * (i % 4))::INT) & 31) AS INT), 1)),
+    'string_agg', '') AS payload_digest,
+  CASE WHEN p.page_id = g.first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN p.page_id = g.first THEN NULL ELSE g.first END AS refers_to
+FROM p JOIN g USING (h)""")
+def op2(spark, sf_dir):
+    from tidewatch.llm._util import Scratch
+    from tidewatch.llm.warc import page_records, read_archive, write_archive
+    path = Scratch(spark, "archive").path("pages")
+    write_archive(page_records(table(spark, sf_dir, "pages"), min_bytes=0), path)
+    page = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).try_cast("long")
+    # responses are read with their payload, revisits by their headers only
+    full = read_archive(spark, path).filter("record_type = 'response'")
+    again = read_archive(spark, path, payload=False).filter("record_type = 'revisit'")
+    both = full.drop("payload").unionByName(again.drop("payload"))
+    return both.select(page("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"),
+                       "payload_digest", "record_type", page("refers_to").alias("refers_to"))
