@@ -12,8 +12,59 @@ form.  ``tests/llm`` holds the run against a brute-force version.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Documents whose best language is less likely than this are rejected.
+MIN_LANGUAGE_SCORE = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents with a language; rejected are null texts, texts
+    without a letter, and texts no language explains better than all others
+    together.  The label is not changed."""
+    from tidewatch.llm.lang_id import UNKNOWN, fit, predict
+    from tidewatch.llm.queries import held_out
+    model = fit(docs.filter(~held_out()))
+    got = predict(docs.select(*COLUMNS), model)
+    return got.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*COLUMNS)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies: the one with the
+    smallest id (of repeated rows with that id, one)."""
+    from tidewatch.llm.simhash import near_duplicates
+    groups = near_duplicates(docs, shingle=3, max_bits=2)
+    keep = groups.filter(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
+    return docs.join(keep, "doc_id").select(*COLUMNS).dropDuplicates(["doc_id"])
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages of 13 words or more that also start in a document with a
+    smaller id.  Texts without such a passage stay as they are; of the
+    others the words kept are joined by one space, and a document that loses
+    all its words goes."""
+    from tidewatch.llm.substrings import remove_repeats
+    got = remove_repeats(docs, window=13, keep_layout=True, carry=("lang", "source"))
+    got = got.filter("n_removed = 0 OR n_removed < n_words").withColumnRenamed("kept", "text")
+    return got.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sample documents to tempered shares of source, language and topic."""
+    from tidewatch.llm.queries import mixed
+    return mixed(docs).filter("mix_kept").select(*COLUMNS)
+
+
+def bpe_round_trip(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every whole text and the text decoded from them."""
+    from tidewatch.llm.bpe import encode
+    got = encode(docs.select(*COLUMNS), decoded="decoded")
+    return got.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+
+
+STAGES = [("language_id", language_id), ("simhash_near_dedup", simhash_near_dedup),
+          ("substring_dedup", substring_dedup), ("mixing", mixing), ("bpe_round_trip", bpe_round_trip)]
 ORACLE_SQL = None
 
 
@@ -25,4 +76,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES[:-1]:
         docs = scratch.save(stage(spark, docs, sf_dir), name)
         scratch.settle()
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)

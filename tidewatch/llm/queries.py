@@ -191,3 +191,58 @@ def op2(spark, sf_dir):
     both = full.drop("payload").unionByName(again.drop("payload"))
     return both.select(page("record_id").alias("page_id"), F.col("payload_length").alias("payload_bytes"),
                        "payload_digest", "record_type", page("refers_to").alias("refers_to"))
+
+
+# --- 6: BPE encoding and decoding ------------------------------------------
+
+@register("op6_bpe_round_trip")
+def op6(spark, sf_dir):
+    from tidewatch.llm.bpe import encode
+    d = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), decoded="decoded")
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                    F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+# --- 7: token-id / binary output -------------------------------------------
+
+@register("op7_token_packing")
+def op7(spark, sf_dir):
+    from tidewatch.llm._util import Scratch
+    from tidewatch.llm.packing import pack
+    rows = Scratch(spark, "packing").save(pack(table(spark, sf_dir, "documents")), "rows")
+    return rows.select("pack_id", "n_tokens", F.size("doc_ids").alias("n_segments"), "cu_seqlens", "position_resets",
+                       "doc_ids", "doc_offsets", F.sha2(F.col("ids"), 256).alias("ids_sha256"))
+
+
+# --- 8: language ID --------------------------------------------------------
+
+def held_out():
+    """Documents that the language model must not learn from."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+
+
+@register("op8_language_id")
+def op8(spark, sf_dir):
+    from tidewatch.llm.lang_id import fit, predict
+    d = table(spark, sf_dir, "documents")
+    model = fit(d.filter(~held_out()))
+    return predict(d.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+# --- 10: embedding near-dedup ----------------------------------------------
+
+@register("op10_embedding_near_dedup", """WITH RECURSIVE e AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.vec_id != b.vec_id
+  WHERE list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))) >= 0.95),
+reach(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a)
+SELECT e.vec_id, CAST((SELECT count(*) FROM l WHERE l.a = e.vec_id) AS BIGINT) AS n_links,
+       least(e.vec_id, coalesce((SELECT min(b) FROM reach r WHERE r.a = e.vec_id), e.vec_id)) AS component_id,
+       e.vec_id <= coalesce((SELECT min(b) FROM reach r WHERE r.a = e.vec_id), e.vec_id) AS kept
+FROM e""")
+def op10(spark, sf_dir):
+    from tidewatch.llm.embedding_dedup import near_vectors
+    return near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
