@@ -75,7 +75,7 @@ def draw(id: str = "doc_id", seed: str = "mix") -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def mix(docs: DataFrame, dims: dict[str, Column], tokens: Column, power: float = 0.7,
+def mix(docs: DataFrame, dims: dict[str, Column], tokens: Column, power: float = 0.9,
         targets: dict[str, DataFrame] | None = None, budget: float | None = None, id: str = "doc_id",
         seed: str = "mix") -> DataFrame:
     """``docs`` with ``mix_weight`` (raked weight per token), ``mix_p`` (its

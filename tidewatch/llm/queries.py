@@ -81,7 +81,7 @@ def op3(spark, sf_dir):
 # --- 5: mixing sources to target weights -----------------------------------
 
 TOPIC = "CASE WHEN contains(text, 'License') THEN 'legal' WHEN contains(text, '@') THEN 'contact' ELSE 'prose' END"
-MIX_POWER = 0.7
+MIX_POWER = 0.9
 
 
 def _op5_sql(sweeps: int = 24) -> str:
