@@ -7,8 +7,8 @@ queries every shard, in groups of bounded size.  A group widens its beam
 
 * for each query whose beam is filled with links, until it is not, and
 * as a whole, when an audit of some of its queries against all vectors of
-  the shard finds less than ``recall`` of their links (a beam as wide as the
-  shard is a full scan, so the audit always passes in the end).
+  the shard finds less than ``recall`` of their links.  The widest beam is a
+  scan of the shard, so the audit always passes in the end.
 
 Similarities found are verified as cosines in double precision.  A group
 returns one link count per query and a spanning forest of its links, never
@@ -43,21 +43,24 @@ def _unit(vectors) -> np.ndarray:
 
 
 def _links_of_block(graph: Graph, q: np.ndarray, bound: float, ef: int):
-    """(query, node) candidates of one block of queries."""
-    out, open_ = [], np.arange(len(q))
-    n = len(graph.x)
-    while len(open_):
-        parts = np.array_split(open_, max(1, len(open_) * ef // (_BLOCK * 128)))
+    """(query, node) candidates of one block of queries.  A beam of a
+    sixteenth of the shard or more becomes a scan of the whole shard, which
+    costs less and misses nothing."""
+    out, open_ = [np.empty((2, 0), np.int64)], np.arange(len(q))
+    while len(open_) and 16 * ef < len(graph.x):
         full = []
-        for p in parts:
+        for p in np.array_split(open_, max(1, len(open_) * ef // (_BLOCK * 128))):
             sim, ids = graph.search(q[p], ef)
             good = sim >= bound
-            sat = good.all(axis=1) & (sim.shape[1] >= ef) & (ef < n)
+            sat = good.all(axis=1) & (sim.shape[1] >= ef)
             full.append(p[sat])
             r, c = np.nonzero(good & ~sat[:, None])
             out.append(np.stack([p[r], ids[r, c]]))
         open_ = np.concatenate(full)
-        ef = min(2 * ef, n)
+        ef *= 2
+    if len(open_):
+        r, c = np.nonzero(q[open_] @ graph.x.T >= bound)
+        out.append(np.stack([open_[r], c]))
     return np.concatenate(out, axis=1)
 
 
@@ -71,14 +74,14 @@ def shard_links(graph: Graph, x: np.ndarray, cosine: float, recall: float, ef: i
     for i in range(0, len(x), _BLOCK):
         q, width = q32[i:i + _BLOCK], ef
         while True:
-            got = _links_of_block(graph, q, bound, min(width, len(graph.x)))
+            got = _links_of_block(graph, q, bound, width)
             seen = np.unique(got[0])
             linked = seen[:: max(1, len(seen) // (AUDIT // 2))][:AUDIT // 2]
             spread = np.arange(0, len(q), max(1, len(q) // (AUDIT // 2)))[:AUDIT // 2]
             sample = np.union1d(linked, spread)
             true = int((q[sample] @ graph.x.T >= bound).sum())
             found = int(np.isin(got[0], sample).sum())
-            if found >= recall * true or width >= len(graph.x):
+            if found >= recall * true or 16 * width >= len(graph.x):
                 break
             width *= 2
         audits[0] += found

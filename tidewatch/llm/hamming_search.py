@@ -113,7 +113,8 @@ def nearest_codes(base: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame
     best = spark.createDataFrame([], f"q long, d int, id {kind}")
     done = best
     for r in range(widest + 1):
-        hits = _probes(active, segments, r).join(entries, ["seg", "val"])
+        # both sides grow with the data and the exploded side looks smaller than it is: never broadcast
+        hits = _probes(active, segments, r).join(entries.hint("merge"), ["seg", "val"])
         hits = hits.withColumn("d", hamming(F.col("q"), F.col("code"))).filter("d <= kth")
         found = hits.select("q", "d", F.explode("ids").alias("id")).unionAll(best).distinct()
         ranked = scratch.save(_best(found, keep), f"best{r}")
