@@ -10,7 +10,8 @@ queries every shard, in groups of bounded size.  A group widens its beam
   the shard finds less than ``recall`` of their links.  The widest beam is a
   scan of the shard, so the audit always passes in the end.
 
-Similarities found are verified as cosines in double precision.  A group
+A shard holds ``SHARD_BYTES`` of vectors (65,536 of 64 components) unless
+``shard_rows`` says otherwise.  Similarities found are verified as cosines in double precision.  A group
 returns one link count per query and a spanning forest of its links, never
 the pairs, and the forests' components are united over all groups.
 """
@@ -27,8 +28,8 @@ from tidewatch.llm.components import UnionFind, connected_components
 from tidewatch.llm.hnsw import Graph
 
 COSINE = 0.95
-#: Vectors of a shard, queries of a group, audited queries of a block.
-SHARD_ROWS = 1 << 14
+#: Bytes of a shard's vectors, queries of a group, audited queries of a block.
+SHARD_BYTES = 16 << 20
 GROUP_ROWS = 1 << 13
 AUDIT = 32
 RECALL = 0.995
@@ -93,7 +94,7 @@ def shard_links(graph: Graph, x: np.ndarray, cosine: float, recall: float, ef: i
 
 
 def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", cosine: float = COSINE,
-                 shard_rows: int = SHARD_ROWS, recall: float = RECALL) -> DataFrame:
+                 shard_rows: int | None = None, recall: float = RECALL) -> DataFrame:
     """One row (id, n_links, component_id, kept) per row of ``vectors``.
 
     ``n_links`` counts the other rows linked directly (cosine at least
@@ -114,8 +115,9 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     classes = good.groupBy("v").agg(F.min("id").alias("lo"), F.count("*").alias("n"))
     classes = classes.select(F.monotonically_increasing_id().alias("cls"), "lo", "n", "v", F.size("v").alias("dims"))
     classes = scratch.save(classes, "classes")
+    most = F.greatest(F.floor(F.lit(SHARD_BYTES) / (4 * F.col("dims"))), F.lit(1)) if shard_rows is None else F.lit(shard_rows)
     counts = classes.groupBy("dims").agg(F.count("*").alias("c")).select(
-        "dims", F.ceil(F.col("c") / shard_rows).cast("int").alias("shards"),
+        "dims", F.ceil(F.col("c") / most).cast("int").alias("shards"),
         F.ceil(F.col("c") / GROUP_ROWS).cast("int").alias("groups"))
     counts = scratch.save(counts, "counts")
     dealt = classes.join(counts, "dims").select(
