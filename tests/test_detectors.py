@@ -108,3 +108,40 @@ def test_ar_forecast_recovers_coefficient(spark):
     assert len(out) == 1 and out[0].is_anomaly and out[0].anomaly_type == "high"
     mean = 2.0 / (1 - 0.6)
     assert abs(out[0].forecast - (2.0 + 0.6 * y[-2])) < 0.2 or abs(out[0].forecast - mean) < 5
+
+
+def test_series_that_cannot_be_fitted_have_null_forecasts(spark):
+    from tidewatch.operators.forecast import ar_forecast_detect, arma11_forecast_detect, auto_ar_detect
+    rng = np.random.default_rng(0)
+    rows = [("flat", i, 5.0) for i in range(40)] + [("one", 0, 1.0), ("two", 0, 1.0), ("two", 1, 2.0)]
+    rows += [("none", i, None) for i in range(20)] + [("ok", i, float(v)) for i, v in enumerate(rng.normal(size=60))]
+    d = spark.createDataFrame(rows, "k string, t long, v double")
+    for fn in (ar_forecast_detect, arma11_forecast_detect, auto_ar_detect):
+        got = fn(d, "k", "t", "v", **({} if fn is auto_ar_detect else {"horizon": 2})).toPandas()
+        ok = got[got.k == "ok"]
+        assert len(ok) and ok.forecast.notna().all()
+        assert not got[got.k == "flat"].is_anomaly.fillna(False).astype(bool).any()
+
+
+def test_ensemble_with_arma_keeps_tie_breaks(spark):
+    from tidewatch.operators.ensemble import ensemble
+    rng = np.random.default_rng(3)
+    rows = [("a", i, i, float(v)) for i, v in enumerate(rng.normal(size=80))]
+    rows[-1] = ("a", 79, 79, -40.0)
+    d = spark.createDataFrame(rows, "k string, t long, id long, v double")
+    got = ensemble(d, "k", "t", "v", detectors=["arma", "kde"], tiebreak=["id"], params={"arima_horizon": 1}).toPandas()
+    last = got[got.id == 79]
+    assert len(last) == 1 and bool(last.is_outlier_arma.iloc[0])
+
+
+def test_histogram_of_equal_scores(spark):
+    from tidewatch.operators.report import score_histogram
+    d = spark.createDataFrame([(2.0,)] * 5, "score double")
+    assert [(r.bin, r["count"]) for r in score_histogram(d, 4).collect()] == [(0, 5)]
+
+
+def test_filter_entities_one_null_rule(spark):
+    from tidewatch.operators.clean import filter_entities
+    d = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
+    for ids in (["a", None], ["a", None] + [f"x{i}" for i in range(2000)]):
+        assert sorted(r.v for r in filter_entities(d, "k", ids).collect()) == [1, 3]

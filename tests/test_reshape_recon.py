@@ -2,20 +2,24 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tidewatch.operators.recon import ReconstructionModel, slices_to_vectors
-from tidewatch.operators.reshape import (min_points, slice_series, slice_series_join, split_range,
+from tidewatch.operators.reshape import (min_points, slice_series, split_range,
                                          split_tail, wide_to_long)
 from tidewatch.plans import series as S
 
 from conftest import SF0
 
 
-def test_slicing_equals_range_join(spark):
+def test_slicing_equals_indexing(spark):
     u = S.user_events(spark, SF0).select("user_id", "ts", "event_id", "value")
     a = slice_series(u, "user_id", "ts", 7, 3, tiebreak=["event_id"], block=16)
-    b = slice_series_join(u, "user_id", "ts", 7, 3, tiebreak=["event_id"])
-    cols = ["user_id", "event_id", "slice_start", "series_id"]
-    assert a.select(cols).exceptAll(b.select(cols)).count() == 0
-    assert b.select(cols).exceptAll(a.select(cols)).count() == 0
+    want = set()
+    for user, rows in u.toPandas().sort_values(["ts", "event_id"]).groupby("user_id"):
+        for s in range(0, len(rows) - 6, 3):
+            cut = rows.iloc[s:s + 7]
+            name = f"{user}_{cut.ts.iloc[0]:%Y%m%d%H%M%S}"
+            want |= {(user, e, s, name) for e in cut.event_id}
+    got = a.select("user_id", "event_id", "slice_start", "series_id").toPandas()
+    assert len(got) == len(want) and set(got.itertuples(index=False, name=None)) == want
     per = a.groupBy("user_id", "slice_start").count().select(F.min("count"), F.max("count")).first()
     assert tuple(per) == (7, 7)
 

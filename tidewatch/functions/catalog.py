@@ -15,8 +15,8 @@ THROUGHPUT = [
     "LTEPUSCHPeakThroughput", "LTEPUSCHThroughput",
     "5GNRPDSCHThroughput", "5GNRPUSCHThroughput",
     "5GNRPDSCHPeakThroughput", "5GNRPUSCHPeakThroughput",
+    "5GNRRxPDCPBytes", "5GNRPxTxPDCPBytes",
 ]
-PDCP_BYTES = ["5GNRRxPDCPBytes", "5GNRPxTxPDCPBytes"]
 COUNTERS = ["TxPDCPBytes", "RxPDCPBytes", "TotalBytesReceived", "TotalBytesSent",
             "TotalPacketReceived", "TotalPacketSent"]
 ZERO_IS_MISSING = ["RSRQ", "4GRSRQ", "4GRSRP", "BRSRP"]
@@ -27,7 +27,7 @@ ZERO_IS_MISSING = ["RSRQ", "4GRSRQ", "4GRSRP", "BRSRP"]
 class FeatureCatalog:
     groups: dict = field(default_factory=lambda: {
         "signal_quality": list(SIGNAL_QUALITY),
-        "throughput_data": list(THROUGHPUT) + list(PDCP_BYTES),
+        "throughput_data": list(THROUGHPUT),
         "counters": list(COUNTERS),
     })
     zero_is_missing: tuple = tuple(ZERO_IS_MISSING)

@@ -12,9 +12,6 @@ from pyspark.sql import types as T
 from tidewatch.functions.scalar import clean_id, parse_epoch_ms, to_numeric
 from tidewatch.operators.sequence import as_list, join_on
 
-# id lists above this size are applied as a semi join instead of IN (...)
-ISIN_MAX = 1000
-
 
 def to_numeric_columns(df: DataFrame, columns: Sequence[str], decimals: int | None = 2) -> DataFrame:
     """Cast listed columns to rounded double in one projection; malformed
@@ -25,14 +22,13 @@ def to_numeric_columns(df: DataFrame, columns: Sequence[str], decimals: int | No
 
 def filter_entities(df: DataFrame, key: str, ids) -> DataFrame:
     """Keep rows whose ``key`` is in ``ids`` (a list or a one-column
-    DataFrame).  Long lists become a left-semi join so the plan does not
-    carry a huge literal; AQE broadcasts the id side when it is small."""
+    DataFrame).  A null id selects rows with a null key.  Always a null-safe
+    left-semi join: the plan carries no literal list, and Spark broadcasts
+    the id side when it is small."""
     if isinstance(ids, DataFrame):
         right = ids.select(F.col(ids.columns[0]).alias(key)).distinct()
         return join_on(df, right, [key], "left_semi")
     ids = list(ids)
-    if len(ids) <= ISIN_MAX:
-        return df.filter(F.col(key).isin(ids))
     spark = df.sparkSession
     right = spark.createDataFrame([(i,) for i in ids], T.StructType([df.schema[key]]))
     return join_on(df, right, [key], "left_semi")

@@ -53,7 +53,9 @@ def detector_flags(df: DataFrame, keys, time: str, value: str, name: str, *, tie
                                    level=p.get("arima_level", 0.995),
                                    direction=p.get("arima_direction", p.get("anomaly_direction", "low")),
                                    freq=p.get("arima_freq"), fill_method=p.get("arima_fill", "ffill"))
-        d = d.filter("is_anomaly")
+        hit = d.filter("is_anomaly").select(*keys, time).distinct()
+        # the forecaster keeps no tie-break: a flagged time flags all its rows
+        d = join_on(df, hit, [*keys, time], "left_semi")
     else:
         raise ValueError(f"unknown detector {name!r}")
     return d.select(*keys, time, *tb, value)

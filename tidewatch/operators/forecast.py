@@ -15,6 +15,9 @@ Intervals are ``forecast ± z * sigma * sqrt(sum psi_j^2)``.  Maximum
 likelihood parity with other ARIMA fitters is not a goal; the estimators
 are stated here so results are reproducible anywhere (see the SQL
 oracles).
+
+A series that cannot be fitted (constant, too short, or without any value)
+has null forecasts and limits and no anomalies; it never fails the job.
 """
 
 from __future__ import annotations
@@ -54,16 +57,21 @@ def ols_solve(k: int, pre: str) -> dict[str, Column]:
     if k == 0:
         return {f"{pre}c": c("my"), f"{pre}sse": c("n") * c("syy")}
     if k == 1:
-        b1 = c("s1y") / c("s11")
+        b1 = F.try_divide(c("s1y"), c("s11"))
         return {f"{pre}b1": b1, f"{pre}c": c("my") - b1 * c("m1"),
                 f"{pre}sse": c("n") * (c("syy") - b1 * c("s1y"))}
     det = c("s11") * c("s22") - c("s12") * c("s12")
-    b1 = (c("s1y") * c("s22") - c("s2y") * c("s12")) / det
-    b2 = (c("s2y") * c("s11") - c("s1y") * c("s12")) / det
+    b1 = F.try_divide(c("s1y") * c("s22") - c("s2y") * c("s12"), det)
+    b2 = F.try_divide(c("s2y") * c("s11") - c("s1y") * c("s12"), det)
     return {f"{pre}b1": b1, f"{pre}b2": b2, f"{pre}c": c("my") - b1 * c("m1") - b2 * c("m2"),
             f"{pre}sse": c("n") * (c("syy") - b1 * c("s1y") - b2 * c("s2y"))}
 
 
+def _sigma(sse: Column, freedom: Column) -> Column:
+    """Residual deviation; null without degrees of freedom."""
+    return F.when((freedom > 0) & (sse >= 0), F.sqrt(F.try_divide(sse, freedom)))
+
+
 def _fit(d: DataFrame, keys, y: str, xs: list[str], pre: str) -> DataFrame:
     keys = as_list(keys)
     rows = d.filter(F.col(y).isNotNull())
@@ -121,7 +129,7 @@ def ar_forecast_detect(df: DataFrame, keys, time: str, value: str, *, horizon: i
     lag = series_windowed(train, keys, [time], 1, lambda w: {"_x1": F.lag(value, 1).over(w)})
     fit = _fit(lag, keys, value, ["_x1"], "f_")
     last = train.groupBy(*keys).agg(F.max_by(value, time).alias("_yT"))
-    fit = attach_by_key(fit, last, keys).withColumn("_sig", F.sqrt(F.col("f_sse") / (F.col("f_n") - 2)))
+    fit = attach_by_key(fit, last, keys).withColumn("_sig", _sigma(F.col("f_sse"), F.col("f_n") - 2))
     test = attach_by_key(d.filter(F.col("step").isNotNull()), fit, keys)
     phi, k = F.col("f_b1"), F.col("step")
     fc = F.col("f_c") * _geo(phi, k) + F.pow(phi, k) * F.col("_yT")
@@ -151,7 +159,7 @@ def arma11_forecast_detect(df: DataFrame, keys, time: str, value: str, *, horizo
     lags = series_windowed(lags.drop("a_c", "a_b1", "a_b2"), keys, [time], 1,
                            lambda w: {"_e1": F.lag("_e", 1).over(w)})
     fit = _fit(lags, keys, value, ["_x1", "_e1"], "h_")
-    fit = fit.withColumn("_sig", F.sqrt(F.col("h_sse") / (F.col("h_n") - 3)))
+    fit = fit.withColumn("_sig", _sigma(F.col("h_sse"), F.col("h_n") - 3))
     last = lags.groupBy(*keys).agg(F.max_by(value, time).alias("_yT"), F.max_by("_e", time).alias("_eT"))
     fit = attach_by_key(fit, last, keys)
     test = attach_by_key(d.filter(F.col("step").isNotNull()), fit, keys)
@@ -200,13 +208,13 @@ def auto_ar_detect(df: DataFrame, keys, time: str, value: str, *, level: float =
         pre = f"c{p}{dd}_"
         fit = fit.withColumns(ols_solve(p, pre))
         n, kk = F.col(f"{pre}n"), p + 2
-        aicc = n * F.log(F.col(f"{pre}sse") / n) + 2 * kk + (2 * kk * (kk + 1)) / (n - kk - 1)
+        aicc = n * F.log(F.try_divide(F.col(f"{pre}sse"), n)) + 2 * kk + F.try_divide(F.lit(2.0 * kk * (kk + 1)), n - kk - 1)
         cands.append(F.struct(aicc.alias("aicc"), F.lit(dd).alias("d"), F.lit(p).alias("p"),
                               F.col(f"{pre}c").alias("c"),
                               (F.col(f"{pre}b1") if p >= 1 else F.lit(0.0)).alias("b1"),
                               (F.col(f"{pre}b2") if p >= 2 else F.lit(0.0)).alias("b2"),
-                              F.sqrt(F.col(f"{pre}sse") / (n - p - 1)).alias("sigma")))
-    best = F.array_sort(F.filter(F.array(*cands), lambda s: s["aicc"].isNotNull() & ~F.isnan(s["aicc"])))[0]
+                              _sigma(F.col(f"{pre}sse"), n - p - 1).alias("sigma")))
+    best = F.get(F.array_sort(F.filter(F.array(*cands), lambda s: s["aicc"].isNotNull() & ~F.isnan(s["aicc"]))), F.lit(0))
     fit = fit.filter(F.col("c00_n") + 3 >= min_points).select(*keys, best.alias("m"))
     last = all_lags.groupBy(*keys).agg(F.max_by(value, time).alias("_l1"), F.max_by("_y1", time).alias("_l2"),
                                        F.max_by("_y2", time).alias("_l3"))

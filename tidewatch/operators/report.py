@@ -45,11 +45,12 @@ def score_summary(scores: DataFrame, percentile: float = 99.0, score: str = "sco
 
 
 def score_histogram(scores: DataFrame, bins: int = 30, score: str = "score") -> DataFrame:
-    """Equal-width histogram of all scores (no sampling): bin, lo, hi, count."""
+    """Equal-width histogram of all scores (no sampling): bin, lo, hi, count.
+    Equal scores all fall into bin 0, whose edges are then that score."""
     rng = scores.agg(F.min(score).alias("_mn"), F.max(score).alias("_mx"))
     d = scores.select(score).crossJoin(F.broadcast(rng))
     width = (F.col("_mx") - F.col("_mn")) / bins
-    b = F.least(F.floor((F.col(score) - F.col("_mn")) / (F.col("_mx") - F.col("_mn")) * bins), F.lit(bins - 1))
+    b = F.least(F.floor(F.try_divide(F.col(score) - F.col("_mn"), F.col("_mx") - F.col("_mn")) * bins), F.lit(bins - 1))
     d = d.withColumn("bin", F.coalesce(b, F.lit(0)).cast("int"))
     h = d.groupBy("bin").agg(F.count(F.lit(1)).alias("count"), F.first("_mn").alias("_mn"),
                              F.first("_mx").alias("_mx"))

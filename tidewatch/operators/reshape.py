@@ -58,24 +58,6 @@ def slice_series(df: DataFrame, keys, time: str, length: int, shift: int | None
     return d.drop("_n", POS)
 
 
-def slice_series_join(df: DataFrame, keys, time: str, length: int, shift: int, *, tiebreak=(),
-                      id_col: str = "series_id", time_fmt: str = "yyyyMMddHHmmss") -> DataFrame:
-    """Range-join form of :func:`slice_series` (test oracle only: it
-    compares every row with every start of its series)."""
-    keys = as_list(keys)
-    w = Window.partitionBy(*keys).orderBy(time, *as_list(tiebreak))
-    d = df.withColumn("_rn", F.row_number().over(w))
-    starts = (d.groupBy(*keys).agg(F.max("_rn").alias("_N"))
-               .filter(F.col("_N") >= length)
-               .select(*keys, F.explode(F.sequence(F.lit(1), F.col("_N") - length + 1, F.lit(shift)))
-                       .alias("_s")))
-    d = join_on(d, starts, keys).filter((F.col("_rn") >= F.col("_s")) & (F.col("_rn") < F.col("_s") + length))
-    start_time = F.min(time).over(Window.partitionBy(*keys, "_s"))
-    key_txt = F.concat_ws("_", *[F.col(k).cast("string") for k in keys])
-    d = d.withColumn(id_col, series_id(key_txt, start_time, time_fmt))
-    return d.withColumn("slice_start", (F.col("_s") - 1).cast("long")).drop("_rn", "_s")
-
-
 def split_tail(df: DataFrame, keys, time: str, horizon: int, *, tiebreak=(),
                flag: str = "is_test") -> DataFrame:
     """Mark the last ``horizon`` rows of each series (``is_test``)."""

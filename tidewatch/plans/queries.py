@@ -353,8 +353,8 @@ def q_rolling_std(spark, sf_dir):
 
 
 def _ew_std_sql(span: int) -> str:
-    from tidewatch.operators.ewma import ew_weights
-    wl = "[" + ", ".join(repr(w) + "::DOUBLE" for w in ew_weights(span)) + "]"
+    raw = [(1 - 2 / (span + 1)) ** j for j in range(span - 1, -1, -1)]
+    wl = "[" + ", ".join(repr(w / sum(raw)) + "::DOUBLE" for w in raw) + "]"
     mu = f"list_reduce(list_transform(arr, lambda x, i: x * {wl}[i]), lambda acc, v: acc + v)"
     var = (f"list_reduce(list_transform(arr, lambda x, i: {wl}[i] * (x - mu) * (x - mu)), "
            f"lambda acc, v: acc + v)")
@@ -590,15 +590,19 @@ def _ols_sql(y: str, xs: list, pre: str) -> str:
     return ", ".join(a)
 
 
+#: Two-sided normal quantiles of the levels used below (fixed values).
+Z = {0.95: "1.9599639845400536", 0.99: "2.5758293035489", 0.995: "2.8070337683438114"}
+
+
 def _ols_solve_sql(k: int, pre: str) -> str:
     c = lambda n: f"{pre}{n}"
     if k == 0:
         return f"{c('my')} AS {pre}c, {c('n')} * {c('syy')} AS {pre}sse"
     if k == 1:
-        b1 = f"({c('s1y')} / {c('s11')})"
+        b1 = f"({c('s1y')} / nullif({c('s11')}, 0))"
         return (f"{b1} AS {pre}b1, {c('my')} - {b1} * {c('m1')} AS {pre}c, "
                 f"{c('n')} * ({c('syy')} - {b1} * {c('s1y')}) AS {pre}sse")
-    det = f"({c('s11')} * {c('s22')} - {c('s12')} * {c('s12')})"
+    det = f"nullif({c('s11')} * {c('s22')} - {c('s12')} * {c('s12')}, 0)"
     b1 = f"(({c('s1y')} * {c('s22')} - {c('s2y')} * {c('s12')}) / {det})"
     b2 = f"(({c('s2y')} * {c('s11')} - {c('s1y')} * {c('s12')}) / {det})"
     return (f"{b1} AS {pre}b1, {b2} AS {pre}b2, {c('my')} - {b1} * {c('m1')} - {b2} * {c('m2')} AS {pre}c, "
@@ -619,8 +623,7 @@ def _fc_out(key, t, v, direction, extra=""):
 
 
 def _ar_sql(prep: str, key: str, t: str, v: str, H: int, level: float, direction: str) -> str:
-    from tidewatch.operators.forecast import z_value
-    z = repr(z_value(level))
+    z = Z[level]
     return f"""WITH {prep},
 d AS (SELECT {key}, {t}, {v}, row_number() OVER (PARTITION BY {key} ORDER BY {t} DESC) - 1 AS rpos FROM fl),
 tr AS (SELECT *, lag({v}, 1) OVER (PARTITION BY {key} ORDER BY {t}) AS x1 FROM d WHERE rpos >= {H}),
@@ -647,9 +650,24 @@ def q_ar_forecast_detect(spark, sf_dir):
                     "is_anomaly", "anomaly_type")
 
 
+_FLAT = "CASE WHEN event_type = 'click' THEN 5.0 ELSE value END"
+
+
+@register("forecast_degenerate", _ar_sql(_filled_sql(f"SELECT * REPLACE ({_FLAT} AS value) FROM events", "event_type",
+                                                     "ts", "value", _HOUR_US, "interpolate"),
+                                         "event_type", "ts", "value", 24, 0.99, "both"))
+def q_forecast_degenerate(spark, sf_dir):
+    """One series made constant beside normal ones: null forecasts for it."""
+    from tidewatch.operators.forecast import ar_forecast_detect
+    ev = S.table(spark, sf_dir, "events").withColumn("value", F.expr(_FLAT))
+    d = ar_forecast_detect(ev, "event_type", "ts", "value", horizon=24, level=0.99, direction="both",
+                           freq="1 hour", fill_method="interpolate")
+    return d.select("event_type", "ts", "step", r("value"), r("forecast", 4), r("lo", 4), r("hi", 4),
+                    "is_anomaly", "anomaly_type")
+
+
 def _arma_sql(prep: str, key: str, t: str, v: str, H: int, level: float, direction: str) -> str:
-    from tidewatch.operators.forecast import z_value
-    z = repr(z_value(level))
+    z = Z[level]
     w = f"PARTITION BY {key} ORDER BY {t}"
     return f"""WITH {prep},
 d AS (SELECT {key}, {t}, {v}, row_number() OVER (PARTITION BY {key} ORDER BY {t} DESC) - 1 AS rpos FROM fl),
@@ -685,14 +703,14 @@ def q_arma11_forecast_detect(spark, sf_dir):
 
 
 def _auto_sql(prep: str, key: str, t: str, v: str, level: float, direction: str) -> str:
-    from tidewatch.operators.forecast import AUTO_CANDIDATES, z_value
-    z = repr(z_value(level))
+    z = Z[level]
+    candidates = [(0, 0), (1, 0), (2, 0), (0, 1), (1, 1), (2, 1)]       # (p, d)
     w = f"PARTITION BY {key} ORDER BY {t}"
     targets = {0: (v, ["y1", "y2"]), 1: ("d0", ["d1", "d2"])}
-    aggs = ", ".join(_ols_sql(targets[dd][0], targets[dd][1][:p], f"c{p}{dd}_") for p, dd in AUTO_CANDIDATES)
-    solves = ", ".join(_ols_solve_sql(p, f"c{p}{dd}_") for p, dd in AUTO_CANDIDATES)
+    aggs = ", ".join(_ols_sql(targets[dd][0], targets[dd][1][:p], f"c{p}{dd}_") for p, dd in candidates)
+    solves = ", ".join(_ols_solve_sql(p, f"c{p}{dd}_") for p, dd in candidates)
     structs = []
-    for p, dd in AUTO_CANDIDATES:
+    for p, dd in candidates:
         pre, kk = f"c{p}{dd}_", p + 2
         n = f"{pre}n"
         aicc = f"{n} * ln({pre}sse / {n}) + {2 * kk} + {2 * kk * (kk + 1)} / ({n} - {kk + 1})"
@@ -701,14 +719,14 @@ def _auto_sql(prep: str, key: str, t: str, v: str, level: float, direction: str)
         structs.append(f"{{'aicc': {aicc}, 'd': {dd}, 'p': {p}, 'c': {pre}c, 'b1': {b1}, 'b2': {b2}, "
                        f"'sigma': sqrt({pre}sse / ({n} - {p + 1}))}}")
     return f"""WITH {prep},
-d AS (SELECT {key}, {t}, {v}, row_number() OVER (PARTITION BY {key} ORDER BY {t} DESC) - 1 AS rpos
+d AS MATERIALIZED (SELECT {key}, {t}, {v}, row_number() OVER (PARTITION BY {key} ORDER BY {t} DESC) - 1 AS rpos
       FROM fl WHERE {v} IS NOT NULL),
-tr AS (SELECT *, lag({v}, 1) OVER ({w}) AS y1, lag({v}, 2) OVER ({w}) AS y2, lag({v}, 3) OVER ({w}) AS y3
+tr AS MATERIALIZED (SELECT *, lag({v}, 1) OVER ({w}) AS y1, lag({v}, 2) OVER ({w}) AS y2, lag({v}, 3) OVER ({w}) AS y3
        FROM d WHERE rpos >= 1),
 cs AS (SELECT *, {v} - y1 AS d0, y1 - y2 AS d1, y2 - y3 AS d2 FROM tr WHERE y3 IS NOT NULL),
-f0 AS (SELECT {key}, {aggs} FROM cs GROUP BY 1),
-f1 AS (SELECT *, {solves} FROM f0),
-f2 AS (SELECT {key}, c00_n, list_sort(list_filter([{', '.join(structs)}], lambda s: s.aicc IS NOT NULL AND NOT isnan(s.aicc)))[1] AS m FROM f1),
+f0 AS MATERIALIZED (SELECT {key}, {aggs} FROM cs GROUP BY 1),
+f1 AS MATERIALIZED (SELECT *, {solves} FROM f0),
+f2 AS MATERIALIZED (SELECT {key}, c00_n, list_sort(list_filter([{', '.join(structs)}], lambda s: s.aicc IS NOT NULL AND NOT isnan(s.aicc)))[1] AS m FROM f1),
 lt AS (SELECT {key}, arg_max({v}, {t}) AS l1, arg_max(y1, {t}) AS l2, arg_max(y2, {t}) AS l3 FROM tr GROUP BY 1),
 te AS (SELECT d.{key}, d.{t}, d.{v}, f2.m, lt.l1, lt.l2, lt.l3 FROM d JOIN f2 USING ({key}) JOIN lt USING ({key})
        WHERE d.rpos < 1 AND f2.c00_n + 3 >= 10),
@@ -1048,12 +1066,12 @@ def q_stream_ewma_detect(spark, sf_dir):
                             GROUP BY user_id)
 SELECT e.user_id, e.ts, e.event_id, e.value, {S.rnd('(e.value - m.mean) / m.std', 6)} AS z,
        coalesce(abs((e.value - m.mean) / m.std) > 2.5, false) AS is_anomaly
-FROM events e JOIN m ON e.user_id = m.user_id""")
+FROM events e LEFT JOIN m ON e.user_id = m.user_id""")
 def q_stream_score(spark, sf_dir):
     from tidewatch.session import checkpoint_dir
     from tidewatch.streaming.jobs import fit_zscore_model, run_available, stream_score
     import uuid
-    root = checkpoint_dir(spark, fallback="/tmp/tidewatch/checkpoints")
+    root = checkpoint_dir(spark)
     path = f"{root}/models/zscore/{uuid.uuid4().hex}"
     fit_zscore_model(S.table(spark, sf_dir, "events"), "user_id", "value").write.parquet(path)
     model = spark.read.parquet(path)

@@ -44,11 +44,11 @@ def file_stream(spark: SparkSession, folder: str, table: str, max_files: int = 1
                  .option("maxFilesPerTrigger", max_files).parquet(folder))
 
 
-def run_available(sdf: DataFrame, name: str, *, mode: str = "append", fallback_root: str = "/tmp/tidewatch") -> DataFrame:
+def run_available(sdf: DataFrame, name: str, *, mode: str = "append") -> DataFrame:
     """Run a streaming query over everything available, sink to Parquet in
     the checkpoint folder, and return the sink as a batch DataFrame."""
     spark = sdf.sparkSession
-    root = checkpoint_dir(spark, fallback=f"{fallback_root}/checkpoints")
+    root = checkpoint_dir(spark)
     run = f"{root}/streams/{name}/{uuid.uuid4().hex}"
     q = (sdf.writeStream.format("parquet").outputMode(mode)
             .option("path", f"{run}/data").option("checkpointLocation", f"{run}/_checkpoint")
@@ -167,10 +167,12 @@ def stream_ewma_detect(sdf: DataFrame, key: str, time: str, value: str, *, tiebr
 
 def stream_score(sdf: DataFrame, model: DataFrame, keys, value: str, *, k: float = 3.0) -> DataFrame:
     """Stateless scoring against a stored per-series model table
-    (``keys, mean, std``): a stream-static join, then ``|z| > k``."""
+    (``keys, mean, std``): a stream-static join, then ``|z| > k``.  Rows of
+    a series the model does not know, or whose values never varied, have a
+    null ``z`` and are no anomaly."""
     keys = as_list(keys)
-    j = sdf.join(model, keys, "inner")
-    z = (F.col(value) - F.col("mean")) / F.col("std")
+    j = sdf.join(model, keys, "left")
+    z = F.try_divide(F.col(value) - F.col("mean"), F.col("std"))
     return j.withColumn("z", z).withColumn("is_anomaly", F.coalesce(F.abs(F.col("z")) > k, F.lit(False)))
 
 
