@@ -50,8 +50,8 @@ def score_histogram(scores: DataFrame, bins: int = 30, score: str = "score") ->
     rng = scores.agg(F.min(score).alias("_mn"), F.max(score).alias("_mx"))
     d = scores.select(score).crossJoin(F.broadcast(rng))
     width = (F.col("_mx") - F.col("_mn")) / bins
-    b = F.least(F.floor(F.try_divide(F.col(score) - F.col("_mn"), F.col("_mx") - F.col("_mn")) * bins), F.lit(bins - 1))
-    d = d.withColumn("bin", F.coalesce(b, F.lit(0)).cast("int"))
+    b = F.floor(F.try_divide(F.col(score) - F.col("_mn"), F.col("_mx") - F.col("_mn")) * bins)
+    d = d.withColumn("bin", F.least(F.coalesce(b, F.lit(0)), F.lit(bins - 1)).cast("int"))
     h = d.groupBy("bin").agg(F.count(F.lit(1)).alias("count"), F.first("_mn").alias("_mn"),
                              F.first("_mx").alias("_mx"))
     return h.select("bin", (F.col("_mn") + F.col("bin") * width).alias("lo"),
