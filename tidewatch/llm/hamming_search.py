@@ -6,8 +6,16 @@ most ``r``.  Round ``r`` therefore probes, for every query still open, all
 segment values at distance exactly ``r``, verifies the full distance of the
 codes found, and keeps the best.  A query is closed when its k-th verified
 distance is at most ``m * (r + 1) - 1``: nothing nearer can be missing.
+
+A code that differs in more than ``r`` bits in the first ``a`` segments and
+in at least ``r`` in the others is ``m * r + a`` away or farther.  So a query
+whose k-th distance is already known to be ``d`` probes only its first
+``d - m * r + 1`` segments in round ``r``; the last round, by far the
+largest, is seldom probed in full.
+
 ``m`` follows the number of distinct codes, so that a segment value selects
-about one code.
+about ``CODES_PER_VALUE`` codes: a probe is shuffled and sorted, a code it
+finds costs one XOR in the join, so a few codes a probe cost the least.
 
 Rows of one code are folded into one entry with its k + 1 smallest ids
 (more can never be among the k nearest), found by a group limit that cuts
@@ -29,6 +37,8 @@ from pyspark.sql import functions as F
 from tidewatch.llm._util import Scratch, hamming
 
 BITS = 64
+#: Codes that one value of a segment selects, about.
+CODES_PER_VALUE = 4
 
 
 def sign_codes(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -54,8 +64,9 @@ def sign_codes(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding"
 
 
 def _segments(distinct: int) -> list[tuple[int, int]]:
-    """(shift, width) of each segment: about log2(distinct) bits wide."""
-    m = max(1, min(16, round(BITS / math.log2(max(distinct, 16)))))
+    """(shift, width) of each segment: about log2(distinct / CODES_PER_VALUE)
+    bits wide."""
+    m = min(16, round(BITS / math.log2(max(distinct / CODES_PER_VALUE, 16))))
     cuts = [round(i * BITS / m) for i in range(m + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
@@ -66,11 +77,13 @@ def _segment(code, shift: int, width: int):
 
 
 def _probes(active: DataFrame, segments, radius: int) -> DataFrame:
-    """(q, kth, seg, val) for all segment values at distance ``radius``."""
+    """(q, kth, seg, val) for all segment values at distance ``radius`` in
+    the segments that the k-th distance known so far calls for."""
     arrays = []
     for s, (shift, width) in enumerate(segments):
         flips = [sum(1 << i for i in c) for c in combinations(range(width), radius)]
-        arrays.append(active.select("q", "kth", F.lit(s).alias("seg"), _segment(F.col("q"), shift, width).alias("at"),
+        needed = active.filter(F.col("kth") >= len(segments) * radius + s)
+        arrays.append(needed.select("q", "kth", F.lit(s).alias("seg"), _segment(F.col("q"), shift, width).alias("at"),
                                     F.explode(F.lit(flips).cast("array<bigint>")).alias("flip")))
     out = arrays[0]
     for a in arrays[1:]:
