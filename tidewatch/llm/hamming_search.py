@@ -78,16 +78,17 @@ def _segment(code, shift: int, width: int):
 
 def _probes(active: DataFrame, segments, radius: int) -> DataFrame:
     """(q, kth, seg, val) for all segment values at distance ``radius`` in
-    the segments that the k-th distance known so far calls for."""
-    arrays = []
-    for s, (shift, width) in enumerate(segments):
-        flips = [sum(1 << i for i in c) for c in combinations(range(width), radius)]
-        needed = active.filter(F.col("kth") >= len(segments) * radius + s)
-        arrays.append(needed.select("q", "kth", F.lit(s).alias("seg"), _segment(F.col("q"), shift, width).alias("at"),
-                                    F.explode(F.lit(flips).cast("array<bigint>")).alias("flip")))
-    out = arrays[0]
-    for a in arrays[1:]:
-        out = out.unionAll(a)
+    the segments that the k-th distance known so far calls for.  The bit
+    patterns to flip are a broadcast table: C(width, radius) rows a segment,
+    whatever the number of codes."""
+    m = len(segments)
+    flips = [(s, sum(1 << i for i in c)) for s, (_, width) in enumerate(segments)
+             for c in combinations(range(width), radius)]
+    table = active.sparkSession.createDataFrame(flips, "seg int, flip long")
+    parts = F.array(*[_segment(F.col("q"), shift, width) for shift, width in segments])
+    last = F.least(F.lit(m - 1), F.col("kth") - m * radius)
+    needed = active.filter(F.col("kth") >= m * radius).withColumn("seg", F.explode(F.sequence(F.lit(0), last)))
+    out = needed.withColumn("at", parts[F.col("seg")]).join(F.broadcast(table), "seg")
     return out.select("q", "kth", "seg", F.col("at").bitwiseXOR(F.col("flip")).alias("val"))
 
 
