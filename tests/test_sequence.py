@@ -29,11 +29,10 @@ def test_positions_match_row_number(spark):
     pdf, df = _frame(spark)
     w = Window.partitionBy("k").orderBy("t", "tb")
     exp = df.withColumn("rn", F.row_number().over(w) - 1)
-    for bucket in ("per_series", 50, 10_000_000):
-        got = Q.with_position(df, "k", ["t", "tb"], bucket=bucket)
-        diff = got.join(exp, ["k", "t", "tb"]).filter(F.col(Q.POS) != F.col("rn")).count()
-        assert diff == 0, bucket
-    desc = Q.with_position(df, "k", ["t", "tb"], descending=True, name="r", bucket=64).toPandas()
+    got = Q.with_position(df, "k", ["t", "tb"])
+    assert got.count() == df.count()
+    assert got.join(exp, ["k", "t", "tb"]).filter(F.col(Q.POS) != F.col("rn")).count() == 0
+    desc = Q.with_position(df, "k", ["t", "tb"], descending=True, name="r").toPandas()
     n = pdf.groupby("k")["t"].transform("size")
     merged = desc.merge(pdf.assign(rn=pdf.groupby("k").cumcount(), n=n), on=["k", "t", "tb"])
     assert (merged["r"] == merged["n"] - 1 - merged["rn"]).all()
@@ -61,7 +60,7 @@ def test_ewm_blocked_matches_pandas(spark):
     exp = pdf.sort_values(["k", "t", "tb"]).groupby("k")["x"].transform(
         lambda s: s.ewm(span=20, adjust=False).mean())
     for block in (16, 100, 8192):
-        d = Q.with_position(df, "k", ["t", "tb"], bucket=200)
+        d = Q.with_position(df, "k", ["t", "tb"])
         out = Q.ewm_blocked(d, "k", "x", 20, "ema", block=block).toPandas().sort_values(["k", "t", "tb"])
         a, b = out["ema"].to_numpy(), exp.to_numpy()
         assert (np.isnan(a) == np.isnan(b)).all()
@@ -70,7 +69,7 @@ def test_ewm_blocked_matches_pandas(spark):
 
 def test_ffill_blocked_matches_pandas(spark):
     pdf, df = _frame(spark)
-    d = Q.with_position(df, "k", ["t", "tb"], bucket=100)
+    d = Q.with_position(df, "k", ["t", "tb"])
     out = Q.ffill_blocked(d, "k", ["x"], ["xf"], block=32).toPandas().sort_values(["k", "t", "tb"])
     exp = pdf.sort_values(["k", "t", "tb"]).groupby("k")["x"].ffill()
     a, b = out["xf"].to_numpy(), exp.to_numpy()
@@ -84,3 +83,53 @@ def test_series_stats_reach_every_block(spark):
                             stats={"_m": F.max("t")}).toPandas()
     exp = pdf.groupby("k")["t"].max()
     assert (got["m"].to_numpy() == exp.loc[got["k"]].to_numpy()).all()
+
+
+def test_positions_survive_bursts_ties_and_nulls(spark):
+    """One old row and a burst at one instant, null times and keys."""
+    rows = [("a", 0, 0)] + [("a", 10**9, i) for i in range(4000)] + [("a", None, i) for i in range(500)]
+    rows += [(None, i, i) for i in range(50)] + [("b", None, 0)]
+    df = spark.createDataFrame(rows, "k string, t long, v int")
+    got = Q.with_position(df, "k", ["t"]).toPandas()
+    assert len(got) == len(rows)
+    for _, g in got.groupby("k", dropna=False):
+        g = g.sort_values(Q.POS)
+        assert list(g[Q.POS]) == list(range(len(g)))
+        times = g["t"].fillna(-1).tolist()
+        assert times == sorted(times)
+
+
+def test_burst_is_spread_over_partitions(spark):
+    """No partition of the written rows holds much more than its share."""
+    df = spark.range(40000).select(F.lit("a").alias("k"), F.when(F.col("id") == 0, 0).otherwise(10**9).alias("t"), "id")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        by = ["k", "t", Q._row_hash(df, ["k", "t"])]
+        sizes = df.repartitionByRange(8, *by).groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(sizes) == 8 and sizes.max() <= 2 * 40000 / 8
+
+
+def test_positions_follow_the_instant_over_daylight_saving(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        start = 1730606400  # 2024-11-03 00:00 in New York; clocks go back at 02:00
+        df = spark.range(24).select(F.lit(1).alias("k"), "id", F.timestamp_seconds(F.lit(start) + F.col("id") * 600).alias("t"))
+        got = Q.with_position(df, "k", ["t"]).filter(F.col("id") != F.col(Q.POS)).count()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == 0
+
+
+def test_percentiles_by_rank_match_numpy(spark):
+    pdf, df = _frame(spark)
+    got = Q.percentiles_by_rank(df, "k", "x", [0.0, 0.1, 0.5, 0.99, 1.0], list("abcde")).toPandas().set_index("k")
+    for k, g in pdf.dropna().groupby("k"):
+        np.testing.assert_allclose(got.loc[k].to_numpy(dtype=float), np.percentile(g["x"], [0, 10, 50, 99, 100]), atol=1e-12)
+    one = Q.percentiles_by_rank(df, [], "x", [0.25], ["q"]).first()["q"]
+    assert abs(one - np.percentile(pdf["x"].dropna(), 25)) < 1e-12
+    assert Q.percentiles_by_rank(df.limit(0), "k", "x", [0.5], ["q"]).count() == 0
+    assert Q.percentiles_by_rank(df.limit(0), [], "x", [0.5], ["q"]).collect()[0]["q"] is None

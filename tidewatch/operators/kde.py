@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.scalar import directional_flag
 from tidewatch.operators.sequence import as_list, join_on, with_position
 from tidewatch.operators.stats import attach_by_key, series_percentiles
+from tidewatch.session import materialize
 
 TERMS = 24
 CUTOFF = 9.0
@@ -66,13 +67,13 @@ def _horner(t: Column) -> Column:
 
 
 def kde_density(points: DataFrame, train: DataFrame, keys, value: str, bandwidth: float = 0.5,
-                out: str = "density", *, n_col: str | None = None) -> DataFrame:
+                out: str = "density", *, n_col: str | None = None, moments: DataFrame | None = None) -> DataFrame:
     """Add the Gaussian KDE density of ``value`` in ``points`` under the
     training values of the same series.  Points of series without training
-    data get 0."""
+    data get 0.  ``moments`` of ``train`` may be passed when they are known."""
     keys = as_list(keys)
     h = float(bandwidth)
-    mom = box_moments(train, keys, value, h)
+    mom = box_moments(train, keys, value, h) if moments is None else moments
     if n_col is None:
         n = train.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_ntrain"))
         points = attach_by_key(points, n, keys)
@@ -125,16 +126,16 @@ def kde_detect(df: DataFrame, keys, time: str, value: str, *, tiebreak=(), bandw
         t = attach_by_key(t, b, keys).filter(F.col(value).between(F.col("_flo"), F.col("_fhi")))
         t = t.select(*keys, value)
     thr_p = threshold_percentile / 100
-    st = (t.groupBy(*keys)
-           .agg(F.count(F.lit(1)).alias("_ntrain"),
-                F.percentile(value, F.array(F.lit(1 - thr_p), F.lit(thr_p))).alias("_b"))
-           .select(*keys, "_ntrain", F.col("_b")[0].alias("lower"), F.col("_b")[1].alias("upper")))
+    t = materialize(t)
+    moments = materialize(box_moments(t, keys, value, bandwidth))
+    st = attach_by_key(t.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ntrain")),
+                       series_percentiles(t, keys, value, [1 - thr_p, thr_p], ["lower", "upper"]), keys)
     tr = kde_density(attach_by_key(t, st.select(*keys, "_ntrain"), keys), t, keys, value, bandwidth,
-                     "_dens", n_col="_ntrain")
-    thr = tr.groupBy(*keys).agg(F.percentile("_dens", F.lit(float(density_quantile))).alias("threshold"))
+                     "_dens", n_col="_ntrain", moments=moments)
+    thr = series_percentiles(tr, keys, "_dens", [float(density_quantile)], ["threshold"])
     st = attach_by_key(st, thr, keys)
     nw = attach_by_key(d.filter("_is_new"), st, keys)
-    nw = kde_density(nw, t, keys, value, bandwidth, "density", n_col="_ntrain")
+    nw = kde_density(nw, t, keys, value, bandwidth, "density", n_col="_ntrain", moments=moments)
     below = F.col("density") < F.col("threshold") * F.lit(1.0 - tie_tolerance)
     flag = below & directional_flag(value, "lower", "upper", direction)
     nw = nw.withColumn("is_outlier", F.coalesce(flag, F.lit(False)))

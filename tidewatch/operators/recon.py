@@ -23,11 +23,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.operators.sequence import as_list
+from tidewatch.operators.sequence import as_list, percentiles_by_rank
 from tidewatch.session import materialize
 
-THRESHOLD_ACCURACY = 1_000_000
-
 
 def slices_to_vectors(sliced: DataFrame, keys, time: str, value: str, *, tiebreak=(),
                       slice_col: str = "slice_start", id_col: str = "series_id",
@@ -161,8 +159,8 @@ class ReconstructionModel:
 
     def _threshold(self, df: DataFrame, col: str) -> float:
         q = self.threshold_percentile / 100
-        return float(self._with_score(df.select(col), col, "s")
-                     .agg(F.percentile_approx("s", q, THRESHOLD_ACCURACY)).first()[0])
+        scored = self._with_score(df.select(col), col, "s").select("s")
+        return float(percentiles_by_rank(scored, [], "s", [q], ["threshold"]).first()[0])
 
     def score(self, df: DataFrame, col: str = "x") -> DataFrame:
         """Adds ``score, threshold, is_anomaly`` (strict ``>``)."""

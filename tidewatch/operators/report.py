@@ -2,9 +2,8 @@
 two-stage and hierarchical-rollup detection.
 
 Global statistics are one-row aggregates joined back by broadcast (one row:
-a proven size bound).  Global quantiles use ``percentile_approx`` with a
-large accuracy: bounded memory, and exact (the order statistic at rank
-``ceil(q*n)``) whenever the count is below the accuracy.
+a proven size bound).  Quantiles are exact at every size, with linear
+interpolation, and come from row ranks rather than from a buffer of values.
 """
 
 from __future__ import annotations
@@ -13,9 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.operators.ewma import ewma_detect
-from tidewatch.operators.sequence import as_list, join_on
-
-ACCURACY = 1_000_000
+from tidewatch.operators.sequence import as_list, join_on, percentiles_by_rank
 
 
 def slice_dev_score(vectors: DataFrame, col: str = "x", out: str = "score") -> DataFrame:
@@ -27,7 +24,8 @@ def slice_dev_score(vectors: DataFrame, col: str = "x", out: str = "score") -> D
 
 
 def score_threshold(scores: DataFrame, percentile: float = 99.0, score: str = "score") -> DataFrame:
-    return scores.agg(F.percentile_approx(score, percentile / 100, ACCURACY).alias("threshold"))
+    """One row: the interpolated ``percentile`` of all scores."""
+    return percentiles_by_rank(scores, [], score, [percentile / 100], ["threshold"])
 
 
 def with_outlier_flag(scores: DataFrame, percentile: float = 99.0, score: str = "score") -> DataFrame:
@@ -62,10 +60,9 @@ def slice_profile(scores: DataFrame, col: str = "x", flag: str = "is_outlier") -
     """Per position and class (normal / abnormal): mean, population std and
     10th / 90th percentiles of slice values."""
     d = scores.select(flag, F.posexplode(col).alias("pos", "v"))
-    return d.groupBy(flag, "pos").agg(
-        F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"),
-        F.percentile_approx("v", 0.1, ACCURACY).alias("p10"),
-        F.percentile_approx("v", 0.9, ACCURACY).alias("p90"), F.count(F.lit(1)).alias("n"))
+    g = d.groupBy(flag, "pos").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.count(F.lit(1)).alias("n"))
+    g = join_on(g, percentiles_by_rank(d, [flag, "pos"], "v", [0.1, 0.9], ["p10", "p90"]), [flag, "pos"], "left")
+    return g.select(flag, "pos", "mean", "std", "p10", "p90", "n")
 
 
 def sample_slices(scores: DataFrame, n: int, order_key, flag: str | None = None,

@@ -6,10 +6,9 @@ task holds a third of the job.  This module splits every series into
 fixed-size row *blocks* and moves only small summaries between them:
 
 1. :func:`with_position` gives each row its exact 0-based position in its
-   series.  Rows are counted per ``(key, time bucket)`` (a map-side
-   combined aggregate), a prefix sum over that small summary table gives
-   each bucket its offset, and a window over ``(key, bucket)`` numbers the
-   rows locally.  No task sees more than one bucket of one series.
+   series.  Rows are range-partitioned by key and order with sampled,
+   balanced bounds, numbered inside their sorted partition, and shifted by
+   a prefix sum over the small (key, partition) table.
 2. :func:`with_block` assigns ``block = pos div B`` and copies the last
    ``halo`` rows of every block into the next one, so frame-based window
    functions (lag, rolling std, …) can run per ``(key, block)``.
@@ -40,7 +39,6 @@ POS = "_pos"
 BLK = "_blk"
 HALO = "_halo"
 DEFAULT_BLOCK = 8192
-DEFAULT_BUCKET = "per_series"
 
 _UNITS_US = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000,
              "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000,
@@ -78,69 +76,58 @@ def join_on(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "
     return out.drop(*[f"__r_{c}" for c in cols])
 
 
-TARGET_BUCKET_ROWS = 4096
+def _row_hash(df: DataFrame, skip: Sequence[str]) -> Column:
+    """Hash of the columns not in ``skip``: orders rows that tie on them."""
+    rest = [c for c, t in df.dtypes if c not in skip and "map<" not in t and "variant" not in t]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(0).cast("long")
 
 
-def _is_time(df: DataFrame, c: str) -> bool:
-    return isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))
-
-
-def _order_value(df: DataFrame, c: str) -> Column:
-    return epoch_us(c) if _is_time(df, c) else F.col(c).cast("double")
-
-
-def per_series_buckets(df: DataFrame, keys, c: str, target_rows: int = TARGET_BUCKET_ROWS) -> DataFrame:
-    """Attach ``_chunk``: each series is cut into buckets of its own width,
-    chosen so that a bucket holds about ``target_rows`` of its rows
-    (width = span * target_rows / count).  A series with a third of all
-    rows therefore gets proportionally more buckets instead of one huge
-    one.  The per-series table is joined back on the keys (AQE broadcasts
-    it when small and splits a skewed key otherwise)."""
-    keys = as_list(keys)
-    v = _order_value(df, c)
-    st = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_bn"), F.min(v).alias("_blo"), F.max(v).alias("_bhi"))
-    width = F.greatest((F.col("_bhi") - F.col("_blo")) * target_rows / F.col("_bn"), F.lit(1.0))
-    st = st.select(*keys, "_blo", width.alias("_bw"))
-    d = join_on(df, st, keys) if keys else df.crossJoin(F.broadcast(st))
-    return d.withColumn("_chunk", F.floor((v - F.col("_blo")) / F.col("_bw"))).drop("_blo", "_bw")
-
-
-def _bucket(df: DataFrame, keys, c: str, bucket) -> Column:
-    if _is_time(df, c):
-        return F.floor(epoch_us(c) / F.lit(interval_us(bucket)))
-    width = bucket if isinstance(bucket, (int, float)) and not isinstance(bucket, bool) else TARGET_BUCKET_ROWS
-    return F.floor(F.col(c) / F.lit(width))
-
-
-def with_position(df: DataFrame, keys, order, *, name: str = POS, descending: bool = False,
-                  bucket=DEFAULT_BUCKET) -> DataFrame:
+def with_position(df: DataFrame, keys, order, *, name: str = POS, descending: bool = False) -> DataFrame:
     """Add the exact 0-based row position within each series.
 
-    ``order`` lists the ordering columns; the first one is cut into buckets
-    (``bucket``: a time interval such as '1 minute', µs, or a width for
-    numeric order columns; ``"per_series"`` sizes buckets per series, see
-    :func:`per_series_buckets`).  Rows are shuffled once by
-    ``(series, bucket)`` and numbered there; bucket sizes come from that
-    same partitioned output (no second scan of the input), get prefix
-    summed over the small bucket table, and are joined back.  Pass a
-    unique tie-break as the last order column for a deterministic result.
+    ``order`` lists the ordering columns; rows that tie on all of them are
+    ordered by a hash of the whole row.  Rows are range-partitioned by
+    ``(keys, order, hash)``: the bounds come from a sample of the rows, so a
+    series of any size, with any bursts, equal or null times, is cut into
+    partitions of about equal row counts.  The sorted partitions are written
+    once (a checkpoint); a row's number within its partition and the
+    prefix sum of the small (series, partition) table give its position.
+    Null orders come first (last when ``descending``).
     """
     keys, order = as_list(keys), as_list(order)
-    if bucket == "per_series":
-        # the input feeds the per-series widths, the bucket counts and the
-        # numbering; a checkpoint makes it one scan and keeps chained
-        # position passes from multiplying the plan
-        d = per_series_buckets(materialize(df), keys, order[0])
-    else:
-        d = df.withColumn("_chunk", _bucket(df, keys, order[0], bucket))
-    lo = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order]
-    d = d.withColumn("_lr", F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(*lo)))
-    s = d.groupBy(*keys, "_chunk").agg(F.max("_lr").alias("_n"))
-    ck = F.col("_chunk").desc_nulls_last() if descending else F.col("_chunk").asc_nulls_first()
-    before = Window.partitionBy(*keys).orderBy(ck).rowsBetween(Window.unboundedPreceding, -1)
-    s = s.select(*keys, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    d = join_on(d, s, [*keys, "_chunk"])
-    return d.withColumn(name, (F.col("_off") + F.col("_lr") - 1).cast("long")).drop("_chunk", "_off", "_lr")
+    o = [F.col(c) for c in order] + [_row_hash(df, [*keys, *order])]
+    o = [c.desc_nulls_last() if descending else c.asc_nulls_first() for c in o]
+    by = [*[F.col(k).asc_nulls_first() for k in keys], *o]
+    # the id holds the partition number in its upper bits, the row number in the lower 33
+    d = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_row", F.monotonically_increasing_id())
+    d = materialize(d.withColumn("_part", F.shiftright("_row", 33)))
+    s = d.groupBy(*keys, "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    s = s.select(*keys, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    d = join_on(d, s, [*keys, "_part"])
+    return d.withColumn(name, (F.col("_row") + F.col("_shift")).cast("long")).drop("_row", "_part", "_shift")
+
+
+def percentiles_by_rank(df: DataFrame, keys, value: str, qs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Exact percentiles per series with linear interpolation, one row per
+    series (``keys`` empty: one row).  The two ranks around ``q * (n - 1)``
+    are picked from the rows' positions, so no task holds the values of a
+    series.  Nulls are ignored; a series of nulls has no row, an empty table
+    without keys gives one row of nulls.
+    """
+    keys = as_list(keys)
+    d = with_position(df.select(*keys, value).filter(F.col(value).isNotNull()), keys, [value], name="_rank")
+    n = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    at = [F.lit(float(q)) * (F.col("_n") - 1) for q in qs]
+    wanted = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(a), F.ceil(a)) for a in at])))
+    need = n.select(*keys, "_n", F.explode(wanted).alias("_rank"))
+    got = join_on(need, d, [*keys, "_rank"])
+    g = got.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("_rank") == end(a), F.col(value))).alias(f"_{side}{i}")
+        for i, a in enumerate(at) for side, end in (("lo", F.floor), ("hi", F.ceil))], F.max("_n").alias("_n"))
+    return g.select(*keys, *[
+        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (a - F.floor(a))).cast("double").alias(x)
+        for i, (a, x) in enumerate(zip(at, names))])
 
 
 def with_block(df: DataFrame, halo: int = 0, block: int = DEFAULT_BLOCK, pos: str = POS) -> DataFrame:

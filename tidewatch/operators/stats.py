@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.scalar import directional_flag
 from tidewatch.operators.ewma import ew_std_expr, scaled_expr, scaler_stats
 from tidewatch.operators.sequence import (DEFAULT_BLOCK, POS, as_list, join_on,
-                                          series_windowed)
+                                          percentiles_by_rank, series_windowed)
 
 
 def attach_by_key(df: DataFrame, stats: DataFrame, keys) -> DataFrame:
@@ -70,18 +70,11 @@ def ew_std(df: DataFrame, keys, time: str, value: str, span: int, *, shift: int
 
 
 def series_percentiles(df: DataFrame, keys, value: str, qs: Sequence[float],
-                       names: Sequence[str] | None = None, *, approx: bool = False,
-                       accuracy: int = 1_000_000) -> DataFrame:
-    """Per-series percentiles with linear interpolation (exact), or
-    ``percentile_approx`` with bounded memory when ``approx``."""
-    keys = as_list(keys)
+                       names: Sequence[str] | None = None) -> DataFrame:
+    """Exact per-series percentiles with linear interpolation, by rank (see
+    :func:`~tidewatch.operators.sequence.percentiles_by_rank`)."""
     names = list(names or [f"p{int(round(q * 100)):02d}" for q in qs])
-    if approx:
-        arr = F.percentile_approx(value, list(qs), accuracy)
-    else:
-        arr = F.percentile(value, F.array(*[F.lit(float(q)) for q in qs]))
-    d = df.groupBy(*keys).agg(arr.alias("_q"))
-    return d.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    return percentiles_by_rank(df, keys, value, qs, names)
 
 
 def trim_tails(df: DataFrame, keys, value: str, keep_percent: float) -> DataFrame:

@@ -883,7 +883,7 @@ _DEV = ("sqrt(list_reduce(list_transform(x, lambda v: (v - list_reduce(x, lambda
         "(v - list_reduce(x, lambda a, b: a + b) / len(x))), lambda a, b: a + b))")
 _SC = f"""{_LV},
 sc AS (SELECT *, {_DEV} AS score FROM vec),
-th AS (SELECT quantile_disc(score, 0.99) AS threshold FROM sc),
+th AS (SELECT quantile_cont(score, 0.99) AS threshold FROM sc),
 fl AS (SELECT sc.*, th.threshold, sc.score > th.threshold AS is_outlier FROM sc, th)"""
 
 
@@ -917,12 +917,12 @@ def q_score_histogram(spark, sf_dir):
 @register("slice_profile", f"""WITH {_SC},
 e AS (SELECT is_outlier, unnest(x) AS v, generate_subscripts(x, 1) - 1 AS pos FROM fl)
 SELECT is_outlier, CAST(pos AS INTEGER) AS pos, {S.rnd('avg(v)', 6)} AS mean, {S.rnd('stddev_pop(v)', 6)} AS std,
-       quantile_disc(v, 0.1) AS p10, quantile_disc(v, 0.9) AS p90, count(*) AS n
+       {S.rnd('quantile_cont(v, 0.1)', 6)} AS p10, {S.rnd('quantile_cont(v, 0.9)', 6)} AS p90, count(*) AS n
 FROM e GROUP BY is_outlier, pos""")
 def q_slice_profile(spark, sf_dir):
     from tidewatch.operators.report import slice_profile, with_outlier_flag
     d = slice_profile(with_outlier_flag(_dev_scores(spark, sf_dir), 99))
-    return d.select("is_outlier", "pos", r("mean"), r("std"), "p10", "p90", "n")
+    return d.select("is_outlier", "pos", r("mean"), r("std"), r("p10"), r("p90"), "n")
 
 
 _HASH_SQL = "(l_suppkey * 7919 + slice_start * 104729) % 1000003"
