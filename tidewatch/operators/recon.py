@@ -159,7 +159,8 @@ class ReconstructionModel:
 
     def _threshold(self, df: DataFrame, col: str) -> float:
         q = self.threshold_percentile / 100
-        scored = self._with_score(df.select(col), col, "s").select("s")
+        # written first: the null filter of the ranks would inline the whole residual expression
+        scored = materialize(self._with_score(df.select(col), col, "s").select("s"))
         return float(percentiles_by_rank(scored, [], "s", [q], ["threshold"]).first()[0])
 
     def score(self, df: DataFrame, col: str = "x") -> DataFrame:
