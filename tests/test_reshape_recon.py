@@ -53,3 +53,58 @@ def test_model_update_equals_joint_fit_and_roundtrip(spark, tmp_path):
     # PCA residual: with k = d the reconstruction is exact
     full = ReconstructionModel.fit(df, "x", k=6, scaler="standard")
     assert full.score(df).agg(F.max("score")).first()[0] < 1e-9
+
+
+def test_model_of_long_slices_and_odd_rows(spark):
+    rng = np.random.default_rng(1)
+    base = rng.normal(size=(150, 3)) @ rng.normal(size=(3, 200)) + 5.0
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(base)]
+    odd = [(1000, None), (1001, []), (1002, [1.0] * 199), (1003, [None] + [1.0] * 199), (1004, [9.0] * 200)]
+    df = spark.createDataFrame(rows, "id long, x array<double>").repartition(5)
+    m = ReconstructionModel.fit(df.unionAll(spark.createDataFrame(odd[:4], df.schema)), "x", k=3, scaler="standard")
+    assert m.d == 200 and m.n == 150
+    x = (base - m.scale_center) / m.scale_div
+    assert np.allclose(m.gram, x.T @ x) and np.allclose(m.sums, x.sum(axis=0))
+    got = {r.id: r for r in m.score(spark.createDataFrame(odd, df.schema)).collect()}
+    assert all(got[i].score is None and got[i].is_anomaly is False for i in (1000, 1001, 1002, 1003))
+    assert got[1004].is_anomaly and m.score(df).agg(F.max("score")).first()[0] < 1e-6
+
+
+def test_training_runs_are_versioned_and_stream_scores_equal_batch(spark, tmp_path):
+    from tidewatch.operators.recon import load_model_version, model_versions, train_and_log
+    from tidewatch.streaming.jobs import run_available, stream_score_slices
+    u = S.user_events(spark, SF0)
+    root = str(tmp_path / "models")
+    kw = dict(tiebreak=["event_id"], length=8, shift=4, k=2)
+    first, _ = train_and_log(u, "user_id", "ts", "value", root, run_id="a", **kw)
+    second, scored = train_and_log(u, "user_id", "ts", "value", root, run_id="b", **kw)
+    assert (first.version, second.version) == (1, 2) and model_versions(spark, root) == [1, 2]
+    assert load_model_version(spark, root) == second and load_model_version(spark, root, 1) == first
+    log = spark.read.parquet(f"{root}/runs").orderBy("version").collect()
+    assert [r.run_id for r in log] == ["a", "b"] and log[0].n == scored.count() and log[0].histogram
+    assert log[0].n_anomalies == scored.filter("is_anomaly").count()
+    scored.select("user_id", "slice_start", "x").repartition(3).write.parquet(str(tmp_path / "slices"))
+    sdf = (spark.readStream.schema("user_id long, slice_start long, x array<double>").option("maxFilesPerTrigger", 1)
+           .parquet(str(tmp_path / "slices")))
+    got = run_available(stream_score_slices(sdf, load_model_version(spark, root)), "slices")
+    show = lambda d: sorted((r.user_id, r.slice_start, round(r.score, 9), r.is_anomaly) for r in d.collect())
+    assert show(got) == show(scored)
+
+
+def test_split_slices_by_series_and_user_model(spark):
+    from tidewatch.operators.recon import fit_and_score, split_slices
+    df = spark.createDataFrame([(f"k{i % 50}", i) for i in range(400)] + [(None, 1), (None, 2)], "k string, s int")
+    got = split_slices(df, "k", 0.3)
+    assert got.groupBy("k").agg(F.countDistinct("is_validation").alias("n")).filter("n > 1").count() == 0
+    part = got.filter("is_validation").select("k").distinct().count()
+    assert 5 <= part <= 25
+
+    class Mean:
+        def fit(self, d):
+            self.mean = d.agg(F.avg("s")).first()[0]
+
+        def transform(self, d):
+            return d.withColumn("score", F.abs(F.col("s") - self.mean))
+
+    out = fit_and_score(Mean(), got.filter("NOT is_validation"), got.filter("is_validation"))
+    assert out.count() == got.filter("is_validation").count() and out.filter("score IS NULL").count() == 0

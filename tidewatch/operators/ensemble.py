@@ -21,13 +21,16 @@ from tidewatch.operators.kde import kde_detect
 from tidewatch.operators.reshape import min_points as _min_points
 from tidewatch.operators.sequence import as_list, join_on
 
-# defaults of the two grouped runtimes (KDE+EWMA, KDE+EWMA+ARMA)
+# Defaults of the two runtimes (KDE+EWMA, KDE+EWMA+ARMA), which
+# fit on all rows of a series and test only its newest ones.
 KDE_EWMA_DEFAULTS = {
     "min_training_points": 10, "filter_percentile": 99, "threshold_percentile": 99,
-    "anomaly_direction": "low", "recent_window_size": 1, "window": 100, "no_of_stds": 3.0,
-    "n_shift": 1, "scaler": None, "min_std_ratio": 0.01, "use_weighted_std": False, "bandwidth": 0.5,
+    "anomaly_direction": "low", "kde_new": ("tail", 1), "recent_window_size": 1, "window": 100,
+    "no_of_stds": 3.0, "n_shift": 1, "scaler": None, "min_std_ratio": 0.01, "use_weighted_std": False,
+    "bandwidth": 0.5,
 }
-ENSEMBLE3_DEFAULTS = dict(KDE_EWMA_DEFAULTS, threshold_percentile=95, arima_level=0.995, arima_horizon=1)
+ENSEMBLE3_DEFAULTS = dict(KDE_EWMA_DEFAULTS, threshold_percentile=95, arima_level=0.995, arima_horizon=1,
+                          arima_direction="low")
 
 
 def detector_flags(df: DataFrame, keys, time: str, value: str, name: str, *, tiebreak=(),
@@ -52,7 +55,8 @@ def detector_flags(df: DataFrame, keys, time: str, value: str, name: str, *, tie
         d = arma11_forecast_detect(df, keys, time, value, horizon=p.get("arima_horizon", 1),
                                    level=p.get("arima_level", 0.995),
                                    direction=p.get("arima_direction", p.get("anomaly_direction", "low")),
-                                   freq=p.get("arima_freq"), fill_method=p.get("arima_fill", "ffill"))
+                                   freq=p.get("arima_freq"), fill_method=p.get("arima_fill", "ffill"),
+                                   differences=p.get("arima_differences", 0))
         hit = d.filter("is_anomaly").select(*keys, time).distinct()
         # the forecaster keeps no tie-break: a flagged time flags all its rows
         d = join_on(df, hit, [*keys, time], "left_semi")
@@ -89,6 +93,17 @@ def ensemble(df: DataFrame, keys, time: str, value: str, *, detectors: Sequence[
     return out.withColumn("is_outlier", F.coalesce(F.col("_votes"), F.lit(0)) >= need).drop("_votes")
 
 
+def ensemble_runtime(df: DataFrame, keys, time: str, value: str, *, detectors: Sequence[str] = ("kde", "ewma"),
+                     tiebreak=(), params: dict | None = None) -> DataFrame:
+    """The ensemble as it runs on arrival of new data: every detector fits
+    on a whole series and tests its newest row.  ``params`` override the
+    defaults of the runtime; series with fewer than ``min_training_points``
+    rows give nothing."""
+    p = {**(ENSEMBLE3_DEFAULTS if "arma" in detectors else KDE_EWMA_DEFAULTS), **(params or {})}
+    return ensemble(df, keys, time, value, detectors=detectors, tiebreak=tiebreak, params=p,
+                    min_points=p["min_training_points"])
+
+
 def run_metrics(base: DataFrame, anomalies: DataFrame, keys, *, detectors: Sequence[str],
                 params: dict | None = None, run_id: str = "") -> DataFrame:
     """One row per series: points, anomalies per detector and in total, the

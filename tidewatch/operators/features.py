@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.scalar import log1p_clamped
-from tidewatch.operators.sequence import (DEFAULT_BLOCK, POS, as_list, ffill_blocked,
+from tidewatch.operators.sequence import (DEFAULT_BLOCK, POS, as_list, ffill_blocked, join_on,
                                           series_windowed, with_position)
 
 STEP_ORDER = ("hourly", "incr", "log", "fill")
@@ -82,18 +82,25 @@ def ffill_zeros(df: DataFrame, keys, time: str, columns: Sequence[str], *, tiebr
 
 
 def forward_fill(df: DataFrame, keys, time: str, columns: Sequence[str], *, tiebreak=(),
-                 fallback_excludes_zero: bool = False, block: int = DEFAULT_BLOCK) -> DataFrame:
+                 fallback_excludes_zero: bool = False, scope: str = "global",
+                 block: int = DEFAULT_BLOCK) -> DataFrame:
     """:func:`ffill_zeros` plus a fallback for leading gaps: the mean of the
-    column over all rows (zeros counted unless ``fallback_excludes_zero``).
+    column over all rows, or with ``scope="entity"`` over the rows of the
+    series (zeros counted unless ``fallback_excludes_zero``).
 
-    The means form a one-row table joined by broadcast (size 1 row), so the
-    plan stays lazy — no driver round trip.
+    Global means form a one-row table joined by broadcast, so they make no
+    driver round trip; means per series are joined on the keys.
     """
+    if scope not in ("global", "entity"):
+        raise ValueError(f"unknown scope {scope!r}")
     columns = list(columns)
-    means = df.agg(*[F.avg(F.nullif(F.col(c), F.lit(0)) if fallback_excludes_zero else F.col(c))
-                     .alias(f"_mean_{i}") for i, c in enumerate(columns)])
+    aggs = [F.avg(F.nullif(F.col(c), F.lit(0)) if fallback_excludes_zero else F.col(c)).alias(f"_mean_{i}")
+            for i, c in enumerate(columns)]
     d = ffill_zeros(df, keys, time, columns, tiebreak=tiebreak, block=block)
-    d = d.crossJoin(F.broadcast(means))
+    if scope == "global":
+        d = d.crossJoin(F.broadcast(df.agg(*aggs)))
+    else:
+        d = join_on(d, df.groupBy(*as_list(keys)).agg(*aggs), as_list(keys), "left")
     d = d.withColumns({c: F.coalesce(F.col(c), F.col(f"_mean_{i}")) for i, c in enumerate(columns)})
     return d.drop(*[f"_mean_{i}" for i in range(len(columns))])
 

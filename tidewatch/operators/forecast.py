@@ -143,30 +143,50 @@ def ar_forecast_detect(df: DataFrame, keys, time: str, value: str, *, horizon: i
 
 def arma11_forecast_detect(df: DataFrame, keys, time: str, value: str, *, horizon: int = 1,
                            level: float = 0.995, direction: str = "low", freq=None,
-                           fill_method: str | None = "ffill") -> DataFrame:
-    """ARMA(1,1) with constant by Hannan–Rissanen (AR(2) innovations)."""
+                           fill_method: str | None = "ffill", differences: int = 0) -> DataFrame:
+    """ARMA(1,1) with constant by Hannan–Rissanen (AR(2) innovations), of
+    the values or, with ``differences=1``, of their first differences
+    (ARIMA(1,1,1) with drift), whose forecasts are summed up from the last
+    training value."""
+    if differences not in (0, 1):
+        raise ValueError("differences must be 0 or 1")
     keys = as_list(keys)
     z = z_value(level)
     d = split_horizon(prepare_series(df, keys, time, value, freq=freq, fill_method=fill_method),
                       keys, time, horizon)
     train = d.filter(F.col("step").isNull())
-    lags = series_windowed(train, keys, [time], 2,
-                           lambda w: {"_x1": F.lag(value, 1).over(w), "_x2": F.lag(value, 2).over(w)})
-    s1 = _fit(lags, keys, value, ["_x1", "_x2"], "a_").select(*keys, "a_c", "a_b1", "a_b2")
+    lags = series_windowed(train, keys, [time], 2 + differences,
+                           lambda w: {f"_v{i}": F.lag(value, i).over(w) for i in range(1, 3 + differences)})
+    v = [F.col(value), *[F.col(f"_v{i}") for i in range(1, 3 + differences)]]
+    if differences:
+        v = [a - b for a, b in zip(v, v[1:])]
+    lags = lags.withColumns({"_w": v[0], "_x1": v[1], "_x2": v[2]})
+    s1 = _fit(lags, keys, "_w", ["_x1", "_x2"], "a_").select(*keys, "a_c", "a_b1", "a_b2")
     lags = attach_by_key(lags, s1, keys)
-    lags = lags.withColumn("_e", F.col(value) - F.col("a_c") - F.col("a_b1") * F.col("_x1")
+    lags = lags.withColumn("_e", F.col("_w") - F.col("a_c") - F.col("a_b1") * F.col("_x1")
                            - F.col("a_b2") * F.col("_x2"))
     lags = series_windowed(lags.drop("a_c", "a_b1", "a_b2"), keys, [time], 1,
                            lambda w: {"_e1": F.lag("_e", 1).over(w)})
-    fit = _fit(lags, keys, value, ["_x1", "_e1"], "h_")
+    fit = _fit(lags, keys, "_w", ["_x1", "_e1"], "h_")
     fit = fit.withColumn("_sig", _sigma(F.col("h_sse"), F.col("h_n") - 3))
-    last = lags.groupBy(*keys).agg(F.max_by(value, time).alias("_yT"), F.max_by("_e", time).alias("_eT"))
+    last = lags.groupBy(*keys).agg(F.max_by("_w", time).alias("_wT"), F.max_by("_e", time).alias("_eT"),
+                                   F.max_by(value, time).alias("_yT"))
     fit = attach_by_key(fit, last, keys)
     test = attach_by_key(d.filter(F.col("step").isNotNull()), fit, keys)
     phi, theta, k = F.col("h_b1"), F.col("h_b2"), F.col("step")
-    one = F.col("h_c") + phi * F.col("_yT") + theta * F.col("_eT")
-    fc = F.col("h_c") * _geo(phi, k - 1) + F.pow(phi, k - 1) * one
-    var = F.pow(F.col("_sig"), 2) * (1 + F.pow(phi + theta, 2) * _geo(phi * phi, k - 1))
+    one = F.col("h_c") + phi * F.col("_wT") + theta * F.col("_eT")
+
+    def at(i: Column) -> Column:
+        return F.col("h_c") * _geo(phi, i - 1) + F.pow(phi, i - 1) * one
+
+    if differences:
+        zero, add = F.lit(0.0), lambda a, x: a + x
+        fc = F.col("_yT") + F.aggregate(F.transform(F.sequence(F.lit(1), k.cast("int")), at), zero, add)
+        psi = F.transform(F.sequence(F.lit(0), k.cast("int") - 1), lambda i: F.pow(1 + (phi + theta) * _geo(phi, i), 2))
+        var = F.pow(F.col("_sig"), 2) * F.aggregate(psi, zero, add)
+    else:
+        fc = at(k)
+        var = F.pow(F.col("_sig"), 2) * (1 + F.pow(phi + theta, 2) * _geo(phi * phi, k - 1))
     test = (test.withColumn("forecast", fc)
                 .withColumn("lo", F.col("forecast") - z * F.sqrt(var))
                 .withColumn("hi", F.col("forecast") + z * F.sqrt(var)))

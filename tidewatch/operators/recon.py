@@ -11,16 +11,18 @@ Training is a single distributed aggregation of *sufficient statistics*
 the data volume).  Only that small matrix reaches the driver, where it is
 eigen-decomposed.  Because the statistics add up, :meth:`update` (warm
 start on new data) equals a fit on the union of old and new slices.
-Scoring is a pure Column expression with the components as literals.
+Statistics and scores are matrix products over Arrow batches, so slices of
+hundreds of values cost no more plan than short ones.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.operators.sequence import as_list, percentiles_by_rank
@@ -40,10 +42,6 @@ def slices_to_vectors(sliced: DataFrame, keys, time: str, value: str, *, tiebrea
     return g.filter(F.size(out) == length) if length else g
 
 
-def _lit_array(v) -> Column:
-    return F.array(*[F.lit(float(a)) for a in v])
-
-
 @dataclass
 class ReconstructionModel:
     d: int
@@ -77,26 +75,48 @@ class ReconstructionModel:
             return float(r[0]), float(rng)
         raise ValueError(f"unknown scaler {scaler!r}")
 
-    def _elements(self, col: str) -> list[Column]:
-        """Scaled slice values as d plain columns (cheap element access;
-        no array expression re-evaluated per aggregate)."""
-        c, s = self.scale_center, self.scale_div
-        return [((F.col(col)[i] - F.lit(c)) / F.lit(s)) for i in range(self.d)]
+    def _matrix(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(usable, scaled): which slices have ``d`` values, none missing,
+        and those as a matrix."""
+        flat = column.flatten().cast(pa.float64())
+        size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        ok = size == self.d
+        x = flat.to_numpy(zero_copy_only=False)[np.repeat(ok, size)].reshape(-1, self.d)
+        whole = ~np.isnan(x).any(axis=1)
+        ok[ok] = whole
+        return ok, (x[whole] - self.scale_center) / self.scale_div
 
     def _stats(self, df: DataFrame, col: str):
-        d = df.select(*[e.alias(f"_x{i}") for i, e in enumerate(self._elements(col))])
-        x = [F.col(f"_x{i}") for i in range(self.d)]
-        aggs = [F.count(F.lit(1)).alias("n")]
-        aggs += [F.sum(x[i]).alias(f"s{i}") for i in range(self.d)]
-        aggs += [F.sum(x[i] * x[j]).alias(f"g{i}_{j}") for i in range(self.d) for j in range(i, self.d)]
-        r = d.agg(*aggs).first().asDict()
-        n = int(r["n"])
-        s = np.array([r[f"s{i}"] or 0.0 for i in range(self.d)])
-        g = np.zeros((self.d, self.d))
-        for i in range(self.d):
-            for j in range(i, self.d):
-                g[i, j] = g[j, i] = r[f"g{i}_{j}"] or 0.0
-        return n, s, g
+        """``n, sum(x), sum(x x^T)``: one matrix product per batch, one row
+        per partition, summed over ever fewer partitions to a single row."""
+        d = self.d
+
+        def product(batches):
+            n, s, g = 0, np.zeros(d), np.zeros((d, d))
+            for b in batches:
+                _, x = self._matrix(b.column(0))
+                n, s, g = n + len(x), s + x.sum(axis=0), g + x.T @ x
+            yield row(n, s, g)
+
+        def add(batches):
+            n, s, g = 0, np.zeros(d), np.zeros((d, d))
+            for b in batches:
+                for i in range(b.num_rows):
+                    n += b.column(0)[i].as_py()
+                    s += b.column(1)[i].values.to_numpy()
+                    g += b.column(2)[i].values.to_numpy().reshape(d, d)
+            yield row(n, s, g)
+
+        def row(n, s, g):
+            return pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([s], pa.list_(pa.float64())),
+                                               pa.array([g.ravel()], pa.list_(pa.float64()))], names=["n", "s", "g"])
+
+        kind = "n long, s array<double>, g array<double>"
+        rows = df.select(F.col(col).cast("array<double>").alias("x")).mapInArrow(product, kind)
+        for parts in (64, 1):
+            rows = rows.repartition(parts).mapInArrow(add, kind)
+        r = rows.first()
+        return r["n"], np.array(r["s"]), np.array(r["g"]).reshape(d, d)
 
     def _solve(self):
         s, g = np.array(self.sums), np.array(self.gram)
@@ -116,13 +136,19 @@ class ReconstructionModel:
     @classmethod
     def fit(cls, df: DataFrame, col: str = "x", *, k: int = 4, scaler="standard",
             threshold_percentile: float = 99.0) -> "ReconstructionModel":
+        """Fit on the slices of ``col``; their length is that of the longest
+        one, shorter ones and ones with a missing value take no part."""
         df = df.select(col)
         df = materialize(df)  # four passes below read it
-        d = len(df.first()[0])
-        c, s = cls.scaler_params(df, col, scaler)
+        d = df.agg(F.max(F.size(col))).first()[0]
+        if not d or d < 0:
+            raise ValueError("no slices to fit on")
+        c, s = cls.scaler_params(df.filter(F.size(col) == d), col, scaler)
         m = cls(d=d, k=min(k, d), scaler=scaler, scale_center=c, scale_div=s,
                 threshold_percentile=threshold_percentile)
         m.n, sums, gram = m._stats(df, col)
+        if not m.n:
+            raise ValueError("no slice without missing values")
         m.sums, m.gram = sums.tolist(), gram.tolist()
         m._solve()
         m.threshold = m._threshold(df, col)
@@ -143,23 +169,26 @@ class ReconstructionModel:
     # -- scoring ----------------------------------------------------------
     def _with_score(self, df: DataFrame, col: str, out: str = "score") -> DataFrame:
         """Residual norm after projecting the centred, scaled slice on the
-        components, as plain column arithmetic (components are literals)."""
-        d, comps = self.d, self.components
-        cen = [(e - F.lit(self.mean[i])).alias(f"_c{i}") for i, e in enumerate(self._elements(col))]
-        t = df.select("*", *cen)
-        c = [F.col(f"_c{i}") for i in range(d)]
-        proj = [sum((c[i] * F.lit(v[i]) for i in range(d)), F.lit(0.0)).alias(f"_p{j}")
-                for j, v in enumerate(comps)]
-        t = t.select("*", *proj)
-        p = [F.col(f"_p{j}") for j in range(len(comps))]
-        resid = [c[i] - sum((p[j] * F.lit(comps[j][i]) for j in range(len(comps))), F.lit(0.0))
-                 for i in range(d)]
-        score = F.sqrt(sum((r * r for r in resid), F.lit(0.0)))
-        return t.withColumn(out, score).drop(*[f"_c{i}" for i in range(d)], *[f"_p{j}" for j in range(len(comps))])
+        components, a batch of slices at a time; null for a slice of another
+        length or with a missing value."""
+        mean, comps = np.array(self.mean), np.array(self.components).reshape(-1, self.d)
+        df = df.drop(out)
+        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+        def score(batches):
+            for b in batches:
+                ok, x = self._matrix(b.column(b.num_columns - 1))
+                x = x - mean
+                got = np.full(b.num_rows, np.nan)
+                got[ok] = np.linalg.norm(x - (x @ comps.T) @ comps, axis=1)
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got, pa.float64(), mask=~ok)],
+                                                 names=[*b.schema.names[:-1], out])
+
+        return df.withColumn("_slice", F.col(col).cast("array<double>")).mapInArrow(score, f"{kinds}, `{out}` double")
 
     def _threshold(self, df: DataFrame, col: str) -> float:
         q = self.threshold_percentile / 100
-        # written first: the null filter of the ranks would inline the whole residual expression
+        # written first: ranking reads the scores twice
         scored = materialize(self._with_score(df.select(col), col, "s").select("s"))
         return float(percentiles_by_rank(scored, [], "s", [q], ["threshold"]).first()[0])
 
@@ -167,7 +196,7 @@ class ReconstructionModel:
         """Adds ``score, threshold, is_anomaly`` (strict ``>``)."""
         return (self._with_score(df, col)
                   .withColumn("threshold", F.lit(float(self.threshold)))
-                  .withColumn("is_anomaly", F.col("score") > F.col("threshold")))
+                  .withColumn("is_anomaly", F.coalesce(F.col("score") > F.col("threshold"), F.lit(False))))
 
     # -- persistence ------------------------------------------------------
     def to_json(self) -> str:
@@ -185,3 +214,80 @@ class ReconstructionModel:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "ReconstructionModel":
         return cls.from_json(spark.read.text(path).first()[0])
+
+
+# -- versioned models -------------------------------------------------------
+
+def model_versions(spark: SparkSession, root: str) -> list[int]:
+    """Versions of ``root`` that were written completely, in order."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(top)]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(n[8:]) for n in names if n.startswith("version=") and fs.exists(path(f"{root}/{n}/_SUCCESS")))
+
+
+def save_model_version(spark: SparkSession, model: ReconstructionModel, root: str) -> ReconstructionModel:
+    """Write the model as the next version under ``root`` (earlier versions
+    stay) and return it with its number."""
+    versions = model_versions(spark, root)
+    m = replace(model, version=(versions[-1] if versions else 0) + 1)
+    m.save(spark, f"{root}/version={m.version}")
+    return m
+
+
+def load_model_version(spark: SparkSession, root: str, version: int | str = "latest") -> ReconstructionModel:
+    versions = model_versions(spark, root)
+    n = versions[-1] if version == "latest" and versions else version
+    if n not in versions:
+        raise ValueError(f"no model version {version!r} under {root}")
+    return ReconstructionModel.load(spark, f"{root}/version={n}")
+
+
+# -- training runs ----------------------------------------------------------
+
+def split_slices(slices: DataFrame, keys, fraction: float = 0.2, *, seed: str = "split",
+                 flag: str = "is_validation") -> DataFrame:
+    """Mark about ``fraction`` of the series for validation, by a hash of
+    their keys: all slices of a series are on one side, so overlapping
+    slices never stand on both, and the split is the same in every run."""
+    text = F.concat_ws("\x1f", F.lit(seed), *[F.coalesce(F.col(k).cast("string"), F.lit("\x00")) for k in as_list(keys)])
+    draw = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+    return slices.withColumn(flag, draw < F.lit(float(fraction)))
+
+
+def fit_and_score(model, train: DataFrame, new: DataFrame) -> DataFrame:
+    """A user's own model in place of the reconstruction model: any object
+    with ``fit(df)``, which may return the fitted object, and
+    ``transform(df) -> DataFrame``."""
+    fitted = model.fit(train)
+    return (model if fitted is None else fitted).transform(new)
+
+
+def train_and_log(df: DataFrame, keys, time: str, value: str, root: str, *, length: int = 200, shift: int = 1,
+                  tiebreak=(), k: int = 4, scaler="standard", threshold_percentile: float = 99.0,
+                  bins: int = 30, run_id: str = "") -> tuple[ReconstructionModel, DataFrame]:
+    """Slice, fit, save the next version under ``root`` and append one row
+    to the run log ``root/runs``: parameters, threshold, summary of the
+    training scores and their histogram.  Returns (model, scored slices)."""
+    from tidewatch.operators.report import score_histogram, score_summary
+    from tidewatch.operators.reshape import slice_series
+    spark = df.sparkSession
+    sliced = slice_series(df, keys, time, length, shift, tiebreak=tiebreak)
+    x = materialize(slices_to_vectors(sliced, keys, time, value, tiebreak=tiebreak, length=length))
+    model = ReconstructionModel.fit(x, "x", k=k, scaler=scaler, threshold_percentile=threshold_percentile)
+    model = save_model_version(spark, model, root)
+    scored = materialize(model.score(x))
+    params = {"length": length, "shift": shift, "k": model.k, "scaler": scaler,
+              "threshold_percentile": threshold_percentile}
+    scores = scored.select("score").filter("score IS NOT NULL")
+    histogram = score_histogram(scores, bins).agg(F.sort_array(F.collect_list(F.struct("*"))).alias("bins"))
+    summary = score_summary(scores, threshold_percentile).drop("threshold")
+    run = summary.join(histogram).select(
+        F.lit(run_id).alias("run_id"), F.lit(model.version).alias("version"), F.current_timestamp().alias("logged_at"),
+        F.lit(json.dumps(params, sort_keys=True)).alias("params"), F.lit(float(model.threshold)).alias("threshold"),
+        "n", "n_anomalies", "mean", "std", F.to_json("bins").alias("histogram"))
+    run.write.mode("append").parquet(f"{root}/runs")
+    return model, scored

@@ -84,6 +84,20 @@ def split_range(df: DataFrame, keys, time: str, lo: int, hi: int | None, *, tieb
     return d.withColumn(flag, cond).drop(POS, *(["_rpos"] if n is not None else []))
 
 
+def split_positions(df: DataFrame, keys, time: str, positions: Sequence[int], *, tiebreak=(),
+                    flag: str = "in_list") -> DataFrame:
+    """Mark the rows at the listed 0-based positions of each series
+    (negative ones count from its end)."""
+    keys, order = as_list(keys), [time, *as_list(tiebreak)]
+    d = with_position(df, keys, order)
+    hit = F.col(POS).isin([p for p in positions if p >= 0])
+    back = [-1 - p for p in positions if p < 0]
+    if back:
+        d = with_position(d, keys, order, descending=True, name="_rpos")
+        hit = hit | F.col("_rpos").isin(back)
+    return d.withColumn(flag, hit).drop(POS, "_rpos")
+
+
 def recent_only(df: DataFrame, keys, time: str, n: int, *, tiebreak=()) -> DataFrame:
     """Keep the last ``n`` rows of each series."""
     return split_tail(df, keys, time, n, tiebreak=tiebreak, flag="_keep").filter("_keep").drop("_keep")

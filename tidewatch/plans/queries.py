@@ -250,6 +250,16 @@ def q_forward_fill(spark, sf_dir):
     return d.withColumn("value", F.round("value", 6))
 
 
+@register("forward_fill_entity", f"""WITH u AS ({S.U0_SQL})
+SELECT user_id, ts, event_id, event_type,
+       {S.rnd(f'coalesce({_FFILL_SQL}, avg(nullif(value, 0)) OVER (PARTITION BY user_id))', 6)} AS value FROM u""")
+def q_forward_fill_entity(spark, sf_dir):
+    from tidewatch.operators.features import forward_fill
+    d = forward_fill(S.user_events_with_zeros(spark, sf_dir), "user_id", "ts", ["value"], tiebreak=["event_id"],
+                     fallback_excludes_zero=True, scope="entity")
+    return d.withColumn("value", F.round("value", 6))
+
+
 # ---------------------------------------------------------------------------
 # reshape
 # ---------------------------------------------------------------------------
@@ -305,6 +315,25 @@ def q_recent_only(spark, sf_dir):
     return recent_only(u, "user_id", "ts", 10, tiebreak=["event_id"])
 
 
+_RN_ASC = "row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)"
+
+
+@register("split_range", f"""SELECT user_id, ts, event_id, value,
+  ({_RN_DESC} <= 30 AND {_RN_DESC} > 5) AS in_range FROM events""")
+def q_split_range(spark, sf_dir):
+    from tidewatch.operators.reshape import split_range
+    u = S.user_events(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    return split_range(u, "user_id", "ts", -30, -5, tiebreak=["event_id"])
+
+
+@register("split_positions", f"""SELECT user_id, ts, event_id, value,
+  ({_RN_ASC} IN (1, 4) OR {_RN_DESC} = 1) AS in_list FROM events""")
+def q_split_positions(spark, sf_dir):
+    from tidewatch.operators.reshape import split_positions
+    u = S.user_events(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    return split_positions(u, "user_id", "ts", [0, 3, -1], tiebreak=["event_id"])
+
+
 @register("min_points", """SELECT user_id, ts, event_id, value FROM events
 WHERE user_id IN (SELECT user_id FROM events GROUP BY user_id HAVING count(*) >= 70)""")
 def q_min_points(spark, sf_dir):
@@ -666,6 +695,37 @@ def q_forecast_degenerate(spark, sf_dir):
                     "is_anomaly", "anomaly_type")
 
 
+def _arima111_sql(src: str, key: str, t: str, v: str, H: int, level: float, direction: str) -> str:
+    z = Z[level]
+    w = f"PARTITION BY {key} ORDER BY {t}"
+    step_fc = f"h_c * {_geo_sql('h_b1', 'i - 1')} + pow(h_b1, i - 1) * (h_c + h_b1 * wT + h_b2 * eT)"
+    step_psi = f"pow(1 + (h_b1 + h_b2) * {_geo_sql('h_b1', 'i')}, 2)"
+    return f"""WITH d AS (SELECT {key}, {t}, {v}, row_number() OVER (PARTITION BY {key} ORDER BY {t} DESC) - 1 AS rpos
+           FROM ({src}) q),
+l AS (SELECT *, lag({v}, 1) OVER ({w}) AS l1, lag({v}, 2) OVER ({w}) AS l2, lag({v}, 3) OVER ({w}) AS l3
+      FROM d WHERE rpos >= {H}),
+tr AS (SELECT *, {v} - l1 AS w, l1 - l2 AS x1, l2 - l3 AS x2 FROM l),
+s10 AS (SELECT {key}, {_ols_sql('w', ['x1', 'x2'], 'a_')} FROM tr
+        WHERE w IS NOT NULL AND x1 IS NOT NULL AND x2 IS NOT NULL GROUP BY 1),
+s1 AS (SELECT *, {_ols_solve_sql(2, 'a_')} FROM s10),
+e AS (SELECT tr.*, tr.w - s1.a_c - s1.a_b1 * tr.x1 - s1.a_b2 * tr.x2 AS e FROM tr JOIN s1 USING ({key})),
+e1 AS (SELECT *, lag(e, 1) OVER ({w}) AS e1 FROM e),
+s20 AS (SELECT {key}, {_ols_sql('w', ['x1', 'e1'], 'h_')} FROM e1
+        WHERE w IS NOT NULL AND x1 IS NOT NULL AND e1 IS NOT NULL GROUP BY 1),
+s2 AS (SELECT *, {_ols_solve_sql(2, 'h_')} FROM s20),
+fit AS (SELECT s2.*, sqrt(h_sse / (h_n - 3)) AS sig, z.wT, z.eT, z.yT FROM s2
+        JOIN (SELECT {key}, arg_max(w, {t}) AS wT, arg_max(e, {t}) AS eT, arg_max({v}, {t}) AS yT
+              FROM e1 GROUP BY 1) z USING ({key})),
+te AS (SELECT d.{key}, d.{t}, {H} - d.rpos AS step, d.{v}, fit.* EXCLUDE ({key}) FROM d JOIN fit USING ({key})
+       WHERE d.rpos < {H}),
+un AS (SELECT {key}, {t}, unnest(range(1, step + 1)) AS i, h_c, h_b1, h_b2, wT, eT FROM te),
+cum AS (SELECT {key}, {t}, sum({step_fc}) AS up FROM un GROUP BY ALL),
+pi AS (SELECT {key}, {t}, sum({step_psi}) AS wide FROM (SELECT * REPLACE (i - 1 AS i) FROM un) q GROUP BY ALL),
+fc AS (SELECT te.*, yT + up AS forecast, pow(sig, 2) * wide AS var FROM te JOIN cum USING ({key}, {t}) JOIN pi USING ({key}, {t})),
+b AS (SELECT *, forecast - {z} * sqrt(var) AS lo, forecast + {z} * sqrt(var) AS hi FROM fc)
+{_fc_out(key, t, v, direction, 'step, ')} FROM b"""
+
+
 def _arma_sql(prep: str, key: str, t: str, v: str, H: int, level: float, direction: str) -> str:
     z = Z[level]
     w = f"PARTITION BY {key} ORDER BY {t}"
@@ -702,6 +762,16 @@ def q_arma11_forecast_detect(spark, sf_dir):
                     "is_anomaly", "anomaly_type")
 
 
+@register("arima111_forecast_detect", _arima111_sql(S.L_SQL, "l_suppkey", "l_shipdate", "avg_qty", 4, 0.95, "both"))
+def q_arima111_forecast_detect(spark, sf_dir):
+    from tidewatch.operators.forecast import arma11_forecast_detect
+    l = S.supplier_daily(spark, sf_dir)
+    d = arma11_forecast_detect(l, "l_suppkey", "l_shipdate", "avg_qty", horizon=4, level=0.95, direction="both",
+                               differences=1)
+    return d.select("l_suppkey", "l_shipdate", "step", r("avg_qty"), r("forecast", 4), r("lo", 4), r("hi", 4),
+                    "is_anomaly", "anomaly_type")
+
+
 def _auto_sql(prep: str, key: str, t: str, v: str, level: float, direction: str) -> str:
     z = Z[level]
     candidates = [(0, 0), (1, 0), (2, 0), (0, 1), (1, 1), (2, 1)]       # (p, d)
@@ -806,6 +876,29 @@ def q_ensemble_kde_ewma_arma(spark, sf_dir):
     return _ens(spark, sf_dir, ["kde", "ewma", "arma"], "any")
 
 
+def _ens_runtime_sql() -> str:
+    src = S.L_SQL
+    kde = _kde_sql(src, "l_suppkey", "l_shipdate DESC", "avg_qty", 0.5, "all", ("tail", 1), 99, 80, "both",
+                   "l_suppkey, l_shipdate", "a.l_suppkey, a.l_shipdate, a.avg_qty")
+    ewma = _ewma_l_sql("avg_qty", 100, 1.0, "both", 4)
+    return f"""WITH s AS ({src}), newest AS (SELECT l_suppkey, max(l_shipdate) AS l_shipdate, count(*) AS n FROM s GROUP BY 1),
+kde AS ({kde}), ewma AS ({ewma})
+SELECT s.l_suppkey, s.l_shipdate, s.avg_qty, kde.l_suppkey IS NOT NULL AS is_outlier_kde,
+       ewma.l_suppkey IS NOT NULL AS is_outlier_ewma
+FROM s JOIN newest ON newest.l_suppkey = s.l_suppkey AND newest.l_shipdate = s.l_shipdate
+LEFT JOIN kde ON kde.l_suppkey = s.l_suppkey AND kde.l_shipdate = s.l_shipdate
+LEFT JOIN ewma ON ewma.l_suppkey = s.l_suppkey AND ewma.l_shipdate = s.l_shipdate
+WHERE newest.n >= 10 AND (kde.l_suppkey IS NOT NULL OR ewma.l_suppkey IS NOT NULL)"""
+
+
+@register("ensemble_runtime", _ens_runtime_sql())
+def q_ensemble_runtime(spark, sf_dir):
+    from tidewatch.operators.ensemble import ensemble_runtime
+    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_qty")
+    return ensemble_runtime(l, "l_suppkey", "l_shipdate", "avg_qty",
+                            params={"no_of_stds": 1.0, "threshold_percentile": 80, "anomaly_direction": "both"})
+
+
 def _run_metrics_sql() -> str:
     import json
     params = json.dumps(_ENS_PARAMS, sort_keys=True, default=str).replace("'", "''")
@@ -879,6 +972,53 @@ def q_slice_outliers(spark, sf_dir):
     return _recon_scores(spark, sf_dir).filter("is_anomaly")
 
 
+_GRAM_SQL = f"""{_LV},
+flat AS (SELECT unnest(x) AS v FROM vec),
+p AS (SELECT avg(v) AS mu, stddev_pop(v) AS sd FROM flat),
+sx AS (SELECT list_transform(x, lambda v: (v - p.mu) / p.sd) AS x FROM vec, p),
+ij AS (SELECT i, j FROM range(0, 24) a(i), range(0, 24) b(j) WHERE i <= j)"""
+
+
+def _l_model(spark, sf_dir):
+    from tidewatch.operators.recon import ReconstructionModel
+    from tidewatch.session import materialize
+    v = materialize(_l_vectors(spark, sf_dir))
+    return v, ReconstructionModel.fit(v, "x", k=4, scaler="standard", threshold_percentile=99)
+
+
+@register("recon_gram", f"""WITH {_GRAM_SQL}
+SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, {S.rnd('sum(x[i + 1] * x[j + 1])', 4)} AS g FROM sx, ij GROUP BY ALL""")
+def q_recon_gram(spark, sf_dir):
+    """Sufficient statistics of the reconstruction model (upper triangle)."""
+    m = _l_model(spark, sf_dir)[1]
+    g = spark.createDataFrame([(i, j, m.gram[i][j]) for i in range(m.d) for j in range(i, m.d)], "i int, j int, g double")
+    return g.select("i", "j", r("g", 4))
+
+
+@register("recon_variance", f"""WITH {_GRAM_SQL},
+mu AS (SELECT i, avg(x[i + 1]) AS m FROM sx, range(0, 24) a(i) GROUP BY i)
+SELECT (SELECT count(*) FROM sx) AS n, {S.rnd('sum(pow(x[i + 1] - m, 2))', 4)} AS total
+FROM sx JOIN mu ON true""")
+def q_recon_variance(spark, sf_dir):
+    """Residual variance plus the variance the components capture is the
+    total variance of the slices."""
+    import numpy as np
+    v, m = _l_model(spark, sf_dir)
+    mu, c = np.array(m.mean), np.array(m.components)
+    caught = float(np.trace(c @ (np.array(m.gram) - m.n * np.outer(mu, mu)) @ c.T))
+    total = F.sum(F.pow("score", F.lit(2.0))) + F.lit(caught)
+    return m.score(v).agg(F.count(F.lit(1)).alias("n"), F.round(total, 4).alias("total"))
+
+
+@register("split_slices", f"""WITH {_LV}
+SELECT l_suppkey, slice_start, series_id,
+       CAST(CAST('0x' || substr(md5('split' || chr(31) || l_suppkey), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 < 0.2
+       AS is_validation FROM vec""")
+def q_split_slices(spark, sf_dir):
+    from tidewatch.operators.recon import split_slices
+    return split_slices(_l_vectors(spark, sf_dir).drop("x"), "l_suppkey", 0.2)
+
+
 _DEV = ("sqrt(list_reduce(list_transform(x, lambda v: (v - list_reduce(x, lambda a, b: a + b) / len(x)) * "
         "(v - list_reduce(x, lambda a, b: a + b) / len(x))), lambda a, b: a + b))")
 _SC = f"""{_LV},

@@ -176,6 +176,12 @@ def stream_score(sdf: DataFrame, model: DataFrame, keys, value: str, *, k: float
     return j.withColumn("z", z).withColumn("is_anomaly", F.coalesce(F.abs(F.col("z")) > k, F.lit(False)))
 
 
+def stream_score_slices(sdf: DataFrame, model, col: str = "x") -> DataFrame:
+    """Scores of a stream of slices under a fitted (or loaded)
+    ``ReconstructionModel``; no state, no join."""
+    return model.score(sdf, col)
+
+
 def fit_zscore_model(df: DataFrame, keys, value: str) -> DataFrame:
     return df.groupBy(*as_list(keys)).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))
 
