@@ -107,6 +107,13 @@ def test_ball_edges_connect_all_pairs(spark, bits):
     assert all(mine.root(f) == true.root(f) for f in fps)
 
 
+def test_one_bit_links_between_buckets_with_smaller_members(spark):
+    from tidewatch.llm.simhash import ball_edges
+    # 12 and 13 meet only on themselves, where 4 and 9 are the smallest members
+    got = {frozenset(r) for r in ball_edges(spark.createDataFrame([(12,), (13,), (4,), (9,)], "fp long"), 1).collect()}
+    assert got == {frozenset(p) for p in [(12, 13), (12, 4), (13, 9)]}
+
+
 # --- 2 ---------------------------------------------------------------------
 
 def test_warc_round_trip(spark, tmp_path):
@@ -425,6 +432,19 @@ def test_near_vectors_match_brute_force(spark):
 
 # --- pipeline --------------------------------------------------------------
 
+def test_pipeline_near_copies_without_ids(spark):
+    import corpus_pipeline as P
+    rng = random.Random(11)
+    a, b, c, d = (" ".join(words(rng, 300)) for _ in range(4))
+    rows = [(1, a), (2, a), (None, a), (3, b), (3, b), (None, c), (None, c), (None, d), (4, None), (5, "")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    whole = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], schema)
+    got = P.simhash_near_dedup(spark, whole.withColumn("fp", F.lit("clash")), "")
+    assert got.columns == P.COLUMNS
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(1, a), (3, b), (None, c), (None, d), (4, None)])
+    assert P.simhash_near_dedup(spark, whole.limit(0), "").count() == 0
+
+
 def test_pipeline_matches_brute_force(spark, tmp_path):
     import corpus_pipeline as P
     from tokenizers import Tokenizer

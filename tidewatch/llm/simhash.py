@@ -92,10 +92,15 @@ def ball_edges(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     Every edge is verified; every pair within ``max_bits`` is joined by a
     path of such edges.  With radius 1 the fingerprints that meet on a
     variant are the variant itself or differ from it in one bit, so a
-    bucket is one 64-bit set of bits and aggregates without lists.
+    bucket is one 64-bit set of bits and aggregates without lists.  For one
+    bit a link runs between a variant that is a fingerprint itself and those
+    that made it.
     """
     variants = ball(fps, (max_bits + 1) // 2)
-    if max_bits <= 2:
+    if max_bits == 1:
+        own = fps.select(F.col("fp").alias("a"))
+        pairs = own.join(variants.filter("m != 0").select(F.col("v").alias("a"), F.col("fp").alias("b")), "a")
+    elif max_bits <= 2:
         met = variants.groupBy("v").agg(F.bit_or("m").alias("bits"), F.min(F.col("m") != 0).alias("apart"))
         met = met.filter(F.bit_count("bits") + F.when(F.col("apart"), 0).otherwise(1) > 1)
         flips = F.filter(F.lit(_masks(1)[1:]).cast("array<bigint>"), lambda m: m.bitwiseAND(F.col("bits")) != 0)
@@ -113,11 +118,11 @@ def ball_edges(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS) -> DataFrame:
-    """One row (id, fp, component_id) per row of ``docs``.
+    """One row (id, fp, component_id, label) per row of ``docs``.
 
     ``component_id`` is the smallest id of a row whose fingerprint can be
     reached over links of at most ``max_bits`` differing bits (the row's own
-    included).  Null and wordless texts have fingerprint 0, which links like
+    included), ``label`` the smallest such fingerprint.  Null and wordless texts have fingerprint 0, which links like
     any other.  Rows with a null id are kept and take part in linking; a
     component of null ids only has a null ``component_id``.  Repeated rows
     each keep their row.  Other columns are ignored; an empty table gives an
@@ -131,5 +136,5 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", shi
     named = classes.join(cc.withColumnRenamed("node", "fp"), "fp", "left")
     named = named.select("fp", "lo", F.coalesce("label", "fp").alias("label"))
     least = named.groupBy("label").agg(F.min("lo").alias("component_id"))
-    label = scratch.save(named.join(least, "label").select("fp", "component_id"), "labels")
-    return fp.join(label, "fp").select("id", "fp", "component_id")
+    label = scratch.save(named.join(least, "label").select("fp", "component_id", "label"), "labels")
+    return fp.join(label, "fp").select("id", "fp", "component_id", "label")
