@@ -430,6 +430,28 @@ def test_near_vectors_match_brute_force(spark):
     assert near_vectors(df.limit(0)).count() == 0
 
 
+def test_near_vectors_recall_of_several_graphs(spark):
+    """A hot group of near copies must not hide missed links of other pairs,
+    and a link that one end finds counts for both."""
+    from tidewatch.llm.embedding_dedup import near_vectors
+    rng = np.random.default_rng(3)
+    n, hot = 8000, 1500
+    x = rng.normal(size=(n, 64))
+    x[:hot] = x[0] + rng.normal(size=(hot, 64)) * 0.14
+    m = (n - hot) // 3
+    x[hot + m:hot + 2 * m] = x[hot:hot + m] + rng.normal(size=(m, 64)) * 0.2
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    report = {}
+    got = {r.id: r.n_links for r in near_vectors(df, shard_rows=3000, report=report).collect()}
+    y = x.astype(float)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    near = y @ y.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert np.array_equal([got[i] for i in range(n)], near.sum(axis=1))
+    assert report["shards"] == 3 and report["audit_true"] > 0 and report["audit_recall"] >= 0.995
+
+
 # --- pipeline --------------------------------------------------------------
 
 def test_pipeline_near_copies_without_ids(spark):

@@ -7,23 +7,31 @@ queries every shard, in groups of bounded size.  A group widens its beam
 
 * for each query whose beam is filled with links, until it is not, and
 * as a whole, when an audit of some of its queries against all vectors of
-  the shard finds less than ``recall`` of their links.  The widest beam is a
-  scan of the shard, so the audit always passes in the end.
+  the shard finds less than ``recall`` of the links of any one of them (hits
+  on the query itself are no links).  The widest beam is a scan of the
+  shard, so the audit always passes in the end.
 
 A shard holds ``SHARD_BYTES`` of vectors (65,536 of 64 components) unless
 ``shard_rows`` says otherwise.  Similarities found are verified as cosines in double precision.  A group
-returns one link count per query and a spanning forest of its links, never
-the pairs, and the forests' components are united over all groups.
+returns link counts and a spanning forest of its links, never the pairs, and
+the forests' components are united over all groups.
+
+A link that only one of its ends finds counts for both: every group also
+returns an exclusive-or of its links' hashes, per query and per node found.
+Where the two differ for a vector and a shard, the links found from it are
+not those found towards it, and that vector scans that shard.
 """
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm._util import Scratch
+from tidewatch.llm._util import Scratch, mix64
 from tidewatch.llm.components import UnionFind, connected_components
 from tidewatch.llm.hnsw import Graph
 
@@ -35,6 +43,7 @@ AUDIT = 32
 RECALL = 0.995
 EF = 32
 _BLOCK = 256
+_PAIRS = 1 << 16
 _SLACK = 1e-5       # float32 similarities this far below the bound are verified too
 
 
@@ -65,36 +74,74 @@ def _links_of_block(graph: Graph, q: np.ndarray, bound: float, ef: int):
     return np.concatenate(out, axis=1)
 
 
-def shard_links(graph: Graph, x: np.ndarray, cosine: float, recall: float, ef: int = EF):
-    """Links (query index, node) between unit vectors ``x`` (float64) and a
-    shard, and the (found, true) links of the last audits."""
+def _audit(graph: Graph, q: np.ndarray, me: np.ndarray, bound: float, real, asker: np.ndarray):
+    """(found, true) links of the audited queries of a block: some of those
+    with a link to another vector (``asker``: the block's links) and a
+    spread over all."""
+    found = np.bincount(asker, minlength=len(q))
+    seen = np.flatnonzero(found)
+    linked = seen[:: max(1, len(seen) // (AUDIT // 2))][:AUDIT // 2]
+    spread = np.arange(0, len(q), max(1, len(q) // (AUDIT // 2)))[:AUDIT // 2]
+    sample = np.union1d(linked, spread)
+    r, c = np.nonzero(q[sample] @ graph.x.T >= bound)
+    r = sample[r]
+    ok = (c != me[r]) & real(r, c)
+    return found[sample], np.bincount(r[ok], minlength=len(q))[sample]
+
+
+def shard_links(graph: Graph, x: np.ndarray, cosine: float, recall: float, own: np.ndarray | None = None,
+                ef: int = EF):
+    """Links (query index, node) between unit vectors ``x`` (float64) and
+    other vectors of a shard, and the (found, true) links of the last audits.
+    ``own`` is the node of each query itself (-1: not in the shard); hits on
+    it are no links.  ``ef`` of the shard's size or more scans it."""
     base = graph.x.astype(np.float64)
     base /= np.sqrt(np.einsum("nd,nd->n", base, base))[:, None]
     q32, bound = x.astype(np.float32), cosine - _SLACK
-    links, audits = [], [0, 0]
+    own = np.full(len(x), -1) if own is None else own
+    links, audits = [np.empty((2, 0), np.int64)], [0, 0]
     for i in range(0, len(x), _BLOCK):
-        q, width = q32[i:i + _BLOCK], ef
+        q, me, width = q32[i:i + _BLOCK], own[i:i + _BLOCK], ef
+
+        def real(r, c):
+            ok = np.empty(len(r), bool)
+            for j in range(0, len(r), _PAIRS):
+                part = slice(j, j + _PAIRS)
+                ok[part] = np.einsum("nd,nd->n", x[i + r[part]], base[c[part]]) >= cosine
+            return ok
+
         while True:
-            got = _links_of_block(graph, q, bound, width)
-            seen = np.unique(got[0])
-            linked = seen[:: max(1, len(seen) // (AUDIT // 2))][:AUDIT // 2]
-            spread = np.arange(0, len(q), max(1, len(q) // (AUDIT // 2)))[:AUDIT // 2]
-            sample = np.union1d(linked, spread)
-            true = int((q[sample] @ graph.x.T >= bound).sum())
-            found = int(np.isin(got[0], sample).sum())
-            if found >= recall * true or 16 * width >= len(graph.x):
+            a, b = _links_of_block(graph, q, bound, width)
+            ok = (b != me[a]) & real(a, b)
+            a, b = a[ok], b[ok]
+            if 16 * width >= len(graph.x):      # scanned
+                break
+            found, true = _audit(graph, q, me, bound, real, a)
+            if (found >= recall * true).all():
+                audits[0] += int(found.sum())
+                audits[1] += int(true.sum())
                 break
             width *= 2
-        audits[0] += found
-        audits[1] += true
-        a, b = got
-        ok = np.einsum("nd,nd->n", x[i + a], base[b]) >= cosine
-        links.append(np.stack([i + a[ok], b[ok]]))
-    return (np.concatenate(links, axis=1) if links else np.empty((2, 0), np.int64)), tuple(audits)
+        links.append(np.stack([i + a, b]))
+    return np.concatenate(links, axis=1), tuple(audits)
+
+
+def _link_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One hash per link, the same from both ends."""
+    return mix64(np.minimum(a, b).astype(np.uint64), np.maximum(a, b).astype(np.uint64)).view(np.int64)
+
+
+def _forest(cls: np.ndarray, keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[list, list]:
+    """Nodes of the links (query ``a``, node ``b``) and their roots."""
+    uf = UnionFind()
+    for s, t in zip(cls[a].tolist(), keys[b].tolist()):
+        uf.join(s, t)
+    nodes = list(uf.up)
+    return nodes, [uf.root(x) for x in nodes]
 
 
 def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", cosine: float = COSINE,
-                 shard_rows: int | None = None, recall: float = RECALL) -> DataFrame:
+                 shard_rows: int | None = None, recall: float = RECALL, report: dict | None = None) -> DataFrame:
     """One row (id, n_links, component_id, kept) per row of ``vectors``.
 
     ``n_links`` counts the other rows linked directly (cosine at least
@@ -105,6 +152,12 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     link.  Rows with a null id count and link like others but are never the
     smallest id nor kept.  Repeated rows link with each other.  Other
     columns are ignored; an empty table gives an empty result.
+
+    ``report``, when given, receives ``audit_found`` and ``audit_true``
+    (links of the audited queries of blocks that a beam answered),
+    ``audit_recall`` (None without such links), ``shards`` and ``repaired``
+    (pairs of a vector and a shard scanned because a link was found from one
+    end only); the same goes to the log.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "embeddings")
@@ -118,7 +171,7 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     most = F.greatest(F.floor(F.lit(SHARD_BYTES) / (4 * F.col("dims"))), F.lit(1)) if shard_rows is None else F.lit(shard_rows)
     counts = classes.groupBy("dims").agg(F.count("*").alias("c")).select(
         "dims", F.ceil(F.col("c") / most).cast("int").alias("shards"),
-        F.ceil(F.col("c") / GROUP_ROWS).cast("int").alias("groups"))
+        F.ceil(F.col("c") / F.ceil(F.col("c") / most) / GROUP_ROWS).cast("int").alias("groups"))
     counts = scratch.save(counts, "counts")
     dealt = classes.join(counts, "dims").select(
         "cls", "n", "v", "dims", "shards", "groups", F.pmod(F.xxhash64("cls"), F.col("shards")).cast("int").alias("shard"),
@@ -127,37 +180,75 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         g = Graph(_unit(pdf["v"]).astype(np.float32), pdf["cls"].to_numpy().astype(np.uint64))
         size = pdf.set_index("cls")["n"].loc[g.keys.astype(np.int64)].to_numpy()
-        return pd.DataFrame({"dims": pdf["dims"].iloc[:1], "shard": pdf["shard"].iloc[:1], "groups": pdf["groups"].iloc[:1],
+        return pd.DataFrame({"dims": pdf["dims"].iloc[:1], "shard": pdf["shard"].iloc[:1], "shards": pdf["shards"].iloc[:1],
+                             "groups": pdf["groups"].iloc[:1],
                              "graph": [g.dump()], "sizes": [size.astype(np.int64).tobytes()]})
 
     cores = max(1, spark.sparkContext.defaultParallelism)
-    graphs = (dealt.select("cls", "n", "v", "dims", "shard", "groups").repartition(4 * cores, "dims", "shard")
-              .groupBy("dims", "shard").applyInPandas(build, "dims int, shard int, groups int, graph binary, sizes binary"))
+    graphs = (dealt.select("cls", "n", "v", "dims", "shard", "shards", "groups").repartition(4 * cores, "dims", "shard")
+              .groupBy("dims", "shard").applyInPandas(build, "dims int, shard int, shards int, groups int, graph binary, sizes binary"))
     graphs = scratch.save(graphs, "graphs")
-    asked = dealt.select("cls", "v", "dims", "grp", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
-    held = graphs.select("dims", "shard", "graph", "sizes", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("grp"))
-
-    def query(q: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
-        graph, size = Graph.load(g["graph"].iloc[0]), np.frombuffer(g["sizes"].iloc[0], np.int64)
-        cls, keys = q["cls"].to_numpy(), graph.keys.astype(np.int64)
-        (a, b), (found, true) = shard_links(graph, _unit(q["v"]), cosine, recall)
-        other = cls[a] != keys[b]
-        a, b = a[other], b[other]
-        n = np.bincount(a, weights=size[b], minlength=len(cls)).astype(np.int64)
-        uf = UnionFind()
-        for s, t in zip(cls[a].tolist(), keys[b].tolist()):
-            uf.join(s, t)
-        nodes = list(uf.up)
-        some = np.flatnonzero(n)
-        return pd.concat([
-            pd.DataFrame({"kind": "count", "a": cls[some], "b": n[some]}),
-            pd.DataFrame({"kind": "edge", "a": nodes, "b": [uf.root(x) for x in nodes]}),
-            pd.DataFrame({"kind": "audit", "a": [found], "b": [true]})])
-
-    keys = ["dims", "shard", "grp"]
+    # the queries of a group live in one shard, ``home``, and ask one shard
+    asked = dealt.select("cls", "n", "v", "dims", F.col("shard").alias("home"), "grp",
+                         F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
+    held = graphs.select("dims", "shard", "shards", "groups", "graph", "sizes")
+    held = held.withColumn("home", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    held = held.withColumn("grp", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("shards", "groups")
+
+    def query(scan: bool):
+        def run(q: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
+            if not len(q) or not len(g):
+                return pd.DataFrame({"kind": [], "a": [], "b": [], "shard": [], "h": []})
+            graph, size = Graph.load(g["graph"].iloc[0]), np.frombuffer(g["sizes"].iloc[0], np.int64)
+            cls, keys = q["cls"].to_numpy(np.int64), graph.keys.astype(np.int64)
+            home, shard = int(g["home"].iloc[0]), int(g["shard"].iloc[0])
+            own = pd.Index(keys).get_indexer(cls)
+            (a, b), (found, true) = shard_links(graph, _unit(q["v"]), cosine, recall, own, len(keys) if scan else EF)
+            n = np.bincount(a, weights=size[b], minlength=len(cls)).astype(np.int64)
+            some = np.flatnonzero(n)
+            nodes, roots = _forest(cls, keys, a, b)
+            out = [pd.DataFrame({"kind": "edge", "a": nodes, "b": roots, "shard": shard, "h": 0})]
+            if scan:
+                out.append(pd.DataFrame({"kind": "count", "a": cls, "b": n, "shard": shard, "h": 0}))
+            else:
+                there, back = np.zeros(len(cls), np.int64), np.zeros(len(keys), np.int64)
+                for j in range(0, len(a), _PAIRS):
+                    r, c = a[j:j + _PAIRS], b[j:j + _PAIRS]
+                    h = _link_hash(cls[r], keys[c])
+                    np.bitwise_xor.at(there, r, h)
+                    np.bitwise_xor.at(back, c, h)
+                hit = np.unique(b)
+                out += [pd.DataFrame({"kind": "count", "a": cls[some], "b": n[some], "shard": shard, "h": there[some]}),
+                        pd.DataFrame({"kind": "back", "a": keys[hit], "b": 0, "shard": home, "h": back[hit]}),
+                        pd.DataFrame({"kind": "audit", "a": [found], "b": [true], "shard": shard, "h": 0})]
+            return pd.concat(out)
+        return run
+
+    keys, links = ["dims", "home", "grp", "shard"], "kind string, a long, b long, shard int, h long"
     got = (asked.repartition(4 * cores, *keys).groupBy(*keys)
-           .cogroup(held.repartition(4 * cores, *keys).groupBy(*keys)).applyInPandas(query, "kind string, a long, b long"))
-    got = scratch.save(got, "links")
+           .cogroup(held.repartition(4 * cores, *keys).groupBy(*keys)).applyInPandas(query(False), links))
+    got = scratch.save(got, "found")
+    # a shard that a vector found other links in than it was found from is scanned by it
+    uneven = (got.filter("kind IN ('count', 'back')").groupBy(F.col("a").alias("cls"), "shard")
+              .agg(F.bit_xor("h").alias("h")).filter("h != 0").select("cls", "shard"))
+    uneven = scratch.save(uneven, "uneven")
+    repaired = uneven.count()
+    if repaired:
+        again = asked.join(uneven, ["cls", "shard"])
+        needed = held.join(again.select(*keys).distinct(), keys, "left_semi")
+        more = (again.select(*asked.columns).repartition(4 * cores, *keys).groupBy(*keys)
+                .cogroup(needed.repartition(4 * cores, *keys).groupBy(*keys)).applyInPandas(query(True), links))
+        more = scratch.save(more, "scanned")
+        kept = got.join(uneven.select(F.col("cls").alias("a"), "shard", F.lit("count").alias("kind")),
+                        ["a", "shard", "kind"], "left_anti").select(*got.columns)
+        got = kept.unionAll(more.select(*got.columns))
+    told = got.filter("kind = 'audit'").agg(F.sum("a"), F.sum("b")).first()
+    found, true = told[0] or 0, told[1] or 0
+    figures = {"audit_found": found, "audit_true": true, "audit_recall": found / true if true else None,
+               "shards": counts.agg(F.sum("shards")).first()[0] or 0, "repaired": repaired}
+    logging.getLogger(__name__).info("audit of near vectors: %s", figures)
+    if report is not None:
+        report.update(figures)
     cc = connected_components(spark, got.filter("kind = 'edge'").select("a", "b"), scratch)
     cc = scratch.save(cc.withColumnRenamed("node", "cls"), "cc")
     links = got.filter("kind = 'count'").groupBy(F.col("a").alias("cls")).agg(F.sum("b").alias("far"))
