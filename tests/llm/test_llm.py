@@ -452,6 +452,21 @@ def test_near_vectors_recall_of_several_graphs(spark):
     assert report["shards"] == 3 and report["audit_true"] > 0 and report["audit_recall"] >= 0.995
 
 
+def test_near_vectors_decide_ties_in_doubles(spark):
+    """Pairs within some 1e-9 of the bound are decided as doubles decide."""
+    from tidewatch.llm.embedding_dedup import near_vectors
+    rng = np.random.default_rng(5)
+    q, _ = np.linalg.qr(rng.normal(size=(64, 64)))
+    rows, want = [], {}
+    for i in range(30):
+        u, w = q[2 * i], q[2 * i + 1]
+        c = 0.95 + (1 if i % 2 else -1) * (1 + i) * 2e-10
+        rows += [(2 * i, [float(a) for a in u * 3]), (2 * i + 1, [float(a) for a in c * u + np.sqrt(1 - c * c) * w])]
+        want |= {2 * i: (i % 2, 2 * i), 2 * i + 1: (i % 2, 2 * i + 1 - i % 2)}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {r.id: (r.n_links, r.component_id) for r in near_vectors(df).collect()} == want
+
+
 # --- pipeline --------------------------------------------------------------
 
 def test_pipeline_near_copies_without_ids(spark):

@@ -12,9 +12,11 @@ queries every shard, in groups of bounded size.  A group widens its beam
   shard, so the audit always passes in the end.
 
 A shard holds ``SHARD_BYTES`` of vectors (65,536 of 64 components) unless
-``shard_rows`` says otherwise.  Similarities found are verified as cosines in double precision.  A group
-returns link counts and a spanning forest of its links, never the pairs, and
-the forests' components are united over all groups.
+``shard_rows`` says otherwise.  Graphs search in float32; every similarity
+found is verified as a cosine of the vectors themselves, in double precision
+and with the same result from both ends.  A group returns link counts and a
+spanning forest of its links, never the pairs, and the forests' components
+are united over all groups.
 
 A link that only one of its ends finds counts for both: every group also
 returns an exclusive-or of its links' hashes, per query and per node found.
@@ -47,9 +49,34 @@ _PAIRS = 1 << 16
 _SLACK = 1e-5       # float32 similarities this far below the bound are verified too
 
 
-def _unit(vectors) -> np.ndarray:
-    x = np.stack([np.asarray(v, np.float64) for v in vectors])
-    return x / np.sqrt(np.einsum("nd,nd->n", x, x))[:, None]
+class Doubles:
+    """Vectors in double precision, by component, with their lengths."""
+
+    def __init__(self, rows):
+        self.t = np.ascontiguousarray(np.stack([np.asarray(v, np.float64) for v in rows]).T)
+        every = np.arange(self.t.shape[1])
+        self.norm = np.sqrt(self.dots(every, self, every))
+
+    def dots(self, a: np.ndarray, other: Doubles, b: np.ndarray) -> np.ndarray:
+        """Products of pairs, summed component by component, so that a pair
+        gives the same double from both ends."""
+        out = np.zeros(len(a))
+        for x, y in zip(self.t, other.t):
+            out += x[a] * y[b]
+        return out
+
+    def cosines(self, a: np.ndarray, other: Doubles, b: np.ndarray) -> np.ndarray:
+        return self.dots(a, other, b) / (self.norm[a] * other.norm[b])
+
+    def unit(self) -> np.ndarray:
+        return np.ascontiguousarray((self.t / self.norm).T, np.float32)
+
+    def packed(self, order: np.ndarray) -> np.ndarray:
+        """Rows in ``order``, as float32 where that loses nothing."""
+        rows = self.t.T[order]
+        with np.errstate(over="ignore"):
+            short = rows.astype(np.float32)
+        return short if np.array_equal(short, rows) else rows
 
 
 def _links_of_block(graph: Graph, q: np.ndarray, bound: float, ef: int):
@@ -89,25 +116,23 @@ def _audit(graph: Graph, q: np.ndarray, me: np.ndarray, bound: float, real, aske
     return found[sample], np.bincount(r[ok], minlength=len(q))[sample]
 
 
-def shard_links(graph: Graph, x: np.ndarray, cosine: float, recall: float, own: np.ndarray | None = None,
-                ef: int = EF):
-    """Links (query index, node) between unit vectors ``x`` (float64) and
-    other vectors of a shard, and the (found, true) links of the last audits.
-    ``own`` is the node of each query itself (-1: not in the shard); hits on
+def shard_links(graph: Graph, nodes: Doubles, asked: Doubles, cosine: float, recall: float,
+                own: np.ndarray | None = None, ef: int = EF):
+    """Links (query index, node) between ``asked`` and other vectors of a
+    shard (``nodes``, in the graph's order), and the (found, true) links of
+    the last audits.  ``own`` is the node of each query itself (-1: not in the shard); hits on
     it are no links.  ``ef`` of the shard's size or more scans it."""
-    base = graph.x.astype(np.float64)
-    base /= np.sqrt(np.einsum("nd,nd->n", base, base))[:, None]
-    q32, bound = x.astype(np.float32), cosine - _SLACK
-    own = np.full(len(x), -1) if own is None else own
+    q32, bound = asked.unit(), cosine - _SLACK
+    own = np.full(len(q32), -1) if own is None else own
     links, audits = [np.empty((2, 0), np.int64)], [0, 0]
-    for i in range(0, len(x), _BLOCK):
+    for i in range(0, len(q32), _BLOCK):
         q, me, width = q32[i:i + _BLOCK], own[i:i + _BLOCK], ef
 
         def real(r, c):
             ok = np.empty(len(r), bool)
             for j in range(0, len(r), _PAIRS):
                 part = slice(j, j + _PAIRS)
-                ok[part] = np.einsum("nd,nd->n", x[i + r[part]], base[c[part]]) >= cosine
+                ok[part] = asked.cosines(i + r[part], nodes, c[part]) >= cosine
             return ok
 
         while True:
@@ -178,11 +203,13 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
         F.pmod(F.xxhash64("cls", F.lit(1)), F.col("groups")).cast("int").alias("grp"))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        g = Graph(_unit(pdf["v"]).astype(np.float32), pdf["cls"].to_numpy().astype(np.uint64))
-        size = pdf.set_index("cls")["n"].loc[g.keys.astype(np.int64)].to_numpy()
+        rows = Doubles(pdf["v"])
+        g = Graph(rows.unit(), pdf["cls"].to_numpy().astype(np.uint64))
+        order = pd.Index(pdf["cls"]).get_indexer(g.keys.astype(np.int64))
+        size = pdf["n"].to_numpy()[order]
         return pd.DataFrame({"dims": pdf["dims"].iloc[:1], "shard": pdf["shard"].iloc[:1], "shards": pdf["shards"].iloc[:1],
                              "groups": pdf["groups"].iloc[:1],
-                             "graph": [g.dump()], "sizes": [size.astype(np.int64).tobytes()]})
+                             "graph": [g.dump(rows.packed(order))], "sizes": [size.astype(np.int64).tobytes()]})
 
     cores = max(1, spark.sparkContext.defaultParallelism)
     graphs = (dealt.select("cls", "n", "v", "dims", "shard", "shards", "groups").repartition(4 * cores, "dims", "shard")
@@ -200,14 +227,17 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
             if not len(q) or not len(g):
                 return pd.DataFrame({"kind": [], "a": [], "b": [], "shard": [], "h": []})
             graph, size = Graph.load(g["graph"].iloc[0]), np.frombuffer(g["sizes"].iloc[0], np.int64)
+            nodes = Doubles(graph.x)
+            graph.x = nodes.unit()
             cls, keys = q["cls"].to_numpy(np.int64), graph.keys.astype(np.int64)
             home, shard = int(g["home"].iloc[0]), int(g["shard"].iloc[0])
             own = pd.Index(keys).get_indexer(cls)
-            (a, b), (found, true) = shard_links(graph, _unit(q["v"]), cosine, recall, own, len(keys) if scan else EF)
+            (a, b), (found, true) = shard_links(graph, nodes, Doubles(q["v"]), cosine, recall, own,
+                                                    len(keys) if scan else EF)
             n = np.bincount(a, weights=size[b], minlength=len(cls)).astype(np.int64)
             some = np.flatnonzero(n)
-            nodes, roots = _forest(cls, keys, a, b)
-            out = [pd.DataFrame({"kind": "edge", "a": nodes, "b": roots, "shard": shard, "h": 0})]
+            ends, roots = _forest(cls, keys, a, b)
+            out = [pd.DataFrame({"kind": "edge", "a": ends, "b": roots, "shard": shard, "h": 0})]
             if scan:
                 out.append(pd.DataFrame({"kind": "count", "a": cls, "b": n, "shard": shard, "h": 0}))
             else:

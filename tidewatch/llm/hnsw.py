@@ -180,9 +180,11 @@ class Graph:
             entry = np.where(ids < 0, 0, ids)
         return self._beam(q, entry, ef, 0)
 
-    def dump(self) -> bytes:
+    def dump(self, rows: np.ndarray | None = None) -> bytes:
+        """The graph as bytes, with ``rows`` (the vectors that ``x`` was made
+        from, in its order) in place of ``x``."""
         out = io.BytesIO()
-        np.savez(out, x=self.x, keys=self.keys, level=self.level, **{f"l{i}": a for i, a in enumerate(self.links)})
+        np.savez(out, x=self.x if rows is None else rows, keys=self.keys, level=self.level, **{f"l{i}": a for i, a in enumerate(self.links)})
         return out.getvalue()
 
     @classmethod
