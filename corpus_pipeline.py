@@ -32,19 +32,28 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies: the one with the
-    smallest id (of repeated rows with that id, the one whose text sorts
-    first).  Of a group without any id one document stays, from those with
-    the group's smallest fingerprint the one whose text sorts first."""
+    smallest id (of the group's rows with that id, the one whose text sorts
+    first; rows with that id in other groups are judged there).  Of a group
+    without any id one document stays, from those with the group's smallest
+    fingerprint the one whose text sorts first."""
     from tidewatch.llm.simhash import fingerprints, near_duplicates
     groups = near_duplicates(docs, shingle=3, max_bits=2)
     rest = F.min(F.struct(*COLUMNS[1:])).alias("rest")
-    keep = groups.filter(F.col("id") == F.col("component_id")).select(F.col("id").alias("doc_id")).distinct()
-    named = docs.join(keep, "doc_id").groupBy("doc_id").agg(rest).select("doc_id", "rest.*")
+    least = F.col("id") == F.col("component_id")
+    ids = groups.groupBy(F.col("id").alias("doc_id")).agg(F.max(least).alias("keep"),
+                                                          (F.min("fp") == F.max("fp")).alias("one"))
+    ids = ids.filter("keep")
+    named = docs.join(ids.filter("one").select("doc_id"), "doc_id").groupBy("doc_id").agg(rest).select("doc_id", "rest.*")
+    # ids whose rows differ in fingerprint: a survivor for each group
+    several = docs.join(ids.filter("NOT one").select("doc_id"), "doc_id", "left_semi").withColumn("row", F.struct(*COLUMNS))
+    labels = groups.filter(least).select(F.col("id").alias("doc_id"), "fp", "label").distinct()
+    several = fingerprints(several, id="row").select("fp", "id.*").join(labels, ["doc_id", "fp"])
+    several = several.groupBy("doc_id", "label").agg(rest).select("doc_id", "rest.*")
     no_id = docs.filter("doc_id IS NULL").withColumn("row", F.struct(*COLUMNS))
     first = groups.filter("component_id IS NULL AND fp = label").select("fp").distinct()
     alone = fingerprints(no_id, id="row").join(first, "fp").select("fp", "id.*")
     alone = alone.groupBy("fp", "doc_id").agg(rest).select("doc_id", "rest.*")
-    return named.unionByName(alone).select(*COLUMNS)
+    return named.unionByName(several).unionByName(alone).select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -482,6 +482,18 @@ def test_pipeline_near_copies_without_ids(spark):
     assert P.simhash_near_dedup(spark, whole.limit(0), "").count() == 0
 
 
+def test_pipeline_near_copies_with_shared_ids(spark):
+    import corpus_pipeline as P
+    rng = random.Random(12)
+    a, b, c = (" ".join(words(rng, 300)) for _ in range(3))
+    rows = [(1, a), (1, b), (2, b), (3, a), (0, c), (3, c), (4, c)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+    got = P.simhash_near_dedup(spark, docs, "")
+    assert got.columns == P.COLUMNS
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(1, a), (1, b), (0, c)])
+
+
 def test_pipeline_matches_brute_force(spark, tmp_path):
     import corpus_pipeline as P
     from tokenizers import Tokenizer
