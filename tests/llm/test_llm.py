@@ -467,6 +467,23 @@ def test_near_vectors_decide_ties_in_doubles(spark):
     assert {r.id: (r.n_links, r.component_id) for r in near_vectors(df).collect()} == want
 
 
+# --- 5, targets that cannot be met ------------------------------------------
+
+def test_mix_tells_of_unmet_targets(spark):
+    from tidewatch.llm.mixing import mix
+    rows = [("s1", "en", 100), ("s2", "de", 300)]           # every source holds one language
+    d = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, s string, l string, n long")
+    share = lambda *r: spark.createDataFrame(r, "value string, share double")
+    dims, report = {"source": F.col("s"), "lang": F.col("l")}, {}
+    with pytest.warns(UserWarning, match="not met"):
+        mix(d, dims, F.col("n"), targets={"source": share(("s1", 0.5), ("s2", 0.5)),
+                                          "lang": share(("en", 0.2), ("de", 0.8))}, report=report)
+    assert not report["met"] and report["deviation"] > 0.3
+    mix(d, dims, F.col("n"), targets={"source": share(("s1", 0.5), ("s2", 0.5)),
+                                      "lang": share(("en", 0.5), ("de", 0.5))}, report=report)
+    assert report["met"]
+
+
 # --- pipeline --------------------------------------------------------------
 
 def test_pipeline_near_copies_without_ids(spark):

@@ -17,6 +17,8 @@ cell table is small; otherwise a hot cell is split by the adaptive join).
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,14 +39,18 @@ def tempered_targets(cells: DataFrame, dim: str, power: float) -> DataFrame:
 
 
 def rake(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame], scratch: Scratch,
-         tolerance: float = 1e-11, max_sweeps: int = 48, sweeps_per_pass: int = 3) -> DataFrame:
+         tolerance: float = 1e-11, max_sweeps: int = 48, sweeps_per_pass: int = 3,
+         report: dict | None = None) -> DataFrame:
     """``cells`` with ``w``, the token weight whose marginals meet
     ``targets`` (``{dim: (value, share)}``).
 
     Targets are matched null-safely; values without a target get weight 0.
     Raking stops when every marginal is within ``tolerance`` (relative) of
     its target, or after ``max_sweeps`` (targets that the occupied cells
-    cannot meet never settle).
+    cannot meet never settle).  Weights that miss a target by more than
+    ``tolerance`` are returned with a warning; ``report``, when given,
+    receives ``deviation`` (the largest relative one left), ``met`` and
+    ``sweeps``.
     """
     total = F.sum("tokens").over(Window.partitionBy())
     c = cells.withColumn("total", total.cast("double")).withColumn("w", F.col("tokens").cast("double"))
@@ -65,6 +71,11 @@ def rake(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame], scrat
                                                    / F.col(f"goal_{d}") - 1.0)).otherwise(0.0) for d in dims]
         worst = c.select(F.array(*off).alias("off")).agg(F.max(F.array_max("off"))).first()[0]
         if worst is None or worst <= tolerance or sweeps >= max_sweeps:
+            met = worst is None or worst <= tolerance
+            if not met:
+                warnings.warn(f"mixing targets not met after {sweeps} sweeps: a marginal is off by {worst:.3g} (relative)")
+            if report is not None:
+                report.update(deviation=worst, met=met, sweeps=sweeps)
             return c.drop("total", *[f"goal_{d}" for d in dims])
 
 
@@ -77,7 +88,7 @@ def draw(id: str = "doc_id", seed: str = "mix") -> Column:
 
 def mix(docs: DataFrame, dims: dict[str, Column], tokens: Column, power: float = 0.9,
         targets: dict[str, DataFrame] | None = None, budget: float | None = None, id: str = "doc_id",
-        seed: str = "mix") -> DataFrame:
+        seed: str = "mix", report: dict | None = None) -> DataFrame:
     """``docs`` with ``mix_weight`` (raked weight per token), ``mix_p`` (its
     probability) and ``mix_kept`` (whether it was drawn).
 
@@ -86,7 +97,8 @@ def mix(docs: DataFrame, dims: dict[str, Column], tokens: Column, power: float =
     ``budget`` bounds the expected tokens of the sample.  Documents of cells
     without any token have weight and probability 0.  Repeated rows draw
     alike.  Existing columns are kept as they are, whatever their names; an
-    empty table gives an empty result.
+    empty table gives an empty result.  Targets that cannot be met together
+    give a warning, and ``report`` receives the deviation (see :func:`rake`).
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     names = list(dims)
@@ -94,7 +106,7 @@ def mix(docs: DataFrame, dims: dict[str, Column], tokens: Column, power: float =
     cells = scratch.save(rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")), "cells")
     targets = targets or {n: tempered_targets(cells, n, power) for n in names}
     f = F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(0.0)
-    rates = rake(cells, names, targets, scratch).withColumn("f", f)
+    rates = rake(cells, names, targets, scratch, report=report).withColumn("f", f)
     top = F.max("f").over(Window.partitionBy())
     c = F.when(top > 0, 1.0 / top).otherwise(0.0)
     if budget is not None:
