@@ -246,3 +246,34 @@ FROM e""")
 def op10(spark, sf_dir):
     from tidewatch.llm.embedding_dedup import near_vectors
     return near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+# --- 11: centroid clustering -----------------------------------------------
+
+def _op11_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    def nearest(c: str) -> str:
+        return f"""(SELECT vec_id, arg_min(j, (d, j)) AS j, min(d) AS d FROM (
+  SELECT v.vec_id, c.j, list_sum(list_transform(range(1, {dims + 1}),
+    lambda i: (v.x[i] - c.x[i]) * (v.x[i] - c.x[i])))::BIGINT AS d FROM v, {c} c) GROUP BY vec_id)"""
+    ctes = [f"""v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = {dims})""",
+            f"""c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS INTEGER) AS j, x
+  FROM v QUALIFY j < {k})"""]
+    for t in range(rounds):
+        ctes.append(f"a{t} AS MATERIALIZED {nearest(f'c{t}')}")
+        ctes.append(f"""s{t} AS (SELECT j, i, sum(v.x[i]) AS s, count(*) AS n
+  FROM a{t} JOIN v USING (vec_id), range(1, {dims + 1}) AS r(i) GROUP BY j, i)""")
+        ctes.append(f"""c{t + 1} AS MATERIALIZED (SELECT c.j, coalesce(m.x, c.x) AS x FROM c{t} c LEFT JOIN (
+  SELECT j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM s{t} GROUP BY j) m USING (j))""")
+    ctes.append(f"f AS MATERIALIZED {nearest(f'c{rounds}')}")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT f.vec_id, f.j AS cluster, f.d AS distance, CAST(sum(f.d) OVER (PARTITION BY f.j) AS BIGINT) AS cluster_inertia,
+       CAST(sum(f.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM f JOIN c{rounds} c ON f.j = c.j"""
+
+
+@register("op11_centroid_clustering", _op11_sql())
+def op11(spark, sf_dir):
+    from tidewatch.llm.centroids import cluster
+    return cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5).withColumnRenamed("id", "vec_id")
