@@ -277,3 +277,27 @@ FROM f JOIN c{rounds} c ON f.j = c.j"""
 def op11(spark, sf_dir):
     from tidewatch.llm.centroids import cluster
     return cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5).withColumnRenamed("id", "vec_id")
+
+
+# --- 12: ranked lexical search ---------------------------------------------
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+@register("op12_ranked_lexical_search", f"""WITH d AS MATERIALIZED (SELECT doc_id, {_TERMS} AS w FROM documents),
+s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0),
+q AS (SELECT u, item_id, t, count(*) AS q FROM (
+  SELECT u, item_id, unnest({_TERMS}) AS t FROM (SELECT row_number() OVER () AS u, * FROM benchmark)) GROUP BY ALL),
+f AS (SELECT doc_id, n, t, count(*) AS f FROM (SELECT doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS t FROM d)
+  WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM f GROUP BY t), s),
+p AS (SELECT doc_id, t, w * ((1000000000 * f) // (1000 * f + 8 * (100 - 75 + (75 * n * n_docs) // total))) AS p
+  FROM f JOIN w USING (t), s),
+r AS (SELECT u, item_id, doc_id, CAST(sum(q * p) AS BIGINT) AS score FROM q JOIN p USING (t) GROUP BY ALL HAVING sum(q * p) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY u ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM r QUALIFY rank <= 10""")
+def op12(spark, sf_dir):
+    from tidewatch.llm.lexical_search import search
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
