@@ -301,3 +301,17 @@ FROM r QUALIFY rank <= 10""")
 def op12(spark, sf_dir):
     from tidewatch.llm.lexical_search import search
     return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+# --- 13: personal data -----------------------------------------------------
+
+@register("op13_personal_data")
+def op13(spark, sf_dir):
+    from tidewatch.llm.pii import KINDS, personal_data
+    found = personal_data(table(spark, sf_dir, "documents"))
+    joined = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
