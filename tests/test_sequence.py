@@ -67,6 +67,49 @@ def test_ewm_blocked_matches_pandas(spark):
         assert np.nanmax(np.abs(a - b)) < 1e-12
 
 
+def test_ewm_tree_has_levels_and_bounded_groups(spark):
+    """Blocks of 8 rows in trees of 3 children: 3000 rows give 375 blocks and
+    six levels; gaps, leading nulls and whole blocks without a value."""
+    pdf, df = _frame(spark)
+    exp = pdf.sort_values(["k", "t", "tb"]).groupby("k")["x"].transform(
+        lambda s: s.ewm(span=20, adjust=False).mean())
+    d = Q.with_position(df, "k", ["t", "tb"])
+    out = Q.ewm_blocked(d, "k", "x", 20, "ema", block=8, fan=3).toPandas().sort_values(["k", "t", "tb"])
+    a, b = out["ema"].to_numpy(), exp.to_numpy()
+    assert (np.isnan(a) == np.isnan(b)).all()
+    assert np.nanmax(np.abs(a - b)) < 1e-12
+
+
+def test_fills_from_both_sides_match_pandas(spark):
+    pdf, df = _frame(spark)
+    d = Q.with_position(df, "k", ["t", "tb"])
+    out = Q.fill_blocked(d, "k", ["x"], ["f"], ["b"], block=32).toPandas().sort_values(["k", "t", "tb"])
+    g = pdf.sort_values(["k", "t", "tb"]).groupby("k")["x"]
+    for got, exp in ((out["f"], g.ffill()), (out["b"], g.bfill())):
+        assert np.array_equal(got.to_numpy(), exp.to_numpy(), equal_nan=True)
+
+
+def test_runs_of_equal_keys_over_batches():
+    import pyarrow as pa
+    runs = Q._Runs(["a", "f", "s"])
+    batch = lambda rows: pa.RecordBatch.from_pylist(rows, pa.schema([("a", pa.string()), ("f", pa.float64()),
+                                                                     ("s", pa.struct([("x", pa.int64())]))]))
+    nan = float("nan")
+    rows = [("p", nan, {"x": 1}), ("p", nan, {"x": 1}), (None, nan, {"x": 1}), (None, nan, {"x": 2}), (None, None, {"x": 2})]
+    first = batch([dict(zip("afs", r)) for r in rows])
+    assert runs.starts(first).tolist() == [True, False, True, True, True]
+    assert runs.starts(batch([dict(zip("afs", r)) for r in (rows[4], rows[0])])).tolist() == [False, True]
+
+
+def test_positions_need_no_join_of_rows(spark):
+    """Two exchanges of rows in a windowed statistic: by range, then by block."""
+    from tidewatch.operators.stats import rolling_std
+    _, df = _frame(spark)
+    d = rolling_std(df, "k", "t", "x", 4, tiebreak="tb")
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_ffill_blocked_matches_pandas(spark):
     pdf, df = _frame(spark)
     d = Q.with_position(df, "k", ["t", "tb"])

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.scalar import anomaly_type, directional_flag
 from tidewatch.operators.resample import fill_gaps, resample_mean
-from tidewatch.operators.sequence import as_list, series_windowed, with_position
+from tidewatch.operators.sequence import POS, as_list, series_windowed, with_position
 from tidewatch.operators.stats import attach_by_key
 from tidewatch.session import materialize
 
@@ -82,21 +82,29 @@ def _fit(d: DataFrame, keys, y: str, xs: list[str], pre: str) -> DataFrame:
 
 
 def prepare_series(df: DataFrame, keys, time: str, value: str, *, freq=None,
-                   fill_method: str | None = "interpolate") -> DataFrame:
+                   fill_method: str | None = "interpolate", drop_null: bool = False) -> DataFrame:
     """Optional fixed-frequency resample + gap fill, as the forecasters
-    expect an evenly spaced series."""
+    expect an evenly spaced series.  The rows carry their position
+    (``_pos``, found once for filling, splitting and lags) and are written
+    once.  ``drop_null`` drops rows without a value: where gaps are filled
+    those are only leading ones."""
     d = df.select(*as_list(keys), time, value)
+    some = F.col(value).isNotNull() if drop_null else F.lit(True)
     if freq is not None:
         d = resample_mean(d, keys, time, value, freq)
-        if fill_method:
-            d = fill_gaps(d, keys, time, value, fill_method)
-    return d
+    if freq is not None and fill_method:
+        return materialize(fill_gaps(d, keys, time, value, fill_method, keep_pos=True).filter(some))
+    return materialize(with_position(d.filter(some), keys, [time]))
 
 
 def split_horizon(d: DataFrame, keys, time: str, horizon: int) -> DataFrame:
     """Adds ``step``: 1..horizon for the held-out tail, null for training."""
-    d = with_position(d, keys, [time], descending=True, name="_rpos")
-    return d.withColumn("step", F.when(F.col("_rpos") < horizon, F.lit(horizon) - F.col("_rpos"))).drop("_rpos")
+    if POS not in d.columns:
+        d = with_position(d, keys, [time])
+    n = d.groupBy(*as_list(keys)).agg((F.max(POS) + 1).alias("_n"))
+    d = attach_by_key(d, n, keys)
+    held = F.col(POS) - F.col("_n") + F.lit(horizon) + 1
+    return d.withColumn("step", F.when(held >= 1, held)).drop("_n")
 
 
 def _geo(r: Column, k: Column) -> Column:
@@ -109,13 +117,6 @@ def _flags(d: DataFrame, value: str, direction: str) -> DataFrame:
              .withColumn("anomaly_type", anomaly_type(value, "lo", "hi", direction)))
 
 
-def forecast_vs_actual(test: DataFrame, fc: DataFrame, keys) -> DataFrame:
-    """Join forecasts to held-out actuals on ``(keys, step)`` (one row per
-    step, never horizon x horizon)."""
-    from tidewatch.operators.sequence import join_on
-    return join_on(test, fc, [*as_list(keys), "step"], "left")
-
-
 def ar_forecast_detect(df: DataFrame, keys, time: str, value: str, *, horizon: int = 24,
                        level: float = 0.99, direction: str = "both", freq=None,
                        fill_method: str | None = "interpolate") -> DataFrame:
@@ -156,7 +157,7 @@ def arma11_forecast_detect(df: DataFrame, keys, time: str, value: str, *, horizo
                       keys, time, horizon)
     train = d.filter(F.col("step").isNull())
     lags = series_windowed(train, keys, [time], 2 + differences,
-                           lambda w: {f"_v{i}": F.lag(value, i).over(w) for i in range(1, 3 + differences)})
+                           lambda w: {f"_v{i}": F.lag(value, i).over(w) for i in range(1, 3 + differences)}, keep_pos=True)
     v = [F.col(value), *[F.col(f"_v{i}") for i in range(1, 3 + differences)]]
     if differences:
         v = [a - b for a, b in zip(v, v[1:])]
@@ -208,9 +209,8 @@ def auto_ar_detect(df: DataFrame, keys, time: str, value: str, *, level: float =
     """
     keys = as_list(keys)
     zq = z_value(level)
-    d = split_horizon(prepare_series(df, keys, time, value, freq=freq, fill_method=fill_method),
+    d = split_horizon(prepare_series(df, keys, time, value, freq=freq, fill_method=fill_method, drop_null=True),
                       keys, time, 1)
-    d = d.filter(F.col(value).isNotNull())
     train = d.filter(F.col("step").isNull())
     all_lags = materialize(series_windowed(train, keys, [time], 3,
                                            lambda w: {f"_y{i}": F.lag(value, i).over(w) for i in (1, 2, 3)}))

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.scalar import epoch_us, from_epoch_us
-from tidewatch.operators.sequence import (POS, as_list, ffill_blocked, interval_us, join_on,
-                                          with_position)
+from tidewatch.operators.sequence import POS, as_list, fill_blocked, interval_us, join_on, with_position
 
 FILL_METHODS = ("interpolate", "ffill", "bfill", "zero")
 
@@ -28,36 +27,30 @@ def resample_mean(df: DataFrame, keys, time: str, value: str, freq="1 hour") ->
     return out.select(*keys, from_epoch_us(F.col("_b")).alias(time), value)
 
 
-def _reverse_ffill(d: DataFrame, keys, time: str, cols, outs) -> DataFrame:
-    """Next non-null value (backward fill): forward fill in reverse order."""
-    r = d.withColumnRenamed(POS, "_fpos")
-    r = with_position(r, keys, [time], descending=True)
-    r = ffill_blocked(r, keys, cols, outs)
-    return r.drop(POS).withColumnRenamed("_fpos", POS)
-
-
 def fill_gaps(df: DataFrame, keys, time: str, value: str, method: str = "interpolate",
-              *, out: str | None = None) -> DataFrame:
+              *, out: str | None = None, keep_pos: bool = False) -> DataFrame:
     """Fill nulls per series: ``interpolate`` (linear in row position;
     leading nulls stay, trailing nulls keep the last value), ``ffill``,
-    ``bfill`` or ``zero``."""
+    ``bfill`` or ``zero``.  Both directions use one set of positions, which
+    ``keep_pos`` leaves on the rows (``_pos``)."""
     if method not in FILL_METHODS:
         raise ValueError(f"Unknown fill_method: {method}")
     keys = as_list(keys)
     out = out or value
     if method == "zero":
-        return df.withColumn(out, F.coalesce(F.col(value), F.lit(0.0)))
+        d = with_position(df, keys, [time]) if keep_pos else df
+        return d.withColumn(out, F.coalesce(F.col(value), F.lit(0.0)))
     d = with_position(df, keys, [time])
+    rest = () if keep_pos else (POS,)
     if method == "ffill":
-        return ffill_blocked(d, keys, [value], [out]).drop(POS)
+        return fill_blocked(d, keys, [value], before=[out]).drop(*rest)
     if method == "bfill":
-        return _reverse_ffill(d, keys, time, [value], [out]).drop(POS)
+        return fill_blocked(d, keys, [value], after=[out]).drop(*rest)
     d = d.withColumn("_vpos", F.when(F.col(value).isNotNull(), F.col(POS)))
-    d = ffill_blocked(d, keys, [value, "_vpos"], ["_y0", "_x0"])
-    d = _reverse_ffill(d, keys, time, [value, "_vpos"], ["_y1", "_x1"])
+    d = fill_blocked(d, keys, [value, "_vpos"], ["_y0", "_x0"], ["_y1", "_x1"])
     slope = (F.col("_y1") - F.col("_y0")) / (F.col("_x1") - F.col("_x0"))
     interp = slope * (F.col(POS) - F.col("_x0")) + F.col("_y0")
     filled = (F.when(F.col(value).isNotNull(), F.col(value))
                .when(F.col("_y1").isNull(), F.col("_y0"))
                .otherwise(interp))
-    return d.withColumn(out, filled).drop(POS, "_vpos", "_y0", "_x0", "_y1", "_x1")
+    return d.withColumn(out, filled).drop("_vpos", "_y0", "_x0", "_y1", "_x1", *rest)

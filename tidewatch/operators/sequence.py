@@ -7,8 +7,9 @@ fixed-size row *blocks* and moves only small summaries between them:
 
 1. :func:`with_position` gives each row its exact 0-based position in its
    series.  Rows are range-partitioned by key and order with sampled,
-   balanced bounds, numbered inside their sorted partition, and shifted by
-   a prefix sum over the small (key, partition) table.
+   balanced bounds and numbered inside their sorted partition; only the
+   first series of a partition can continue an earlier one, so one number
+   per partition completes the positions.
 2. :func:`with_block` assigns ``block = pos div B`` and copies the last
    ``halo`` rows of every block into the next one, so frame-based window
    functions (lag, rolling std, …) can run per ``(key, block)``.
@@ -18,8 +19,8 @@ fixed-size row *blocks* and moves only small summaries between them:
    ``(key, block)`` — the same partitioning the block windows use.
 4. :func:`ewm_blocked` evaluates the recursive exponentially weighted mean
    exactly: each block reduces to an affine map ``y -> A*y + C``, the maps
-   are chained over the block table, and each block is then replayed from
-   its incoming state.
+   are composed in a tree of blocks, blocks of blocks, and so on, and each
+   block is then replayed from its incoming state.
 """
 
 from __future__ import annotations
@@ -28,11 +29,12 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.functions.scalar import epoch_us, from_epoch_us
 from tidewatch.session import materialize
 
 POS = "_pos"
@@ -82,6 +84,48 @@ def _row_hash(df: DataFrame, skip: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in rest]) if rest else F.lit(0).cast("long")
 
 
+class _Runs:
+    """Where the values of some columns change, over a stream of batches."""
+
+    def __init__(self, names: Sequence[str]):
+        self.names, self.last = list(names), None
+
+    def starts(self, batch: pa.RecordBatch) -> np.ndarray:
+        """Whether each row of a batch with rows differs from the row before
+        it, nulls being equal to nulls."""
+        cols = [batch.column(n) for n in self.names]
+        new = np.zeros(batch.num_rows, bool)
+        for c in cols:
+            new[1:] |= ~_equal(c.slice(1), c.slice(0, len(c) - 1))
+        new[0] = self.last is None or self.last != repr([c[0].as_py() for c in cols])
+        self.last = repr([c[len(c) - 1].as_py() for c in cols])
+        return new
+
+
+def _equal(a: pa.Array, b: pa.Array) -> np.ndarray:
+    if pa.types.is_nested(a.type):
+        return np.array([repr(x) == repr(y) for x, y in zip(a.to_pylist(), b.to_pylist())], bool)
+    same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+    if pa.types.is_floating(a.type):
+        same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+    return same.to_numpy(zero_copy_only=False)
+
+
+def _number(keys: Sequence[str]):
+    """Numbers the rows of every run of equal ``keys`` within a partition."""
+    def run(batches):
+        runs, count = _Runs(keys), 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            at = np.arange(b.num_rows)
+            first = np.maximum.accumulate(np.where(runs.starts(b), at, -1))
+            local = np.where(first >= 0, at - first, count + at)
+            count = int(local[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(local, pa.int64())], [*b.schema.names, "_loc"])
+    return run
+
+
 def with_position(df: DataFrame, keys, order, *, name: str = POS, descending: bool = False) -> DataFrame:
     """Add the exact 0-based row position within each series.
 
@@ -89,9 +133,11 @@ def with_position(df: DataFrame, keys, order, *, name: str = POS, descending: bo
     ordered by a hash of the whole row.  Rows are range-partitioned by
     ``(keys, order, hash)``: the bounds come from a sample of the rows, so a
     series of any size, with any bursts, equal or null times, is cut into
-    partitions of about equal row counts.  The sorted partitions are written
-    once (a checkpoint); a row's number within its partition and the
-    prefix sum of the small (series, partition) table give its position.
+    partitions of about equal row counts.  The sorted partitions are numbered
+    series by series and written once (a checkpoint).  Only the first series
+    of a partition can have begun in an earlier one; the rows it has there
+    follow from the first and last series of every partition, one row each
+    on the driver, and are added by a broadcast of one number per partition.
     Null orders come first (last when ``descending``).
     """
     keys, order = as_list(keys), as_list(order)
@@ -100,12 +146,24 @@ def with_position(df: DataFrame, keys, order, *, name: str = POS, descending: bo
     by = [*[F.col(k).asc_nulls_first() for k in keys], *o]
     # the id holds the partition number in its upper bits, the row number in the lower 33
     d = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_row", F.monotonically_increasing_id())
-    d = materialize(d.withColumn("_part", F.shiftright("_row", 33)))
-    s = d.groupBy(*keys, "_part").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    s = s.select(*keys, "_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
-    d = join_on(d, s, [*keys, "_part"])
-    return d.withColumn(name, (F.col("_row") + F.col("_shift")).cast("long")).drop("_row", "_part", "_shift")
+    d = materialize(d.mapInArrow(_number(keys), T.StructType([*d.schema.fields, T.StructField("_loc", T.LongType())])))
+    part, key = F.shiftright("_row", 33).cast("int"), F.struct(F.lit(0), *keys)
+    ends = d.groupBy(part.alias("_part")).agg(F.min_by(key, "_row").alias("first"), F.max_by(key, "_row").alias("last"),
+                                              (F.max_by("_loc", "_row") + 1).alias("n")).collect()
+    carry, before, n = [], None, 0
+    for e in sorted(ends, key=lambda e: e["_part"]):
+        first, last = repr(e["first"]), repr(e["last"])
+        held = n if before == first else 0
+        if held:
+            carry.append((e["_part"], held))
+        before, n = last, e["n"] + (held if first == last else 0)
+    pos = F.col("_loc")
+    if carry:
+        c = F.broadcast(df.sparkSession.createDataFrame(carry, "_part int, _carry long"))     # at most a row per partition
+        d = d.withColumn("_part", part).join(c, "_part", "left").drop("_part")
+        continued = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)) == F.col("_loc")
+        pos = pos + F.when(continued, F.coalesce("_carry", F.lit(0))).otherwise(F.lit(0))
+    return d.withColumn(name, pos).drop("_row", "_loc", "_carry")
 
 
 def percentiles_by_rank(df: DataFrame, keys, value: str, qs: Sequence[float], names: Sequence[str]) -> DataFrame:
@@ -240,131 +298,179 @@ def _block_maps(pos: np.ndarray, x: np.ndarray, alpha: float, beta: float, cap:
     return int(p[0]), float(v[0]), int(p[-1]), a, c
 
 
+#: Children of a node in the tree of block maps.
+FAN = 256
+_MAP = "struct<fp:bigint,fv:double,lp:bigint,a:double,c:double>"
+_STATE = "struct<y:double,p:bigint>"
+
+
+def _map_rows(keys, x: str, alpha: float, beta: float, cap: int):
+    """One map per run of rows of a (series, block) in a sorted partition.
+    At most one block is held."""
+    def run(batches):
+        runs, held, head = _Runs([*keys, BLK]), [], None
+
+        def close():
+            pos, val = (np.concatenate(c) for c in zip(*held))
+            m = _block_maps(pos, val, alpha, beta, cap) or (None, None, None, 1.0, 0.0)
+            return [*head, int(pos[0]), dict(zip(("fp", "fv", "lp", "a", "c"), m))]
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            pos = b.column(POS).to_numpy(zero_copy_only=False)
+            val = b.column(x).cast(pa.float64()).to_numpy(zero_copy_only=False)
+            new = runs.starts(b)
+            cut = np.unique(np.append(np.flatnonzero(new), [0, b.num_rows])).tolist()
+            done = []
+            for i, j in zip(cut, cut[1:]):
+                if new[i] and held:
+                    done.append(close())
+                    held = []
+                if not held:
+                    head = [b.column(n)[i].as_py() for n in [*keys, BLK]]
+                held.append((pos[i:j], val[i:j]))
+            if done:
+                yield _map_batch(b.schema, keys, done)
+            schema = b.schema
+        if held:
+            yield _map_batch(schema, keys, [close()])
+    return run
+
+
+def _map_batch(schema: pa.Schema, keys, rows: list) -> pa.RecordBatch:
+    kinds = [schema.field(n).type for n in [*keys, BLK]]
+    m = pa.struct([("fp", pa.int64()), ("fv", pa.float64()), ("lp", pa.int64()), ("a", pa.float64()), ("c", pa.float64())])
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [*kinds, pa.int64(), m])],
+                                      [*keys, BLK, "_at", "m"])
+
+
+def _meet(last: Column, then: Column, beta: float, alpha: float, cap: int) -> tuple[Column, Column]:
+    """Weights of the old mean and of the next observation where they meet."""
+    w = F.pow(F.lit(beta), F.least(then - last, F.lit(cap)).cast("double"))
+    return w / (w + alpha), F.lit(alpha) / (w + alpha)
+
+
+def _ewm_tree(maps: DataFrame, keys, alpha: float, beta: float, cap: int, fan: int) -> DataFrame:
+    """(keys, block, _Y, _pnn): the mean entering every block and the position
+    of the last observation before it, null where there is none.
+
+    The maps of ``fan`` neighbours compose into one map of their parent, level
+    by level until every series has one node; then the entering states go
+    down the same tree.  No group holds more than ``fan`` rows.
+    """
+    def then(l: Column, r: Column) -> Column:
+        old, new = _meet(l["lp"], r["fp"], beta, alpha, cap)
+        both = F.struct(l["fp"].alias("fp"), l["fv"].alias("fv"), r["lp"].alias("lp"), (r["a"] * old * l["a"]).alias("a"),
+                        (r["a"] * (old * l["c"] + new * r["fv"]) + r["c"]).alias("c"))
+        return F.when(l["fp"].isNull(), r).when(r["fp"].isNull(), l).otherwise(both).cast(_MAP)
+
+    def after(s: Column, m: Column) -> Column:
+        old, new = _meet(s["p"], m["fp"], beta, alpha, cap)
+        first = F.struct((m["a"] * m["fv"] + m["c"]).alias("y"), m["lp"].alias("p"))
+        more = F.struct((m["a"] * (old * s["y"] + new * m["fv"]) + m["c"]).alias("y"), m["lp"].alias("p"))
+        return F.when(m["fp"].isNull(), s).when(s["p"].isNull(), first).otherwise(more).cast(_STATE)
+
+    nothing = F.struct(F.lit(None).alias("fp"), F.lit(None).alias("fv"), F.lit(None).alias("lp"), F.lit(1.0).alias("a"),
+                       F.lit(0.0).alias("c")).cast(_MAP)
+    unknown = F.struct(F.lit(None).alias("y"), F.lit(None).alias("p")).cast(_STATE)
+
+    def joined(d: DataFrame, at: str, node: Column) -> DataFrame:
+        g = d.groupBy(*keys, node.alias("_node")).agg(F.sort_array(F.collect_list(F.struct(at, "m"))).alias("ms"))
+        return g.select(*keys, "_node", F.aggregate("ms", nothing, lambda acc, x: then(acc, x["m"])).alias("m"))
+
+    levels = [materialize(joined(maps, "_at", F.col(BLK)))]
+    top = levels[0].agg(F.max("_node")).first()[0] or 0
+    parent = F.floor(F.col("_node") / fan)
+    while top > 0:
+        levels.append(materialize(joined(levels[-1], "_node", parent)))
+        top //= fan
+    state = levels[-1].select(*keys, "_node", unknown.alias("s"))
+    for level in levels[-2::-1]:
+        g = level.groupBy(*keys, parent.alias("_parent")).agg(F.sort_array(F.collect_list(F.struct("_node", "m"))).alias("ms"))
+        g = join_on(g, state.withColumnRenamed("_node", "_parent"), [*keys, "_parent"])
+        row = "array<struct<node:bigint,s:struct<y:double,p:bigint>>>"
+        start = F.struct(F.col("s").alias("s"), F.array().cast(row).alias("out"))
+        steps = F.aggregate("ms", start, lambda acc, x: F.struct(
+            after(acc["s"], x["m"]).alias("s"),
+            F.array_append(acc["out"], F.struct(x["_node"].alias("node"), acc["s"].alias("s"))).cast(row).alias("out")))
+        state = g.select(*keys, F.explode(steps["out"]).alias("o")).select(*keys, F.col("o.node").alias("_node"), F.col("o.s").alias("s"))
+    return state.select(*keys, F.col("_node").alias(BLK), F.col("s.y").alias("_Y"), F.col("s.p").alias("_pnn"))
+
+
 def ewm_blocked(d: DataFrame, keys, x: str, span: float, out: str, *,
-                block: int = DEFAULT_BLOCK) -> DataFrame:
+                block: int = DEFAULT_BLOCK, fan: int = FAN) -> DataFrame:
     """Exponentially weighted mean of ``x`` in position order.
 
-    ``d`` must carry ``_pos``.  Matches pandas ``ewm(span, adjust=False)``
-    with ``ignore_na=False``: a gap of ``g`` rows weights the old mean by
+    ``d`` must carry ``_pos``, and its partitions must not share rows of a
+    block except at a cut (as the results of :func:`with_position` and of
+    windows per block do).  Matches pandas ``ewm(span, adjust=False)`` with
+    ``ignore_na=False``: a gap of ``g`` rows weights the old mean by
     ``(1-a)^g``, null rows repeat the last mean, leading nulls stay null.
 
     Three passes: (1) every block reduces to its first/last observation and
-    an affine map; (2) the maps are chained per series over the small block
-    table; (3) every block replays ``pandas.ewm`` from its incoming state.
+    an affine map, without a shuffle; (2) the maps go up and the entering
+    states down a tree over the block table (:func:`_ewm_tree`); (3) every
+    block replays ``pandas.ewm`` from its entering state.
     """
     keys = as_list(keys)
     alpha, beta = _ewm_params(span)
     cap = _gap_cap(beta)
     d = d.withColumn(BLK, F.floor(F.col(POS) / block))
-    key_fields = [d.schema[k] for k in keys]
-    p1_schema = T.StructType(key_fields + [T.StructField(BLK, T.LongType()),
-                                           T.StructField("_fp", T.LongType()), T.StructField("_fv", T.DoubleType()),
-                                           T.StructField("_lp", T.LongType()), T.StructField("_A", T.DoubleType()),
-                                           T.StructField("_C", T.DoubleType())])
-
-    def phase1(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(POS)
-        m = _block_maps(pdf[POS].to_numpy(), pdf[x].to_numpy(dtype=float), alpha, beta, cap)
-        if m is None:  # no observation: the state passes through unchanged
-            m = (None, None, None, 1.0, 0.0)
-        row = {k: [pdf[k].iloc[0]] for k in keys}
-        row.update({BLK: [int(pdf[BLK].iloc[0])], "_fp": [m[0]], "_fv": [m[1]], "_lp": [m[2]],
-                    "_A": [m[3]], "_C": [m[4]]})
-        return pd.DataFrame(row)
-
-    maps = d.select(*keys, BLK, POS, x).groupBy(*keys, BLK).applyInPandas(phase1, p1_schema)
-    chain_schema = T.StructType(key_fields + [T.StructField(BLK, T.LongType()),
-                                              T.StructField("_Y", T.DoubleType()),
-                                              T.StructField("_pnn", T.LongType())])
-    names_c = [f.name for f in chain_schema.fields]
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(BLK)
-        n = len(pdf)
-        ys, pn = np.full(n, np.nan), np.full(n, -1, dtype=np.int64)
-        y, last = np.nan, -1
-        fp = pdf["_fp"].to_numpy(dtype=float)
-        fv, lp = pdf["_fv"].to_numpy(dtype=float), pdf["_lp"].to_numpy(dtype=float)
-        av, cv = pdf["_A"].to_numpy(dtype=float), pdf["_C"].to_numpy(dtype=float)
-        for i in range(n):
-            has_state = last >= 0
-            if has_state:
-                ys[i], pn[i] = y, last
-            if fp[i] != fp[i]:          # block without observations
-                continue
-            if has_state:
-                w = beta ** min(int(fp[i]) - last, cap)
-                y1 = fv[i] if y == fv[i] else (w * y + alpha * fv[i]) / (w + alpha)
-            else:
-                y1 = fv[i]
-            y = av[i] * y1 + cv[i]
-            last = int(lp[i])
-        out = pdf[keys + [BLK]].copy()
-        out["_Y"], out["_pnn"] = ys, pn
-        return out[names_c]
-
-    # series with one block need no chaining; the rest are chained per
-    # series over the block table (rows / block size), spread over an
-    # explicit partition count so AQE does not fold them into one task
-    nblk = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    maps = maps.withColumn("_nb", nblk)
-    single = maps.filter(F.col("_nb") == 1).select(*keys, BLK, F.lit(None).cast("double").alias("_Y"),
-                                                    F.lit(None).cast("long").alias("_pnn"))
-    par = d.sparkSession.sparkContext.defaultParallelism
-    multi = (maps.filter(F.col("_nb") > 1).drop("_nb").repartition(par, *keys)
-                 .groupBy(*keys).applyInPandas(chain, chain_schema)
-                 .withColumn("_pnn", F.when(F.col("_pnn") >= 0, F.col("_pnn"))))
-    carry = single.unionByName(multi)
+    kinds = T.StructType([*[d.schema[k] for k in keys], *T.StructType.fromDDL(f"{BLK} long, _at long, m {_MAP}").fields])
+    rows = d.select(*keys, BLK, POS, x).sortWithinPartitions(*keys, POS)
+    carry = _ewm_tree(rows.mapInArrow(_map_rows(keys, x, alpha, beta, cap), kinds), keys, alpha, beta, cap, fan)
     dj = join_on(d, carry, [*keys, BLK])
-    # timestamps cross Arrow as epoch microseconds (much cheaper to convert)
-    ts_cols = {f.name: f.dataType for f in dj.schema.fields
-               if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
-    dj = dj.withColumns({c: epoch_us(c) for c in ts_cols})
-    out_schema = T.StructType([f for f in dj.schema.fields if f.name not in ("_pnn", "_Y")]
-                              + [T.StructField(out, T.DoubleType())])
-    names = [f.name for f in out_schema.fields]
-
-    def phase2(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(POS)
-        pos, xv = pdf[POS].to_numpy(), pdf[x].to_numpy(dtype=float)
-        pnn = pdf["_pnn"].iloc[0]
-        if pd.isna(pnn):
-            obs = np.flatnonzero(~np.isnan(xv))
-            res = np.full(len(xv), np.nan)
+    names = [f.name for f in d.schema.fields if f.name not in (BLK, out)]
+    kinds = T.StructType([*[d.schema[n] for n in names], T.StructField(out, T.DoubleType())])
+
+    def replay(t: pa.Table) -> pa.Table:
+        t = t.sort_by(POS)
+        pos = t.column(POS).to_numpy()
+        val = t.column(x).cast(pa.float64()).to_numpy()
+        last = t.column("_pnn")[0].as_py()
+        if last is None:
+            res, obs = np.full(len(val), np.nan), np.flatnonzero(~np.isnan(val))
             if len(obs):
                 j = obs[0]
-                res[j] = xv[j]
-                if j + 1 < len(xv):
-                    res[j + 1:] = _ewm_run(int(pos[j]), float(xv[j]), pos[j + 1:], xv[j + 1:], alpha, cap)
+                res[j] = val[j]
+                if j + 1 < len(val):
+                    res[j + 1:] = _ewm_run(int(pos[j]), float(val[j]), pos[j + 1:], val[j + 1:], alpha, cap)
         else:
-            res = _ewm_run(int(pnn), float(pdf["_Y"].iloc[0]), pos, xv, alpha, cap)
-        pdf[out] = res
-        return pdf[names]
+            res = _ewm_run(int(last), t.column("_Y")[0].as_py(), pos, val, alpha, cap)
+        return t.select(names).append_column(out, pa.array(res, pa.float64(), from_pandas=True))
 
-    res = dj.groupBy(*keys, BLK).applyInPandas(phase2, out_schema).drop(BLK)
-    return res.withColumns({c: (from_epoch_us(c) if isinstance(t, T.TimestampNTZType)
-                                else F.timestamp_micros(F.col(c))) for c, t in ts_cols.items()})
+    return dj.groupBy(*keys, BLK).applyInArrow(replay, kinds)
 
 
-def ffill_blocked(d: DataFrame, keys, cols: Sequence[str], outs: Sequence[str] | None = None,
-                  *, block: int = DEFAULT_BLOCK) -> DataFrame:
-    """Last non-null value at or before each row (``d`` carries ``_pos``).
+def fill_blocked(d: DataFrame, keys, cols: Sequence[str], before: Sequence[str] = (), after: Sequence[str] = (),
+                 *, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Last non-null value of ``cols`` at or before each row, as ``before``,
+    and the next one at or after it, as ``after`` (``d`` carries ``_pos``;
+    either list may be empty).
 
-    Inside a block a running ``last(ignoreNulls)`` window does the work;
-    the value entering a block comes from the block table (last non-null
-    of every earlier block), so no task holds more than one block.
+    Inside a block a running window does the work; the value entering a
+    block from either side comes from the block table (first and last
+    non-null of every block), so no task holds more than one block.
     """
     keys, cols = as_list(keys), list(cols)
-    outs = list(outs or cols)
     d = d.withColumn(BLK, F.floor(F.col(POS) / block))
-    bt = d.groupBy(*keys, BLK).agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(POS))).alias(f"_l{i}")
-        for i, c in enumerate(cols)])
-    before = Window.partitionBy(*keys).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    bt = bt.select(*keys, BLK, *[F.last(f"_l{i}", ignorenulls=True).over(before).alias(f"_c{i}")
-                                 for i in range(len(cols))])
+    some = [F.when(F.col(c).isNotNull(), F.col(POS)) for c in cols]
+    bt = d.groupBy(*keys, BLK).agg(*[F.max_by(F.col(c), p).alias(f"_l{i}") for i, (c, p) in enumerate(zip(cols, some))],
+                                   *[F.min_by(F.col(c), p).alias(f"_f{i}") for i, (c, p) in enumerate(zip(cols, some))])
+    w = Window.partitionBy(*keys).orderBy(BLK)
+    past, future = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    bt = bt.select(*keys, BLK, *[F.last(f"_l{i}", ignorenulls=True).over(past).alias(f"_c{i}") for i, _ in enumerate(before)],
+                   *[F.first(f"_f{i}", ignorenulls=True).over(future).alias(f"_d{i}") for i, _ in enumerate(after)])
     d = join_on(d, bt, [*keys, BLK])
-    run = Window.partitionBy(*keys, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumns({o: F.coalesce(F.last(c, ignorenulls=True).over(run), F.col(f"_c{i}"))
-                       for i, (c, o) in enumerate(zip(cols, outs))})
-    return d.drop(BLK, *[f"_c{i}" for i in range(len(cols))])
+    w = Window.partitionBy(*keys, BLK).orderBy(POS)
+    past, future = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    new = {o: F.coalesce(F.last(c, ignorenulls=True).over(past), F.col(f"_c{i}")) for i, (c, o) in enumerate(zip(cols, before))}
+    new |= {o: F.coalesce(F.first(c, ignorenulls=True).over(future), F.col(f"_d{i}")) for i, (c, o) in enumerate(zip(cols, after))}
+    return d.withColumns(new).drop(BLK, *[f"_c{i}" for i, _ in enumerate(before)], *[f"_d{i}" for i, _ in enumerate(after)])
+
+
+def ffill_blocked(d: DataFrame, keys, cols: Sequence[str], outs: Sequence[str] | None = None,
+                  *, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """Last non-null value at or before each row (``d`` carries ``_pos``)."""
+    return fill_blocked(d, keys, cols, before=list(outs or cols), block=block)
