@@ -153,3 +153,20 @@ def test_empty_and_untrained(spark):
     assert found(spark, []).collect() == []
     only = found(spark, [(1, "at 555-123-4567 or 12345678"), (2, None)]).collect()
     assert [(r.id, r.spans) for r in sorted(only)] == [(1, []), (2, [])]
+
+
+def test_query_columns(spark, tmp_path):
+    """The digest columns of the query against plain regular expressions."""
+    import hashlib
+    from tidewatch.llm.queries import QUERIES
+    train, made = rows(random.Random(3))
+    data = train[:60] + [(9001, f"{made['phone']()} and {made['email']()}"), (9002, None), (9003, "né 10.2.3.4")]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op13_personal_data"](spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in got} == {i for i, _ in data} and len(got) == len(data)
+    for r in got:
+        base = slow_base(dict(data)[r.doc_id] or "")
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == x for x, _, _ in base) for k in ("email", "ip", "card", "phone"))
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(joined.split(",")) <= set(r.spans.split(","))

@@ -312,6 +312,7 @@ def op13(spark, sf_dir):
     joined = lambda spans: F.array_join(F.transform(
         spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    of = lambda k: F.filter(base, lambda s: s["kind"] == k)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(joined(base), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"))
