@@ -2,21 +2,24 @@
 
 Equal vectors are folded into one class first, so a vector that a third of
 all rows share costs one node.  Classes are dealt to shards of bounded size
-by a hash, every shard gets a navigable small-world graph, and every class
-queries every shard, in groups of bounded size.  A group widens its beam
+by a hash, every shard gets a navigable small-world graph, and the classes of
+every shard query every shard, in blocks.  A beam is widened
 
 * for each query whose beam is filled with links, until it is not, and
-* as a whole, when an audit of some of its queries against all vectors of
-  the shard finds less than ``recall`` of the links of any one of them (hits
-  on the query itself are no links).  The widest beam is a scan of the
-  shard, so the audit always passes in the end.
-
-A shard holds ``SHARD_BYTES`` of vectors (65,536 of 64 components) unless
-``shard_rows`` says otherwise.  Graphs search in float32; every similarity
-found is verified as a cosine of the vectors themselves, in double precision
-and with the same result from both ends.  A group returns link counts and a
-spanning forest of its links, never the pairs, and the forests' components
-are united over all groups.
+* for a whole block, when an audit of some of its queries against all vectors
+  of the shard finds less than ``recall`` of the links of any one of them
+  (hits on the query itself are no links),
+
+as long as a wider beam costs less than a scan of the shard; then the shard
+is scanned, once, so the audit always passes in the end.
+
+A shard holds ``SHARD_BYTES`` of vectors (16,384 of 64 components) unless
+``shard_rows`` says otherwise.  Graphs search in float32; a similarity further
+from the bound than float32 can err is decided by it, any other is verified
+as a cosine of the vectors themselves, in double precision and with the same
+result from both ends.  A group returns link counts and a spanning forest of
+its links, never the pairs, and the forests' components are united over all
+groups.
 
 A link that only one of its ends finds counts for both: every group also
 returns an exclusive-or of its links' hashes, per query and per node found.
@@ -27,6 +30,7 @@ not those found towards it, and that vector scans that shard.
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,19 +38,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm._util import Scratch, mix64
-from tidewatch.llm.components import UnionFind, connected_components
+from tidewatch.llm.components import connected_components
 from tidewatch.llm.hnsw import Graph
 
 COSINE = 0.95
-#: Bytes of a shard's vectors, queries of a group, audited queries of a block.
-SHARD_BYTES = 16 << 20
-GROUP_ROWS = 1 << 13
+#: Bytes of a shard's vectors, audited queries of a block.
+SHARD_BYTES = 4 << 20
 AUDIT = 32
 RECALL = 0.995
 EF = 32
+#: Vectors that a scan compares in the time that a beam spends on one of its places.
+SCAN_SPEED = 1024
 _BLOCK = 256
 _PAIRS = 1 << 16
-_SLACK = 1e-5       # float32 similarities this far below the bound are verified too
 
 
 class Doubles:
@@ -79,26 +83,28 @@ class Doubles:
         return short if np.array_equal(short, rows) else rows
 
 
-def _links_of_block(graph: Graph, q: np.ndarray, bound: float, ef: int):
-    """(query, node) candidates of one block of queries.  A beam of a
-    sixteenth of the shard or more becomes a scan of the whole shard, which
-    costs less and misses nothing."""
-    out, open_ = [np.empty((2, 0), np.int64)], np.arange(len(q))
-    while len(open_) and 16 * ef < len(graph.x):
-        full = []
-        for p in np.array_split(open_, max(1, len(open_) * ef // (_BLOCK * 128))):
-            sim, ids = graph.search(q[p], ef)
-            good = sim >= bound
-            sat = good.all(axis=1) & (sim.shape[1] >= ef)
-            full.append(p[sat])
-            r, c = np.nonzero(good & ~sat[:, None])
-            out.append(np.stack([p[r], ids[r, c]]))
-        open_ = np.concatenate(full)
-        ef *= 2
+def _scan_beats(graph: Graph, ef: int) -> bool:
+    return SCAN_SPEED * ef >= len(graph.x)
+
+
+def _links_of_block(graph: Graph, q: np.ndarray, bound: float, ef: int | None):
+    """(query, node, similarity) candidates of one block of queries by beams
+    of width ``ef`` (None: by a scan).  Queries whose beam is full of them
+    widen it, or scan where that costs less."""
+    at, to, sims, open_ = [], [], [], np.arange(len(q))
+    while len(open_) and ef is not None:
+        sim, ids = graph.search(q[open_], ef)
+        good = sim >= bound
+        full = good.all(axis=1) & (sim.shape[1] >= ef)
+        r, c = np.nonzero(good & ~full[:, None])
+        at.append(open_[r]), to.append(ids[r, c]), sims.append(sim[r, c])
+        open_ = open_[full]
+        ef = None if _scan_beats(graph, 2 * ef) else 2 * ef
     if len(open_):
-        r, c = np.nonzero(q[open_] @ graph.x.T >= bound)
-        out.append(np.stack([open_[r], c]))
-    return np.concatenate(out, axis=1)
+        sim = q[open_] @ graph.x.T
+        r, c = np.nonzero(sim >= bound)
+        at.append(open_[r]), to.append(c), sims.append(sim[r, c])
+    return np.concatenate(at), np.concatenate(to), np.concatenate(sims)
 
 
 def _audit(graph: Graph, q: np.ndarray, me: np.ndarray, bound: float, real, asker: np.ndarray):
@@ -110,45 +116,45 @@ def _audit(graph: Graph, q: np.ndarray, me: np.ndarray, bound: float, real, aske
     linked = seen[:: max(1, len(seen) // (AUDIT // 2))][:AUDIT // 2]
     spread = np.arange(0, len(q), max(1, len(q) // (AUDIT // 2)))[:AUDIT // 2]
     sample = np.union1d(linked, spread)
-    r, c = np.nonzero(q[sample] @ graph.x.T >= bound)
-    r = sample[r]
-    ok = (c != me[r]) & real(r, c)
+    sim = q[sample] @ graph.x.T
+    r, c = np.nonzero(sim >= bound)
+    s, r = sim[r, c], sample[r]
+    ok = (c != me[r]) & real(r, c, s)
     return found[sample], np.bincount(r[ok], minlength=len(q))[sample]
 
 
 def shard_links(graph: Graph, nodes: Doubles, asked: Doubles, cosine: float, recall: float,
-                own: np.ndarray | None = None, ef: int = EF):
+                own: np.ndarray | None = None, ef: int | None = EF) -> Iterator[tuple]:
     """Links (query index, node) between ``asked`` and other vectors of a
-    shard (``nodes``, in the graph's order), and the (found, true) links of
-    the last audits.  ``own`` is the node of each query itself (-1: not in the shard); hits on
-    it are no links.  ``ef`` of the shard's size or more scans it."""
-    q32, bound = asked.unit(), cosine - _SLACK
+    shard (``nodes``, in the graph's order), a block of queries at a time, and
+    the (found, true) links of the block's last audit.  ``own`` is the node of
+    each query itself (-1: not in the shard); hits on it are no links.  An
+    ``ef`` of None scans the shard."""
+    q32, slack = asked.unit(), max(1e-5, (len(asked.t) + 4) * 2.0 ** -23)
     own = np.full(len(q32), -1) if own is None else own
-    links, audits = [np.empty((2, 0), np.int64)], [0, 0]
+    bound = cosine - slack
     for i in range(0, len(q32), _BLOCK):
         q, me, width = q32[i:i + _BLOCK], own[i:i + _BLOCK], ef
 
-        def real(r, c):
-            ok = np.empty(len(r), bool)
-            for j in range(0, len(r), _PAIRS):
-                part = slice(j, j + _PAIRS)
-                ok[part] = asked.cosines(i + r[part], nodes, c[part]) >= cosine
+        def real(r, c, sim):
+            ok = sim >= cosine + slack
+            for j in np.array_split(np.flatnonzero(~ok), max(1, int((~ok).sum()) // _PAIRS)):
+                ok[j] = asked.cosines(i + r[j], nodes, c[j]) >= cosine
             return ok
 
         while True:
-            a, b = _links_of_block(graph, q, bound, width)
-            ok = (b != me[a]) & real(a, b)
+            a, b, sim = _links_of_block(graph, q, bound, width)
+            ok = (b != me[a]) & real(a, b, sim)
             a, b = a[ok], b[ok]
-            if 16 * width >= len(graph.x):      # scanned
+            told = (0, 0)
+            if width is None:
                 break
             found, true = _audit(graph, q, me, bound, real, a)
             if (found >= recall * true).all():
-                audits[0] += int(found.sum())
-                audits[1] += int(true.sum())
+                told = int(found.sum()), int(true.sum())
                 break
-            width *= 2
-        links.append(np.stack([i + a, b]))
-    return np.concatenate(links, axis=1), tuple(audits)
+            width = None if _scan_beats(graph, 2 * width) else 2 * width
+        yield i + a, b, told
 
 
 def _link_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -156,13 +162,35 @@ def _link_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix64(np.minimum(a, b).astype(np.uint64), np.maximum(a, b).astype(np.uint64)).view(np.int64)
 
 
-def _forest(cls: np.ndarray, keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[list, list]:
-    """Nodes of the links (query ``a``, node ``b``) and their roots."""
-    uf = UnionFind()
-    for s, t in zip(cls[a].tolist(), keys[b].tolist()):
-        uf.join(s, t)
-    nodes = list(uf.up)
-    return nodes, [uf.root(x) for x in nodes]
+class Forest:
+    """Components of links given a few queries at a time, over positions of
+    the sorted ``ids``; every root is its component's smallest position."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids = ids
+        self.up = np.arange(len(ids))
+        self.used = np.zeros(len(ids), bool)
+
+    def _roots(self, at: np.ndarray) -> np.ndarray:
+        r = self.up[at]
+        while (n := self.up[r]).tobytes() != r.tobytes():
+            r = n
+        return r
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Links between positions, those of one ``a`` side by side."""
+        cut = np.flatnonzero(np.diff(a, prepend=-1, append=-1))
+        for i, j in zip(cut[:-1], cut[1:]):
+            at = np.append(b[i:j], a[i])
+            roots = self._roots(at)
+            least = roots.min()
+            self.up[roots] = least
+            self.up[at] = least
+            self.used[at] = True
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        at = np.flatnonzero(self.used)
+        return self.ids[at], self.ids[self._roots(at)] if len(at) else self.ids[at]
 
 
 def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", cosine: float = COSINE,
@@ -195,12 +223,10 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     classes = scratch.save(classes, "classes")
     most = F.greatest(F.floor(F.lit(SHARD_BYTES) / (4 * F.col("dims"))), F.lit(1)) if shard_rows is None else F.lit(shard_rows)
     counts = classes.groupBy("dims").agg(F.count("*").alias("c")).select(
-        "dims", F.ceil(F.col("c") / most).cast("int").alias("shards"),
-        F.ceil(F.col("c") / F.ceil(F.col("c") / most) / GROUP_ROWS).cast("int").alias("groups"))
+        "dims", F.ceil(F.col("c") / most).cast("int").alias("shards"))
     counts = scratch.save(counts, "counts")
     dealt = classes.join(counts, "dims").select(
-        "cls", "n", "v", "dims", "shards", "groups", F.pmod(F.xxhash64("cls"), F.col("shards")).cast("int").alias("shard"),
-        F.pmod(F.xxhash64("cls", F.lit(1)), F.col("groups")).cast("int").alias("grp"))
+        "cls", "n", "v", "dims", "shards", F.pmod(F.xxhash64("cls"), F.col("shards")).cast("int").alias("shard"))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = Doubles(pdf["v"])
@@ -208,19 +234,16 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
         order = pd.Index(pdf["cls"]).get_indexer(g.keys.astype(np.int64))
         size = pdf["n"].to_numpy()[order]
         return pd.DataFrame({"dims": pdf["dims"].iloc[:1], "shard": pdf["shard"].iloc[:1], "shards": pdf["shards"].iloc[:1],
-                             "groups": pdf["groups"].iloc[:1],
                              "graph": [g.dump(rows.packed(order))], "sizes": [size.astype(np.int64).tobytes()]})
 
     cores = max(1, spark.sparkContext.defaultParallelism)
-    graphs = (dealt.select("cls", "n", "v", "dims", "shard", "shards", "groups").repartition(4 * cores, "dims", "shard")
-              .groupBy("dims", "shard").applyInPandas(build, "dims int, shard int, shards int, groups int, graph binary, sizes binary"))
+    graphs = (dealt.select("cls", "n", "v", "dims", "shard", "shards").repartition(4 * cores, "dims", "shard")
+              .groupBy("dims", "shard").applyInPandas(build, "dims int, shard int, shards int, graph binary, sizes binary"))
     graphs = scratch.save(graphs, "graphs")
-    # the queries of a group live in one shard, ``home``, and ask one shard
-    asked = dealt.select("cls", "n", "v", "dims", F.col("shard").alias("home"), "grp",
+    # the queries of a group are those of one shard, ``home``; they ask one shard
+    asked = dealt.select("cls", "n", "v", "dims", F.col("shard").alias("home"),
                          F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
-    held = graphs.select("dims", "shard", "shards", "groups", "graph", "sizes")
-    held = held.withColumn("home", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-    held = held.withColumn("grp", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).drop("shards", "groups")
+    held = graphs.withColumn("home", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("shards")
 
     def query(scan: bool):
         def run(q: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
@@ -232,29 +255,32 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
             cls, keys = q["cls"].to_numpy(np.int64), graph.keys.astype(np.int64)
             home, shard = int(g["home"].iloc[0]), int(g["shard"].iloc[0])
             own = pd.Index(keys).get_indexer(cls)
-            (a, b), (found, true) = shard_links(graph, nodes, Doubles(q["v"]), cosine, recall, own,
-                                                    len(keys) if scan else EF)
-            n = np.bincount(a, weights=size[b], minlength=len(cls)).astype(np.int64)
-            some = np.flatnonzero(n)
-            ends, roots = _forest(cls, keys, a, b)
+            ids = np.unique(np.concatenate([cls, keys]))
+            forest, cls_at, key_at = Forest(ids), np.searchsorted(ids, cls), np.searchsorted(ids, keys)
+            n, found, true = np.zeros(len(cls), np.int64), 0, 0
+            there, back, hit = np.zeros(len(cls), np.int64), np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+            for a, b, told in shard_links(graph, nodes, Doubles(q["v"]), cosine, recall, own, None if scan else EF):
+                order = np.argsort(a, kind="stable")
+                a, b = a[order], b[order]
+                np.add.at(n, a, size[b])
+                forest.join(cls_at[a], key_at[b])
+                h = _link_hash(cls[a], keys[b])
+                np.bitwise_xor.at(there, a, h)
+                np.bitwise_xor.at(back, b, h)
+                hit[b] = True
+                found, true = found + told[0], true + told[1]
+            ends, roots = forest.edges()
             out = [pd.DataFrame({"kind": "edge", "a": ends, "b": roots, "shard": shard, "h": 0})]
             if scan:
                 out.append(pd.DataFrame({"kind": "count", "a": cls, "b": n, "shard": shard, "h": 0}))
             else:
-                there, back = np.zeros(len(cls), np.int64), np.zeros(len(keys), np.int64)
-                for j in range(0, len(a), _PAIRS):
-                    r, c = a[j:j + _PAIRS], b[j:j + _PAIRS]
-                    h = _link_hash(cls[r], keys[c])
-                    np.bitwise_xor.at(there, r, h)
-                    np.bitwise_xor.at(back, c, h)
-                hit = np.unique(b)
-                out += [pd.DataFrame({"kind": "count", "a": cls[some], "b": n[some], "shard": shard, "h": there[some]}),
+                out += [pd.DataFrame({"kind": "count", "a": cls[n > 0], "b": n[n > 0], "shard": shard, "h": there[n > 0]}),
                         pd.DataFrame({"kind": "back", "a": keys[hit], "b": 0, "shard": home, "h": back[hit]}),
                         pd.DataFrame({"kind": "audit", "a": [found], "b": [true], "shard": shard, "h": 0})]
             return pd.concat(out)
         return run
 
-    keys, links = ["dims", "home", "grp", "shard"], "kind string, a long, b long, shard int, h long"
+    keys, links = ["dims", "home", "shard"], "kind string, a long, b long, shard int, h long"
     got = (asked.repartition(4 * cores, *keys).groupBy(*keys)
            .cogroup(held.repartition(4 * cores, *keys).groupBy(*keys)).applyInPandas(query(False), links))
     got = scratch.save(got, "found")
