@@ -211,6 +211,21 @@ def block_window(keys) -> Window:
     return Window.partitionBy(*as_list(keys), BLK).orderBy(POS)
 
 
+def block_arrays(d: DataFrame, keys, cols: Sequence[str], halo: int, *, block: int = DEFAULT_BLOCK) -> DataFrame:
+    """One row (keys, ``_blk``, ``first``, ``own``, cols as arrays) per block
+    of ``d`` (which carries ``_pos``): the values of the block in order after
+    up to ``halo`` values of the rows before it.  ``first`` is the position
+    of the first element and ``own`` the index of the block's first own one.
+    One exchange, by block; no task holds more than a block and its halo."""
+    keys, cols = as_list(keys), list(cols)
+    b = with_block(d.select(*keys, POS, *cols), halo, block)
+    g = b.groupBy(*keys, BLK).agg(F.sort_array(F.collect_list(F.struct(POS, *cols))).alias("_r"),
+                                  F.count_if(HALO).alias("_halo_n"))
+    g = g.filter(F.size("_r") > F.col("_halo_n"))
+    return g.select(*keys, BLK, F.col("_r")[0][POS].alias("first"), F.col("_halo_n").cast("int").alias("own"),
+                    *[F.col(f"_r.{c}").alias(c) for c in cols])
+
+
 def series_windowed(df: DataFrame, keys, order, halo: int,
                     build: Callable[[Window], dict], *, block: int = DEFAULT_BLOCK,
                     keep_pos: bool = False, stats: dict | None = None) -> DataFrame:

@@ -1273,3 +1273,6 @@ def q_detection_job(spark, sf_dir):
     anomalies, _ = detection_job(l, entity="l_suppkey", time="l_shipdate", features=["avg_qty", "avg_price"],
                                  params=_ENS_PARAMS)
     return anomalies
+
+
+from tidewatch.plans import forecast_queries  # noqa: E402,F401  (registers its queries)
