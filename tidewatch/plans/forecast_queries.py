@@ -9,7 +9,10 @@ from tidewatch.plans import series as S
 from tidewatch.plans.queries import _HOUR_US, Z, _fc_out, _filled_sql, r, register
 
 _EVENTS = _filled_sql("SELECT * FROM events", "event_type", "ts", "value", _HOUR_US, "interpolate")
-_OUT = ["event_type", "ts", "step", r("value"), r("forecast", 4), r("lo", 4), r("hi", 4), "is_anomaly", "anomaly_type"]
+
+
+def _out() -> list:
+    return ["event_type", "ts", "step", r("value"), r("forecast", 4), r("lo", 4), r("hi", 4), "is_anomaly", "anomaly_type"]
 
 
 def _eliminate(src: str, key: str, k: int, pre: str, keep: str = "") -> list[str]:
@@ -124,7 +127,7 @@ def _arima(spark, sf_dir, order, **kw):
     from tidewatch.operators.arima import arima_detect
     d = arima_detect(S.table(spark, sf_dir, "events"), "event_type", "ts", "value", order=order, horizon=20,
                      freq="1 hour", fill_method="interpolate", **kw)
-    return d.select(*_OUT)
+    return d.select(*_out())
 
 
 @register("arima_general", _arima_sql(_EVENTS, "event_type", "ts", "value", (1, 1, 1), 20, 0.99, "both", 4))
@@ -198,4 +201,4 @@ def q_auto_ar_seasonal(spark, sf_dir):
     from tidewatch.operators.arima import auto_ar_seasonal_detect
     d = auto_ar_seasonal_detect(S.table(spark, sf_dir, "events"), "event_type", "ts", "value", season=24, horizon=24, level=0.99,
                                 direction="both", freq="1 hour", fill_method="interpolate")
-    return d.select(*_OUT, "d", "seasonal", "p")
+    return d.select(*_out(), "d", "seasonal", "p")
