@@ -145,3 +145,31 @@ def test_filter_entities_one_null_rule(spark):
     d = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
     for ids in (["a", None], ["a", None] + [f"x{i}" for i in range(2000)]):
         assert sorted(r.v for r in filter_entities(d, "k", ids).collect()) == [1, 3]
+
+
+def test_kde_translated_moments_equal_all_pairs(spark):
+    """Dense, sparse and far values; the relative error stays near rounding,
+    and a shorter series or cutoff stays within its stated bound."""
+    import math
+    import numpy as np
+    from pyspark.sql import functions as F
+    from tidewatch.operators.kde import kde_density
+    rng = np.random.default_rng(0)
+    x = np.concatenate([rng.normal(size=1500) * 3, rng.uniform(-20, 20, 300), [55.0, 60.0, -1e6]])
+    df = spark.createDataFrame([("a", float(v)) for v in x] + [("b", 1.0), ("b", None)], "k string, v double")
+    true = np.exp(-0.5 * ((x[:, None] - x) / 0.5) ** 2).sum(axis=1) / (len(x) * 0.5 * math.sqrt(2 * math.pi))
+    for terms, cutoff in ((24, 9.0), (12, 9.0), (24, 5.0)):
+        got = kde_density(df, df, "k", "v", 0.5, cutoff=cutoff, terms=terms).filter("k = 'a'").toPandas()
+        mine = got.set_index("v")["density"].loc[x].to_numpy()
+        bound = 1e-12 if (terms, cutoff) == (24, 9.0) else 3 * len(x) * max(
+            math.exp(-cutoff ** 2 / 2), math.exp(-terms / 2) * (terms / 4) ** (terms / 2) / math.factorial(terms))
+        assert np.abs(mine / true - 1).max() <= 1e-12 if bound == 1e-12 else (np.abs(mine - true) <= bound).all()
+    own = kde_density(df, df, "k", "v", 0.5).filter("k = 'b'").orderBy(F.col("v").asc_nulls_last()).collect()
+    assert own[0].density == 1 / (0.5 * math.sqrt(2 * math.pi)) and own[1].density is None
+
+
+def test_kde_explodes_boxes_not_rows(spark):
+    from tidewatch.operators.kde import box_moments
+    df = spark.range(5000).selectExpr("'a' AS k", "(id % 100) / 25.0D AS v")
+    plan = box_moments(df, "k", "v", 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.index("MapInArrow") < plan.rindex("HashAggregate")

@@ -166,26 +166,41 @@ def with_position(df: DataFrame, keys, order, *, name: str = POS, descending: bo
     return d.withColumn(name, pos).drop("_row", "_loc", "_carry")
 
 
-def percentiles_by_rank(df: DataFrame, keys, value: str, qs: Sequence[float], names: Sequence[str]) -> DataFrame:
-    """Exact percentiles per series with linear interpolation, one row per
-    series (``keys`` empty: one row).  The two ranks around ``q * (n - 1)``
-    are picked from the rows' positions, so no task holds the values of a
-    series.  Nulls are ignored; a series of nulls has no row, an empty table
-    without keys gives one row of nulls.
-    """
+def rank_values(df: DataFrame, keys, value: str) -> DataFrame:
+    """(keys, value, ``_rank``): the non-null values with their 0-based rank
+    per series, by one range shuffle."""
+    keys = as_list(keys)
+    return with_position(df.select(*keys, value).filter(F.col(value).isNotNull()), keys, [value], name="_rank")
+
+
+def percentiles_at(ranked: DataFrame, keys, value: str, qs: Sequence[float], names: Sequence[str],
+                   *, n: str | None = None) -> DataFrame:
+    """Percentiles of values that carry their ``_rank`` (a range of ranks per
+    series, such as all values or those within two bounds), with linear
+    interpolation between the two ranks around ``q * (n - 1)``; ``n`` names a
+    column for the number of values."""
     keys = as_list(keys)
-    d = with_position(df.select(*keys, value).filter(F.col(value).isNotNull()), keys, [value], name="_rank")
-    n = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    size = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_rank").alias("_base"))
     at = [F.lit(float(q)) * (F.col("_n") - 1) for q in qs]
     wanted = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(a), F.ceil(a)) for a in at])))
-    need = n.select(*keys, "_n", F.explode(wanted).alias("_rank"))
-    got = join_on(need, d, [*keys, "_rank"])
+    need = size.select(*keys, "_n", "_base", F.explode(F.transform(wanted, lambda r: r + F.col("_base"))).alias("_rank"))
+    got = join_on(need, ranked, [*keys, "_rank"])
+    rank = F.col("_rank") - F.col("_base")
     g = got.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_rank") == end(a), F.col(value))).alias(f"_{side}{i}")
+        F.max(F.when(rank == end(a), F.col(value))).alias(f"_{side}{i}")
         for i, a in enumerate(at) for side, end in (("lo", F.floor), ("hi", F.ceil))], F.max("_n").alias("_n"))
-    return g.select(*keys, *[
-        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (a - F.floor(a))).cast("double").alias(x)
-        for i, (a, x) in enumerate(zip(at, names))])
+    out = [(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (a - F.floor(a))).cast("double").alias(x)
+           for i, (a, x) in enumerate(zip(at, names))]
+    return g.select(*keys, *out, *([F.col("_n").alias(n)] if n else []))
+
+
+def percentiles_by_rank(df: DataFrame, keys, value: str, qs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Exact percentiles per series with linear interpolation, one row per
+    series (``keys`` empty: one row).  They are picked from the rows' ranks,
+    so no task holds the values of a series.  Nulls are ignored; a series of
+    nulls has no row, an empty table without keys gives one row of nulls.
+    """
+    return percentiles_at(rank_values(df, keys, value), keys, value, qs, names)
 
 
 def with_block(df: DataFrame, halo: int = 0, block: int = DEFAULT_BLOCK, pos: str = POS) -> DataFrame:

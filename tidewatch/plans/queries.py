@@ -779,15 +779,10 @@ def _auto_sql(prep: str, key: str, t: str, v: str, level: float, direction: str)
     targets = {0: (v, ["y1", "y2"]), 1: ("d0", ["d1", "d2"])}
     aggs = ", ".join(_ols_sql(targets[dd][0], targets[dd][1][:p], f"c{p}{dd}_") for p, dd in candidates)
     solves = ", ".join(_ols_solve_sql(p, f"c{p}{dd}_") for p, dd in candidates)
-    structs = []
-    for p, dd in candidates:
-        pre, kk = f"c{p}{dd}_", p + 2
-        n = f"{pre}n"
-        aicc = f"{n} * ln({pre}sse / {n}) + {2 * kk} + {2 * kk * (kk + 1)} / ({n} - {kk + 1})"
-        b1 = f"{pre}b1" if p >= 1 else "0.0::DOUBLE"
-        b2 = f"{pre}b2" if p >= 2 else "0.0::DOUBLE"
-        structs.append(f"{{'aicc': {aicc}, 'd': {dd}, 'p': {p}, 'c': {pre}c, 'b1': {b1}, 'b2': {b2}, "
-                       f"'sigma': sqrt({pre}sse / ({n} - {p + 1}))}}")
+    rows = " UNION ALL ".join(
+        f"SELECT {key}, {dd} AS d, {p} AS p, c{p}{dd}_n AS n, c{p}{dd}_c AS c, {f'c{p}{dd}_b1' if p >= 1 else '0.0::DOUBLE'} AS b1, "
+        f"{f'c{p}{dd}_b2' if p >= 2 else '0.0::DOUBLE'} AS b2, c{p}{dd}_sse AS sse FROM f1" for p, dd in candidates)
+    aicc = "n * ln(sse / n) + 2 * (p + 2) + 2.0 * (p + 2) * (p + 3) / (n - p - 3)"
     return f"""WITH {prep},
 d AS MATERIALIZED (SELECT {key}, {t}, {v}, row_number() OVER (PARTITION BY {key} ORDER BY {t} DESC) - 1 AS rpos
       FROM fl WHERE {v} IS NOT NULL),
@@ -796,22 +791,25 @@ tr AS MATERIALIZED (SELECT *, lag({v}, 1) OVER ({w}) AS y1, lag({v}, 2) OVER ({w
 cs AS (SELECT *, {v} - y1 AS d0, y1 - y2 AS d1, y2 - y3 AS d2 FROM tr WHERE y3 IS NOT NULL),
 f0 AS MATERIALIZED (SELECT {key}, {aggs} FROM cs GROUP BY 1),
 f1 AS MATERIALIZED (SELECT *, {solves} FROM f0),
-f2 AS MATERIALIZED (SELECT {key}, c00_n, list_sort(list_filter([{', '.join(structs)}], lambda s: s.aicc IS NOT NULL AND NOT isnan(s.aicc)))[1] AS m FROM f1),
+cd AS MATERIALIZED (SELECT *, {aicc} AS aicc FROM ({rows}) WHERE n + 3 >= 10),
+f2 AS MATERIALIZED (SELECT *, sqrt(sse / (n - p - 1)) AS sigma FROM cd WHERE NOT isnan(aicc)
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY aicc, d, p) = 1),
 lt AS (SELECT {key}, arg_max({v}, {t}) AS l1, arg_max(y1, {t}) AS l2, arg_max(y2, {t}) AS l3 FROM tr GROUP BY 1),
-te AS (SELECT d.{key}, d.{t}, d.{v}, f2.m, lt.l1, lt.l2, lt.l3 FROM d JOIN f2 USING ({key}) JOIN lt USING ({key})
-       WHERE d.rpos < 1 AND f2.c00_n + 3 >= 10),
-fc AS (SELECT *, m.p AS p, m.d AS d,
-              CASE WHEN m.d = 0 THEN m.c + m.b1 * l1 + m.b2 * l2
-                   ELSE l1 + m.c + m.b1 * (l1 - l2) + m.b2 * (l2 - l3) END AS forecast FROM te),
-b AS (SELECT *, forecast - {z} * m.sigma AS lo, forecast + {z} * m.sigma AS hi FROM fc)
+te AS (SELECT d.{key}, d.{t}, d.{v}, f2.* EXCLUDE ({key}), lt.l1, lt.l2, lt.l3 FROM d JOIN f2 USING ({key}) JOIN lt USING ({key})
+       WHERE d.rpos < 1),
+fc AS (SELECT *, CASE WHEN d = 0 THEN c + b1 * l1 + b2 * l2 ELSE l1 + c + b1 * (l1 - l2) + b2 * (l2 - l3) END AS forecast FROM te),
+b AS (SELECT *, forecast - {z} * sigma AS lo, forecast + {z} * sigma AS hi FROM fc)
 {_fc_out(key, t, v, direction, 'p, d, ')} FROM b"""
 
 
 _L_DAILY_US = 86_400_000_000
 
 
-@register("auto_ar_detect", _auto_sql(_filled_sql(S.L_SQL, "l_suppkey", "l_shipdate", "sum_price", _L_DAILY_US,
-                                                  "zero"), "l_suppkey", "l_shipdate", "sum_price", 0.99, "low"))
+_L_FILLED = f"""src AS MATERIALIZED ({S.L_SQL}),
+{_filled_sql('FROM src', 'l_suppkey', 'l_shipdate', 'sum_price', _L_DAILY_US, 'zero')}"""
+
+
+@register("auto_ar_detect", _auto_sql(_L_FILLED, "l_suppkey", "l_shipdate", "sum_price", 0.99, "low"))
 def q_auto_ar_detect(spark, sf_dir):
     from tidewatch.operators.forecast import auto_ar_detect
     l = S.supplier_daily(spark, sf_dir)
