@@ -171,5 +171,7 @@ def test_kde_translated_moments_equal_all_pairs(spark):
 def test_kde_explodes_boxes_not_rows(spark):
     from tidewatch.operators.kde import box_moments
     df = spark.range(5000).selectExpr("'a' AS k", "(id % 100) / 25.0D AS v")
-    plan = box_moments(df, "k", "v", 0.5)._jdf.queryExecution().executedPlan().toString()
-    assert "Generate" not in plan and plan.index("MapInArrow") < plan.rindex("HashAggregate")
+    plan = box_moments(df, "k", "v", 0.5)._jdf.queryExecution().optimizedPlan().toString()
+    explode = plan.index("Generate explode")
+    assert plan.count("Generate") == 1 and "Aggregate" in plan[explode:]        # distinct boxes below the explode
+    assert box_moments(df, "k", "v", 0.5).count() == 8

@@ -91,7 +91,7 @@ def prepare_series(df: DataFrame, keys, time: str, value: str, *, freq=None,
     d = df.select(*as_list(keys), time, value)
     some = F.col(value).isNotNull() if drop_null else F.lit(True)
     if freq is not None:
-        d = resample_mean(d, keys, time, value, freq)
+        d = materialize(resample_mean(d, keys, time, value, freq))      # positions read it twice
     if freq is not None and fill_method:
         return materialize(fill_gaps(d, keys, time, value, fill_method, keep_pos=True).filter(some))
     return materialize(with_position(d.filter(some), keys, [time]))

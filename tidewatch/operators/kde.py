@@ -20,8 +20,9 @@ moments of a box are then translated to the centres of its neighbours: with
     (u + d)^k exp(-(u + d)^2/2) = exp(-d^2/2) exp(-u^2/2) * (u + d)^k * sum_j (-d u)^j / j!
 
 is a fixed matrix per ``d`` times the box's own moments.  Only boxes are
-multiplied by their neighbours, never rows.  A point joins exactly one box
-row and evaluates a Horner polynomial.
+multiplied by their neighbours, never rows, and only neighbours that hold a
+point to be judged are kept.  A point joins exactly one box row and
+evaluates a Horner polynomial.
 
 Errors: a kernel term beyond ``cutoff`` bandwidths, which is left out, is
 below ``exp(-cutoff^2/2)`` (3e-18 for 9); with ``K = terms`` the remainder of
@@ -64,10 +65,10 @@ def translation(d: float, terms: int) -> np.ndarray:
     return m * math.exp(-d * d / 2)
 
 
-def _neighbours(keys, terms: int, reach: int):
-    """Moments that every box lends to the boxes within ``reach``."""
-    shifts = np.arange(-reach, reach + 1)
-    matrices = np.stack([translation(float(-o), terms).T for o in shifts])
+def _translate(keys, terms: int, reach: int):
+    """Moments of boxes (``_from``) about the centres of their neighbours
+    (``_box``), a row each."""
+    matrices = np.stack([translation(float(-o), terms).T for o in range(-reach, reach + 1)])
     names = [f"_m{k}" for k in range(terms)]
 
     def run(batches):
@@ -75,29 +76,36 @@ def _neighbours(keys, terms: int, reach: int):
             for i in range(0, whole.num_rows, _BATCH):
                 b = whole.slice(i, _BATCH)
                 own = np.stack([b.column(n).to_numpy(zero_copy_only=False) for n in names], axis=1)
-                lent = np.einsum("bj,ojk->bok", own, matrices).reshape(-1, terms)
-                row = pa.array(np.repeat(np.arange(b.num_rows), len(shifts)))
-                box = b.column("_box").to_numpy()[:, None] + shifts
-                yield pa.RecordBatch.from_arrays([*[b.column(k).take(row) for k in keys], pa.array(box.ravel()),
-                                                  *[pa.array(c) for c in lent.T]], [*keys, "_box", *names])
+                shift = b.column("_box").to_numpy() - b.column("_from").to_numpy() + reach
+                lent = np.matmul(own[:, None, :], matrices[shift])[:, 0]
+                yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keys], b.column("_box"), *[pa.array(c) for c in lent.T]],
+                                                 [*keys, "_box", *names])
     return run
 
 
-def box_moments(train: DataFrame, keys, value: str, bandwidth: float, *, cutoff: float = CUTOFF,
-                terms: int = TERMS) -> DataFrame:
+def box_moments(train: DataFrame, keys, value: str, bandwidth: float, *, points: DataFrame | None = None,
+                cutoff: float = CUTOFF, terms: int = TERMS) -> DataFrame:
     """(keys, _box, _m0.._m{terms - 1}): kernel moments of the training
-    values around every box centre within reach."""
-    keys = as_list(keys)
-    z = F.col(value) / F.lit(float(bandwidth))
-    d = train.select(*keys, z.alias("_z")).filter(F.col("_z").isNotNull()).withColumn("_box", _box(F.col("_z")))
+    values around the centre of every box that holds a value of ``points``
+    (default: a training value) and is within reach of one."""
+    keys, reach = as_list(keys), math.ceil(cutoff + 0.5)
+
+    def boxed(d: DataFrame) -> DataFrame:
+        z = F.col(value) / F.lit(float(bandwidth))
+        return d.select(*keys, z.alias("_z")).filter(F.col("_z").isNotNull()).withColumn("_box", _box(F.col("_z")))
+
+    d = boxed(train)
     u = F.col("_z") - (F.col("_box") + 0.5)
     d = d.select(*keys, "_box", u.alias("_u"), F.exp(-0.5 * u * u).alias("_g"))
-    sums, cur = [], F.col("_g")
-    for k in range(terms):
-        sums.append(F.sum(cur).alias(f"_m{k}"))
-        cur = cur * F.col("_u")
-    own = d.groupBy(*keys, "_box").agg(*sums)
-    lent = own.mapInArrow(_neighbours(keys, terms, math.ceil(cutoff + 0.5)), T.StructType(own.schema.fields))
+    # powers, not running products: those nest, and make code too long to be compiled
+    own = d.groupBy(*keys, "_box").agg(*[F.sum(F.col("_g") * F.pow("_u", F.lit(k))).alias(f"_m{k}") for k in range(terms)])
+    own = own.withColumnRenamed("_box", "_from")
+    wanted = boxed(train if points is None else points).select(*keys, "_box").distinct()
+    near = d.select(*keys, F.col("_box").alias("_from")).distinct()
+    near = near.withColumn("_box", F.explode(F.sequence(F.col("_from") - reach, F.col("_from") + reach)))
+    near = join_on(join_on(near, wanted, [*keys, "_box"], "left_semi"), own, [*keys, "_from"])
+    lent = near.mapInArrow(_translate(keys, terms, reach), T.StructType(
+        [*[near.schema[k] for k in keys], near.schema["_box"], *[near.schema[f"_m{k}"] for k in range(terms)]]))
     return lent.groupBy(*keys, "_box").agg(*[F.sum(f"_m{k}").alias(f"_m{k}") for k in range(terms)])
 
 
@@ -117,7 +125,7 @@ def kde_density(points: DataFrame, train: DataFrame, keys, value: str, bandwidth
     of ``train`` (of ``terms`` terms) may be passed when they are known."""
     keys = as_list(keys)
     h = float(bandwidth)
-    mom = box_moments(train, keys, value, h, cutoff=cutoff, terms=terms) if moments is None else moments
+    mom = box_moments(train, keys, value, h, points=points, cutoff=cutoff, terms=terms) if moments is None else moments
     if n_col is None:
         n = train.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_ntrain"))
         points = attach_by_key(points, n, keys)
@@ -172,7 +180,7 @@ def kde_detect(df: DataFrame, keys, time: str, value: str, *, tiebreak=(), bandw
         t = attach_by_key(t, b, keys).filter(F.col(value).between(F.col("_flo"), F.col("_fhi"))).drop("_flo", "_fhi")
         t = materialize(t)
     thr_p = threshold_percentile / 100
-    moments = materialize(box_moments(t, keys, value, bandwidth, cutoff=cutoff, terms=terms))
+    moments = materialize(box_moments(t, keys, value, bandwidth, points=d, cutoff=cutoff, terms=terms))
     st = percentiles_at(t, keys, value, [1 - thr_p, thr_p], ["lower", "upper"], n="_ntrain")
     tr = kde_density(attach_by_key(t.select(*keys, value), st.select(*keys, "_ntrain"), keys), t, keys, value, bandwidth,
                      "_dens", n_col="_ntrain", moments=moments, terms=terms)
