@@ -21,11 +21,13 @@ import json
 from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewatch.operators.sequence import as_list, percentiles_by_rank
+from tidewatch.operators.sequence import as_list, join_on, percentiles_by_rank
 from tidewatch.session import materialize
 
 
@@ -273,10 +275,9 @@ def train_and_log(df: DataFrame, keys, time: str, value: str, root: str, *, leng
     to the run log ``root/runs``: parameters, threshold, summary of the
     training scores and their histogram.  Returns (model, scored slices)."""
     from tidewatch.operators.report import score_histogram, score_summary
-    from tidewatch.operators.reshape import slice_series
+    from tidewatch.operators.reshape import slice_vectors
     spark = df.sparkSession
-    sliced = slice_series(df, keys, time, length, shift, tiebreak=tiebreak)
-    x = materialize(slices_to_vectors(sliced, keys, time, value, tiebreak=tiebreak, length=length))
+    x = materialize(slice_vectors(df, keys, time, value, length, shift, tiebreak=tiebreak))
     model = ReconstructionModel.fit(x, "x", k=k, scaler=scaler, threshold_percentile=threshold_percentile)
     model = save_model_version(spark, model, root)
     scored = materialize(model.score(x))
@@ -291,3 +292,147 @@ def train_and_log(df: DataFrame, keys, time: str, value: str, root: str, *, leng
         "n", "n_anomalies", "mean", "std", F.to_json("bins").alias("histogram"))
     run.write.mode("append").parquet(f"{root}/runs")
     return model, scored
+
+
+# -- a model per segment or entity ------------------------------------------
+
+class KeyedModels:
+    """Reconstruction models of the groups of ``by``, as one table: a row per
+    key with ``n, center, scale, mean, components, threshold``.
+
+    The sums ``n, sum(x), sum(x x^T)`` of scaled slices are added per key in
+    every task and again over tasks, so a key with a third of the slices
+    costs one d x d matrix per task; no group of slices meets in one place.
+    Keys without two slices, or whose values never vary, have no model, and
+    their slices no score.
+    """
+
+    def __init__(self, table: DataFrame, by, d: int, k: int):
+        self.table, self.by, self.d, self.k = table, as_list(by), d, k
+
+    @classmethod
+    def sums(cls, df: DataFrame, by, col: str = "x", *, scaler="standard") -> tuple[DataFrame, int]:
+        """(keys, center, scale, n, sums, gram (by rows)) and the length of
+        the slices (that of the longest; others take no part)."""
+        by = as_list(by)
+        d = df.agg(F.max(F.size(col))).first()[0]
+        if not d or d < 0:
+            raise ValueError("no slices to fit on")
+        x = df.select(*by, F.col(col).cast("array<double>").alias("_x"))
+        x = x.filter((F.size("_x") == d) & F.forall("_x", lambda v: v.isNotNull() & ~F.isnan(v)))
+        v = x.select(*by, F.explode("_x").alias("_v")).groupBy(*by)
+        if scaler == "standard":
+            s = v.agg(F.avg("_v").alias("center"), F.stddev_pop("_v").alias("scale"))
+        elif scaler == "minmax":
+            s = v.agg(F.min("_v").alias("center"), (F.max("_v") - F.min("_v")).alias("scale"))
+        elif scaler is None:
+            s = v.agg(F.lit(0.0).alias("center"), F.lit(1.0).alias("scale"))
+        else:
+            raise ValueError(f"unknown scaler {scaler!r}")
+        s = s.withColumn("scale", F.when(F.col("scale") > 0, F.col("scale")).otherwise(F.lit(1.0)))
+        x = join_on(x, materialize(s), by)
+        most = max(1, (1 << 23) // (d * d))         # matrices that a task holds
+        kinds = T.StructType([*[x.schema[k] for k in by], *T.StructType.fromDDL(
+            "center double, scale double, _s array<double>").fields])
+
+        def add(batches):
+            held: dict = {}
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                center, scale = (b.column(c).to_numpy() for c in ("center", "scale"))
+                m = b.column("_x").flatten().to_numpy().reshape(-1, d)
+                m = (m - center[:, None]) / scale[:, None]
+                keys = [repr(t) for t in zip(*[b.column(k).to_pylist() for k in by])]
+                groups: dict = {}
+                for i, key in enumerate(keys):
+                    groups.setdefault(key, []).append(i)
+                for key, at in groups.items():
+                    g = m[at]
+                    if key not in held:
+                        if len(held) >= most:
+                            yield rows(held, b.schema)
+                            held = {}
+                        held[key] = [b.slice(at[0], 1).select([*by, "center", "scale"]), 0, np.zeros(d), np.zeros((d, d))]
+                    h = held[key]
+                    h[1], h[2], h[3] = h[1] + len(g), h[2] + g.sum(axis=0), h[3] + g.T @ g
+                schema = b.schema
+            if held:
+                yield rows(held, schema)
+
+        def rows(held, schema):
+            head = pa.Table.from_batches([h[0] for h in held.values()]).combine_chunks().to_batches()[0]
+            sums = [[float(n), *s, *g.ravel()] for _, n, s, g in held.values()]
+            return pa.RecordBatch.from_arrays([*head.columns, pa.array(sums, pa.list_(pa.float64()))], [*head.schema.names, "_s"])
+
+        part = x.mapInArrow(add, kinds).select(*by, "center", "scale", F.posexplode("_s").alias("_i", "_v"))
+        part = part.groupBy(*by, "center", "scale", "_i").agg(F.sum("_v").alias("_v"))
+        whole = part.groupBy(*by, "center", "scale").agg(F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_s"))
+        s = F.col("_s._v")
+        return whole.select(*by, "center", "scale", s[0].cast("long").alias("n"), F.slice(s, 2, d).alias("sums"),
+                            F.slice(s, 2 + d, d * d).alias("gram")), d
+
+    @classmethod
+    def fit(cls, df: DataFrame, by, col: str = "x", *, k: int = 4, scaler="standard",
+            threshold_percentile: float = 99.0) -> "KeyedModels":
+        """Fit a model per key; the threshold is that percentile of the
+        key's own training scores."""
+        df = materialize(df)
+        by = as_list(by)
+        sums, d = cls.sums(df, by, col, scaler=scaler)
+        k = min(k, d)
+        kinds = T.StructType([*[sums.schema[c] for c in by], *T.StructType.fromDDL(
+            "n long, center double, scale double, mean array<double>, components array<double>").fields])
+
+        def solve(frames):
+            for pdf in frames:
+                out = []
+                for r in pdf.to_dict("records"):
+                    m = ReconstructionModel(d=d, k=k, n=int(r["n"]), sums=list(r["sums"]), gram=np.reshape(r["gram"], (d, d)).tolist())
+                    m._solve()
+                    out.append({**{c: r[c] for c in [*by, "n", "center", "scale"]}, "mean": m.mean,
+                                "components": np.ravel(m.components).tolist()})
+                yield pd.DataFrame(out, columns=kinds.names)
+
+        varies = F.exists("gram", lambda g: g != 0)
+        models = cls(materialize(sums.filter((F.col("n") > 1) & varies).mapInPandas(solve, kinds)), by, d, k)
+        scored = materialize(models._with_score(df.select(*by, col), col).filter("score IS NOT NULL").select(*by, "score"))
+        bound = percentiles_by_rank(scored, by, "score", [threshold_percentile / 100], ["threshold"])
+        models.table = materialize(join_on(models.table, bound, by))
+        return models
+
+    def _with_score(self, df: DataFrame, col: str) -> DataFrame:
+        d, k = self.d, self.k
+        df = df.drop("score", "threshold", "is_anomaly")
+        names = df.columns
+        extra = [c for c in self.table.columns if c not in self.by]
+        table = self.table.select(*self.by, *[F.col(c).alias(f"_k_{c}") for c in extra])
+        j = join_on(df.withColumn("_slice", F.col(col).cast("array<double>")), table, self.by, "left")
+        more = ["threshold"] if "threshold" in extra else []
+        kinds = T.StructType([*df.schema.fields, *[T.StructField(c, T.DoubleType()) for c in more], T.StructField("score", T.DoubleType())])
+
+        def score(batches):
+            for whole in batches:
+                for i in range(0, whole.num_rows, 1024):
+                    b = whole.slice(i, 1024)
+                    size = b.column("_slice").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                    ok = (size == d) & b.column("_k_n").is_valid().to_numpy(zero_copy_only=False)
+                    flat = b.column("_slice").flatten().to_numpy(zero_copy_only=False).astype(float)
+                    x = flat[np.repeat(ok, size)].reshape(-1, d)
+                    some = b.filter(pa.array(ok))
+                    col_of = lambda c, w: some.column(c).flatten().to_numpy(zero_copy_only=False).reshape(-1, *w)
+                    got = np.full(b.num_rows, np.nan)
+                    if len(x):
+                        x = (x - some.column("_k_center").to_numpy()[:, None]) / some.column("_k_scale").to_numpy()[:, None]
+                        x = x - col_of("_k_mean", (d,))
+                        comps = col_of("_k_components", (k, d))
+                        part = np.matmul(np.matmul(comps, x[:, :, None]).transpose(0, 2, 1), comps)[:, 0]
+                        got[ok] = np.linalg.norm(x - part, axis=1)
+                    yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], *[b.column(f"_k_{c}") for c in more],
+                                                      pa.array(got, pa.float64(), from_pandas=True)], [*names, *more, "score"])
+        return j.mapInArrow(score, kinds)
+
+    def score(self, df: DataFrame, col: str = "x") -> DataFrame:
+        """Adds ``threshold, score, is_anomaly`` (strict ``>``) under the
+        model of each slice's key; nulls where there is none."""
+        return self._with_score(df, col).withColumn("is_anomaly", F.coalesce(F.col("score") > F.col("threshold"), F.lit(False)))

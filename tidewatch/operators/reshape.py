@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.functions.scalar import series_id
-from tidewatch.operators.sequence import (BLK, DEFAULT_BLOCK, HALO, POS, as_list,
-                                          attach_series_agg, join_on, with_block,
-                                          with_position)
+from tidewatch.operators.sequence import (BLK, DEFAULT_BLOCK, HALO, POS, as_list, attach_series_agg,
+                                          block_arrays, block_window, effective_block, join_on,
+                                          with_block, with_position)
 
 
 def wide_to_long(df: DataFrame, ids: Sequence[str], features: Sequence[str],
@@ -22,40 +25,86 @@ def wide_to_long(df: DataFrame, ids: Sequence[str], features: Sequence[str],
     return d.unpivot(ids, features, name, value)
 
 
-def _series_count(d: DataFrame, source: DataFrame, keys, block: int) -> DataFrame:
-    d = with_block(d, 0, block)
-    d = attach_series_agg(d, source, keys, {"_n": F.count(F.lit(1))}, block=block)
-    return d.drop(BLK, HALO)
-
-
 def slice_series(df: DataFrame, keys, time: str, length: int, shift: int | None = None, *,
                  overlap: float | None = None, tiebreak=(), id_col: str = "series_id",
                  time_fmt: str = "yyyyMMddHHmmss", block: int = DEFAULT_BLOCK) -> DataFrame:
     """Overlapping windows of ``length`` rows advancing ``shift`` rows.
 
-    Each row is emitted once per slice that covers it (output-sized work,
-    no self join).  Series shorter than ``length`` produce nothing; partial
+    Each row is emitted once per slice that covers it (output-sized work).
+    The slices of a row, with their start times, are collected from the rows
+    before it in its block, so nothing is shuffled after the rows have been
+    dealt to blocks.  Series shorter than ``length`` produce nothing; partial
     tails are dropped.  Adds ``slice_start`` (0-based start position) and
     ``id_col`` = key + '_' + formatted start time.
     """
+    shift = slice_shift(length, shift, overlap)
+    keys = as_list(keys)
+    block = effective_block(block, length - 1)
+    d0 = with_position(df, keys, [time, *as_list(tiebreak)])
+    d = attach_series_agg(with_block(d0, length - 1, block), d0, keys, {"_n": F.count(F.lit(1))}, block=block)
+    p = F.col(POS)
+    covering = F.collect_list(F.when(p % shift == 0, F.struct(p.alias("at"), F.col(time).alias("time")))).over(
+        block_window(keys).rowsBetween(-(length - 1), 0))
+    d = d.withColumn("_slices", covering).filter(~F.col(HALO))
+    d = d.withColumn("_slice", F.explode(F.filter("_slices", lambda s: s["at"] + length <= F.col("_n"))))
+    d = d.withColumn("slice_start", F.col("_slice.at"))
+    d = d.withColumn(id_col, series_id(_key_text(keys), F.col("_slice.time"), time_fmt))
+    return d.drop("_n", POS, BLK, HALO, "_slices", "_slice")
+
+
+def slice_shift(length: int, shift: int | None, overlap: float | None) -> int:
+    """Rows by which slices advance, from ``shift`` or the share ``overlap``."""
     if shift is None:
         shift = max(1, int(length * (1 - (overlap or 0.0))))
     if length <= 0 or shift <= 0:
         raise ValueError("length and shift must be positive")
+    return shift
+
+
+def _key_text(keys):
+    return F.concat_ws("_", *[F.col(k).cast("string") for k in keys])
+
+
+#: Values of slices held at once.
+_VALUES = 1 << 20
+
+
+def slice_vectors(df: DataFrame, keys, time: str, value: str, length: int, shift: int | None = None, *,
+                  overlap: float | None = None, tiebreak=(), id_col: str = "series_id",
+                  time_fmt: str = "yyyyMMddHHmmss", out: str = "x", block: int = DEFAULT_BLOCK) -> DataFrame:
+    """The slices of :func:`slice_series` as arrays, one row per slice:
+    (keys, ``slice_start``, ``id_col``, ``out``).
+
+    Every block of rows, with the ``length - 1`` rows before it, is one row
+    of arrays; the slices that end in it are views of those arrays.  Rows are
+    shuffled twice, by range and by block, whatever ``length / shift`` is."""
+    shift = slice_shift(length, shift, overlap)
     keys = as_list(keys)
-    d = with_position(df, keys, [time, *as_list(tiebreak)])
-    d = _series_count(d, d, keys, block)
-    p, n = F.col(POS), F.col("_n")
-    lo = F.greatest(p - (length - 1), F.lit(0))
-    lo = ((lo + (shift - 1)) / shift).cast("long") * shift
-    hi = F.least(p, n - length)
-    hi = F.floor(hi / shift).cast("long") * shift
-    starts = F.when(hi >= lo, F.sequence(lo, hi, F.lit(shift).cast("long")))
-    d = d.withColumn("slice_start", F.explode(starts))
-    start_time = F.min(time).over(Window.partitionBy(*keys, "slice_start"))
-    key_txt = F.concat_ws("_", *[F.col(k).cast("string") for k in keys])
-    d = d.withColumn(id_col, series_id(key_txt, start_time, time_fmt))
-    return d.drop("_n", POS)
+    d = with_position(df.select(*dict.fromkeys([*keys, time, *as_list(tiebreak), value])), keys, [time, *as_list(tiebreak)])
+    blocks = block_arrays(d, keys, [time, value], length - 1, block=block)
+    kinds = T.StructType([*[blocks.schema[k] for k in keys], T.StructField("slice_start", T.LongType()),
+                          T.StructField("_start", blocks.schema[time].dataType.elementType),
+                          T.StructField(out, blocks.schema[value].dataType)])
+
+    def cut(batches):
+        for b in batches:
+            first, own = b.column("first").to_pylist(), b.column("own").to_pylist()
+            for i in range(b.num_rows):
+                times, values = b.column(time)[i].values, b.column(value)[i].values
+                begin = max(0, own[i] - length + 1)
+                begin += -(first[i] + begin) % shift
+                starts = np.arange(begin, len(values) - length + 1, shift)
+                for part in np.array_split(starts, max(1, len(starts) * length // _VALUES)):
+                    if len(part):
+                        ends = np.arange(0, (len(part) + 1) * length, length, dtype=np.int32)
+                        rows = values.take(pa.array((part[:, None] + np.arange(length)).ravel()))
+                        yield pa.RecordBatch.from_arrays(
+                            [*[b.column(k).take(pa.array(np.full(len(part), i))) for k in keys], pa.array(part + first[i]),
+                             times.take(pa.array(part)), pa.ListArray.from_arrays(pa.array(ends), rows)],
+                            [*keys, "slice_start", "_start", out])
+
+    got = blocks.mapInArrow(cut, kinds)
+    return got.select(*keys, "slice_start", series_id(_key_text(keys), F.col("_start"), time_fmt).alias(id_col), out)
 
 
 def split_tail(df: DataFrame, keys, time: str, horizon: int, *, tiebreak=(),

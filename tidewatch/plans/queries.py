@@ -940,11 +940,9 @@ vec AS (SELECT l_suppkey, slice_start, series_id, list(avg_qty ORDER BY l_shipda
 
 
 def _l_vectors(spark, sf_dir):
-    from tidewatch.operators.recon import slices_to_vectors
-    from tidewatch.operators.reshape import slice_series
-    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_qty")
-    sl = slice_series(l, "l_suppkey", "l_shipdate", 24, 12)
-    return slices_to_vectors(sl, "l_suppkey", "l_shipdate", "avg_qty", length=24)
+    from tidewatch.operators.reshape import slice_vectors
+    l = S.supplier_daily(spark, sf_dir)
+    return slice_vectors(l, "l_suppkey", "l_shipdate", "avg_qty", 24, 12)
 
 
 @register("slices_to_vectors", f"WITH {_LV} SELECT * FROM vec")
@@ -952,6 +950,16 @@ def q_slices_to_vectors(spark, sf_dir):
     return _l_vectors(spark, sf_dir)
 
 
+@register("slices_collected", f"WITH {_LV} SELECT * FROM vec")
+def q_slices_collected(spark, sf_dir):
+    """Vectors from exploded slices, for slices that exist only as rows."""
+    from tidewatch.operators.recon import slices_to_vectors
+    from tidewatch.operators.reshape import slice_series
+    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_qty")
+    sl = slice_series(l, "l_suppkey", "l_shipdate", 24, 12)
+    return slices_to_vectors(sl, "l_suppkey", "l_shipdate", "avg_qty", length=24)
+
+
 def _recon_scores(spark, sf_dir):
     from tidewatch.operators.recon import ReconstructionModel
     from tidewatch.session import materialize
@@ -993,6 +1001,52 @@ def q_recon_gram(spark, sf_dir):
     return g.select("i", "j", r("g", 4))
 
 
+_SEGMENT_SQL = f"""{_LV},
+v AS (SELECT s.s_nationkey, vec.x FROM vec JOIN supplier s ON s.s_suppkey = vec.l_suppkey),
+p AS (SELECT s_nationkey, avg(e) AS mu, stddev_pop(e) AS sd FROM (SELECT s_nationkey, unnest(x) AS e FROM v) q GROUP BY 1),
+sx AS (SELECT s_nationkey, list_transform(x, lambda e: (e - p.mu) / p.sd) AS x FROM v JOIN p USING (s_nationkey)),
+ij AS (SELECT i, j FROM range(0, 24) a(i), range(0, 24) b(j) WHERE i <= j)"""
+
+
+def _segment_vectors(spark, sf_dir):
+    sup = S.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    return _l_vectors(spark, sf_dir).join(sup, "l_suppkey")
+
+
+@register("recon_by_segment", f"""WITH {_SEGMENT_SQL}
+SELECT s_nationkey, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, count(*) AS n, {S.rnd('sum(x[i + 1] * x[j + 1])', 4)} AS g
+FROM sx, ij GROUP BY ALL""")
+def q_recon_by_segment(spark, sf_dir):
+    """Sufficient statistics of one reconstruction model per nation."""
+    from tidewatch.operators.recon import KeyedModels
+    from tidewatch.session import materialize
+    sums, d = KeyedModels.sums(materialize(_segment_vectors(spark, sf_dir)), "s_nationkey")
+    g = sums.select("s_nationkey", "n", F.posexplode("gram").alias("at", "g"))
+    g = g.select("s_nationkey", F.floor(F.col("at") / d).cast("int").alias("i"), (F.col("at") % d).cast("int").alias("j"), "n", r("g", 4))
+    return g.filter("i <= j")
+
+
+@register("recon_segment_variance", f"""WITH {_SEGMENT_SQL},
+mu AS (SELECT s_nationkey, i, avg(x[i + 1]) AS m FROM sx, range(0, 24) a(i) GROUP BY 1, 2)
+SELECT s_nationkey, count(DISTINCT rowid) AS n, {S.rnd('sum(pow(x[i + 1] - m, 2))', 4)} AS total
+FROM (SELECT *, row_number() OVER () AS rowid FROM sx) q JOIN mu USING (s_nationkey) GROUP BY 1""")
+def q_recon_segment_variance(spark, sf_dir):
+    """Per nation, residual variance plus the variance that its components
+    capture is the total variance of its slices."""
+    from tidewatch.operators.recon import KeyedModels
+    from tidewatch.session import materialize
+    v = materialize(_segment_vectors(spark, sf_dir))
+    models = KeyedModels.fit(v, "s_nationkey", k=4)
+    left = models.score(v).groupBy("s_nationkey").agg(F.count("score").alias("n"), F.sum(F.pow("score", F.lit(2.0))).alias("_res"))
+    # captured: of a centred slice, the squared length less the residual's
+    center = v.join(models.table, "s_nationkey")
+    z = F.zip_with(F.transform("x", lambda e: (e - F.col("center")) / F.col("scale")), "mean", lambda a, b: a - b)
+    caught = F.aggregate(F.sequence(F.lit(0), F.lit(3)), F.lit(0.0), lambda acc, c: acc + F.pow(F.aggregate(
+        F.zip_with("_z", F.slice("components", c * 24 + 1, 24), lambda a, b: a * b), F.lit(0.0), lambda s, e: s + e), F.lit(2.0)))
+    got = center.withColumn("_z", z).groupBy("s_nationkey").agg(F.sum(caught).alias("_got"))
+    return left.join(got, "s_nationkey").select("s_nationkey", "n", F.round(F.col("_res") + F.col("_got"), 4).alias("total"))
+
+
 @register("recon_variance", f"""WITH {_GRAM_SQL},
 mu AS (SELECT i, avg(x[i + 1]) AS m FROM sx, range(0, 24) a(i) GROUP BY i)
 SELECT (SELECT count(*) FROM sx) AS n, {S.rnd('sum(pow(x[i + 1] - m, 2))', 4)} AS total
