@@ -6,21 +6,51 @@ from tidewatch.operators.ewma import ewma_detect
 from tidewatch.operators.features import smoothed_increment
 from tidewatch.plans import series as S
 from tidewatch.sources.io import read_recent, write_features
-from tidewatch.streaming.jobs import file_stream, run_available, stream_ewma_detect
+from tidewatch.streaming.jobs import arrivals, file_stream, rocksdb, run_available, stream_ewma_detect
 
 from conftest import SF0
 
 
-def test_stream_ewma_equals_batch(spark):
-    s = file_stream(spark, SF0, "events").select("user_id", "ts", "event_id", "value")
-    st = run_available(stream_ewma_detect(s, "user_id", "ts", "value", tiebreak="event_id", window=10,
-                                          no_of_stds=2.0, direction="both"), "t4-test")
+def _chart(rows):
+    return {(r.user_id, r.event_id): (round(r.ema, 9), round(r.std, 9), r.is_outlier) for r in rows}
+
+
+def test_stream_ewma_over_micro_batches_equals_batch(spark):
+    """Three micro-batches, missing values, whole batches without a value,
+    and series that start late."""
+    rocksdb(spark)
     u = S.user_events(spark, SF0).select("user_id", "ts", "event_id", "value")
-    b = ewma_detect(u, "user_id", "ts", "value", tiebreak=["event_id"], window=10, no_of_stds=2.0,
-                    direction="both")
-    got = {(r.user_id, r.event_id) for r in st.filter("is_outlier").collect()}
-    exp = {(r.user_id, r.event_id) for r in b.collect()}
-    assert got == exp and len(exp) > 0
+    u = u.withColumn("value", F.when((F.col("event_id") % 5 != 0) & ~((F.col("user_id") % 3 == 0) & F.col("ts").between(
+        "2024-01-10", "2024-01-20")), F.col("value")))
+    third = [F.col("ts") < "2024-01-10", F.col("ts").between("2024-01-10", "2024-01-20"), F.col("ts") > "2024-01-20"]
+    kw = dict(tiebreak="event_id", window=10, no_of_stds=2.0, direction="both")
+    st = run_available(stream_ewma_detect(arrivals(u, third, "t4"), "user_id", "ts", "value", timeout="7 days", **kw), "t4", idle_batches=False)
+    b = ewma_detect(u, "user_id", "ts", "value", **{**kw, "tiebreak": ["event_id"]}, only_anomalies=False)
+    got, want = _chart(st.collect()), _chart(b.collect())
+    assert got == want and any(f for _, _, f in want.values())
+
+
+def test_replayed_batches_add_nothing_and_get_their_first_model(spark, tmp_path):
+    import numpy as np
+    from tidewatch.operators.recon import ReconstructionModel, model_versions, save_model_version
+    from tidewatch.streaming.jobs import run_scoring, score_batch
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame([(i, i % 3, rng.normal(size=6).tolist()) for i in range(300)], "id long, part int, x array<double>")
+    root, sink = str(tmp_path / "models"), str(tmp_path / "sink")
+    save_model_version(spark, ReconstructionModel.fit(df.filter("part = 0"), "x", k=2), root)
+    show = lambda: sorted((r.id, r.model_version, r.batch, round(r.score, 9)) for r in spark.read.parquet(sink).collect())
+    run_scoring(arrivals(df, [F.col("part") == i for i in range(3)], "t5"), root, "t5", learn=True, sink=sink)
+    first = show()
+    assert len(first) == 300 and {(v, b) for _, v, b, _ in first} == {(1, 0), (2, 1), (3, 2)} and model_versions(spark, root) == [1, 2, 3, 4]
+    for i in (2, 0):
+        score_batch(df.filter(F.col("part") == i), i, root, sink, learn=True)
+    assert show() == first and model_versions(spark, root) == [1, 2, 3, 4]
+
+
+def test_file_stream_over_a_folder_of_parts(spark, tmp_path):
+    S.table(spark, SF0, "events").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    got = run_available(file_stream(spark, str(tmp_path), "events"), "parts")
+    assert got.count() == S.table(spark, SF0, "events").count()
 
 
 def test_sql_only_operator_has_no_python_node(spark):

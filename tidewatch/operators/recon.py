@@ -59,6 +59,7 @@ class ReconstructionModel:
     threshold: float | None = None
     threshold_percentile: float = 99.0
     version: int | None = None
+    learned_batch: int | None = None        # micro-batch that a stream last learned from
 
     # -- fitting ----------------------------------------------------------
     @staticmethod

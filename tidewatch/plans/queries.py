@@ -1245,13 +1245,84 @@ def q_stream_dedup(spark, sf_dir):
     return d.select("event_id", "ts", "user_id", "event_type", "value")
 
 
-@register("stream_ewma_detect", _ewma_sql(S.U_SQL, "user_id", "ts", "value", 20, 3.0, "high", 6))
+def _ewma_null_sql(src: str, key: str, t: str, v: str, window: int, k: float, cmp: str) -> str:
+    """EWMA chart over series with missing values: a mean ``gap`` rows old
+    weighs (1 - a)^gap, missing values repeat it."""
+    a = alpha_sql(window)
+    w = f"PARTITION BY {key} ORDER BY {t}"
+    return f"""WITH RECURSIVE p AS MATERIALIZED (
+  SELECT *, row_number() OVER ({w}) - 1 AS pos, lag({v}) OVER ({w}) AS target,
+         CASE WHEN count({v}) OVER f = {window} THEN stddev_samp({v}) OVER f END AS sd
+  FROM ({src}) s WINDOW f AS ({w} ROWS BETWEEN {window} PRECEDING AND 1 PRECEDING)),
+rec AS (
+  SELECT {key}, pos, CAST(NULL AS DOUBLE) AS ema, 0 AS gap FROM p WHERE pos = 0
+  UNION ALL
+  SELECT p.{key}, p.pos, CASE WHEN p.target IS NULL THEN rec.ema WHEN rec.ema IS NULL THEN p.target
+           ELSE (pow(1 - {a}, gap) * rec.ema + {a} * p.target) / (pow(1 - {a}, gap) + {a}) END,
+         CASE WHEN p.target IS NULL THEN gap + 1 ELSE 1 END
+  FROM rec JOIN p ON p.{key} = rec.{key} AND p.pos = rec.pos + 1),
+f AS (SELECT p.*, rec.ema, CASE WHEN p.sd >= 0.01 * abs({v}) THEN p.sd ELSE 0.01 * abs({v}) END AS std
+      FROM p JOIN rec USING ({key}, pos) WHERE rec.ema IS NOT NULL AND {v} IS NOT NULL),
+g AS (SELECT *, ema + {k} * std AS ucl, ema - {k} * std AS lcl FROM f)
+SELECT {key}, event_id, {v}, {S.rnd('ema', 6)} AS ema, {S.rnd('ucl', 6)} AS ucl, {S.rnd('lcl', 6)} AS lcl
+FROM g WHERE ({cmp}) AND pos >= {window}"""
+
+
+_GAPPED = "CASE WHEN event_id % 13 = 0 THEN NULL ELSE value END"
+
+
+@register("stream_ewma_detect", _ewma_null_sql(f"SELECT user_id, ts, event_id, {_GAPPED} AS value FROM events", "user_id",
+                                               "ts, event_id", "value", 20, 3.0, "value > ucl"))
 def q_stream_ewma_detect(spark, sf_dir):
-    from tidewatch.streaming.jobs import run_available, stream_ewma_detect
-    s = _events_stream(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    """Events with missing values, arriving in four micro-batches by time."""
+    from tidewatch.streaming.jobs import arrivals, rocksdb, run_available, stream_ewma_detect
+    rocksdb(spark)
+    ev = S.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.expr(_GAPPED).alias("value"))
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    cuts = [lo + (hi - lo) * i / 4 for i in range(1, 4)]
+    bounds = [None, *cuts, None]
+    parts = [(F.lit(True) if a is None else F.col("ts") > a) & (F.lit(True) if z is None else F.col("ts") <= z)
+             for a, z in zip(bounds, bounds[1:])]
+    s = arrivals(ev, parts, "ewma")
     d = run_available(stream_ewma_detect(s, "user_id", "ts", "value", tiebreak="event_id", window=20,
                                          no_of_stds=3.0, direction="high"), "ewma")
-    return d.filter("is_outlier").select("user_id", "ts", "value", r("ema"), r("ucl"), r("lcl"))
+    return d.filter("is_outlier").select("user_id", "event_id", "value", r("ema"), r("ucl"), r("lcl"))
+
+
+@register("stream_score_slices", f"""WITH {_LV},
+v AS (SELECT *, l_suppkey % 4 AS part FROM vec),
+p AS (SELECT avg(e) AS mu, stddev_pop(e) AS sd FROM (SELECT unnest(x) AS e FROM v WHERE part = 3) q),
+z AS (SELECT l_suppkey, slice_start, part, list_transform(x, lambda e: (e - p.mu) / p.sd) AS x FROM v, p),
+m AS (SELECT b.part, i, avg(z.x[i + 1]) AS m FROM z JOIN range(0, 3) b(part) ON z.part = 3 OR z.part < b.part, range(0, 24) a(i)
+      GROUP BY b.part, i)
+SELECT l_suppkey, slice_start, CAST(part + 1 AS INTEGER) AS model_version, {S.rnd('sum(pow(x[i + 1] - m, 2))', 4)} AS total
+FROM z JOIN m USING (part) GROUP BY l_suppkey, slice_start, part""")
+def q_stream_score_slices(spark, sf_dir):
+    """Slices that arrive in three micro-batches, each scored by the model
+    that learned from the batches before it: squared score plus the squared
+    part that the model's components capture is the squared length."""
+    from tidewatch.operators.recon import ReconstructionModel, load_model_version, model_versions, save_model_version
+    from tidewatch.session import materialize
+    from tidewatch.streaming.jobs import arrivals, run_folder, run_scoring
+    v = materialize(_l_vectors(spark, sf_dir).select("l_suppkey", "slice_start", "x"))
+    root = f"{run_folder(spark, 'slices')}/models"
+    save_model_version(spark, ReconstructionModel.fit(v.filter("l_suppkey % 4 = 3"), "x", k=4), root)
+    s = arrivals(v, [F.col("l_suppkey") % 4 == i for i in range(3)], "slices")
+    got = run_scoring(s, root, "slices", learn=True)
+    total = F.lit(None).cast("double")
+    for n in model_versions(spark, root):
+        m = load_model_version(spark, root, n)
+        z = F.zip_with(F.transform("x", _scaled(m)), F.array(*[F.lit(a) for a in m.mean]), lambda a, b: a - b)
+        caught = F.lit(0.0)
+        for c in m.components:
+            caught = caught + F.pow(F.aggregate(F.zip_with(z, F.array(*[F.lit(a) for a in c]), lambda a, b: a * b),
+                                                F.lit(0.0), lambda s, e: s + e), F.lit(2.0))
+        total = F.when(F.col("model_version") == n, F.pow("score", F.lit(2.0)) + caught).otherwise(total)
+    return got.select("l_suppkey", "slice_start", "model_version", F.round(total, 4).alias("total"))
+
+
+def _scaled(m):
+    return lambda e: (e - F.lit(m.scale_center)) / F.lit(m.scale_div)
 
 
 @register("stream_score", f"""WITH m AS (SELECT user_id, avg(value) AS mean, stddev_samp(value) AS std FROM events

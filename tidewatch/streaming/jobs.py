@@ -14,17 +14,19 @@ zone) and :func:`ntz` maps window bounds back.
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from tidewatch.functions.scalar import epoch_us, from_epoch_us
 from tidewatch.session import checkpoint_dir
-from tidewatch.operators.sequence import as_list
+from tidewatch.operators.recon import load_model_version, model_versions, save_model_version
+from tidewatch.operators.sequence import _ewm_params, _ewm_run, _gap_cap, as_list, interval_us
 
 ET = "_event_time"
 
@@ -37,19 +39,49 @@ def ntz(c) -> Column:
     return from_epoch_us(F.unix_micros(c))
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def rocksdb(spark: SparkSession) -> None:
+    """Let queries started from now on keep their state in RocksDB."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
 def file_stream(spark: SparkSession, folder: str, table: str, max_files: int = 1) -> DataFrame:
-    """Parquet file source over ``folder/<table>.parquet``."""
-    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-                 .option("maxFilesPerTrigger", max_files).parquet(folder))
+    """Parquet file source over ``folder/<table>.parquet``, a file or a
+    folder of part files."""
+    path = f"{folder}/{table}.parquet"
+    r = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", max_files)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        return r.parquet(path)
+    return r.option("pathGlobFilter", f"{table}.parquet").parquet(folder)
+
 
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for one run of a stream, shared by all executors."""
+    return f"{checkpoint_dir(spark)}/streams/{name}/{uuid.uuid4().hex}"
 
-def run_available(sdf: DataFrame, name: str, *, mode: str = "append") -> DataFrame:
+
+def arrivals(df: DataFrame, parts: list, name: str) -> DataFrame:
+    """A stream of ``df`` that arrives in the given ``parts`` (conditions),
+    one micro-batch each: every part is written as one file of a folder, one
+    after the other, and read back as a file source."""
+    path = f"{run_folder(df.sparkSession, name)}/arrivals"
+    for part in parts:
+        df.filter(part).coalesce(1).write.mode("append").parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def run_available(sdf: DataFrame, name: str, *, mode: str = "append", idle_batches: bool = True) -> DataFrame:
     """Run a streaming query over everything available, sink to Parquet in
-    the checkpoint folder, and return the sink as a batch DataFrame."""
+    the checkpoint folder, and return the sink as a batch DataFrame.
+    ``idle_batches=False`` is for states with a ``timeout``: Spark asks for
+    one more batch without data as long as processing time can expire
+    something, so such a run would never be done."""
     spark = sdf.sparkSession
-    root = checkpoint_dir(spark)
-    run = f"{root}/streams/{name}/{uuid.uuid4().hex}"
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(idle_batches).lower())
+    run = run_folder(spark, name)
     q = (sdf.writeStream.format("parquet").outputMode(mode)
             .option("path", f"{run}/data").option("checkpointLocation", f"{run}/_checkpoint")
             .trigger(availableNow=True).start())
@@ -94,73 +126,100 @@ def stream_dedup(sdf: DataFrame, keys, time: str, *, delay: str = "1 hour") -> D
 
 # -- T4: stateful EWMA control chart -----------------------------------------
 
+class EwmaState(StatefulProcessor):
+    """EWMA chart of one series over micro-batches.
+
+    State: the last mean, the rows since its last observation (``gap``), the
+    row count, and the last ``window`` values, nulls included.  The rows of a
+    micro-batch are one vectorised step from that state.  ``ttl_ms`` lets
+    Spark expire each part of the state that long after its last update, and
+    a timer of the same length clears a series that has fallen silent.
+    """
+
+    def __init__(self, time: str, value: str, tiebreak: str | None, window: int, no_of_stds: float, direction: str,
+                 min_std_ratio: float, ttl_ms: int | None, names: list[str]):
+        self.order = [time] + ([tiebreak] if tiebreak else [])
+        self.value, self.window, self.k, self.direction = value, window, no_of_stds, direction
+        self.ratio, self.ttl, self.names = min_std_ratio, ttl_ms, names
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.mean = handle.getValueState("mean", "ema double, gap bigint, n bigint", self.ttl)
+        self.ring = handle.getValueState("ring", "x array<double>", self.ttl)
+
+    def step(self, x: np.ndarray, ema: float, gap: int, n: int, ring: np.ndarray):
+        """(ema, std) before each of the values ``x`` and the state after
+        them.  A mean that is ``gap`` rows old weighs ``beta^gap``; a missing
+        value repeats the mean; the std needs ``window`` values before a row."""
+        alpha, beta = _ewm_params(self.window)
+        target = np.concatenate([ring[-1:] if n else [np.nan], x])[:len(x)]     # the value one row back
+        got = np.full(len(x), np.nan)
+        seen = np.flatnonzero(~np.isnan(target))
+        if not np.isnan(ema):
+            got = _ewm_run(-gap, ema, np.arange(len(x)), target, alpha, _gap_cap(beta))
+        elif len(seen):
+            j = seen[0]
+            got[j] = target[j]
+            if j + 1 < len(x):
+                got[j + 1:] = _ewm_run(int(j), float(target[j]), np.arange(j + 1, len(x)), target[j + 1:], alpha, _gap_cap(beta))
+        past = np.concatenate([np.full(self.window - len(ring), np.nan), ring, x])
+        frames = np.lib.stride_tricks.sliding_window_view(past, self.window)[:len(x)]
+        std = frames.std(axis=1, ddof=1) if self.window > 1 else np.full(len(x), np.nan)
+        gap = len(x) - int(seen[-1]) if len(seen) else gap + len(x)
+        return got, std, (float(got[-1]), gap, n + len(x), past[len(past) - min(n + len(x), self.window):])
+
+    def handleInputRows(self, key, rows, timerValues):
+        ema, gap, n = self.mean.get() if self.mean.exists() else (None, 0, 0)
+        ring = np.array(self.ring.get()[0] if self.ring.exists() else [], dtype=float)
+        if not len(ring):
+            ema, gap, n = None, 0, 0        # expired together with what it was computed from
+        pdf = pd.concat(list(rows)).sort_values(self.order)
+        x = pdf[self.value].to_numpy(dtype=float)
+        got, std, (ema, gap, n, ring) = self.step(x, np.nan if ema is None else ema, gap, n, ring)
+        at = np.arange(n - len(x), n)
+        floor = self.ratio * np.abs(x)
+        std = np.where(std >= floor, std, floor)
+        ucl, lcl = got + self.k * std, got - self.k * std
+        high, low = x > ucl, x < lcl
+        flag = {"high": high, "low": low, "both": high | low}[self.direction] & (at >= self.window)
+        self.mean.update((None if np.isnan(ema) else ema, gap, n))
+        self.ring.update(([None if np.isnan(v) else float(v) for v in ring],))
+        if self.ttl:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.ttl)
+        out = pdf.assign(ema=got, std=std, ucl=ucl, lcl=lcl, is_outlier=flag)
+        yield out[~np.isnan(got) & ~np.isnan(x)][self.names]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.mean.clear()
+        self.ring.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
 def stream_ewma_detect(sdf: DataFrame, key: str, time: str, value: str, *, tiebreak: str | None = None,
                        window: int = 100, no_of_stds: float = 3.0, direction: str = "high",
                        min_std_ratio: float = 0.01, timeout: str | None = None) -> DataFrame:
-    """EWMA chart per series with the recursion carried in streaming state.
-
-    State per key: last EMA, the last ``window`` values (the rolling-std
-    frame and the one-step shift), and the row count.  Rows of a
-    micro-batch are processed in (time, tiebreak) order; a row older than
-    what the state already saw is still processed in arrival order.
-    ``timeout`` (e.g. '7 days') drops the state of idle series.
+    """EWMA chart per series with the recursion carried in streaming state
+    (:class:`EwmaState`, ``transformWithState``); rows without a value or a
+    mean are dropped, as in the batch chart.
+
+    Rows of a micro-batch are processed in (time, tiebreak) order; a row
+    older than what the state already saw counts in arrival order.
+    ``timeout`` (e.g. '7 days', of processing time) drops the state of idle
+    series.  Spark keeps such state in RocksDB only: the session's
+    ``spark.sql.streaming.stateStore.providerClass`` must name that provider
+    when the query starts (:func:`rocksdb` sets it).
     """
-    alpha = 2.0 / (window + 1.0)
-    beta = 1.0 - alpha
-    k_field = sdf.schema[key]
-    t_field = sdf.schema[time]
-    out_schema = T.StructType([k_field, t_field]
-                              + ([sdf.schema[tiebreak]] if tiebreak else [])
-                              + [T.StructField(value, T.DoubleType()), T.StructField("ema", T.DoubleType()),
-                                 T.StructField("std", T.DoubleType()), T.StructField("ucl", T.DoubleType()),
-                                 T.StructField("lcl", T.DoubleType()), T.StructField("is_outlier", T.BooleanType())])
-    state_schema = T.StructType([T.StructField("ema", T.DoubleType()), T.StructField("n", T.LongType()),
-                                 T.StructField("ring", T.ArrayType(T.DoubleType()))])
-    order = [time] + ([tiebreak] if tiebreak else [])
-    names = [f.name for f in out_schema.fields]
-
-    def step(k, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        if state.exists:
-            ema, n, ring = state.get
-            ring = list(ring)
-        else:
-            ema, n, ring = None, 0, []
-        frames = [p for p in pdfs]
-        pdf = pd.concat(frames).sort_values(order) if frames else pd.DataFrame(columns=names)
-        xs = pdf[value].to_numpy(dtype=float)
-        res = {c: [] for c in ("ema", "std", "ucl", "lcl", "is_outlier")}
-        for x in xs:
-            target = ring[-1] if ring else np.nan          # value one row back
-            if target == target:
-                if ema is None or ema != ema:
-                    ema = target
-                elif ema != target:
-                    ema = (beta * ema + alpha * target) / (beta + alpha)
-            frame = ring[-window:]
-            sd = float(np.std(frame, ddof=1)) if len(frame) == window and window > 1 else np.nan
-            floor = min_std_ratio * abs(x)
-            sd = sd if sd == sd and sd >= floor else floor
-            e = ema if ema is not None else np.nan
-            ucl, lcl = e + no_of_stds * sd, e - no_of_stds * sd
-            hi, lo = bool(x > ucl), bool(x < lcl)
-            flag = {"high": hi, "low": lo, "both": hi or lo}[direction] and n >= window
-            for c, v in zip(("ema", "std", "ucl", "lcl", "is_outlier"), (e, sd, ucl, lcl, flag)):
-                res[c].append(v)
-            ring.append(float(x))
-            ring = ring[-window:]
-            n += 1
-        state.update((ema, int(n), ring))
-        if timeout:
-            state.setTimeoutDuration(timeout)
-        out = pdf.assign(**res)
-        yield out[out["ema"].notna()][names]
-
-    return sdf.groupBy(key).applyInPandasWithState(
-        step, out_schema, state_schema, "append",
-        GroupStateTimeout.ProcessingTimeTimeout if timeout else GroupStateTimeout.NoTimeout)
+    out = T.StructType([sdf.schema[key], sdf.schema[time]] + ([sdf.schema[tiebreak]] if tiebreak else [])
+                       + [T.StructField(c, T.DoubleType()) for c in (value, "ema", "std", "ucl", "lcl")]
+                       + [T.StructField("is_outlier", T.BooleanType())])
+    ttl = interval_us(timeout) // 1000 if timeout else None
+    state = EwmaState(time, value, tiebreak, window, no_of_stds, direction, min_std_ratio, ttl, out.names)
+    return sdf.groupBy(key).transformWithStateInPandas(state, out, "append", "ProcessingTime" if timeout else "None")
 
 
 # -- T5: scoring with a stored model -----------------------------------------
@@ -182,6 +241,49 @@ def stream_score_slices(sdf: DataFrame, model, col: str = "x") -> DataFrame:
     return model.score(sdf, col)
 
 
+def model_for_batch(spark: SparkSession, root: str, batch: int):
+    """The newest version under ``root`` that was not learned from ``batch``
+    or a later one: a replayed batch gets the model that it got first."""
+    for v in reversed(model_versions(spark, root)):
+        m = load_model_version(spark, root, v)
+        if m.learned_batch is None or m.learned_batch < batch:
+            return m
+    raise ValueError(f"no model under {root} for batch {batch}")
+
+
+def score_batch(batch: DataFrame, batch_id: int, root: str, sink: str, col: str = "x", learn: bool = False) -> None:
+    """Score one micro-batch with the newest model and replace the folder
+    ``sink/batch=<id>``, so that a replay leaves the same rows and adds none.
+    With ``learn`` the model is then updated by the batch, once, and saved as
+    the next version for the batches to come."""
+    spark = batch.sparkSession
+    batch = batch.persist()
+    model = model_for_batch(spark, root, batch_id)
+    scored = model.score(batch, col).withColumn("model_version", F.lit(model.version))
+    scored.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+    newest = load_model_version(spark, root)
+    if learn and (newest.learned_batch is None or newest.learned_batch < batch_id) and not batch.isEmpty():
+        save_model_version(spark, replace(model.update(batch, col), learned_batch=batch_id), root)
+    batch.unpersist()
+
+
+def run_scoring(sdf: DataFrame, root: str, name: str, *, col: str = "x", learn: bool = False,
+                sink: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """Score a stream of slices batch by batch (``foreachBatch``,
+    :func:`score_batch`) until everything available is done; returns the sink
+    as a batch DataFrame.  Model versions that other jobs save under ``root``
+    while the stream runs are picked up by the next batch."""
+    spark = sdf.sparkSession
+    run = run_folder(spark, name)
+    sink = sink or f"{run}/data"
+    q = (sdf.writeStream.foreachBatch(lambda d, i: score_batch(d, i, root, sink, col, learn))
+            .option("checkpointLocation", checkpoint or f"{run}/_checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(sink)
+
+
 def fit_zscore_model(df: DataFrame, keys, value: str) -> DataFrame:
     return df.groupBy(*as_list(keys)).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))
 
