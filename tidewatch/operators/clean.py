@@ -1,11 +1,12 @@
 """Cleaning: renames, id stripping, time parsing, projection, dedup,
-numeric casts, entity filters, struct/JSON flattening."""
+numeric casts, quarantine of malformed rows, entity filters, struct/JSON
+flattening."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +54,45 @@ def clean_raw(df: DataFrame, features: Sequence[str], *, entity: str = "sn", id_
     return to_numeric_columns(d, features, decimals)
 
 
+#: Layouts of time text that are tried one after the other, after epoch milliseconds.
+TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss[.SSSSSS]", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "yyyyMMddHHmmss", "yyyy-MM-dd")
+BAD_TIME, NO_TIME, BAD_VALUE, BAD_ID = "bad time", "no time", "bad value", "no entity"
+
+
+def parse_time(c, formats: Sequence[str] = TIME_FORMATS) -> Column:
+    """Time text -> TIMESTAMP_NTZ: epoch milliseconds (of 11 to 13 digits),
+    or the first layout that fits; anything else gives null, never an error.
+    Surrounding blanks are ignored."""
+    text = F.trim(F.col(c) if isinstance(c, str) else c)
+    at = F.when(text.rlike(r"^-?[0-9]{11,13}$"), parse_epoch_ms(text, truncate_to_second=False))
+    return F.coalesce(at, *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats])
+
+
+def quarantine(df: DataFrame, entity: str, time: str, values: Sequence[str],
+               formats: Sequence[str] = TIME_FORMATS) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected): rows of raw text whose time and ``values`` can be
+    read, with time and values typed, and the others as they came, with
+    ``reasons``, an array: ``no entity``, ``no time`` (null or blank), ``bad
+    time``, ``bad value: <column>`` (text that is no finite number; null and
+    blank are missing values, not bad ones).  One pass each over the input."""
+    blank = lambda c: F.col(c).isNull() | (F.trim(c) == "")
+    number = {v: F.trim(v).try_cast("double") for v in values}
+    bad = lambda v: ~blank(v) & F.coalesce(F.isnan(number[v]) | (F.abs(number[v]) == float("inf")), number[v].isNull())
+    at = parse_time(time, formats)
+    marks = [F.when(blank(entity), F.lit(BAD_ID)), F.when(blank(time), F.lit(NO_TIME)).when(at.isNull(), F.lit(BAD_TIME)),
+             *[F.when(bad(v), F.lit(f"{BAD_VALUE}: {v}")) for v in values]]
+    d = df.withColumn("reasons", F.array_compact(F.array(*marks)))
+    good = d.filter(F.size("reasons") == 0).withColumns({time: at, **number}).drop("reasons")
+    return good, d.filter(F.size("reasons") > 0)
+
+
+def reject_counts(rejected: DataFrame, by=()) -> DataFrame:
+    """(by, reason, rows): rejected rows per reason; a row with two reasons
+    counts for both."""
+    d = rejected.select(*as_list(by), F.explode("reasons").alias("reason"))
+    return d.groupBy(*as_list(by), "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def flatten_struct(df: DataFrame, sep: str = "_") -> DataFrame:
     """Recursively expand struct columns into ``parent_child`` columns."""
     def expand(dt, prefix, path):

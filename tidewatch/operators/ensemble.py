@@ -10,13 +10,15 @@ grouped, so the base table is never joined again.  Rows are identified by
 from __future__ import annotations
 
 import json
+import time as clock
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidewatch.operators.arima import CONSTANT, NO_VALUE, TOO_SHORT, arima_detect, auto_ar_seasonal_detect
 from tidewatch.operators.ewma import ewma_detect
-from tidewatch.operators.forecast import arma11_forecast_detect
+from tidewatch.operators.forecast import arma11_forecast_detect, auto_ar_detect
 from tidewatch.operators.kde import kde_detect
 from tidewatch.operators.reshape import min_points as _min_points
 from tidewatch.operators.sequence import as_list, join_on
@@ -60,11 +62,28 @@ def detector_flags(df: DataFrame, keys, time: str, value: str, name: str, *, tie
         hit = d.filter("is_anomaly").select(*keys, time).distinct()
         # the forecaster keeps no tie-break: a flagged time flags all its rows
         d = join_on(df, hit, [*keys, time], "left_semi")
+    elif name in ("arima", "auto_ar", "auto_seasonal"):
+        hit = _forecaster(df, keys, time, value, name, p).filter("is_anomaly").select(*keys, time).distinct()
+        d = join_on(df, hit, [*keys, time], "left_semi")
     else:
         raise ValueError(f"unknown detector {name!r}")
     return d.select(*keys, time, *tb, value)
 
 
+def _forecaster(df: DataFrame, keys, time: str, value: str, name: str, p: dict) -> DataFrame:
+    """Test rows of the general or an automatic forecaster: ``arima``,
+    ``auto_ar`` (one step, order and differencing by AICc) or
+    ``auto_seasonal``."""
+    kw = {"level": p.get("auto_level", 0.99), "direction": p.get("auto_direction", "low"), "freq": p.get("auto_freq"),
+          "fill_method": p.get("auto_fill", "interpolate")}
+    if name == "auto_ar":
+        return auto_ar_detect(df, keys, time, value, min_points=p.get("min_training_points", 10), **kw)
+    if name == "auto_seasonal":
+        return auto_ar_seasonal_detect(df, keys, time, value, season=p.get("auto_season", 24), horizon=p.get("auto_horizon", 1),
+                                       min_points=p.get("min_training_points", 10), **kw)
+    return arima_detect(df, keys, time, value, order=p.get("arima_order", (1, 1, 1)), horizon=p.get("auto_horizon", 1), **kw)
+
+
 def ensemble(df: DataFrame, keys, time: str, value: str, *, detectors: Sequence[str] = ("kde", "ewma"),
              tiebreak=(), rule: str = "any", votes: int = 2, params: dict | None = None,
              only_anomalies: bool = True, min_points: int | None = None) -> DataFrame:
@@ -104,16 +123,47 @@ def ensemble_runtime(df: DataFrame, keys, time: str, value: str, *, detectors: S
                     min_points=p["min_training_points"])
 
 
+def series_reasons(base: DataFrame, keys, value: str, min_points: int = 10) -> DataFrame:
+    """(keys, ``n_points``, ``reason``) per series: why no detector can say
+    anything about it (``no value``, ``too short``: fewer than ``min_points``
+    values, ``constant``), null where nothing stands in the way."""
+    v = F.when(~F.isnan(value), F.col(value)) if dict(base.dtypes)[value] in ("double", "float") else F.col(value)
+    g = base.groupBy(*as_list(keys)).agg(F.count(F.lit(1)).alias("n_points"), F.count(v).alias("_v"),
+                                         F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+    reason = (F.when(F.col("_v") == 0, NO_VALUE).when(F.col("_v") < min_points, TOO_SHORT)
+               .when(F.col("_lo") == F.col("_hi"), CONSTANT))
+    return g.select(*as_list(keys), "n_points", reason.alias("reason"))
+
+
 def run_metrics(base: DataFrame, anomalies: DataFrame, keys, *, detectors: Sequence[str],
-                params: dict | None = None, run_id: str = "") -> DataFrame:
+                params: dict | None = None, run_id: str = "", value: str | None = None,
+                min_points: int = 10, seconds: float | None = None) -> DataFrame:
     """One row per series: points, anomalies per detector and in total, the
-    parameters as JSON, and an ``error`` column (null when fine)."""
+    parameters as JSON, and ``error``: with ``value``, the reason why the
+    series could not be judged (:func:`series_reasons`), null when it could.
+    ``seconds`` (of :func:`timed_write`) adds the run's processing time."""
     keys = as_list(keys)
-    n = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_points"))
+    if value is None:
+        n = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_points")).withColumn("reason", F.lit(None).cast("string"))
+    else:
+        n = series_reasons(base, keys, value, min_points)
     a = anomalies.groupBy(*keys).agg(
         *[F.count_if(F.col(f"is_outlier_{d}")).alias(f"anomalies_{d}") for d in detectors],
         F.count(F.lit(1)).alias("anomalies_detected"))
     out = join_on(n, a, keys, "left")
     out = out.fillna(0, subset=[f"anomalies_{d}" for d in detectors] + ["anomalies_detected"])
-    return out.withColumns({"params": F.lit(json.dumps(params or {}, sort_keys=True, default=str)),
-                            "run_id": F.lit(run_id), "error": F.lit(None).cast("string")})
+    out = out.withColumns({"params": F.lit(json.dumps(params or {}, sort_keys=True, default=str)),
+                           "run_id": F.lit(run_id), "error": F.col("reason")}).drop("reason")
+    return out if seconds is None else out.withColumn("seconds", F.lit(float(seconds)))
+
+
+def timed_write(df: DataFrame, path: str, name: str, *, metrics: dict | None = None, mode: str = "overwrite") -> dict:
+    """Write a result as Parquet and measure that one pass: its processing
+    time and, by ``DataFrame.observe``, its rows and any further ``metrics``
+    (aggregate columns by name).  Returns ``{"name", "rows", "seconds", ...}``
+    for the run log; nothing is computed twice."""
+    seen = Observation(name)
+    watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (metrics or {}).items()])
+    start = clock.perf_counter()
+    watched.write.mode(mode).parquet(path)
+    return {"name": name, "seconds": clock.perf_counter() - start, **seen.get}

@@ -64,10 +64,19 @@ class ReconstructionModel:
     # -- fitting ----------------------------------------------------------
     @staticmethod
     def scaler_params(df: DataFrame, col: str, scaler) -> tuple[float, float]:
-        """Global scaling over every value of every slice (one-row agg)."""
+        """Global scaling ``(x - center) / div`` over every value of every
+        slice: ``standard``, ``minmax``, ``robust`` (median and quartiles, by
+        rank), or an object with ``affine(values) -> (center, div)``, given
+        the values as a DataFrame with one column ``v``."""
         if scaler is None:
             return 0.0, 1.0
         v = df.select(F.explode(col).alias("v"))
+        if hasattr(scaler, "affine"):
+            center, div = scaler.affine(v)
+            return float(center), float(div) or 1.0
+        if scaler == "robust":
+            lo, mid, hi = percentiles_by_rank(v, [], "v", [0.25, 0.5, 0.75], ["lo", "mid", "hi"]).first()
+            return float(mid), float(hi - lo) or 1.0
         if scaler == "standard":
             r = v.agg(F.avg("v"), F.stddev_pop("v")).first()
             sd = r[1] if r[1] else 1.0
@@ -147,7 +156,8 @@ class ReconstructionModel:
         if not d or d < 0:
             raise ValueError("no slices to fit on")
         c, s = cls.scaler_params(df.filter(F.size(col) == d), col, scaler)
-        m = cls(d=d, k=min(k, d), scaler=scaler, scale_center=c, scale_div=s,
+        name = scaler if scaler is None or isinstance(scaler, str) else type(scaler).__name__
+        m = cls(d=d, k=min(k, d), scaler=name, scale_center=c, scale_div=s,
                 threshold_percentile=threshold_percentile)
         m.n, sums, gram = m._stats(df, col)
         if not m.n:

@@ -11,19 +11,39 @@ from tidewatch.operators.sequence import POS, as_list, fill_blocked, interval_us
 FILL_METHODS = ("interpolate", "ffill", "bfill", "zero")
 
 
-def resample_mean(df: DataFrame, keys, time: str, value: str, freq="1 hour") -> DataFrame:
+#: Buckets of a chunk of the spine.
+CHUNK = 1 << 16
+
+
+def spine_chunks(ranges: DataFrame, keys, us: int, chunk: int = CHUNK) -> DataFrame:
+    """(keys, ``_from``, ``_to``): the buckets ``us`` apart from ``_lo`` to
+    ``_hi`` of every row of ``ranges``, in chunks of at most ``chunk``."""
+    span = us * chunk
+    last = F.floor((F.col("_hi") - F.col("_lo")) / span)
+    d = ranges.select(*keys, "_lo", "_hi", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("_chunk"))
+    start = F.col("_lo") + F.col("_chunk") * span
+    return d.select(*keys, start.alias("_from"), F.least(start + (span - us), F.col("_hi")).alias("_to"))
+
+
+def spine(ranges: DataFrame, keys, us: int, chunk: int = CHUNK) -> DataFrame:
+    """(keys, ``_b``): every bucket of every range.  The chunks are dealt to
+    tasks before they are unfolded, so neither an array nor a task holds the
+    whole span of a key (a decade of seconds is 4,813 chunks)."""
+    d = spine_chunks(ranges, as_list(keys), us, chunk).repartition(*as_list(keys), "_from")
+    return d.select(*as_list(keys), F.explode(F.sequence("_from", "_to", F.lit(us).cast("long"))).alias("_b"))
+
+
+def resample_mean(df: DataFrame, keys, time: str, value: str, freq="1 hour", *, chunk: int = CHUNK) -> DataFrame:
     """Mean of ``value`` per ``freq`` bucket (aligned to the epoch), with
     every empty bucket between a series' first and last one present as a
-    null row.  The spine is exploded per series (output sized) and left
-    joined to the bucket means on ``(keys, bucket)``."""
+    null row.  The spine (:func:`spine`) is left joined to the bucket means
+    on ``(keys, bucket)``."""
     keys = as_list(keys)
     us = interval_us(freq)
     bucket_us = F.floor(epoch_us(time) / us) * us
     agg = df.groupBy(*keys, bucket_us.alias("_b")).agg(F.avg(value).alias(value))
-    rng = agg.groupBy(*keys).agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi"))
-    spine = rng.select(*keys, F.explode(F.sequence(F.col("_lo"), F.col("_hi"), F.lit(us).cast("long")))
-                       .alias("_b"))
-    out = join_on(spine, agg, [*keys, "_b"], "left")
+    rng = agg.groupBy(*keys).agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi")).filter("_lo IS NOT NULL")
+    out = join_on(spine(rng, keys, us, chunk), agg, [*keys, "_b"], "left")
     return out.select(*keys, from_epoch_us(F.col("_b")).alias(time), value)
 
 

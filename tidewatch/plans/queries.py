@@ -1398,4 +1398,4 @@ def q_detection_job(spark, sf_dir):
     return anomalies
 
 
-from tidewatch.plans import forecast_queries  # noqa: E402,F401  (registers its queries)
+from tidewatch.plans import forecast_queries, ops_queries  # noqa: E402,F401  (they register their queries)

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.operators.sequence import as_list, join_on
+from tidewatch.functions.scalar import epoch_us, from_epoch_us
+from tidewatch.operators.resample import CHUNK, spine
+from tidewatch.operators.sequence import as_list, interval_us, join_on
 
 
 def raw_schema(columns: Sequence[str]) -> T.StructType:
@@ -27,22 +29,42 @@ def read_raw_csv(spark: SparkSession, paths, columns: Sequence[str] | None = Non
     return r.csv(paths)
 
 
+def recent_folders(spark: SparkSession, root: str, end: _dt.datetime, hours: int) -> list[str]:
+    """The ``date=YYYY-MM-DD/hr=H`` folders under ``root`` of the last
+    ``hours`` hours that exist.  Only the days in question are looked into
+    (one glob each); hours may be written with or without a leading zero."""
+    wanted = {(t.strftime("%Y-%m-%d"), t.hour) for t in (end - _dt.timedelta(hours=h) for h in range(hours))}
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for day in sorted({d for d, _ in wanted}):
+        for x in fs.globStatus(path(f"{root}/date={day}/hr=*")) or []:
+            hour = x.getPath().getName()[3:]
+            if hour.isdigit() and (day, int(hour)) in wanted:
+                found.append(f"{root}/date={day}/hr={hour}")
+    return found
+
+
 def read_recent(spark: SparkSession, root: str, end: _dt.datetime, hours: int,
                 fmt: str = "csv", columns: Sequence[str] | None = None) -> DataFrame:
     """Last ``hours`` hours of a ``date=YYYY-MM-DD/hr=HH`` partitioned table.
 
-    The table root is read once and filtered on the partition columns, so
-    Spark prunes partitions (``PartitionFilters``) instead of the driver
-    listing hundreds of explicit paths.
+    Only the wanted folders are listed (:func:`recent_folders`); missing ones
+    are skipped, and ``date`` and ``hr`` stay columns (``basePath``).  Where
+    none exists the result is empty: of the given ``columns``, or of
+    ``date`` and ``hr`` only.
     """
-    start = end - _dt.timedelta(hours=hours - 1)
-    r = spark.read.option("header", True) if fmt == "csv" else spark.read
-    if columns and fmt == "csv":
-        r = r.schema(T.StructType(raw_schema(columns).fields
-                                  + [T.StructField("date", T.StringType()), T.StructField("hr", T.StringType())]))
-    d = r.format(fmt).load(root)
-    stamp = F.concat(F.col("date").cast("string"), F.lit(" "), F.lpad(F.col("hr").cast("string"), 2, "0"))
-    return d.filter((stamp >= start.strftime("%Y-%m-%d %H")) & (stamp <= end.strftime("%Y-%m-%d %H")))
+    r = spark.read.option("basePath", root)
+    part = [T.StructField("date", T.StringType()), T.StructField("hr", T.StringType())]
+    named = T.StructType([*(raw_schema(columns).fields if columns else []), *part])
+    if fmt == "csv":
+        r = r.option("header", True)
+        if columns:
+            r = r.schema(named)
+    paths = recent_folders(spark, root, end, hours)
+    if not paths:
+        return spark.createDataFrame([], named)
+    return r.format(fmt).load(paths)
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
@@ -71,17 +93,26 @@ def write_run_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def partition_coverage(df: DataFrame, keys, time: str, unit: str = "hour") -> DataFrame:
+#: Units of a fixed length, whose buckets need no calendar.
+_FIXED = {"second", "minute", "hour", "day"}
+
+
+def partition_coverage(df: DataFrame, keys, time: str, unit: str = "hour", *, chunk: int = CHUNK) -> DataFrame:
     """Missing ``unit`` buckets per key between its first and last bucket.
 
-    Expected buckets come from ``sequence`` over each key's range (output
-    sized), present ones from a distinct projection; a left-anti join keeps
-    the gaps.
+    Expected buckets are unfolded in chunks (output sized; units of a fixed
+    length), or by the calendar (weeks, months, years), present ones come
+    from a distinct projection; a left-anti join keeps the gaps.  Rows with a
+    null time count nowhere.
     """
     keys = as_list(keys)
     b = F.date_trunc(unit, time).cast("timestamp_ntz")
-    present = df.select(*keys, b.alias("bucket")).distinct()
-    rng = present.groupBy(*keys).agg(F.min("bucket").alias("_lo"), F.max("bucket").alias("_hi"))
-    step = F.expr(f"INTERVAL 1 {unit.upper()}")
-    expected = rng.select(*keys, F.explode(F.sequence("_lo", "_hi", step)).alias("bucket"))
+    present = df.select(*keys, b.alias("bucket")).filter("bucket IS NOT NULL").distinct()
+    if unit in _FIXED:
+        rng = present.groupBy(*keys).agg(epoch_us(F.min("bucket")).alias("_lo"), epoch_us(F.max("bucket")).alias("_hi"))
+        expected = spine(rng, keys, interval_us(f"1 {unit}"), chunk).select(*keys, from_epoch_us(F.col("_b")).alias("bucket"))
+    else:
+        rng = present.groupBy(*keys).agg(F.min("bucket").alias("_lo"), F.max("bucket").alias("_hi"))
+        step = F.expr(f"INTERVAL 1 {unit.upper()}")
+        expected = rng.select(*keys, F.explode(F.sequence("_lo", "_hi", step)).alias("bucket"))
     return join_on(expected, present, [*keys, "bucket"], "left_anti")
