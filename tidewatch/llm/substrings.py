@@ -10,10 +10,13 @@ hash of one level is mixed from two of the level before:
    with the least hash (winnowing).  Every passage of ``window`` words holds
    a selected one, and equal passages select the same one, so nothing is
    lost while under a fifth of the positions are shuffled.
-2. *Extension.*  Windows that repeat in different texts are extended: every
-   ``window``-word window around a repeated one is a candidate of the next
-   level, until the full length is reached or no candidates survive.
-3. *Decision.*  For each full-length window (128 bits of hash) the smallest
+2. *Doubling.*  A window that repeats in different texts is extended to the
+   next length, once to the right and once to the left; every longer window
+   that holds it holds one of the two.  Those that repeat again are extended
+   further, the others are dropped, until the level below the full length is
+   reached or no candidates survive.
+3. *Decision.*  Every ``window``-word window around a survivor of the last
+   level is a candidate.  For each of them (96 bits of hash) the smallest
    document id it starts in is aggregated; a window is removed from every
    document with a larger id.
 
@@ -115,13 +118,36 @@ def _anchors(window: int, length: int, with_place: bool):
     return run
 
 
+def _extended(length: int, longer: int):
+    """Windows of ``longer`` words that begin or end with a repeated window
+    of ``length`` words."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches_of(rows, 256):
+            hs, key, row, pos = [], [], [], []
+            for rk, t, at in zip(b.column("rk").to_pylist(), texts_as_bytes(b.column("t")), b.column("at")):
+                h = window_hashes(word_hashes(t.split())[:, 0], longer)
+                at = np.asarray(at.values)
+                at = np.unique(np.concatenate([at, at + length - longer]))
+                at = at[(at >= 0) & (at < len(h))]
+                hs.append(h[at])
+                key.append(np.full(len(at), xxhash.xxh64_intdigest(t) - (1 << 63)))
+                row.append(np.full(len(at), rk))
+                pos.append(at)
+            if hs:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.concatenate(key).astype(np.int64)),
+                     pa.array(np.concatenate(row).astype(np.int64)), pa.array(np.concatenate(pos).astype(np.int32))],
+                    names=["h", "k", "rk", "pos"])
+    return run
+
+
 def _candidates(window: int, length: int):
     """Full-length windows that hold a repeated selected window."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches_of(rows, 128):
             out: list[list] = [[], [], [], [], []]
-            for rk, oid, t, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist(),
-                                      texts_as_bytes(b.column(2)), b.column(3)):
+            for rk, oid, t, at in zip(b.column("rk").to_pylist(), b.column("oid").to_pylist(),
+                                      texts_as_bytes(b.column("t")), b.column("at")):
                 words = t.split()
                 n = len(words) - window + 1
                 reach = np.asarray(at.values)[:, None] + np.arange(length - window, 1)
@@ -141,16 +167,18 @@ def _candidates(window: int, length: int):
     return run
 
 
-def repeated_windows(docs: DataFrame, text: str = "text", id: str = "doc_id", window: int = WINDOW,
-                     first: int = 4, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
+def repeated_windows(docs: DataFrame, text: str = "text", id: str = "doc_id", window: int = WINDOW, first: int = 4,
+                     scratch: Scratch | None = None, report: list | None = None) -> tuple[DataFrame, DataFrame]:
     """Windows to remove, by row key ``rk = xxhash64(id, text)``.
 
     Returns ``(flags, copies)``: ``flags(rk, starts)`` lists the 0-based
     word positions where a removed window starts, ``copies(rk)`` the rows
-    whose whole text stands in a row with a smaller id.
+    whose whole text stands in a row with a smaller id.  ``report``, when
+    given, receives ``(length, candidates)`` of every level that was run:
+    selected windows of the first that repeat, extended ones of the others.
     """
     scratch = scratch or Scratch(docs.sparkSession, "substrings")
-    length = levels(window, first)[0]
+    lengths = levels(window, first)
     rows = _keyed(docs, text, id)
     # whole-text copies
     ids = scratch.save(rows.filter("t IS NOT NULL").select("rk", "oid", F.unhex(F.md5("t")).alias("md5")), "ids")
@@ -158,21 +186,49 @@ def repeated_windows(docs: DataFrame, text: str = "text", id: str = "doc_id", wi
                          .filter("lo < hi").select("md5", "lo"), "least")
     copies = scratch.save(ids.join(least, "md5").filter("oid > lo").select("rk").distinct(), "copies")
     scratch.drop("ids")
+
+    def repeated(windows: DataFrame, name: str) -> DataFrame:
+        """Hashes of windows that stand in different texts."""
+        ends = windows.groupBy("h").agg(F.min("k").alias("a"), F.max("k").alias("b"))
+        return scratch.save(ends.filter("a < b").select("h"), name)
+
+    def survivors(windows: DataFrame, again: DataFrame, name: str) -> DataFrame:
+        """(rk, at): where the repeated windows of a row start; rows that are
+        copies are decided already."""
+        at = windows.join(again, "h", "left_semi").groupBy("rk").agg(F.collect_set("pos").alias("at"))
+        return scratch.save(at.join(copies, "rk", "left_anti"), name)
+
     # first level: selected windows that repeat in different texts
     place = rows.select("rk", "t")
-    first_level = place.mapInArrow(_anchors(window, length, False), "h long, k long")
-    again = scratch.save(first_level.groupBy("h").agg(F.min("k").alias("a"), F.max("k").alias("b"))
-                         .filter("a < b").select("h"), "repeated")
+    length = lengths[0]
+    again = repeated(place.mapInArrow(_anchors(window, length, False), "h long, k long"), "repeated")
     scratch.settle()
-    anchors = place.mapInArrow(_anchors(window, length, True), "h long, rk long, pos int")
-    found = anchors.join(again, "h", "left_semi").groupBy("rk").agg(F.collect_set("pos").alias("at"))
-    found = scratch.save(found.join(copies, "rk", "left_anti"), "extend")
+    found = survivors(place.mapInArrow(_anchors(window, length, True), "h long, rk long, pos int"), again, "survivors")
+    scratch.drop("repeated")
     scratch.settle()
-    # extension to the full length
-    wide = scratch.save(rows.join(found, "rk").select("rk", "oid", "t", "at").select("rk", "oid", "t", "at")
+    if report is not None:
+        report.append((length, found.agg(F.sum(F.size("at"))).first()[0] or 0))
+    # doubling: survivors of one length alone are tried at the next
+    for longer in lengths[1:-1]:
+        if found.isEmpty():
+            break
+        tried = place.join(found, "rk").select("rk", "t", "at").mapInArrow(_extended(length, longer), "h long, k long, rk long, pos int")
+        tried = scratch.save(tried, "tried")
+        if report is not None:
+            report.append((longer, tried.count()))
+        again = repeated(tried, "repeated")
+        scratch.drop("survivors")
+        found = survivors(tried, again, "survivors")
+        scratch.drop("repeated")
+        scratch.drop("tried")
+        scratch.settle()
+        length = longer
+    # the full length
+    wide = scratch.save(rows.join(found, "rk").select("rk", "oid", "t", "at")
                         .mapInArrow(_candidates(window, length), "h1 long, h2 int, oid long, rk long, pos int"), "wide")
-    scratch.drop("extend")
-    scratch.drop("repeated")
+    if report is not None and length < window:
+        report.append((window, wide.count()))
+    scratch.drop("survivors")
     scratch.settle()
     owner = scratch.save(wide.groupBy("h1", "h2").agg(F.min("oid").alias("lo"), F.max("oid").alias("hi"))
                          .filter("lo < hi").select("h1", "h2", "lo"), "owner")
