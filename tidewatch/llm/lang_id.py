@@ -1,17 +1,18 @@
 """Language identification, word first with character backoff.
 
-A model holds, per language, the log frequency of its commonest words and of
-the commonest character n-grams of its words (lengths ``N_MAX`` down to 1,
-word borders marked).  A known word scores its log frequencies; an unseen
+A model holds, per language, the log frequency of its words and of the
+character n-grams of its words (lengths ``N_MAX`` down to 1, word borders
+marked).  A known word scores its log frequencies; an unseen
 word scores the mean log frequency of its n-grams of the longest length of
 which any is known, falling back to shorter and shorter ones.  The scores of
 all words of a text are summed over the whole text, with the log share of
 the language among the labelled documents as the prior.
 
 The tables are fitted on a bounded sample of labelled documents
-(``docs_per_lang`` per language in expectation) and keep a bounded number of
-words and n-grams, so the model that is broadcast does not grow with the
-data.  Prediction reads nothing but the text.
+(``docs_per_lang`` per language in expectation, of at most ``most_langs``
+languages) and keep every word and n-gram of it, so the model that is
+broadcast is bounded by the sample, not by the data.  Prediction reads
+nothing but the text.
 """
 
 from __future__ import annotations
@@ -25,17 +26,16 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm._util import Scratch, batches_of
 
 UNKNOWN = "und"
 N_MAX = 4
-#: Bounds of the fit: documents per language, words and n-grams kept per language.
+#: Bounds of the fit's sample: documents per language, languages.
 DOCS_PER_LANG = 2000
-WORDS_KEPT = 20_000
-GRAMS_KEPT = 8_000
+MOST_LANGS = 256
 #: Words kept by a Python worker; the cache starts anew when it is full.
 CACHE_WORDS = 300_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -59,38 +59,42 @@ def words_of(text: str) -> Iterator[list[str]]:
 
 @dataclass
 class Model:
-    """``tables[n][gram]`` is a vector of log frequencies by language
-    (``n = 0``: whole words)."""
+    """``tables[n]`` is (row number by gram, log frequencies by row and
+    language); ``n = 0``: whole words."""
 
     langs: list
     prior: np.ndarray
     tables: list = field(repr=False)
 
     def score_word(self, word: str) -> np.ndarray:
-        known = self.tables[0].get(word)
+        index, logs = self.tables[0]
+        known = index.get(word)
         if known is not None:
-            return known
+            return logs[known]
         for n in range(N_MAX, 0, -1):
-            table = self.tables[n]
-            rows = [table[g] for g in grams(word, n) if g in table]
+            index, logs = self.tables[n]
+            rows = [index[g] for g in grams(word, n) if g in index]
             if rows:
-                return np.mean(rows, axis=0)
+                return logs[rows].mean(axis=0)
         return np.zeros(len(self.langs))
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_id",
-        docs_per_lang: int = DOCS_PER_LANG) -> Model:
+        docs_per_lang: int = DOCS_PER_LANG, most_langs: int = MOST_LANGS) -> Model:
     """Fit on rows with a text and a language.  At most about
     ``docs_per_lang`` documents of a language are read, chosen by a hash of
-    their id; fewer labelled documents are all read.  Without any labelled
-    row the model knows no language."""
+    their id; fewer labelled documents are all read.  Where labels name more
+    than ``most_langs`` languages, the sample is of those with the most
+    labelled documents (ties: by name).  Every word and n-gram of the sample
+    is kept.  Without any labelled row the model knows no language."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "langid")
     d = docs.select(F.col(text).alias("t"), F.col(lang).cast("string").alias("lang"),
                     F.xxhash64(F.col(id).cast("string"), F.lit("langid")).alias("h")).filter("t IS NOT NULL AND lang IS NOT NULL")
-    share = scratch.save(d.groupBy("lang").agg(F.count("*").alias("n")), "share")
+    share = d.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs)
+    share = scratch.save(share, "share")
     part = 1 << 20
-    chosen = d.join(F.broadcast(share) if share.count() <= 10_000 else share, "lang").filter(
+    chosen = d.join(F.broadcast(share), "lang").filter(         # at most most_langs rows
         F.pmod("h", F.lit(part)) < F.lit(part) * F.least(F.lit(1.0), F.lit(float(docs_per_lang)) / F.col("n")))
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,10 +121,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_
 
     counts = chosen.select("lang", "t").mapInArrow(count, "lang string, n int, gram string, k long")
     counts = scratch.save(counts.groupBy("lang", "n", "gram").agg(F.sum("k").alias("k")), "counts")
-    rank = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("k"), "gram"))
-    top = counts.withColumn("r", rank).filter(F.col("r") <= F.when(F.col("n") == 0, WORDS_KEPT).otherwise(GRAMS_KEPT))
-    names = top.select("n", "gram").distinct()
-    rows = counts.join(names, ["n", "gram"]).toPandas()          # bounded by the tables' sizes
+    rows = counts.toPandas()            # bounded by the sample
     langs = sorted(rows["lang"].unique().tolist())
     at = {la: i for i, la in enumerate(langs)}
     prior = np.zeros(len(langs))
@@ -133,8 +134,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_
         row = {g: i for i, g in enumerate(grams_n)}
         m = np.full((len(grams_n), len(langs)), 0.5)
         m[[row[g] for g in part_n["gram"]], [at[x] for x in part_n["lang"]]] += part_n["k"].to_numpy()
-        m = np.log(m / m.sum(axis=0)) if len(grams_n) else m
-        tables.append(dict(zip(grams_n, m)))
+        tables.append((row, np.log(m / m.sum(axis=0)) if len(grams_n) else m))
     return Model(langs, np.log(prior / prior.sum()) if len(langs) else prior, tables)
 
 
