@@ -66,7 +66,7 @@ class _Plain:
     """Bytes of an uncompressed archive."""
 
     def __init__(self, f):
-        self.f, self.out = f, b""
+        self.f, self.out = f, bytearray()
 
     def more(self, n: int) -> bool:
         got = self.f.read(n)
@@ -75,14 +75,14 @@ class _Plain:
 
     def skip(self, n: int) -> None:
         self.f.seek(self.f.tell() - len(self.out) + n)
-        self.out = b""
+        self.out.clear()
 
 
 class _Gzip:
     """Bytes of an archive made of gzip members."""
 
     def __init__(self, f):
-        self.f, self.out, self.raw, self.d = f, b"", b"", None
+        self.f, self.out, self.raw, self.d = f, bytearray(), b"", None
 
     def more(self, n: int) -> bool:
         while True:
@@ -119,16 +119,16 @@ class _Gzip:
     def skip(self, n: int) -> None:
         n -= len(self.out)
         if n < 0:
-            self.out = self.out[n:]
+            del self.out[:n]
             return
-        self.out = b""
+        self.out.clear()
         if n and self.d is not None and self.end is not None and self.left == n:
             self.f.seek(self.end)
             self.raw, self.d = b"", None
             return
         while n > 0 and self.more(min(n, _PIECE)):
             n -= len(self.out)
-            self.out = b""
+            self.out.clear()
 
 
 def parse(f, gzipped: bool, want, payloads: bool) -> Iterator[dict]:
@@ -146,7 +146,7 @@ def parse(f, gzipped: bool, want, payloads: bool) -> Iterator[dict]:
             if not src.more(2048):
                 return                  # a torn header at the end of the file
         lines = src.out[:cut].decode("utf-8", "replace").split("\r\n")
-        src.out = src.out[cut + 4:]
+        del src.out[:cut + 4]
         headers: dict[str, str] = {}
         for line in lines[1:]:
             key, _, value = line.partition(":")
@@ -168,7 +168,8 @@ def parse(f, gzipped: bool, want, payloads: bool) -> Iterator[dict]:
         if payloads and row["record_type"] != "revisit":
             while len(src.out) < size and src.more(size - len(src.out)):
                 pass
-            block, src.out = src.out[:size], src.out[size:]
+            block = bytes(src.out[:size])
+            del src.out[:size]
             if (row["content_type"] or "").startswith("application/http"):
                 block = block.partition(b"\r\n\r\n")[2]
             row |= {"payload": block, "payload_length": len(block), "payload_digest": base32_sha1(block)}
