@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -39,6 +38,9 @@ from tidewatch.llm._util import Scratch, hamming
 BITS = 64
 #: Codes that one value of a segment selects, about.
 CODES_PER_VALUE = 4
+#: Patterns and queries of a block; a pair of blocks meets in one group.
+BLOCK_FLIPS = 1 << 12
+BLOCK_QUERIES = 1 << 12
 
 
 def sign_codes(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -76,22 +78,49 @@ def _segment(code, shift: int, width: int):
     return F.shiftrightunsigned(code, shift).bitwiseAND(F.lit(mask).cast("long"))
 
 
-def _probes(active: DataFrame, segments, radius: int) -> DataFrame:
+def _patterns(table: DataFrame | None, width: int, spark, scratch: Scratch, radius: int) -> DataFrame:
+    """(flip, top): all patterns of ``radius`` bits of ``width``, each with
+    its highest bit, made from those of one bit less (``table``)."""
+    if table is None:
+        return scratch.save(spark.range(1).select(F.lit(0).cast("long").alias("flip"), F.lit(-1).alias("top")), "flips0")
+    longer = table.filter(F.col("top") < width - 1).select(
+        "flip", F.explode(F.sequence(F.col("top") + 1, F.lit(width - 1))).alias("top"))
+    return scratch.save(longer.select(F.col("flip").bitwiseOR(F.expr("shiftleft(1L, top)")).alias("flip"), "top"),
+                        f"flips{radius}")
+
+
+def _probes(active: DataFrame, segments, radius: int, flips: DataFrame, n_flips: int, n_active: int) -> DataFrame:
     """(q, kth, seg, val) for all segment values at distance ``radius`` in
     the segments that the k-th distance known so far calls for.  The bit
-    patterns to flip are a broadcast table: C(width, radius) rows a segment,
-    whatever the number of codes."""
+    patterns to flip are a table that Spark makes; patterns and queries are
+    dealt to blocks of bounded size, of which every pair meets once (or the
+    patterns are broadcast, where Spark finds their table small)."""
     m = len(segments)
-    flips = [(s, sum(1 << i for i in c)) for s, (_, width) in enumerate(segments)
-             for c in combinations(range(width), radius)]
-    table = active.sparkSession.createDataFrame(flips, "seg int, flip long")
     parts = F.array(*[_segment(F.col("q"), shift, width) for shift, width in segments])
     last = F.least(F.lit(m - 1), F.col("kth") - m * radius)
     needed = active.filter(F.col("kth") >= m * radius).withColumn("seg", F.explode(F.sequence(F.lit(0), last)))
-    out = needed.withColumn("at", parts[F.col("seg")]).join(F.broadcast(table), "seg")
+    blocks, groups = max(1, -(-n_flips // BLOCK_FLIPS)), max(1, -(-n_active // BLOCK_QUERIES))
+    needed = needed.withColumn("at", parts[F.col("seg")]).withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    needed = needed.withColumn("grp", F.pmod(F.xxhash64("q"), F.lit(groups)).cast("int"))
+    # a narrower segment takes only the patterns that fit its width
+    fits = F.array(*[F.lit(width) for _, width in segments])
+    table = flips.select("flip", "top", F.pmod(F.xxhash64("flip"), F.lit(blocks)).cast("int").alias("blk"))
+    table = table.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    out = needed.join(table, ["blk", "grp"]).filter(F.col("top") < fits[F.col("seg")])
     return out.select("q", "kth", "seg", F.col("at").bitwiseXOR(F.col("flip")).alias("val"))
 
 
+def _first_seen(segments, radius: int):
+    """Whether the join row's segment is the first that finds the code: no
+    segment is nearer, and none before it is as near."""
+    apart = F.col("q").bitwiseXOR(F.col("code"))
+    ok = F.lit(True)
+    for s, (shift, width) in enumerate(segments):
+        d = F.bit_count(_segment(apart, shift, width))
+        ok = ok & ((d > radius) | ((d == radius) & (F.col("seg") <= s)))
+    return ok
+
+
 def _best(found: DataFrame, keep: int) -> DataFrame:
     w = Window.partitionBy("q").orderBy("d", "id")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= keep)
@@ -105,8 +134,8 @@ def nearest_codes(base: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame
     Exact: the result equals a full scan.  Rows of ``base`` with a null id
     or code are not searched; queries with a null code return nothing.
     Repeated rows with one id and code count once, repeated queries return
-    once.  Fewer than ``k`` other rows: all of them are returned.  Empty
-    tables give an empty result.
+    once.  Fewer than ``k`` other rows: all of them are returned.  Other
+    columns of either table are ignored.  Empty tables give an empty result.
     """
     spark = base.sparkSession
     scratch = Scratch(spark, "hamming")
@@ -125,12 +154,13 @@ def nearest_codes(base: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame
     active = scratch.save(asked.select("q").distinct().withColumn("kth", F.lit(BITS)), "active")
     kind = base.schema["id"].dataType.simpleString()
     best = spark.createDataFrame([], f"q long, d int, id {kind}")
-    done = best
+    done, flips, n_active = best, None, active.count()
     for r in range(widest + 1):
+        flips = _patterns(flips, widest, spark, scratch, r)
         # both sides grow with the data and the exploded side looks smaller than it is: never broadcast
-        hits = _probes(active, segments, r).join(entries.hint("merge"), ["seg", "val"])
-        hits = hits.withColumn("d", hamming(F.col("q"), F.col("code"))).filter("d <= kth")
-        found = hits.select("q", "d", F.explode("ids").alias("id")).unionAll(best).distinct()
+        hits = _probes(active, segments, r, flips, math.comb(widest, r), n_active).join(entries.hint("merge"), ["seg", "val"])
+        hits = hits.withColumn("d", hamming(F.col("q"), F.col("code"))).filter((F.col("d") <= F.col("kth")) & _first_seen(segments, r))
+        found = hits.select("q", "d", F.explode("ids").alias("id")).unionAll(best)
         ranked = scratch.save(_best(found, keep), f"best{r}")
         reach = m * (r + 1) - 1 if r < widest else BITS
         state = ranked.groupBy("q").agg(F.max("d").alias("far"), F.count("*").alias("n"))
@@ -141,7 +171,8 @@ def nearest_codes(base: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame
         over = ranked.join(state.filter("closed").select("q"), "q", "left_semi").select("q", "d", "id")
         done = done.unionAll(over)
         active = state.filter("NOT closed").select("q", "kth")
-        if active.isEmpty():
+        n_active = active.count()
+        if not n_active:
             break
         best = ranked.join(active.select("q"), "q", "left_semi").select("q", "d", "id")
     lists = done.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("d", "id"))).alias("near"))
