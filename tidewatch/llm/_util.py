@@ -63,6 +63,18 @@ class Scratch:
         self.spark.sparkContext._jvm.System.gc()
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """``names`` with underscores added until none is the name of a column
+    (Spark's names do not tell upper from lower case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def texts_as_bytes(column: pa.ChunkedArray | pa.Array) -> list:
     """UTF-8 bytes of a string column (None stays None)."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

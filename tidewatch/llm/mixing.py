@@ -19,10 +19,13 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm._util import WORD, Scratch
+from tidewatch.llm._util import WORD, Scratch, fresh
+
+
+OUTPUTS = {"mix_weight", "mix_p", "mix_kept"}
 
 
 def word_count(text: str = "text") -> Column:
@@ -35,12 +38,12 @@ def tempered_targets(cells: DataFrame, dim: str, power: float) -> DataFrame:
     ``power`` and normalised (1 keeps them, 0 makes them equal)."""
     t = cells.groupBy(F.col(dim).alias("value")).agg(F.sum("tokens").alias("t")).filter("t > 0")
     g = F.pow(F.col("t").cast("double"), F.lit(float(power)))
-    return t.select("value", (g / F.sum(g).over(Window.partitionBy())).alias("share"))
+    whole = F.broadcast(t.agg(F.sum(g).alias("_whole")))         # one row
+    return t.crossJoin(whole).select("value", (g / F.col("_whole")).alias("share"))
 
 
 def rake(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame], scratch: Scratch,
-         tolerance: float = 1e-11, max_sweeps: int = 48, sweeps_per_pass: int = 3,
-         report: dict | None = None) -> DataFrame:
+         tolerance: float = 1e-11, max_sweeps: int = 48, report: dict | None = None) -> DataFrame:
     """``cells`` with ``w``, the token weight whose marginals meet
     ``targets`` (``{dim: (value, share)}``).
 
@@ -52,24 +55,29 @@ def rake(cells: DataFrame, dims: list[str], targets: dict[str, DataFrame], scrat
     receives ``deviation`` (the largest relative one left), ``met`` and
     ``sweeps``.
     """
-    total = F.sum("tokens").over(Window.partitionBy())
-    c = cells.withColumn("total", total.cast("double")).withColumn("w", F.col("tokens").cast("double"))
+    total = F.broadcast(cells.agg(F.sum("tokens").cast("double").alias("total")))       # one row
+    c = cells.crossJoin(total).withColumn("w", F.col("tokens").cast("double"))
     for d in dims:
         t = targets[d].select(F.col("value").alias("_v"), F.col("share").alias(f"goal_{d}"))
         c = c.join(t, F.col(d).eqNullSafe(F.col("_v")), "left").drop("_v").fillna(0.0, [f"goal_{d}"])
     c = scratch.save(c, "cells0")
     sweeps = 0
     while True:
-        for _ in range(sweeps_per_pass):
-            for d in dims:
-                s = F.sum("w").over(Window.partitionBy(d))
-                c = c.withColumn("w", F.when(s > 0, F.col("w") * (F.col(f"goal_{d}") * F.col("total") / s)).otherwise(0.0))
-        sweeps += sweeps_per_pass
+        for d in dims:
+            # sums per value are added up in every task first, then joined back
+            s = c.groupBy(F.col(d).alias("_v")).agg(F.sum("w").alias("_s"))
+            c = c.join(s, F.col(d).eqNullSafe(F.col("_v"))).withColumn(
+                "w", F.when(F.col("_s") > 0, F.col("w") * (F.col(f"goal_{d}") * F.col("total") / F.col("_s"))).otherwise(0.0)).drop("_v", "_s")
+        sweeps += 1
         c = scratch.save(c, f"cells{sweeps}")
-        scratch.drop(f"cells{sweeps - sweeps_per_pass}")
-        off = [F.when(F.col(f"goal_{d}") > 0, F.abs(F.sum("w").over(Window.partitionBy(d)) / F.col("total")
-                                                   / F.col(f"goal_{d}") - 1.0)).otherwise(0.0) for d in dims]
-        worst = c.select(F.array(*off).alias("off")).agg(F.max(F.array_max("off"))).first()[0]
+        scratch.drop(f"cells{sweeps - 1}")
+        worst = None
+        for d in dims:
+            goal = F.first(f"goal_{d}")
+            off = c.groupBy(d).agg(F.when(goal > 0, F.abs(F.sum("w") / F.first("total") / goal - 1.0)).otherwise(0.0).alias("off"))
+            off = off.agg(F.max("off").alias("off"))
+            worst = off if worst is None else worst.unionAll(off)
+        worst = worst.agg(F.max("off")).first()[0]
         if worst is None or worst <= tolerance or sweeps >= max_sweeps:
             met = worst is None or worst <= tolerance
             if not met:
@@ -96,8 +104,8 @@ def mix(docs: DataFrame, dims: dict[str, Column], tokens: Column, power: float =
     own.  Targets default to the natural shares raised to ``power``.
     ``budget`` bounds the expected tokens of the sample.  Documents of cells
     without any token have weight and probability 0.  Repeated rows draw
-    alike.  Existing columns are kept as they are, whatever their names; an
-    empty table gives an empty result.  Targets that cannot be met together
+    alike.  Other columns are kept as they are, whatever their names; one
+    named like an output is replaced.  An empty table gives an empty result.  Targets that cannot be met together
     give a warning, and ``report`` receives the deviation (see :func:`rake`).
     """
     scratch = Scratch(docs.sparkSession, "mixing")
@@ -107,17 +115,20 @@ def mix(docs: DataFrame, dims: dict[str, Column], tokens: Column, power: float =
     targets = targets or {n: tempered_targets(cells, n, power) for n in names}
     f = F.when(F.col("tokens") > 0, F.col("w") / F.col("tokens")).otherwise(0.0)
     rates = rake(cells, names, targets, scratch, report=report).withColumn("f", f)
-    top = F.max("f").over(Window.partitionBy())
-    c = F.when(top > 0, 1.0 / top).otherwise(0.0)
+    ends = F.broadcast(rates.agg(F.max("f").alias("_top"), F.sum(F.col("f") * F.col("tokens")).alias("_mass")))     # one row
+    c = F.when(F.col("_top") > 0, 1.0 / F.col("_top")).otherwise(0.0)
     if budget is not None:
-        mass = F.sum(F.col("f") * F.col("tokens")).over(Window.partitionBy())
-        c = F.when(mass > 0, F.least(c, F.lit(float(budget)) / mass)).otherwise(0.0)
-    rates = scratch.save(rates.select(*[F.col(n).alias(f"_mix_{n}") for n in names], F.col("f").alias("mix_weight"),
-                                      F.least(F.lit(1.0), F.col("f") * c).alias("mix_p")), "rates")
+        c = F.when(F.col("_mass") > 0, F.least(c, F.lit(float(budget)) / F.col("_mass"))).otherwise(0.0)
+    kept = [x for x in docs.columns if x.lower() not in OUTPUTS]
+    cell, doc = ([f"{x}" for x in fresh(docs.columns, *[f"_{side}_{i}" for i in range(len(names))])] for side in ("mix", "doc"))
+    rates = scratch.save(rates.crossJoin(ends).select(
+        *[F.col(n).alias(a) for n, a in zip(names, cell)], F.col("f").alias("mix_weight"),
+        F.least(F.lit(1.0), F.col("f") * c).alias("mix_p")), "rates")
     on = None
-    for n, col in dims.items():
-        e = F.col(f"_mix_{n}").eqNullSafe(F.col(f"_doc_{n}"))
+    for a, b in zip(cell, doc):
+        e = F.col(a).eqNullSafe(F.col(b))
         on = e if on is None else on & e
-    keyed = docs.select("*", *[col.alias(f"_doc_{n}") for n, col in dims.items()])
-    out = keyed.join(rates, on, "left").drop(*[f"_mix_{n}" for n in names], *[f"_doc_{n}" for n in names])
-    return out.withColumn("mix_kept", draw(id, seed) < F.col("mix_p"))
+    drawn = fresh([*docs.columns, *doc], "_drawn")[0]
+    keyed = docs.select(*[F.col(f"`{x}`") for x in kept], *[col.alias(b) for b, col in zip(doc, dims.values())], draw(id, seed).alias(drawn))
+    out = keyed.join(rates, on, "left")
+    return out.select(*[F.col(f"`{x}`") for x in kept], "mix_weight", "mix_p", (F.col(drawn) < F.col("mix_p")).alias("mix_kept"))
