@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm._util import Scratch, batches_of
+from tidewatch.llm._util import Scratch, batches_of, fresh
 
 #: Characters with the Unicode property White_Space (fixed values).
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -269,9 +269,10 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: st
     is_long = F.length(text) > long_chars
     long_texts = docs.filter(is_long).select(F.sha2(F.col(text).cast("binary"), 256).alias("key"), F.col(text).alias("t"))
     whole = scratch.save(_encode_long(long_texts.dropDuplicates(["key"]), path, long_chars, scratch), "long")
-    keyed = docs.filter(is_long).withColumn("_key", F.sha2(F.col(text).cast("binary"), 256))
-    big = keyed.join(whole, keyed["_key"] == whole["key"]).drop("_key", "key")
-    rest = docs.filter(~F.coalesce(is_long, F.lit(False))).withColumn("long_ids", F.lit(None).cast("binary"))
+    key, other, found = fresh(docs.columns, "_key", "_other", "_long_ids")
+    keyed = docs.filter(is_long).withColumn(key, F.sha2(F.col(text).cast("binary"), 256))
+    big = keyed.join(whole.select(F.col("key").alias(other), F.col("long_ids").alias(found)), F.col(key) == F.col(other))
+    rest = docs.filter(~F.coalesce(is_long, F.lit(False))).withColumn(found, F.lit(None).cast("binary"))
     names = docs.columns
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     out = f"{kinds}, `{ids}` array<int>" + (f", `{decoded}` string" if decoded else "")
@@ -289,8 +290,8 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: st
                 cols.append(pa.array([model.decode(x.tolist()) for x in got], pa.string()))
             yield pa.RecordBatch.from_arrays(cols, names=[*names, ids, *([decoded] if decoded else [])])
 
-    both = rest.select(*[F.col(f"`{c}`") for c in names], "long_ids").unionAll(
-        big.select(*[F.col(f"`{c}`") for c in names], "long_ids"))
+    both = rest.select(*[F.col(f"`{c}`") for c in names], found).unionAll(
+        big.select(*[F.col(f"`{c}`") for c in names], found))
     return both.mapInArrow(run, out)
 
 
