@@ -20,9 +20,10 @@ STEP_ORDER = ("hourly", "incr", "log", "fill")
 
 
 def time_bucket_avg(df: DataFrame, keys, time: str, columns: Sequence[str], *, unit: str | None = None,
-                    carry_order: str | None = None, decimals: int | None = 2) -> DataFrame:
+                    carry_order=None, decimals: int | None = 2) -> DataFrame:
     """Mean of ``columns`` per ``(keys, time bucket)``; every other column is
-    carried as its first non-null value by ``carry_order`` (default: time).
+    carried as its first non-null value by ``carry_order`` (a column or
+    several; default: time).
 
     ``unit=None`` groups on the raw time (the original job's behaviour);
     ``unit='hour'`` etc. truncates first.  Partial aggregation makes this
@@ -31,7 +32,7 @@ def time_bucket_avg(df: DataFrame, keys, time: str, columns: Sequence[str], *, u
     keys, columns = as_list(keys), list(columns)
     t = F.date_trunc(unit, time).cast(df.schema[time].dataType).alias(time) if unit else F.col(time)
     others = [c for c in df.columns if c not in columns and c not in keys and c != time]
-    order = F.col(carry_order or time)
+    order = F.struct(*as_list(carry_order or time))
     aggs = [(F.round(F.avg(c), decimals) if decimals is not None else F.avg(c)).alias(c) for c in columns]
     aggs += [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in others]
     return df.groupBy(*keys, t).agg(*aggs)
@@ -107,7 +108,7 @@ def forward_fill(df: DataFrame, keys, time: str, columns: Sequence[str], *, tieb
 
 def run_feature_steps(df: DataFrame, keys, time: str, columns: Sequence[str],
                       steps: Sequence[str] = STEP_ORDER, *, tiebreak=(), unit: str | None = None,
-                      carry_order: str | None = None, block: int = DEFAULT_BLOCK) -> DataFrame:
+                      carry_order=None, block: int = DEFAULT_BLOCK) -> DataFrame:
     """Ordered step runner over ``hourly, incr, log, fill``.
 
     Asking for a step runs its prerequisites first; each step runs once;

@@ -8,8 +8,9 @@
   series per (entity, metric), run the detector ensemble per series,
   return anomalies plus a per-series run log.
 
-Both are lazy ``DataFrame -> DataFrame`` compositions; sinks are separate
-(:mod:`tidewatch.sources.io`).
+Both are ``DataFrame -> DataFrame`` compositions; sinks are separate
+(:mod:`tidewatch.sources.io`).  Positions of rows are found, and written to
+the checkpoint folder, while the plan is built.
 """
 
 from __future__ import annotations
@@ -30,19 +31,21 @@ def preprocess_job(raw: DataFrame, *, catalog: FeatureCatalog = DEFAULT_CATALOG,
                    signal_groups: Sequence[str] = ("signal_quality",),
                    counter_groups: Sequence[str] = ("throughput_data",),
                    steps: Sequence[str] = ("incr", "log", "fill"), slice_length: int | None = 200,
-                   slice_shift: int = 1, filters=None, unit: str | None = None) -> DataFrame:
-    """Raw logs -> clean wide frame -> features -> (optionally) slices."""
+                   slice_shift: int = 1, filters=None, unit: str | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Raw logs -> clean wide frame -> features -> (optionally) slices.
+    Rows of one entity with equal times are ordered by ``tiebreak``; where
+    that does not tell them apart, by a hash of the whole row."""
     ent, t = catalog.entity, catalog.time
     signals = [c for c in catalog.features(*signal_groups) if c in raw.columns]
     counters = [c for c in catalog.features(*counter_groups) if c in raw.columns]
     d = clean_raw(raw, signals + counters, entity=ent, time=t, filters=filters)
     zero_cols = [c for c in catalog.zero_is_missing if c in d.columns]
     if zero_cols:
-        d = forward_fill(d, ent, t, zero_cols)
+        d = forward_fill(d, ent, t, zero_cols, tiebreak=tiebreak)
     if counters:
-        d = run_feature_steps(d, ent, t, counters, steps=steps, unit=unit)
+        d = run_feature_steps(d, ent, t, counters, steps=steps, unit=unit, carry_order=[t, *tiebreak])
     if slice_length:
-        d = slice_series(d, ent, t, slice_length, slice_shift)
+        d = slice_series(d, ent, t, slice_length, slice_shift, tiebreak=() if counters else tiebreak)
     return d
 
 

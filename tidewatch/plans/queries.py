@@ -827,25 +827,25 @@ _ENS_PARAMS = {"bandwidth": 0.5, "filter_percentile": 99, "threshold_percentile"
                "arima_level": 0.95, "arima_horizon": 1}
 
 
-def _ens_parts_sql() -> dict:
-    kde = _kde_sql(S.L_SQL, "l_suppkey", "l_shipdate DESC", "avg_qty", 0.5, "all", "all", 99, 95, "both",
-                   "l_suppkey, l_shipdate", "a.l_suppkey, a.l_shipdate, a.avg_qty")
-    ewma = _ewma_l_sql("avg_qty", 100, 2.0, "both", 4)
-    arma = _arma_sql(f"fl AS (SELECT l_suppkey, l_shipdate, avg_qty FROM ({S.L_SQL}) q)", "l_suppkey",
-                     "l_shipdate", "avg_qty", 1, 0.95, "both")
+def _ens_parts_sql(v: str = "avg_qty") -> dict:
+    kde = _kde_sql(S.L_SQL, "l_suppkey", "l_shipdate DESC", v, 0.5, "all", "all", 99, 95, "both",
+                   "l_suppkey, l_shipdate", f"a.l_suppkey, a.l_shipdate, a.{v}")
+    ewma = _ewma_l_sql(v, 100, 2.0, "both", 4)
+    arma = _arma_sql(f"fl AS (SELECT l_suppkey, l_shipdate, {v} FROM ({S.L_SQL}) q)", "l_suppkey",
+                     "l_shipdate", v, 1, 0.95, "both")
     return {"kde": f"SELECT l_suppkey, l_shipdate FROM ({kde}) t",
             "ewma": f"SELECT l_suppkey, l_shipdate FROM ({ewma}) t",
             "arma": f"SELECT l_suppkey, l_shipdate FROM ({arma}) t WHERE is_anomaly"}
 
 
-def _ens_sql(dets, need: int, select: str | None = None, group: str = "") -> str:
-    parts = _ens_parts_sql()
+def _ens_sql(dets, need: int, select: str | None = None, group: str = "", v: str = "avg_qty") -> str:
+    parts = _ens_parts_sql(v)
     ctes = ",\n".join(f"{d} AS ({parts[d]})" for d in dets)
     joins = "\n".join(f"LEFT JOIN {d} ON {d}.l_suppkey = s.l_suppkey AND {d}.l_shipdate = s.l_shipdate"
                       for d in dets)
     votes = " + ".join(f"CASE WHEN {d}.l_suppkey IS NOT NULL THEN 1 ELSE 0 END" for d in dets)
     flags = ", ".join(f"{d}.l_suppkey IS NOT NULL AS is_outlier_{d}" for d in dets)
-    sel = select or f"s.l_suppkey, s.l_shipdate, s.avg_qty, {flags}"
+    sel = select or f"s.l_suppkey, s.l_shipdate, s.{v}, {flags}"
     return f"""WITH s AS ({S.L_SQL}),
 {ctes}
 SELECT {sel} FROM s
@@ -1382,14 +1382,36 @@ def _raw_event_logs(spark, sf_dir):
                     F.col("counter").cast("string").alias("counter"))
 
 
-@register("preprocess_job")
+_TIES = "time, counter, MDN, value"
+_FILL = "OVER (PARTITION BY sn ORDER BY {by} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+@register("preprocess_job", f"""WITH c AS ({S.U_COUNTER_SQL}), u AS ({S.U0_SQL}),
+r AS (SELECT DISTINCT CAST(u.user_id AS VARCHAR) AS sn, event_type AS MDN, date_trunc('second', ts) AS time,
+  {S.rnd('value', 2)} AS value, {S.rnd('counter', 2)} AS counter FROM u JOIN (SELECT user_id, event_id, counter FROM c) c USING (user_id, event_id)),
+f AS (SELECT sn, MDN, time, counter, coalesce(last_value(nullif(value, 0) IGNORE NULLS) {_FILL.format(by=_TIES)},
+  (SELECT avg(value) FROM r)) AS value FROM r),
+h AS (SELECT sn, time, {S.rnd('avg(counter)', 2)} AS counter, first(MDN ORDER BY counter, MDN, value) AS MDN,
+  first(value ORDER BY counter, MDN, value) AS value FROM f GROUP BY sn, time),
+l AS (SELECT *, lag(counter, 1) OVER w AS x1, lag(counter, 2) OVER w AS x2, lag(counter, 3) OVER w AS x3
+  FROM h WINDOW w AS (PARTITION BY sn ORDER BY time)),
+i AS (SELECT *, CASE WHEN counter < x1 THEN coalesce(x1 - x2, 0.0) ELSE counter - x1 END AS inc,
+  CASE WHEN x1 < x2 THEN coalesce(x2 - x3, 0.0) ELSE x1 - x2 END AS inc_prev FROM l),
+g AS (SELECT sn, time, MDN, value, {S.rnd('CASE WHEN inc < 0 THEN inc_prev ELSE inc END', 2)} AS counter FROM i
+  WHERE (CASE WHEN inc < 0 THEN inc_prev ELSE inc END) IS NOT NULL),
+lg AS (SELECT sn, time, MDN, value, {S.rnd('ln(1 + greatest(counter, 0))', 2)} AS counter FROM g),
+z AS (SELECT sn, time, MDN, value, last_value(nullif(counter, 0) IGNORE NULLS) {_FILL.format(by='time')} AS counter FROM lg),
+{_slice_sql('SELECT * FROM z', 'sn', 'time', 'sn, time, MDN, value, counter', 20, 5, 'time').replace('u AS (', 'uu AS (', 1).replace('FROM u ', 'FROM uu ').replace('u.*', 'uu.*').replace('u.rn', 'uu.rn')}
+SELECT sn, time, MDN, {S.rnd('value', 6)} AS value, counter, slice_start, series_id FROM sl""")
 def q_preprocess_job(spark, sf_dir):
     from tidewatch.plans.jobs import preprocess_job
-    return preprocess_job(_raw_event_logs(spark, sf_dir), catalog=_events_catalog(), signal_groups=("signal",),
-                          counter_groups=("counters",), slice_length=20, slice_shift=5)
+    d = preprocess_job(_raw_event_logs(spark, sf_dir), catalog=_events_catalog(), signal_groups=("signal",),
+                       counter_groups=("counters",), slice_length=20, slice_shift=5, tiebreak=["counter", "MDN", "value"])
+    return d.select("sn", "time", "MDN", r("value"), "counter", "slice_start", "series_id")
 
 
-@register("detection_job")
+@register("detection_job", " UNION ALL ".join(f"""SELECT l_suppkey, '{v}' AS feature, l_shipdate, {v} AS value, is_outlier_kde, is_outlier_ewma
+FROM ({_ens_sql(['kde', 'ewma'], 1, v=v)}) d_{v}""" for v in ("avg_qty", "avg_price")))
 def q_detection_job(spark, sf_dir):
     from tidewatch.plans.jobs import detection_job
     l = S.supplier_daily(spark, sf_dir)
