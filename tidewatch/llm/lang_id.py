@@ -26,6 +26,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -121,20 +122,21 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_
 
     counts = chosen.select("lang", "t").mapInArrow(count, "lang string, n int, gram string, k long")
     counts = scratch.save(counts.groupBy("lang", "n", "gram").agg(F.sum("k").alias("k")), "counts")
-    rows = counts.toPandas()            # bounded by the sample
-    langs = sorted(rows["lang"].unique().tolist())
+    rows = counts.toArrow()             # bounded by the sample
+    langs = sorted(set(rows.column("lang").unique().to_pylist()))
     at = {la: i for i, la in enumerate(langs)}
     prior = np.zeros(len(langs))
     for r in share.filter(F.col("lang").isin(langs)).collect() if langs else []:
         prior[at[r.lang]] = r.n
-    tables: list[dict] = []
+    tables: list[tuple] = []
     for n in range(N_MAX + 1):
-        part_n = rows[rows["n"] == n]
-        grams_n = sorted(part_n["gram"].unique().tolist())
-        row = {g: i for i, g in enumerate(grams_n)}
-        m = np.full((len(grams_n), len(langs)), 0.5)
-        m[[row[g] for g in part_n["gram"]], [at[x] for x in part_n["lang"]]] += part_n["k"].to_numpy()
-        tables.append((row, np.log(m / m.sum(axis=0)) if len(grams_n) else m))
+        part_n = rows.filter(pc.equal(rows.column("n"), n)).combine_chunks()
+        code = [pc.dictionary_encode(part_n.column(c)).combine_chunks() for c in ("gram", "lang")]
+        gram, la = ((x.chunk(0) if isinstance(x, pa.ChunkedArray) else x) for x in code)
+        names = gram.dictionary.to_pylist()
+        m = np.full((len(names), len(langs)), 0.5)
+        m[gram.indices.to_numpy(), np.array([at[x] for x in la.dictionary.to_pylist()], np.int64)[la.indices.to_numpy()]] += part_n.column("k").to_numpy()
+        tables.append(({g: i for i, g in enumerate(names)}, np.log(m / m.sum(axis=0)) if names else m))
     return Model(langs, np.log(prior / prior.sum()) if len(langs) else prior, tables)
 
 
