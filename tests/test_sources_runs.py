@@ -104,3 +104,17 @@ def test_slice_scalers(spark):
     assert (m.scale_center, m.scale_div, m.scaler) == (5.0, 2.0, "Halves") and ReconstructionModel.from_json(m.to_json()) == m
     r = ReconstructionModel.fit(df, "x", k=1, scaler="robust")
     assert (r.scale_center, r.scale_div) == (3.5, 5.25)
+
+
+def test_old_leftovers_are_cleaned(spark):
+    import time
+    from tidewatch.session import clean_shared, materialize, shared_folder
+    kept = materialize(spark.range(10))
+    root = shared_folder(spark)
+    for p in ("streams/old/run", "tables/old"):
+        spark.range(3).write.mode("overwrite").parquet(f"{root}/{p}")
+    assert not any("old" in g for g in clean_shared(spark, 3600))
+    time.sleep(1.5)
+    gone = clean_shared(spark, 1)
+    assert {g.split(root.rstrip("/"))[-1] for g in gone} >= {"/streams/old/run", "/tables/old"}
+    assert kept.count() == 10       # this application's checkpoints stay

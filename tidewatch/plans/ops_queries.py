@@ -83,3 +83,93 @@ def q_run_metrics_reasons(spark, sf_dir):
 def q_ensemble_vote(spark, sf_dir):
     """Rows that at least two of three detectors flag."""
     return _ens(spark, sf_dir, ["kde", "ewma", "arma"], "vote")
+
+
+# --- sources and sinks --------------------------------------------------------
+
+def _folder(spark, name: str) -> str:
+    import uuid
+    from tidewatch.session import shared_folder
+    return f"{shared_folder(spark)}/tables/{name}-{uuid.uuid4().hex}"
+
+
+@register("raw_csv_clean", f"""SELECT DISTINCT CAST(user_id AS VARCHAR) AS sn, event_type AS MDN, date_trunc('second', ts) AS time,
+  {S.rnd('value', 2)} AS value FROM events""")
+def q_raw_csv_clean(spark, sf_dir):
+    """Gzipped header CSV, written twice over, read as text and cleaned."""
+    from tidewatch.functions.scalar import epoch_us
+    from tidewatch.operators.clean import clean_raw
+    from tidewatch.sources.io import read_raw_csv
+    raw = S.table(spark, sf_dir, "events").select(
+        F.col("user_id").cast("string").alias("sn"), F.concat(F.lit('"'), F.col("event_type"), F.lit('"')).alias("mdn"),
+        F.floor(epoch_us("ts") / 1000).cast("string").alias("ts"), F.col("value").cast("string").alias("value"))
+    path = _folder(spark, "csv")
+    for _ in range(2):
+        raw.write.mode("append").option("header", True).option("compression", "gzip").csv(path)
+    return clean_raw(read_raw_csv(spark, path, ["sn", "mdn", "ts", "value"]), ["value"])
+
+
+_NEWEST = "(SELECT date_trunc('hour', max(ts)) FROM events)"
+
+
+@register("read_recent_hours", f"SELECT event_id, user_id, ts, value FROM events WHERE ts >= {_NEWEST} - INTERVAL 5 HOUR")
+def q_read_recent_hours(spark, sf_dir):
+    """The last six hours of a table partitioned by day and hour."""
+    from tidewatch.sources.io import read_recent, write_features
+    ev = S.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    d = ev.withColumns({"date": F.date_format("ts", "yyyy-MM-dd"), "hr": F.date_format("ts", "HH")})
+    path = _folder(spark, "hours")
+    write_features(d, path, time="ts", partition_by=("date", "hr"))
+    return read_recent(spark, path, ev.agg(F.max("ts")).first()[0], 6, fmt="parquet").select(ev.columns)
+
+
+@register("feature_table", """SELECT event_id, user_id, ts, value, CAST(ts AS DATE) AS date FROM events
+WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-13' AND user_id % 2 = 0""")
+def q_feature_table(spark, sf_dir):
+    """A feature table by day, sorted within files, read back with pruning."""
+    from tidewatch.sources.io import read_features, write_features
+    path = _folder(spark, "features")
+    write_features(S.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value"), path, time="ts", sort_by=("user_id", "ts"))
+    d = read_features(spark, path).filter(F.col("date").between("2024-01-10", "2024-01-12") & (F.col("user_id") % 2 == 0))
+    return d.select("event_id", "user_id", "ts", "value", "date")
+
+
+@register("slice_table", "SELECT CAST(event_type AS VARCHAR) AS kind, count(*) AS n FROM events GROUP BY 1")
+def q_slice_table(spark, sf_dir):
+    """Files in nested folders of different depth, read as one table."""
+    from tidewatch.sources.io import read_slices
+    ev, path = S.table(spark, sf_dir, "events").select(F.col("event_type").alias("kind"), "event_id"), _folder(spark, "nested")
+    ev.filter("event_id % 2 = 0").write.parquet(f"{path}/a")
+    ev.filter("event_id % 2 = 1").write.parquet(f"{path}/b/deep=1/er")
+    return read_slices(spark, path).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("run_log", "SELECT 'r' || k AS run_id, user_id, count(*) AS n_points FROM events, range(1, 3) t(k) GROUP BY ALL")
+def q_run_log(spark, sf_dir):
+    """Two runs appended to one log."""
+    from tidewatch.operators.ensemble import run_metrics
+    from tidewatch.sources.io import write_run_log
+    ev, path = S.table(spark, sf_dir, "events").select("user_id", "value"), _folder(spark, "log")
+    none = ev.limit(0).withColumn("is_outlier_kde", F.lit(True))
+    for k in (1, 2):
+        write_run_log(run_metrics(ev, none, "user_id", detectors=["kde"], run_id=f"r{k}"), path)
+    return spark.read.parquet(path).select("run_id", "user_id", "n_points")
+
+
+@register("entity_filter", """SELECT event_id, user_id FROM events WHERE user_id IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 10)
+  OR user_id = 1""")
+def q_entity_filter(spark, sf_dir):
+    """Entities of a table, and of a list."""
+    from tidewatch.operators.clean import filter_entities
+    ev = S.table(spark, sf_dir, "events").select("event_id", "user_id")
+    ids = S.table(spark, sf_dir, "supplier").filter("s_nationkey < 10").select("s_suppkey")
+    return filter_entities(ev, "user_id", ids).unionAll(filter_entities(ev, "user_id", [1, 1])).distinct()
+
+
+@register("unscale_series", f"WITH s AS ({S.L_SQL}) SELECT l_suppkey, l_shipdate, {S.rnd('avg_qty', 4)} AS unscaled FROM s")
+def q_unscale_series(spark, sf_dir):
+    """Scaled and scaled back."""
+    from tidewatch.operators.stats import scale_series, unscale_series
+    l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_qty")
+    d = unscale_series(scale_series(l, "l_suppkey", "l_shipdate", "avg_qty"), "l_suppkey", "avg_qty", "scaled")
+    return d.select("l_suppkey", "l_shipdate", r("unscaled", 4))

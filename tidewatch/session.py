@@ -92,3 +92,28 @@ def materialize(df):
     survive executor loss."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def clean_shared(spark: SparkSession, older_than_seconds: float = 7 * 86_400) -> list[str]:
+    """Delete what earlier runs left in the shared folder: tables between
+    phases, stream runs and checkpoints that were last written more than
+    ``older_than_seconds`` ago.  Results are lazy and read those files, so
+    this is a job of its own, for an age at which no result is still read;
+    the checkpoints of the running application are never touched.  Returns
+    the deleted paths."""
+    import time
+    root = checkpoint_dir(spark).rstrip("/")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    own = path(spark.sparkContext._jsc.sc().getCheckpointDir().get()).getName()
+    limit, gone = (time.time() - older_than_seconds) * 1000, []
+    # runs of operators, of streams, tables of queries; checkpoints have one folder per application
+    for pattern in ("tidewatch-llm/*", "streams/*/*", "tables/*", "????????-????-????-????-????????????"):
+        for x in fs.globStatus(path(f"{root}/{pattern}")) or []:
+            newest, inside = x.getModificationTime(), fs.listFiles(x.getPath(), True)
+            while inside.hasNext():
+                newest = max(newest, inside.next().getModificationTime())
+            if newest < limit and x.getPath().getName() != own:
+                fs.delete(x.getPath(), True)
+                gone.append(x.getPath().toString())
+    return gone
