@@ -104,11 +104,11 @@ def test_arima_equals_plain_loops_over_many_blocks(spark, order):
     rng = np.random.default_rng(4)
     series = {"a": arma(rng, 900, [0.5, 0.2], [0.4], 1.0), "b": np.cumsum(arma(rng, 260, [0.3], [-0.5])), "c": 50 + arma(rng, 70, [0.6], [0.3])}
     d = A.arima_detect(frame(spark, series), "k", "t", "y", order=order, horizon=20, level=0.95, direction="both",
-                       steps=3, block=40, fan=3).toPandas()
+                       steps=1, block=60, fan=4).toPandas()
     assert d["reason"].isna().all()
     for k, y in series.items():
         got = d[d["k"] == k].sort_values("t")
-        fc, half = brute_fit(y, order, int(order[1] == 0), 3, 20, A.z_value(0.95))
+        fc, half = brute_fit(y, order, int(order[1] == 0), 1, 20, A.z_value(0.95))
         assert np.allclose(got["forecast"], fc, rtol=1e-6, atol=1e-6), k
         assert np.allclose(got["hi"] - got["forecast"], half, rtol=1e-6), k
         assert (got["is_anomaly"] == ((got["y"] < got["lo"]) | (got["y"] > got["hi"]))).all()
@@ -119,7 +119,7 @@ def test_arima_recovers_coefficients_and_flags_a_jump(spark):
     rng = np.random.default_rng(9)
     y = arma(rng, 4000, [0.6], [0.4], 2.0)
     y[-1] += 60
-    d = A.arima_detect(frame(spark, {"a": y}), "k", "t", "y", order=(1, 0, 1), horizon=2, direction="both").toPandas().sort_values("t")
+    d = A.arima_detect(frame(spark, {"a": y}), "k", "t", "y", order=(1, 0, 1), horizon=2, direction="both", steps=3).toPandas().sort_values("t")
     assert list(d["is_anomaly"]) == [False, True] and d["anomaly_type"].iloc[1] == "high"
     assert abs((d["hi"] - d["forecast"]).iloc[0] / A.z_value(0.99) - 1) < 0.05      # sigma of the noise
 
@@ -128,7 +128,7 @@ def test_series_that_cannot_be_fitted_have_a_reason(spark):
     rng = np.random.default_rng(2)
     series = {"good": arma(rng, 200, [0.5], [0.3]), "flat": np.full(60, 3.0), "short": np.arange(7.0)}
     df = frame(spark, series).unionAll(spark.createDataFrame([("none", i, None) for i in range(40)], "k string, t long, y double"))
-    d = A.arima_detect(df, "k", "t", "y", order=(1, 1, 1), horizon=5).select("k", "reason", F.isnull("forecast")).distinct().collect()
+    d = A.arima_detect(df, "k", "t", "y", order=(1, 1, 1), horizon=5, steps=1).select("k", "reason", F.isnull("forecast")).distinct().collect()
     assert {tuple(r) for r in d} == {("good", None, False), ("flat", "constant", True), ("short", "too short", True)}
     s = A.auto_ar_seasonal_detect(df, "k", "t", "y", season=4, horizon=5).select("k", "reason", F.isnull("forecast")).distinct().collect()
     assert {tuple(r) for r in s} == {("good", None, False), ("flat", "constant", True), ("short", "too short", True)}

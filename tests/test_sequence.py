@@ -83,7 +83,7 @@ def test_ewm_tree_has_levels_and_bounded_groups(spark):
 def test_fills_from_both_sides_match_pandas(spark):
     pdf, df = _frame(spark)
     d = Q.with_position(df, "k", ["t", "tb"])
-    out = Q.fill_blocked(d, "k", ["x"], ["f"], ["b"], block=32).toPandas().sort_values(["k", "t", "tb"])
+    out = Q.fill_blocked(d, "k", ["x"], ["f"], ["b"], block=16, fan=4).toPandas().sort_values(["k", "t", "tb"])
     g = pdf.sort_values(["k", "t", "tb"]).groupby("k")["x"]
     for got, exp in ((out["f"], g.ffill()), (out["b"], g.bfill())):
         assert np.array_equal(got.to_numpy(), exp.to_numpy(), equal_nan=True)

@@ -89,7 +89,7 @@ def test_forecasters_take_part_in_ensembles(spark):
     rows = [(k, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), float(v) - (40 if i == 299 and k == "bad" else 0)) for k in ("ok", "bad") for i, v in enumerate(x)]
     df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v double")
     for name in ("arima", "auto_ar", "auto_seasonal"):
-        hit = detector_flags(df, "k", "t", "v", name, params={"arima_order": (1, 0, 1), "auto_season": 6}).collect()
+        hit = detector_flags(df, "k", "t", "v", name, params={"arima_order": (1, 0, 1), "arima_steps": 1, "auto_season": 6}).collect()
         assert [(r.k, r.t) for r in hit] == [("bad", dt.datetime(2024, 1, 1) + dt.timedelta(hours=299))], name
 
 

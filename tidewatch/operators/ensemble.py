@@ -81,7 +81,8 @@ def _forecaster(df: DataFrame, keys, time: str, value: str, name: str, p: dict)
     if name == "auto_seasonal":
         return auto_ar_seasonal_detect(df, keys, time, value, season=p.get("auto_season", 24), horizon=p.get("auto_horizon", 1),
                                        min_points=p.get("min_training_points", 10), **kw)
-    return arima_detect(df, keys, time, value, order=p.get("arima_order", (1, 1, 1)), horizon=p.get("auto_horizon", 1), **kw)
+    return arima_detect(df, keys, time, value, order=p.get("arima_order", (1, 1, 1)), horizon=p.get("auto_horizon", 1),
+                        steps=p.get("arima_steps", 6), **kw)
 
 
 def ensemble(df: DataFrame, keys, time: str, value: str, *, detectors: Sequence[str] = ("kde", "ewma"),

@@ -474,24 +474,40 @@ def ewm_blocked(d: DataFrame, keys, x: str, span: float, out: str, *,
 
 
 def fill_blocked(d: DataFrame, keys, cols: Sequence[str], before: Sequence[str] = (), after: Sequence[str] = (),
-                 *, block: int = DEFAULT_BLOCK) -> DataFrame:
+                 *, block: int = DEFAULT_BLOCK, fan: int = 4096) -> DataFrame:
     """Last non-null value of ``cols`` at or before each row, as ``before``,
     and the next one at or after it, as ``after`` (``d`` carries ``_pos``;
     either list may be empty).
 
     Inside a block a running window does the work; the value entering a
     block from either side comes from the block table (first and last
-    non-null of every block), so no task holds more than one block.
+    non-null of every block), and what enters ``fan`` blocks from a table of
+    those, so no task holds more than one block, or ``fan`` rows of the block
+    table, of a series.
     """
     keys, cols = as_list(keys), list(cols)
     d = d.withColumn(BLK, F.floor(F.col(POS) / block))
     some = [F.when(F.col(c).isNotNull(), F.col(POS)) for c in cols]
     bt = d.groupBy(*keys, BLK).agg(*[F.max_by(F.col(c), p).alias(f"_l{i}") for i, (c, p) in enumerate(zip(cols, some))],
                                    *[F.min_by(F.col(c), p).alias(f"_f{i}") for i, (c, p) in enumerate(zip(cols, some))])
-    w = Window.partitionBy(*keys).orderBy(BLK)
-    past, future = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
-    bt = bt.select(*keys, BLK, *[F.last(f"_l{i}", ignorenulls=True).over(past).alias(f"_c{i}") for i, _ in enumerate(before)],
-                   *[F.first(f"_f{i}", ignorenulls=True).over(future).alias(f"_d{i}") for i, _ in enumerate(after)])
+    bt = bt.withColumn("_top", F.floor(F.col(BLK) / fan))
+
+    def entering(t: DataFrame, within: list, at: str, first: str, last: str) -> dict:
+        """Values that enter the rows of ``t`` from either side."""
+        w = Window.partitionBy(*within).orderBy(at)
+        past, future = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+        return ({f"{last}{i}": F.last(f"_l{i}", ignorenulls=True).over(past) for i, _ in enumerate(before)}
+                | {f"{first}{i}": F.first(f"_f{i}", ignorenulls=True).over(future) for i, _ in enumerate(after)})
+
+    known = lambda c: F.when(F.col(c).isNotNull(), F.col(BLK))
+    top = bt.groupBy(*keys, "_top").agg(*[F.max_by(f"_l{i}", known(f"_l{i}")).alias(f"_l{i}") for i, _ in enumerate(cols)],
+                                        *[F.min_by(f"_f{i}", known(f"_f{i}")).alias(f"_f{i}") for i, _ in enumerate(cols)])
+    far = entering(top, keys, "_top", "_g", "_h")
+    top = top.select(*keys, "_top", *[c.alias(n) for n, c in far.items()])
+    near = entering(bt, [*keys, "_top"], BLK, "_d", "_c")
+    bt = join_on(bt.withColumns(near), top, [*keys, "_top"])
+    bt = bt.select(*keys, BLK, *[F.coalesce(f"_c{i}", f"_h{i}").alias(f"_c{i}") for i, _ in enumerate(before)],
+                   *[F.coalesce(f"_d{i}", f"_g{i}").alias(f"_d{i}") for i, _ in enumerate(after)])
     d = join_on(d, bt, [*keys, BLK])
     w = Window.partitionBy(*keys, BLK).orderBy(POS)
     past, future = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)

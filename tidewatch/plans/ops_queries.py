@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewatch.plans import series as S
-from tidewatch.plans.queries import _ens, _ens_sql, _ewma_sql, _resample_sql, r, register
+from tidewatch.plans.queries import _LV, _ens, _ens_sql, _ewma_sql, _l_vectors, _resample_sql, r, register
 
 # --- quarantine ---------------------------------------------------------------
 
@@ -173,3 +173,90 @@ def q_unscale_series(spark, sf_dir):
     l = S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_qty")
     d = unscale_series(scale_series(l, "l_suppkey", "l_shipdate", "avg_qty"), "l_suppkey", "avg_qty", "scaled")
     return d.select("l_suppkey", "l_shipdate", r("unscaled", 4))
+
+
+# --- reconstruction models ----------------------------------------------------
+
+@register("score_slices_mean", f"""WITH {_LV},
+p AS (SELECT avg(v) AS mu, stddev_pop(v) AS sd FROM (SELECT unnest(x) AS v FROM vec) q),
+z AS (SELECT l_suppkey, slice_start, list_transform(x, lambda v: (v - p.mu) / p.sd) AS x FROM vec, p),
+m AS (SELECT i, avg(x[i + 1]) AS m FROM z, range(0, 24) a(i) GROUP BY i),
+s AS (SELECT l_suppkey, slice_start, sqrt(sum(pow(x[i + 1] - m, 2))) AS score FROM z, m GROUP BY 1, 2),
+t AS (SELECT quantile_cont(score, 0.95) AS threshold FROM s)
+SELECT l_suppkey, slice_start, {S.rnd('score', 6)} AS score, {S.rnd('threshold', 6)} AS threshold, score > threshold AS is_anomaly FROM s, t""")
+def q_score_slices_mean(spark, sf_dir):
+    """The model without components: the distance from the mean slice, its
+    threshold and its outliers."""
+    from tidewatch.operators.recon import ReconstructionModel
+    from tidewatch.session import materialize
+    v = materialize(_l_vectors(spark, sf_dir))
+    d = ReconstructionModel.fit(v, "x", k=0, threshold_percentile=95).score(v)
+    return d.select("l_suppkey", "slice_start", r("score"), r("threshold"), "is_anomaly")
+
+
+@register("recon_warm_start", f"""WITH {_LV},
+p AS (SELECT avg(v) AS mu, stddev_pop(v) AS sd FROM (SELECT unnest(x) AS v FROM vec WHERE l_suppkey % 2 = 0) q),
+z AS (SELECT list_transform(x, lambda v: (v - p.mu) / p.sd) AS x FROM vec, p)
+SELECT CAST(i AS INTEGER) AS i, count(*) AS n, {S.rnd('avg(x[i + 1])', 6)} AS mean, {S.rnd('sum(x[i + 1] * x[24 - i])', 4)} AS g
+FROM z, range(0, 24) a(i) GROUP BY i""")
+def q_recon_warm_start(spark, sf_dir):
+    """A model fitted on half of the suppliers and updated by the others."""
+    from tidewatch.operators.recon import ReconstructionModel
+    from tidewatch.session import materialize
+    v = materialize(_l_vectors(spark, sf_dir))
+    m = ReconstructionModel.fit(v.filter("l_suppkey % 2 = 0"), "x").update(v.filter("l_suppkey % 2 = 1"))
+    rows = [(i, m.n, m.mean[i], m.gram[i][23 - i]) for i in range(24)]
+    return spark.createDataFrame(rows, "i int, n long, mean double, g double").select("i", "n", r("mean"), r("g", 4))
+
+
+@register("training_runs", f"""WITH {_LV}
+SELECT k AS run_id, CAST(row_number() OVER (ORDER BY k) AS INTEGER) AS version, CAST(24 AS INTEGER) AS length, n
+FROM (SELECT count(*) AS n FROM vec) q, (VALUES ('a'), ('b')) t(k)""")
+def q_training_runs(spark, sf_dir):
+    """Two training runs: versions of the model and rows of the run log."""
+    from tidewatch.operators.recon import train_and_log
+    root, l = _folder(spark, "training"), S.supplier_daily(spark, sf_dir)
+    for run in "ab":
+        train_and_log(l, "l_suppkey", "l_shipdate", "avg_qty", root, length=24, shift=12, run_id=run)
+    log = spark.read.parquet(f"{root}/runs")
+    return log.select("run_id", "version", F.get_json_object("params", "$.length").cast("int").alias("length"), "n")
+
+
+class _Level:
+    """A user's own model: how far the mean of a slice is from that of all."""
+
+    def fit(self, df):
+        self.level = df.select(F.explode("x").alias("v")).agg(F.avg("v")).first()[0]
+
+    def transform(self, df):
+        mean = F.aggregate("x", F.lit(0.0), lambda a, b: a + b) / F.size("x")
+        return df.withColumn("off", mean - F.lit(self.level))
+
+
+@register("user_model", f"""WITH {_LV}, a AS (SELECT avg(v) AS level FROM (SELECT unnest(x) AS v FROM vec WHERE l_suppkey % 2 = 0) q)
+SELECT l_suppkey, slice_start, {S.rnd('list_avg(x) - level', 6)} AS off FROM vec, a WHERE l_suppkey % 2 = 1""")
+def q_user_model(spark, sf_dir):
+    from tidewatch.operators.recon import fit_and_score
+    from tidewatch.session import materialize
+    v = materialize(_l_vectors(spark, sf_dir))
+    d = fit_and_score(_Level(), v.filter("l_suppkey % 2 = 0"), v.filter("l_suppkey % 2 = 1"))
+    return d.select("l_suppkey", "slice_start", r("off"))
+
+
+class _ShareOfMax:
+    """A user's own scaler: values as a share of the series' largest."""
+
+    def stats(self, value):
+        return {"_most": F.max(value)}
+
+    def transform(self, x):
+        return x / F.col("_most")
+
+
+@register("ewma_custom_scaler", _ewma_sql(f"SELECT l_suppkey, l_shipdate, avg_price / max(avg_price) OVER (PARTITION BY l_suppkey) AS share FROM ({S.L_SQL}) q",
+                                          "l_suppkey", "l_shipdate", "share", 50, 2.0, "both", 6).replace("x AS share", f"{S.rnd('x', 6)} AS share"))
+def q_ewma_custom_scaler(spark, sf_dir):
+    from tidewatch.operators.ewma import ewma_detect
+    d = ewma_detect(S.supplier_daily(spark, sf_dir).select("l_suppkey", "l_shipdate", "avg_price"), "l_suppkey", "l_shipdate", "avg_price",
+                    window=50, no_of_stds=2.0, direction="both", scaler=_ShareOfMax())
+    return d.select("l_suppkey", "l_shipdate", F.round("scaled", 6).alias("share"), r("ema"), r("ucl"), r("lcl"))
