@@ -53,7 +53,7 @@ def test_backoff_equals_a_plain_recomputation(spark):
     model = fit(spark.createDataFrame([(*r, 1, "x", 2) for r in train], SCHEMA))
     counts, prior = slow_model(train), Counter(la for _, _, la in train)
     for n in range(5):          # nothing of the sample is dropped
-        assert set(model.tables[n][0]) == {g for la in counts for g in counts[la][n]}
+        assert set(model.tables[n][0].to_pylist()) == {g for la in counts for g in counts[la][n]}
     tests = [(i, " ".join(word(rng.choice(list(parts))) for _ in range(rng.randrange(1, 6))) + rng.choice(["", " zzz", " tranor", " Ünéx"]), None)
              for i in range(80)] + [(900, "qqq 12", None), (901, "ж", None)]
     got = {r.doc_id: (r.lang_pred, r.score) for r in predict(spark.createDataFrame([(*r, 1, "x", 2) for r in tests], SCHEMA), model).collect()}

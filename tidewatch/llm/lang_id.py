@@ -22,6 +22,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 from itertools import islice
 
 import numpy as np
@@ -60,23 +61,30 @@ def words_of(text: str) -> Iterator[list[str]]:
 
 @dataclass
 class Model:
-    """``tables[n]`` is (row number by gram, log frequencies by row and
-    language); ``n = 0``: whole words."""
+    """``tables[n]`` is (grams, log frequencies by row and language); ``n =
+    0``: whole words.  Look-ups are built where words are scored, in the
+    tasks; the driver holds columns only."""
 
     langs: list
     prior: np.ndarray
     tables: list = field(repr=False)
 
+    @cached_property
+    def _rows(self) -> list[dict]:
+        return [{g: i for i, g in enumerate(grams.to_pylist())} for grams, _ in self.tables]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_rows"}
+
     def score_word(self, word: str) -> np.ndarray:
-        index, logs = self.tables[0]
-        known = index.get(word)
+        known = self._rows[0].get(word)
         if known is not None:
-            return logs[known]
+            return self.tables[0][1][known]
         for n in range(N_MAX, 0, -1):
-            index, logs = self.tables[n]
+            index = self._rows[n]
             rows = [index[g] for g in grams(word, n) if g in index]
             if rows:
-                return logs[rows].mean(axis=0)
+                return self.tables[n][1][rows].mean(axis=0)
         return np.zeros(len(self.langs))
 
 
@@ -133,10 +141,10 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", id: str = "doc_
         part_n = rows.filter(pc.equal(rows.column("n"), n)).combine_chunks()
         code = [pc.dictionary_encode(part_n.column(c)).combine_chunks() for c in ("gram", "lang")]
         gram, la = ((x.chunk(0) if isinstance(x, pa.ChunkedArray) else x) for x in code)
-        names = gram.dictionary.to_pylist()
+        names = gram.dictionary
         m = np.full((len(names), len(langs)), 0.5)
         m[gram.indices.to_numpy(), np.array([at[x] for x in la.dictionary.to_pylist()], np.int64)[la.indices.to_numpy()]] += part_n.column("k").to_numpy()
-        tables.append(({g: i for i, g in enumerate(names)}, np.log(m / m.sum(axis=0)) if names else m))
+        tables.append((names, np.log(m / m.sum(axis=0)) if len(names) else m))
     return Model(langs, np.log(prior / prior.sum()) if len(langs) else prior, tables)
 
 
