@@ -3,8 +3,6 @@ normal equations by elimination, residuals and derivatives by recursion."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tidewatch.plans import series as S
 from tidewatch.plans.queries import _HOUR_US, Z, _fc_out, _filled_sql, r, register
 
