@@ -19,10 +19,11 @@ moments of a box are then translated to the centres of its neighbours: with
 
     (u + d)^k exp(-(u + d)^2/2) = exp(-d^2/2) exp(-u^2/2) * (u + d)^k * sum_j (-d u)^j / j!
 
-is a fixed matrix per ``d`` times the box's own moments.  Only boxes are
-multiplied by their neighbours, never rows, and only neighbours that hold a
-point to be judged are kept.  A point joins exactly one box row and
-evaluates a Horner polynomial.
+is a fixed matrix per ``d`` times the box's own moments.  Boxes meet their
+neighbours in *strips* of adjacent boxes of a series: a box is sent to its
+strip, and to the next one when that is within reach, and each strip sums
+the translated moments of those of its boxes that hold a point to be judged.
+A point joins exactly one box row and evaluates a Horner polynomial.
 
 Errors: a kernel term beyond ``cutoff`` bandwidths, which is left out, is
 below ``exp(-cutoff^2/2)`` (3e-18 for 9); with ``K = terms`` the remainder of
@@ -31,6 +32,7 @@ the series is below ``exp(-K/2) (K/4)^(K/2) / K!`` per source (2e-20 for 24).
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -40,14 +42,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions.scalar import directional_flag
-from tidewatch.operators.sequence import as_list, join_on, percentiles_at, rank_values, with_position
+from tidewatch.operators.sequence import as_list, join_on, percentiles_at, rank_values, whole_runs, with_position
 from tidewatch.operators.stats import attach_by_key, series_percentiles
 from tidewatch.session import materialize
 
 TERMS = 24
 CUTOFF = 9.0
 TIE_TOLERANCE = 1e-9
-_BATCH = 1024
+#: Boxes of a strip.
+STRIP = 256
+_BATCH = 256
 
 
 def _box(z: Column) -> Column:
@@ -65,48 +69,126 @@ def translation(d: float, terms: int) -> np.ndarray:
     return m * math.exp(-d * d / 2)
 
 
-def _translate(keys, terms: int, reach: int):
-    """Moments of boxes (``_from``) about the centres of their neighbours
-    (``_box``), a row each."""
-    matrices = np.stack([translation(float(-o), terms).T for o in range(-reach, reach + 1)])
-    names = [f"_m{k}" for k in range(terms)]
+class _Strips:
+    """Moments of the boxes of some strips (rows of a batch, sorted by strip
+    and box, with moments in the rows of sources and nulls in others)."""
+
+    def __init__(self, batch: pa.RecordBatch, starts: np.ndarray, terms: int, reach: int):
+        self.reach, self.width = reach, STRIP + 2 * reach
+        self.matrices = _matrices(terms, reach)
+        names = [f"_m{k}" for k in range(terms)]
+        self.strip = batch.column("_strip").fill_null(0).to_numpy()
+        self.group = np.cumsum(starts)
+        source = batch.column("_m0").is_valid().to_numpy(zero_copy_only=False)
+        self.others = np.flatnonzero(~source)
+        rows = np.flatnonzero(source)
+        box = batch.column("_box").fill_null(0).to_numpy()
+        self.codes = self.code(rows, box[rows])
+        order = np.argsort(self.codes, kind="stable")
+        self.codes = self.codes[order]
+        self.own = np.stack([batch.column(n).to_numpy(zero_copy_only=False)[rows[order]] for n in names], axis=1)
+
+    def code(self, rows: np.ndarray, box: np.ndarray) -> np.ndarray:
+        """One number per (strip, box); those of a strip and its surroundings are adjacent."""
+        return self.group[rows] * self.width + (box - self.strip[rows] * STRIP) + self.reach
+
+    def around(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Moments about the centres of boxes, and which have any source."""
+        total, met = np.zeros((len(codes), self.own.shape[1])), np.zeros(len(codes), bool)
+        if len(self.codes):
+            for o in range(-self.reach, self.reach + 1):
+                at = np.minimum(np.searchsorted(self.codes, codes + o), len(self.codes) - 1)
+                ok = self.codes[at] == codes + o
+                total[ok] += self.own[at[ok]] @ self.matrices[self.reach - o]
+                met |= ok
+        return total, met
+
+
+@functools.cache
+def _matrices(terms: int, reach: int) -> np.ndarray:
+    return np.stack([translation(float(-o), terms).T for o in range(-reach, reach + 1)])
+
+
+def _lend(keys, terms: int, reach: int):
+    """Summed moments of the boxes without moments of their own, a row each."""
+    def run(batches):
+        for b, starts in whole_runs(batches, [*keys, "_strip"]):
+            s = _Strips(b, starts, terms, reach)
+            total, met = s.around(s.code(s.others, b.column("_box").to_numpy(zero_copy_only=False)[s.others].astype(np.int64)))
+            at = pa.array(s.others[met])
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(k).take(at) for k in keys], b.column("_box").take(at), *[pa.array(c) for c in total[met].T]],
+                [*keys, "_box", *[f"_m{k}" for k in range(terms)]])
+    return run
+
 
+def _draw(keys, h: float, points: int, terms: int, reach: int):
+    """The points of a curve that lie in a strip, with their density."""
     def run(batches):
-        for whole in batches:
-            for i in range(0, whole.num_rows, _BATCH):
-                b = whole.slice(i, _BATCH)
-                own = np.stack([b.column(n).to_numpy(zero_copy_only=False) for n in names], axis=1)
-                shift = b.column("_box").to_numpy() - b.column("_from").to_numpy() + reach
-                lent = np.matmul(own[:, None, :], matrices[shift])[:, 0]
-                yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keys], b.column("_box"), *[pa.array(c) for c in lent.T]],
-                                                 [*keys, "_box", *names])
+        for b, starts in whole_runs(batches, [*keys, "_strip"]):
+            s = _Strips(b, starts, terms, reach)
+            lo, hi, n = (b.column(c).to_numpy(zero_copy_only=False) for c in ("_lo", "_hi", "_ntrain"))
+            void = b.column("_strip").is_null().to_numpy(zero_copy_only=False)
+            for i in range(0, len(s.others), _BATCH):
+                rows = s.others[i:i + _BATCH]
+                with np.errstate(invalid="ignore"):
+                    x = lo[rows, None] + np.arange(points) * ((hi[rows] - lo[rows]) / (points - 1))[:, None]
+                x[:, -1] = hi[rows]
+                z = x / h
+                box = np.floor(np.nan_to_num(z, nan=0.0)).astype(np.int64)
+                at, col = np.nonzero(void[rows, None] | (box // STRIP == s.strip[rows, None]))
+                x, z, box, rows = x[at, col], z[at, col], box[at, col], rows[at]
+                codes, of = np.unique(s.code(rows, box), return_inverse=True)
+                m, met = s.around(codes)
+                t = z - (box + 0.5)
+                acc = m[of, terms - 1]
+                for k in range(terms - 2, -1, -1):
+                    acc = m[of, k] + (t / (k + 1)) * acc
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    dens = np.exp(-0.5 * t * t) * acc / (n[rows] * (h * math.sqrt(2 * math.pi)))
+                dens = np.where(met[of], dens, 0.0)
+                where = pa.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [*[b.column(k).take(where) for k in keys], pa.array(col, pa.int32()),
+                     pa.array(x, mask=void[rows]), pa.array(dens, mask=void[rows])], [*keys, "i", "x", "density"])
     return run
 
 
+def _own_moments(d: DataFrame, keys, terms: int, reach: int) -> DataFrame:
+    """Moments of the boxes of ``d`` (keys, ``_z``, ``_box``), a row per
+    strip that they are in reach of."""
+    u = F.col("_z") - (F.col("_box") + 0.5)
+    d = d.select(*keys, "_box", u.alias("_u"), F.exp(-0.5 * u * u).alias("_g"))
+    # powers, not running products: those nest, and make code too long to be compiled
+    own = d.groupBy(*keys, "_box").agg(*[F.sum(F.col("_g") * F.pow("_u", F.lit(k))).alias(f"_m{k}") for k in range(terms)])
+    return own.withColumn("_strip", F.explode(F.sequence(_strip(F.col("_box") - reach), _strip(F.col("_box") + reach))))
+
+
+def _strip(box: Column) -> Column:
+    return F.floor(box / F.lit(STRIP)).cast("long")
+
+
+def _boxed(d: DataFrame, keys, value: str, h: float) -> DataFrame:
+    z = F.col(value) / F.lit(float(h))
+    return d.select(*keys, z.alias("_z")).filter(F.col("_z").isNotNull()).withColumn("_box", _box(F.col("_z")))
+
+
+def _by_strip(own: DataFrame, others: DataFrame, keys) -> DataFrame:
+    d = own.unionByName(others, allowMissingColumns=True)
+    return d.repartition(*keys, "_strip").sortWithinPartitions(*keys, "_strip")
+
+
 def box_moments(train: DataFrame, keys, value: str, bandwidth: float, *, points: DataFrame | None = None,
                 cutoff: float = CUTOFF, terms: int = TERMS) -> DataFrame:
     """(keys, _box, _m0.._m{terms - 1}): kernel moments of the training
     values around the centre of every box that holds a value of ``points``
     (default: a training value) and is within reach of one."""
     keys, reach = as_list(keys), math.ceil(cutoff + 0.5)
-
-    def boxed(d: DataFrame) -> DataFrame:
-        z = F.col(value) / F.lit(float(bandwidth))
-        return d.select(*keys, z.alias("_z")).filter(F.col("_z").isNotNull()).withColumn("_box", _box(F.col("_z")))
-
-    d = boxed(train)
-    u = F.col("_z") - (F.col("_box") + 0.5)
-    d = d.select(*keys, "_box", u.alias("_u"), F.exp(-0.5 * u * u).alias("_g"))
-    # powers, not running products: those nest, and make code too long to be compiled
-    own = d.groupBy(*keys, "_box").agg(*[F.sum(F.col("_g") * F.pow("_u", F.lit(k))).alias(f"_m{k}") for k in range(terms)])
-    own = own.withColumnRenamed("_box", "_from")
-    wanted = boxed(train if points is None else points).select(*keys, "_box").distinct()
-    near = d.select(*keys, F.col("_box").alias("_from")).distinct()
-    near = near.withColumn("_box", F.explode(F.sequence(F.col("_from") - reach, F.col("_from") + reach)))
-    near = join_on(join_on(near, wanted, [*keys, "_box"], "left_semi"), own, [*keys, "_from"])
-    lent = near.mapInArrow(_translate(keys, terms, reach), T.StructType(
-        [*[near.schema[k] for k in keys], near.schema["_box"], *[near.schema[f"_m{k}"] for k in range(terms)]]))
-    return lent.groupBy(*keys, "_box").agg(*[F.sum(f"_m{k}").alias(f"_m{k}") for k in range(terms)])
+    own = _own_moments(_boxed(train, keys, value, bandwidth), keys, terms, reach)
+    wanted = _boxed(train if points is None else points, keys, value, bandwidth).select(*keys, "_box").distinct()
+    both = _by_strip(own, wanted.withColumn("_strip", _strip(F.col("_box"))), keys)
+    return both.mapInArrow(_lend(keys, terms, reach), T.StructType(
+        [*[both.schema[k] for k in keys], both.schema["_box"], *[both.schema[f"_m{k}"] for k in range(terms)]]))
 
 
 def _horner(t: Column, terms: int) -> Column:
@@ -132,7 +214,8 @@ def kde_density(points: DataFrame, train: DataFrame, keys, value: str, bandwidth
         n_col = "_ntrain"
     z = F.col(value) / F.lit(h)
     p = points.withColumn("_box", _box(z)).withColumn("_t", z - (F.col("_box") + 0.5))
-    p = join_on(p, mom, [*keys, "_box"], "left")
+    # a row of moments is many times as wide as the planner's estimate of it: never broadcast
+    p = join_on(p, mom.hint("merge"), [*keys, "_box"], "left")
     norm = F.col(n_col) * F.lit(h * math.sqrt(2 * math.pi))
     dens = F.exp(-0.5 * F.col("_t") * F.col("_t")) * _horner(F.col("_t"), terms) / norm
     p = p.withColumn(out, F.when(F.col(value).isNotNull(), F.coalesce(dens, F.lit(0.0))))
@@ -198,14 +281,16 @@ def kde_detect(df: DataFrame, keys, time: str, value: str, *, tiebreak=(), bandw
 def kde_curve(train: DataFrame, keys, value: str, bandwidth: float = 0.5, points: int = 1000,
               pad: float = 1.0, cutoff: float = CUTOFF, terms: int = TERMS) -> DataFrame:
     """Density on an even grid from ``min - pad`` to ``max + pad`` per
-    series (``points`` values, last one exactly ``max + pad``)."""
+    series (``points`` values, last one exactly ``max + pad``).  The points
+    are made in the strip they lie in: only moments are shuffled."""
     keys = as_list(keys)
-    rng = train.groupBy(*keys).agg((F.min(value) - pad).alias("_lo"), (F.max(value) + pad).alias("_hi"),
-                                   F.count(value).alias("_ntrain"))
+    rng = train.groupBy(*keys).agg((F.min(value) - pad).cast("double").alias("_lo"),
+                                   (F.max(value) + pad).cast("double").alias("_hi"), F.count(value).alias("_ntrain"))
+    h, reach = float(bandwidth), math.ceil(cutoff + 0.5)
     step = (F.col("_hi") - F.col("_lo")) / (points - 1)
-    grid = rng.select(*keys, "_ntrain", "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
-    grid = grid.withColumn("x", F.when(F.col("i") == points - 1, F.col("_hi"))
-                           .otherwise(F.col("_lo") + F.col("i") * step))
-    grid = grid.drop("_lo", "_hi")
-    t = train.select(*keys, F.col(value).alias("x"))
-    return kde_density(grid, t, keys, "x", bandwidth, "density", n_col="_ntrain", cutoff=cutoff, terms=terms).drop("_ntrain")
+    at = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: _strip(_box(
+        F.when(i == points - 1, F.col("_hi")).otherwise(F.col("_lo") + i * step) / F.lit(h))))
+    rng = rng.withColumn("_strip", F.explode(F.array_distinct(at)))
+    both = _by_strip(_own_moments(_boxed(train, keys, value, h), keys, terms, reach), rng, keys)
+    return both.mapInArrow(_draw(keys, h, points, terms, reach), T.StructType(
+        [*[both.schema[k] for k in keys], *T.StructType.fromDDL("i int, x double, density double").fields]))
