@@ -48,3 +48,18 @@ def test_kde_moments_are_not_broadcast(spark):
     df = spark.createDataFrame([("a", float(v)) for v in range(50)], "k string, v double")
     plan = kde_density(df, df, "k", "v", 0.5).drop("density")._jdf.queryExecution().analyzed().toString()
     assert "strategy=merge" in plan
+
+
+def test_ew_std_computes_the_mean_once(spark):
+    from tidewatch.operators.stats import ew_std
+    from tidewatch.operators.ewma import ew_weights
+    x = np.random.default_rng(2).normal(5, 2, 60)
+    d = ew_std(spark.createDataFrame([("a", i, float(v)) for i, v in enumerate(x)], "k string, t int, v double"), "k", "t", "v", 8)
+    assert _plan(d).count("aggregate(") == 2        # three with the mean inside the sum of squares
+    w = np.array(ew_weights(8))
+    for r in d.collect():
+        if r.t < 8:
+            assert r.ew_std is None
+        else:
+            f = x[r.t - 7:r.t + 1]
+            assert abs(r.ew_std - math.sqrt((w * (f - (w * f).sum()) ** 2).sum())) < 1e-12
