@@ -63,3 +63,37 @@ def test_ew_std_computes_the_mean_once(spark):
         else:
             f = x[r.t - 7:r.t + 1]
             assert abs(r.ew_std - math.sqrt((w * (f - (w * f).sum()) ** 2).sum())) < 1e-12
+
+
+def _wave(spark, n=300):
+    x = np.random.default_rng(6).normal(10, 2, n)
+    x[::40] += 9
+    return spark.createDataFrame([(k, i, float(v)) for k in ("a", "b") for i, v in enumerate(x)], "k string, t int, v double")
+
+
+def test_ensemble_reads_its_input_once(spark, monkeypatch):
+    from tidewatch.operators import ensemble as E
+    seen = []
+
+    def flags(df, keys, time, value, name, **kw):
+        seen.append(_plan(df))
+        return df.filter(F.col(value) > 15).select(*keys, time, value)
+    monkeypatch.setattr(E, "detector_flags", flags)
+    daily = _wave(spark).groupBy("k", "t").agg(F.avg("v").alias("v"))
+    assert E.ensemble(daily, "k", "t", "v").count() > 0
+    assert len(seen) == 2 and not any("Aggregate" in p for p in seen)
+
+
+def test_kde_detect_judges_only_rows_beyond_the_bounds(spark, monkeypatch):
+    from tidewatch.operators import kde
+    df, judged, real = _wave(spark), [], kde.kde_density
+
+    def density(points, *args, **kw):
+        judged.append(points)
+        return real(points, *args, **kw)
+    monkeypatch.setattr(kde, "kde_density", density)
+    kw = dict(filter_percentile=99, threshold_percentile=95, direction="both")
+    every = kde.kde_detect(df, "k", "t", "v", only_anomalies=False, **kw)
+    few = kde.kde_detect(df, "k", "t", "v", **kw)
+    assert sorted(few.collect()) == sorted(every.filter("is_outlier").collect()) and every.count() == 600
+    assert judged[-1].count() < 100

@@ -22,6 +22,7 @@ from tidewatch.operators.forecast import arma11_forecast_detect, auto_ar_detect
 from tidewatch.operators.kde import kde_detect
 from tidewatch.operators.reshape import min_points as _min_points
 from tidewatch.operators.sequence import as_list, join_on
+from tidewatch.session import materialize
 
 # Defaults of the two runtimes (KDE+EWMA, KDE+EWMA+ARMA), which
 # fit on all rows of a series and test only its newest ones.
@@ -95,6 +96,7 @@ def ensemble(df: DataFrame, keys, time: str, value: str, *, detectors: Sequence[
     base = df.select(*keys, time, *tb, value).filter(F.col(value).isNotNull())
     if min_points:
         base = _min_points(base, keys, min_points)
+    base = materialize(base)      # every detector reads it several times
     ids = [*keys, time, *tb]
     parts = [detector_flags(base, keys, time, value, n, tiebreak=tb, params=params)
              .withColumn("_det", F.lit(n)) for n in detectors]

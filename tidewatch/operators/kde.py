@@ -264,12 +264,15 @@ def kde_detect(df: DataFrame, keys, time: str, value: str, *, tiebreak=(), bandw
         t = materialize(t)
     thr_p = threshold_percentile / 100
     moments = materialize(box_moments(t, keys, value, bandwidth, points=d, cutoff=cutoff, terms=terms))
-    st = percentiles_at(t, keys, value, [1 - thr_p, thr_p], ["lower", "upper"], n="_ntrain")
+    st = materialize(percentiles_at(t, keys, value, [1 - thr_p, thr_p], ["lower", "upper"], n="_ntrain"))
     tr = kde_density(attach_by_key(t.select(*keys, value), st.select(*keys, "_ntrain"), keys), t, keys, value, bandwidth,
                      "_dens", n_col="_ntrain", moments=moments, terms=terms)
     thr = series_percentiles(tr, keys, "_dens", [float(density_quantile)], ["threshold"])
     st = attach_by_key(st, thr, keys)
     nw = attach_by_key(d.filter("_is_new"), st, keys)
+    if only_anomalies:
+        # beyond the bounds lie few rows: only they need a density
+        nw = nw.filter(directional_flag(value, "lower", "upper", direction))
     nw = kde_density(nw, t, keys, value, bandwidth, "density", n_col="_ntrain", moments=moments, terms=terms)
     below = F.col("density") < F.col("threshold") * F.lit(1.0 - tie_tolerance)
     flag = below & directional_flag(value, "lower", "upper", direction)
