@@ -97,3 +97,11 @@ def test_kde_detect_judges_only_rows_beyond_the_bounds(spark, monkeypatch):
     few = kde.kde_detect(df, "k", "t", "v", **kw)
     assert sorted(few.collect()) == sorted(every.filter("is_outlier").collect()) and every.count() == 600
     assert judged[-1].count() < 100
+
+
+def test_two_stage_runs_stage_one_once(spark):
+    from tidewatch.operators.report import two_stage_detect
+    seen = []
+    two_stage_detect(_wave(spark), "k", "t", "v", stage1=dict(window=20, no_of_stds=2.0, direction="high"),
+                     stage2=lambda d: seen.append(d) or d)
+    assert "Join" not in _plan(seen[0]) and seen[0].count() == 600

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators.ewma import ewma_detect
 from tidewatch.operators.sequence import as_list, join_on, percentiles_by_rank
+from tidewatch.session import materialize
 
 
 def slice_dev_score(vectors: DataFrame, col: str = "x", out: str = "score") -> DataFrame:
@@ -119,7 +120,8 @@ def two_stage_detect(df: DataFrame, keys, time: str, value: str, *, stage1: dict
     selected by a left-semi join on the candidate keys."""
     keys = as_list(keys)
     cand = ewma_detect(df, keys, time, value, tiebreak=tiebreak, **stage1).select(*keys).distinct()
-    return stage2(join_on(df, cand, keys, "left_semi"))
+    # stage 2 reads its rows several times: without the cut each would repeat stage 1
+    return stage2(materialize(join_on(df, cand, keys, "left_semi")))
 
 
 def anomaly_rollup(anomalies: DataFrame, levels) -> DataFrame:
