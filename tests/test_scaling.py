@@ -105,3 +105,10 @@ def test_two_stage_runs_stage_one_once(spark):
     two_stage_detect(_wave(spark), "k", "t", "v", stage1=dict(window=20, no_of_stds=2.0, direction="high"),
                      stage2=lambda d: seen.append(d) or d)
     assert "Join" not in _plan(seen[0]) and seen[0].count() == 600
+
+
+def test_outlier_flag_computes_scores_once(spark):
+    from tidewatch.operators.report import slice_dev_score, with_outlier_flag
+    d = spark.createDataFrame([([float(i), 2.0, 3.0],) for i in range(200)], "x array<double>")
+    out = with_outlier_flag(slice_dev_score(d), 99)
+    assert "aggregate(" not in _plan(out) and out.filter("is_outlier").count() == 2

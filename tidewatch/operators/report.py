@@ -31,6 +31,7 @@ def score_threshold(scores: DataFrame, percentile: float = 99.0, score: str = "s
 
 def with_outlier_flag(scores: DataFrame, percentile: float = 99.0, score: str = "score") -> DataFrame:
     """``is_outlier = score > threshold`` (strict), threshold broadcast."""
+    scores = materialize(scores)      # read for the threshold and for the rows
     thr = score_threshold(scores, percentile, score)
     return scores.crossJoin(F.broadcast(thr)).withColumn("is_outlier", F.col(score) > F.col("threshold"))
 
