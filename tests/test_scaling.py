@@ -20,7 +20,7 @@ def test_kde_curve_joins_no_grid(spark):
     rng = np.random.default_rng(4)
     rows = [("a", float(v)) for v in rng.normal(0, 40, 300)] + [("a", 900.0), ("b", 7.0), (None, 127.9), (None, 128.1), ("n", None)]
     d = kde_curve(spark.createDataFrame(rows, "k string, v double"), "k", "v", 0.5, points=200)
-    assert "Join" not in _plan(d)      # a grid of points was broadcast
+    assert "Join" not in _plan(d)      # the boxes of the grid were broadcast
     got = d.collect()
     assert sorted({(r.k is None, r.k or "") for r in got}) == [(False, "a"), (False, "b"), (False, "n"), (True, "")]
     for k in ("a", "b", None):
