@@ -100,3 +100,42 @@ def test_raw_csv_roundtrip_clean(spark, tmp_path):
     assert clean.count() == ev.count()                      # duplicates removed
     assert clean.filter(F.col("value").isNull()).count() == ev.filter(F.col("event_id") % 5 == 0).count()
     assert clean.filter(F.col("MDN").contains('"')).count() == 0
+
+
+def test_a_call_of_the_streaming_chart_takes_rows_and_one_state():
+    """Rows come and go as rows, and the state is read and written once a call."""
+    import numpy as np
+    from pyspark.sql import Row
+    from tidewatch.streaming.jobs import EwmaState
+
+    class Value:
+        calls, held = 0, None
+
+        def get(self):
+            self.calls += 1
+            return self.held
+
+        def exists(self):
+            raise AssertionError("a second round trip")
+
+        def update(self, new):
+            self.calls, self.held = self.calls + 1, new
+
+    made = []
+
+    class Handle:
+        def getValueState(self, name, schema, ttl=None):
+            made.append(Value())
+            return made[-1]
+
+    names = ["k", "t", "id", "v", "ema", "std", "ucl", "lcl", "is_outlier"]
+    chart, one, out = EwmaState("t", "v", "id", 4, 2.0, "high", 0.01, None, names), Row("k", "t", "id", "v"), []
+    chart.init(Handle())
+    x = [float(v) for v in np.random.default_rng(3).normal(10, 1, 40)]
+    x[7], x[20], x[31] = None, None, 99.0
+    for i, j in ((0, 15), (15, 18), (18, 40)):
+        rows = [one("a", None if n == 39 else n // 2, n, x[n]) for n in range(i, j)]
+        out += chart.handleInputRows(("a",), iter(rows[::-1]), None)
+    assert [v.calls for v in made] == [6]
+    assert [r.id for r in out] == [n for n in range(1, 40) if x[n] is not None] and list(out[0].asDict()) == names
+    assert [r.id for r in out if r.is_outlier and r.v == 99.0] == [31] and out[-1].t is None

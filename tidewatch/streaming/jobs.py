@@ -17,8 +17,7 @@ import uuid
 from dataclasses import replace
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
@@ -126,14 +125,21 @@ def stream_dedup(sdf: DataFrame, keys, time: str, *, delay: str = "1 hour") -> D
 
 # -- T4: stateful EWMA control chart -----------------------------------------
 
+def _absent(v) -> bool:
+    """Whether a value is null or not a number; such order values come last."""
+    return v is None or v != v
+
+
 class EwmaState(StatefulProcessor):
     """EWMA chart of one series over micro-batches.
 
-    State: the last mean, the rows since its last observation (``gap``), the
-    row count, and the last ``window`` values, nulls included.  The rows of a
-    micro-batch are one vectorised step from that state.  ``ttl_ms`` lets
-    Spark expire each part of the state that long after its last update, and
-    a timer of the same length clears a series that has fallen silent.
+    State, read and written once a call: the last mean, the rows since its
+    last observation (``gap``), the row count, and the last ``window`` values,
+    nulls included.  The rows of a micro-batch are one vectorised step from
+    that state; they come and go as rows, since frames would cost every
+    series more than its step.  ``ttl_ms`` lets Spark expire the state that
+    long after its last update, and a timer of the same length clears a
+    series that has fallen silent.
     """
 
     def __init__(self, time: str, value: str, tiebreak: str | None, window: int, no_of_stds: float, direction: str,
@@ -144,8 +150,7 @@ class EwmaState(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.mean = handle.getValueState("mean", "ema double, gap bigint, n bigint", self.ttl)
-        self.ring = handle.getValueState("ring", "x array<double>", self.ttl)
+        self.chart = handle.getValueState("chart", "ema double, gap bigint, n bigint, x array<double>", self.ttl)
 
     def step(self, x: np.ndarray, ema: float, gap: int, n: int, ring: np.ndarray):
         """(ema, std) before each of the values ``x`` and the state after
@@ -169,31 +174,29 @@ class EwmaState(StatefulProcessor):
         return got, std, (float(got[-1]), gap, n + len(x), past[len(past) - min(n + len(x), self.window):])
 
     def handleInputRows(self, key, rows, timerValues):
-        ema, gap, n = self.mean.get() if self.mean.exists() else (None, 0, 0)
-        ring = np.array(self.ring.get()[0] if self.ring.exists() else [], dtype=float)
-        if not len(ring):
-            ema, gap, n = None, 0, 0        # expired together with what it was computed from
-        pdf = pd.concat(list(rows)).sort_values(self.order)
-        x = pdf[self.value].to_numpy(dtype=float)
-        got, std, (ema, gap, n, ring) = self.step(x, np.nan if ema is None else ema, gap, n, ring)
+        ema, gap, n, ring = self.chart.get() or (None, 0, 0, [])
+        rows = sorted(rows, key=lambda r: [(True,) if _absent(r[c]) else (False, r[c]) for c in self.order])
+        x = np.array([r[self.value] for r in rows], dtype=float)
+        got, std, (ema, gap, n, ring) = self.step(x, np.nan if ema is None else ema, gap, n, np.array(ring, dtype=float))
         at = np.arange(n - len(x), n)
         floor = self.ratio * np.abs(x)
         std = np.where(std >= floor, std, floor)
         ucl, lcl = got + self.k * std, got - self.k * std
         high, low = x > ucl, x < lcl
         flag = {"high": high, "low": low, "both": high | low}[self.direction] & (at >= self.window)
-        self.mean.update((None if np.isnan(ema) else ema, gap, n))
-        self.ring.update(([None if np.isnan(v) else float(v) for v in ring],))
+        self.chart.update((None if np.isnan(ema) else ema, gap, n, [None if v != v else v for v in ring.tolist()]))
         if self.ttl:
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.ttl)
-        out = pdf.assign(ema=got, std=std, ucl=ucl, lcl=lcl, is_outlier=flag)
-        yield out[~np.isnan(got) & ~np.isnan(x)][self.names]
+        kept = np.flatnonzero(~np.isnan(got) & ~np.isnan(x))
+        numbers = np.stack([x, got, std, ucl, lcl], axis=1)[kept].tolist()
+        out = Row(*self.names)
+        for i, v, f in zip(kept.tolist(), numbers, flag[kept].tolist()):
+            yield out(*key, *[rows[i][c] for c in self.order], *[None if e != e else e for e in v], f)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.mean.clear()
-        self.ring.clear()
+        self.chart.clear()
         return iter([])
 
     def close(self) -> None:
@@ -219,7 +222,7 @@ def stream_ewma_detect(sdf: DataFrame, key: str, time: str, value: str, *, tiebr
                        + [T.StructField("is_outlier", T.BooleanType())])
     ttl = interval_us(timeout) // 1000 if timeout else None
     state = EwmaState(time, value, tiebreak, window, no_of_stds, direction, min_std_ratio, ttl, out.names)
-    return sdf.groupBy(key).transformWithStateInPandas(state, out, "append", "ProcessingTime" if timeout else "None")
+    return sdf.groupBy(key).transformWithState(state, out, "append", "ProcessingTime" if timeout else "None")
 
 
 # -- T5: scoring with a stored model -----------------------------------------
