@@ -4,6 +4,7 @@ same results."""
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 
@@ -112,3 +113,74 @@ def test_outlier_flag_computes_scores_once(spark):
     d = spark.createDataFrame([([float(i), 2.0, 3.0],) for i in range(200)], "x array<double>")
     out = with_outlier_flag(slice_dev_score(d), 99)
     assert "aggregate(" not in _plan(out) and out.filter("is_outlier").count() == 2
+
+
+def _gappy(spark):
+    """Daily series with gaps over several chunks, a null key, null times and
+    buckets that hold nulls only (the first of a, the last of b)."""
+    import datetime as dt
+    day = lambda n: dt.datetime(1969, 12, 28) + dt.timedelta(days=n)
+    rows = [("a", day(0), None), ("a", day(3), 5.0), ("a", day(3), 7.0), ("a", day(40), 1.0), ("b", day(2), 4.0), ("b", day(9), None),
+            ("one", day(5), 2.0), (None, day(1), 3.0), (None, day(8), 8.0), ("a", None, 99.0), ("lost", None, 1.0)]
+    return spark.createDataFrame(rows, "k string, t timestamp_ntz, v double"), day
+
+
+def test_resampled_rows_know_their_position_without_ranking(spark, monkeypatch):
+    from tidewatch.operators import forecast, resample
+
+    def ranked(*a, **kw):
+        raise AssertionError("an evenly spaced series was ranked")
+    monkeypatch.setattr(resample, "with_position", ranked)
+    monkeypatch.setattr(forecast, "with_position", ranked)
+    df, day = _gappy(spark)
+    for method in ("zero", "ffill", "bfill", "interpolate"):
+        got = forecast.prepare_series(df, "k", "t", "v", freq="1 day", fill_method=method)
+        for k, lo, hi, known in (("a", 0, 40, {3: 6.0, 40: 1.0}), ("b", 2, 9, {2: 4.0}), ("one", 5, 5, {5: 2.0}), (None, 1, 8, {1: 3.0, 8: 8.0})):
+            v = pd.Series([known.get(i, np.nan) for i in range(lo, hi + 1)])
+            v = {"zero": lambda: v.fillna(0), "ffill": v.ffill, "bfill": v.bfill, "interpolate": v.interpolate}[method]()
+            mine = sorted((r._pos, r.t, r.v) for r in got.collect() if r.k == k)
+            assert [m[:2] for m in mine] == [(i - lo, day(i)) for i in range(lo, hi + 1)]
+            assert np.allclose([np.nan if m[2] is None else m[2] for m in mine], v, equal_nan=True)
+        assert got.filter("k = 'lost'").count() == 0
+        kept = forecast.prepare_series(df, "k", "t", "v", freq="1 day", fill_method=method, drop_null=True)
+        held = {r.k: r.t for r in forecast.split_horizon(kept, "k", "t", 1).filter("step = 1").collect()}
+        assert held == {"a": day(40), "b": day(2 if method == "bfill" else 9), "one": day(5), None: day(8)}
+
+
+def test_empty_buckets_are_unfolded_by_several_tasks(spark):
+    from tidewatch.operators.resample import resample_mean, spine
+    df, _ = _gappy(spark)
+    for chunk in (4, 1 << 16):
+        got = resample_mean(df, "k", "t", "v", "1 day", chunk=chunk).collect()
+        assert len(got) == 41 + 8 + 1 + 8 and sum(r.v is not None for r in got) == 6
+    pairs = [(f"s{i}", d) for i in range(40) for d in (0, 50)]
+    s = spark.createDataFrame([(k, 86_400 * d, 1.0) for k, d in pairs], "k string, t long, v double").withColumn("t", F.timestamp_seconds("t"))
+    ranges = s.groupBy("k").agg(F.min(F.unix_micros("t")).alias("_lo"), F.max(F.unix_micros("t")).alias("_hi"))
+    for d in (resample_mean(s, "k", "t", "v", "1 day"), spine(ranges, ["k"], 86_400_000_000)):
+        assert d.count() == 40 * 51
+        assert d.select(F.spark_partition_id()).distinct().count() > 1     # one task before
+
+
+def test_auto_ar_sums_in_one_pass_over_the_common_sample(spark, monkeypatch):
+    from tidewatch.operators import forecast
+    written = []
+    keep = forecast.materialize
+    monkeypatch.setattr(forecast, "materialize", lambda d: written.append(d) or keep(d))
+    rng = np.random.default_rng(5)
+    series = {"level": rng.normal(10, 1, 60), "walk": rng.normal(0, 1, 60).cumsum(), "few": rng.normal(0, 1, 8)}
+    df = spark.createDataFrame([(k, i, float(v)) for k, y in series.items() for i, v in enumerate(y)], "k string, t long, v double")
+    got = {r.k: r for r in forecast.auto_ar_detect(df, "k", "t", "v").collect()}
+    assert len(written) == 1 and set(got) == {"level", "walk"}         # the lags were written too
+    for k, r in got.items():
+        y, best = series[k][:-1], []
+        for d in (0, 1):
+            x = np.diff(y, d)
+            x = x[len(x) - (len(y) - 3) - 2:] if d else x[1:]       # two lags before the common sample
+            for p in (0, 1, 2):
+                a = np.column_stack([np.ones(len(x) - 2), *[x[2 - i:len(x) - i] for i in range(1, p + 1)]])
+                b = np.linalg.lstsq(a, x[2:], rcond=None)[0]
+                n, sse, kk = len(x) - 2, float(((x[2:] - a @ b) ** 2).sum()), p + 2
+                ahead = float(b[0] + sum(c * x[-i] for i, c in enumerate(b[1:], 1)))
+                best.append((n * np.log(sse / n) + 2 * kk + 2 * kk * (kk + 1) / (n - kk - 1), d, p, ahead + (y[-1] if d else 0)))
+        _, d, p, ahead = min(best)
+        assert (r.d, r.p) == (d, p) and abs(r.forecast - ahead) < 1e-9
