@@ -184,3 +184,56 @@ def test_auto_ar_sums_in_one_pass_over_the_common_sample(spark, monkeypatch):
                 best.append((n * np.log(sse / n) + 2 * kk + 2 * kk * (kk + 1) / (n - kk - 1), d, p, ahead + (y[-1] if d else 0)))
         _, d, p, ahead = min(best)
         assert (r.d, r.p) == (d, p) and abs(r.forecast - ahead) < 1e-9
+
+
+def _chart_rows(spark):
+    """Series of several blocks with nulls, a gap longer than a block, a flat
+    stretch, one row, no value, a null key."""
+    rng = np.random.default_rng(8)
+    y = {"long": rng.normal(50, 5, 700), "gap": rng.normal(-3, 1, 400), "flat": np.r_[rng.normal(0, 1, 90), np.full(200, 0.1), 4.0],
+         "one": np.ones(1), "none": np.full(40, np.nan), None: rng.normal(0, 2, 130)}
+    y["gap"][100:260] = np.nan
+    y["long"][rng.random(700) < 0.03] = np.nan
+    rows = [(k, i, None if np.isnan(v) else float(v)) for k, s in y.items() for i, v in enumerate(s)]
+    return y, spark.createDataFrame([rows[i] for i in rng.permutation(len(rows))], "k string, t long, v double")
+
+
+def test_chart_writes_and_deals_its_rows_once(spark, monkeypatch):
+    from tidewatch.operators import ewma, sequence
+    written = []
+    for module in (ewma, sequence):
+        monkeypatch.setattr(module, "materialize", lambda d, keep=module.materialize: written.append(len(d.columns)) or keep(d))
+    y, df = _chart_rows(spark)
+    for kw in ({"n_shift": 1}, {"n_shift": 3}, {"n_shift": 0}, {"scaler": "standard"}):
+        written.clear()
+        d = ewma.ewma_detect(df, "k", "t", "v", window=20, min_std_ratio=0.0, block=8, only_anomalies=False, direction="both", **kw)
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapGroupsInArrow" not in plan and "Window" not in plan      # a frame per row, a frame of pandas per block
+        assert "scaler" in kw or max(written) <= 5                    # positions and maps: the rows were written twice
+        got, shift = d.toPandas(), kw.get("n_shift", 1)
+        for k, x in y.items():
+            g = got[got.k.isna() if k is None else got.k == k].sort_values("t")
+            x = pd.Series(x)
+            if "scaler" in kw:
+                x = (x - x.mean()) / (x.std(ddof=0) or 1)
+            past = x.shift(shift)
+            exp = pd.DataFrame({"x": x, "ema": past.ewm(span=20, adjust=False).mean(), "std": past.rolling(20).std()}).dropna(subset=["x", "ema"])
+            assert list(g.t) == list(exp.index)
+            assert np.allclose(g.ema, exp.ema, rtol=0, atol=1e-12) and np.allclose(g["std"], exp["std"].fillna(0), rtol=0, atol=1e-7)
+
+
+def test_rolling_std_slides_without_a_frame_per_row(spark):
+    from tidewatch.operators.stats import rolling_std
+    y, df = _chart_rows(spark)
+    for window, shift, block in ((20, 0, 8), (5, 2, 4), (1, 0, 8)):
+        d = rolling_std(df, "k", "t", "v", window, shift=shift, block=block)
+        assert "stddev_samp" not in _plan(d)
+        got = d.toPandas()
+        for k, x in y.items():
+            g = got[got.k.isna() if k is None else got.k == k].sort_values("t")
+            assert np.allclose(g.rolling_std, pd.Series(x).shift(shift).rolling(window).std(), rtol=0, atol=1e-7, equal_nan=True)
+        flat = got[(got.k == "flat") & (got.t.between(120, 280))]
+        assert window == 1 or (flat.rolling_std == 0).all()
+    huge = spark.createDataFrame([("a", i, v) for i, v in enumerate([1e9, 1e9 + 1, 1e9 + 2, float("nan"), 1.0, 2.0, 3.0])], "k string, t int, v double")
+    got = [r.rolling_std for r in rolling_std(huge, "k", "t", "v", 3).orderBy("t").collect()]
+    assert got[:2] == [None, None] and abs(got[2] - 1) < 1e-9 and abs(got[6] - 1) < 1e-12 and all(math.isnan(v) for v in got[3:6])
