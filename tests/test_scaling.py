@@ -237,3 +237,17 @@ def test_rolling_std_slides_without_a_frame_per_row(spark):
     huge = spark.createDataFrame([("a", i, v) for i, v in enumerate([1e9, 1e9 + 1, 1e9 + 2, float("nan"), 1.0, 2.0, 3.0])], "k string, t int, v double")
     got = [r.rolling_std for r in rolling_std(huge, "k", "t", "v", 3).orderBy("t").collect()]
     assert got[:2] == [None, None] and abs(got[2] - 1) < 1e-9 and abs(got[6] - 1) < 1e-12 and all(math.isnan(v) for v in got[3:6])
+
+
+def test_chart_of_short_series_needs_no_states(spark, monkeypatch):
+    from tidewatch.operators import ewma, sequence
+    y, df = _chart_rows(spark)
+    kw = dict(window=20, only_anomalies=False, direction="both")
+    rows = lambda d: sorted(((r.k or "", r.t, round(r.ema, 9), round(r.ucl, 9)) for r in d.collect()))
+    long = rows(ewma.ewma_detect(df, "k", "t", "v", block=8, **kw))
+
+    def entered(*a, **kw):
+        raise AssertionError("states of blocks that nothing enters")
+    monkeypatch.setattr(sequence, "ewm_entering", entered)
+    assert rows(ewma.ewma_detect(df, "k", "t", "v", **kw)) == long
+    assert ewma.ewma_detect(df.limit(0), "k", "t", "v", **kw).count() == 0
