@@ -251,3 +251,118 @@ def test_chart_of_short_series_needs_no_states(spark, monkeypatch):
     monkeypatch.setattr(sequence, "ewm_entering", entered)
     assert rows(ewma.ewma_detect(df, "k", "t", "v", **kw)) == long
     assert ewma.ewma_detect(df.limit(0), "k", "t", "v", **kw).count() == 0
+
+
+def _odd_series(spark, n=40):
+    """Series of different length, also one and two rows, null keys and
+    values, equal times, values far apart and values equal to each other."""
+    rng = np.random.default_rng(11)
+    rows = [(f"s{i:02d}", j, float(v)) for i in range(n) for j, v in enumerate(np.r_[rng.normal(0, 3, 5 + 2 * i), rng.choice([-30.0, 2e5, 2.0], 2)])]
+    rows += [(None, j, float(v)) for j, v in enumerate(rng.normal(5, 1, 60))] + [("one", 1, 3.0), ("two", 1, 3.0), ("two", 2, 4.0), ("none", 1, None)]
+    rows += [("s30", 3, 1.25), ("s30", 3, 40.0), ("s30", None, 7.0), ("nan", 1, float("nan")), ("flat", 1, 2.0), ("flat", 2, 2.0), ("flat", 2, 2.0)]
+    return spark.createDataFrame([rows[i] for i in rng.permutation(len(rows))], "k string, t int, v double")
+
+
+def _rounded(rows):
+    return sorted(tuple("" if x is None else f"{x:.9g}" if isinstance(x, float) else str(x) for x in r) for r in rows)
+
+
+def test_cut_tells_which_series_lie_whole_in_a_partition(spark, monkeypatch):
+    from tidewatch.operators import sequence as Q
+    df = _odd_series(spark)
+    for whole in (1 << 16, 100, 20, 0):
+        monkeypatch.setattr(Q, "WHOLE", whole)
+        for kw in ({}, {"descending": True}):
+            d = Q.with_position(df, "k", "t", cut=Q.CUT, **kw).withColumn("p", F.spark_partition_id())
+            places = {}
+            for r in d.collect():
+                places.setdefault(r.k, []).append((r.p, r[Q.POS], r[Q.CUT]))
+            assert {k: sorted(x[1] for x in v) for k, v in places.items()} == {k: list(range(len(v))) for k, v in places.items()}
+            for v in places.values():
+                if not any(cut for _, _, cut in v):
+                    assert len({p for p, _, _ in v}) == 1 and [x[1] for x in v] == sorted(x[1] for x in v) and len(v) <= whole
+                else:
+                    assert all(cut for _, _, cut in v)
+            assert whole < 1 << 16 or not any(cut for v in places.values() for _, _, cut in v)
+
+
+def test_kde_detect_deals_rows_and_no_moments(spark, monkeypatch):
+    from tidewatch.operators import kde, sequence as Q
+    df, real = _odd_series(spark), kde.box_moments
+
+    def sent(*a, **kw):
+        raise AssertionError("moments were written: 24 values for each box")
+    for kw in (dict(filter_percentile=99, threshold_percentile=95, direction="both"), dict(threshold_percentile=90, direction="low"),
+               dict(train=("head", 4), new=("tail", 4), threshold_percentile=90, direction="high"),
+               dict(new=("tail", 3), exclude_new=True, threshold_percentile=80, direction="both", only_anomalies=False)):
+        got = []
+        for whole in (1 << 16, 50, 0):           # 50: some series are spread over tasks, 0: all
+            monkeypatch.setattr(Q, "WHOLE", whole)
+            monkeypatch.setattr(kde, "box_moments", sent if whole > 50 else real)
+            d = kde.kde_detect(df, "k", "t", "v", **kw)
+            assert d.columns == ["k", "t", "v", "lower", "upper", "threshold", "density", "is_outlier"]
+            got.append(_rounded(d.collect()))
+        assert got[0] == got[1] == got[2] and len(got[0]) > 5
+    monkeypatch.setattr(Q, "WHOLE", 1 << 16)
+    monkeypatch.setattr(kde, "box_moments", sent)
+    d = kde.kde_detect(df, "k", "t", "v", bandwidth=0.5, only_anomalies=False, direction="both").filter("k = 's20'").collect()
+    xs = np.array([r.v for r in df.collect() if r.k == "s20"])
+    assert len(d) == len(xs)
+    for r in d:
+        assert abs(r.density - _density(r.v, xs)) < 1e-13
+        assert abs(r.threshold - np.quantile([_density(v, xs) for v in xs], 0.01)) < 1e-13
+
+
+def test_kde_detect_takes_other_types_and_no_keys(spark, monkeypatch):
+    from tidewatch.operators import kde, sequence as Q
+    df = _odd_series(spark).filter("v between -1000 and 1000 and k is not null")
+    for kind in ("float", "int", "decimal(12,3)"):
+        got = []
+        for whole in (1 << 16, 0):
+            monkeypatch.setattr(Q, "WHOLE", whole)
+            got.append(_rounded(kde.kde_detect(df.withColumn("v", F.col("v").cast(kind)), "k", "t", "v", threshold_percentile=90, direction="both").collect()))
+        assert got[0] == got[1] and got[0]
+    assert kde.kde_detect(df, [], "t", "v", threshold_percentile=90, direction="both", only_anomalies=False).count() == df.count()
+    assert kde.kde_detect(df.limit(0), "k", "t", "v").count() == 0
+
+
+def test_ensemble_takes_series_where_they_lie(spark, monkeypatch):
+    from tidewatch.operators import ensemble as E, sequence as Q
+    df = _odd_series(spark)
+    params = {"bandwidth": 0.5, "filter_percentile": 99, "threshold_percentile": 90, "anomaly_direction": "both", "window": 10, "no_of_stds": 1.5}
+    for kw in ({}, dict(min_points=30), dict(only_anomalies=False, rule="all"), dict(tail=1, min_points=10)):
+        p, kw, got = dict(params), dict(kw), []
+        if kw.pop("tail", 0):
+            p |= {"kde_new": ("tail", 1), "recent_window_size": 1, "scaler": "standard"}
+        for whole in (1 << 16, 50):
+            monkeypatch.setattr(Q, "WHOLE", whole)
+            d = E.ensemble(df, "k", "t", "v", params=p, **kw)
+            if whole > 50 and not kw:
+                assert "RepartitionByExpression" not in _plan(d)        # dealt once more by each detector
+            got.append(_rounded(d.collect()))
+        assert got[0] == got[1] and got[0]
+
+
+def test_chart_of_whole_series_leaves_out_rows_within_the_limits(spark, monkeypatch):
+    from tidewatch.operators import ewma, sequence as Q
+    y, df = _chart_rows(spark)
+    for kw in (dict(direction="both"), dict(direction="low", n_shift=3), dict(direction="high", min_std_ratio=0.2), dict(direction="both", no_of_stds=0.0)):
+        kw = {"window": 20, "no_of_stds": 1.5, **kw}
+        every = ewma.ewma_detect(df, "k", "t", "v", only_anomalies=False, **kw).filter("is_outlier").collect()
+        placed = Q.with_position(df, "k", "t", cut=Q.CUT)
+        for d in (ewma.ewma_detect(df, "k", "t", "v", **kw), ewma.ewma_detect(df, "k", "t", "v", block=8, **kw), ewma.ewma_detect(placed, "k", "t", "v", **kw)):
+            assert d.columns == ["k", "t", "v", "scaled", "ema", "std", "ucl", "lcl", "is_outlier", "anomaly_type"]
+            assert _rounded(d.collect()) == _rounded(every)
+        assert len(every) > 20
+
+
+def test_min_points_counts_whole_series_where_they_lie(spark, monkeypatch):
+    from tidewatch.operators import reshape, sequence as Q
+    df = _odd_series(spark)
+    exp = _rounded(reshape.min_points(df, "k", 30).collect())
+    for whole in (1 << 16, 50, 0):
+        monkeypatch.setattr(Q, "WHOLE", whole)
+        got = reshape.min_points(Q.with_position(df, "k", "t", cut=Q.CUT), "k", 30)
+        assert _rounded(got.select("k", "t", "v").collect()) == exp
+        runs = got.withColumn("p", F.spark_partition_id()).filter(~F.col(Q.CUT)).groupBy("k").agg(F.countDistinct("p").alias("n"))
+        assert runs.filter("n > 1").count() == 0

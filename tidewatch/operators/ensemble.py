@@ -21,7 +21,7 @@ from tidewatch.operators.ewma import ewma_detect
 from tidewatch.operators.forecast import arma11_forecast_detect, auto_ar_detect
 from tidewatch.operators.kde import kde_detect
 from tidewatch.operators.reshape import min_points as _min_points
-from tidewatch.operators.sequence import as_list, join_on
+from tidewatch.operators.sequence import CUT, POS, as_list, join_on, with_position
 from tidewatch.session import materialize
 
 # Defaults of the two runtimes (KDE+EWMA, KDE+EWMA+ARMA), which
@@ -41,6 +41,8 @@ def detector_flags(df: DataFrame, keys, time: str, value: str, name: str, *, tie
     """Anomalous rows of one detector: ``(keys, time, tiebreak, value)``."""
     keys, tb = as_list(keys), as_list(tiebreak)
     p = dict(params)
+    if name not in ("kde", "ewma") and CUT in df.columns:
+        df = df.drop(POS, CUT)
     if name == "kde":
         d = kde_detect(df, keys, time, value, tiebreak=tb, bandwidth=p.get("bandwidth", 0.5),
                        train=p.get("kde_train", "all"), new=p.get("kde_new", "all"),
@@ -94,9 +96,13 @@ def ensemble(df: DataFrame, keys, time: str, value: str, *, detectors: Sequence[
     keys, tb = as_list(keys), as_list(tiebreak)
     params = dict(params or {})
     base = df.select(*keys, time, *tb, value).filter(F.col(value).isNotNull())
+    placed = bool({"kde", "ewma"} & set(detectors))
+    if placed:      # written once for all detectors: these two, and the guard, take series where they lie
+        base = with_position(base, keys, [time, *tb], cut=CUT)
     if min_points:
         base = _min_points(base, keys, min_points)
-    base = materialize(base)      # every detector reads it several times
+    if not placed:
+        base = materialize(base)      # every detector reads it several times
     ids = [*keys, time, *tb]
     parts = [detector_flags(base, keys, time, value, n, tiebreak=tb, params=params)
              .withColumn("_det", F.lit(n)) for n in detectors]
@@ -109,7 +115,7 @@ def ensemble(df: DataFrame, keys, time: str, value: str, *, detectors: Sequence[
         out = flagged.groupBy(*ids, value).agg(*flags, F.countDistinct("_det").alias("_votes"))
         return out.filter(F.col("_votes") >= need).drop("_votes")
     marks = flagged.groupBy(*ids).agg(*flags, F.countDistinct("_det").alias("_votes"))
-    out = join_on(base, marks, ids, "left")
+    out = join_on(base.drop(POS, CUT), marks, ids, "left")
     out = out.withColumns({f"is_outlier_{n}": F.coalesce(F.col(f"is_outlier_{n}"), F.lit(False))
                            for n in detectors})
     return out.withColumn("is_outlier", F.coalesce(F.col("_votes"), F.lit(0)) >= need).drop("_votes")

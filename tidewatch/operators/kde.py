@@ -25,6 +25,12 @@ strip, and to the next one when that is within reach, and each strip sums
 the translated moments of those of its boxes that hold a point to be judged.
 A point joins exactly one box row and evaluates a Horner polynomial.
 
+Moments take the room of ``terms`` values, so where boxes hold about one value
+each, sending them costs many times what the values do.  The detector
+therefore sends only rows: series of up to ``WHOLE`` rows are dealt whole, and
+one pass finds their bounds, boxes and densities.  Longer ones go through
+strips, and none is held by one task.
+
 Errors: a kernel term beyond ``cutoff`` bandwidths, which is left out, is
 below ``exp(-cutoff^2/2)`` (3e-18 for 9); with ``K = terms`` the remainder of
 the series is below ``exp(-K/2) (K/4)^(K/2) / K!`` per source (2e-20 for 24).
@@ -42,7 +48,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions.scalar import directional_flag
-from tidewatch.operators.sequence import as_list, join_on, percentiles_at, rank_values, whole_runs, with_position
+from tidewatch.operators import sequence
+from tidewatch.operators.sequence import CUT, POS, as_list, join_on, percentiles_at, rank_values, whole_runs, with_position
 from tidewatch.operators.stats import attach_by_key, series_percentiles
 from tidewatch.session import materialize
 
@@ -94,14 +101,20 @@ class _Strips:
 
     def around(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Moments about the centres of boxes, and which have any source."""
-        total, met = np.zeros((len(codes), self.own.shape[1])), np.zeros(len(codes), bool)
-        if len(self.codes):
-            for o in range(-self.reach, self.reach + 1):
-                at = np.minimum(np.searchsorted(self.codes, codes + o), len(self.codes) - 1)
-                ok = self.codes[at] == codes + o
-                total[ok] += self.own[at[ok]] @ self.matrices[self.reach - o]
-                met |= ok
-        return total, met
+        return _summed(self.codes, self.own, codes, self.matrices, self.reach)
+
+
+def _summed(codes: np.ndarray, own: np.ndarray, wanted: np.ndarray, matrices: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """Moments about the centres of the ``wanted`` boxes, from the ``own``
+    ones of the boxes with sorted ``codes``, and which have any source."""
+    total, met = np.zeros((len(wanted), own.shape[1])), np.zeros(len(wanted), bool)
+    if len(codes):
+        for o in range(-reach, reach + 1):
+            at = np.minimum(np.searchsorted(codes, wanted + o), len(codes) - 1)
+            ok = codes[at] == wanted + o
+            total[ok] += own[at[ok]] @ matrices[reach - o]
+            met |= ok
+    return total, met
 
 
 @functools.cache
@@ -198,24 +211,110 @@ def _horner(t: Column, terms: int) -> Column:
     return acc
 
 
+def _quantile(x: np.ndarray, start: np.ndarray, n: np.ndarray, q: float) -> np.ndarray:
+    """Quantile of every run of sorted values, with linear interpolation;
+    ``start`` and ``n`` tell where runs start and what they hold."""
+    res, has = np.full(len(n), np.nan), n > 0
+    at, first = q * (n[has] - 1), start[has]
+    lo, hi = (x[first + end(at).astype(np.int64)] for end in (np.floor, np.ceil))
+    res[has] = lo + (hi - lo) * (at - np.floor(at))
+    return res
+
+
+def _box_codes(of: np.ndarray, box: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """One number per distinct (series, box), in order, and the index of it
+    for every row.  Boxes within reach of each other differ by as much as
+    their numbers; wider gaps are closed, so numbers stay small."""
+    order = np.lexsort((box, of))
+    o, b = of[order], box[order]
+    new = np.append(True, (o[1:] != o[:-1]) | (b[1:] != b[:-1]))[:len(o)]
+    o, b = o[new], b[new]
+    step = np.where(o[1:] != o[:-1], 2 * reach + 2, np.minimum(b[1:] - b[:-1], 2 * reach + 2))
+    index = np.empty(len(order), np.int64)
+    index[order] = np.cumsum(new) - 1
+    return np.cumsum(np.append(0, step)[:len(o)]).astype(np.int64), index
+
+
+def _judge(keys, value: str, h: float, keep: float, bound: float, quantile: float, direction: str, only: bool,
+           terms: int, reach: int, names):
+    """The new rows of whole series, with the bounds of the trimmed training
+    values (``lower``, ``upper``, ``_ntrain``), the ``threshold`` of their
+    densities, and the moments about the centre of the row's own box
+    (``_m0`` ..; null without a source) with its distance from it (``_t``);
+    ``only`` those beyond the bounds."""
+    def run(batches):
+        for b, starts in whole_runs(batches, keys):
+            x = b.column(value)
+            x = (x if pa.types.is_floating(x.type) or pa.types.is_integer(x.type) else x.cast(pa.float64())).to_numpy(zero_copy_only=False)
+            of, (train, new) = np.cumsum(starts) - 1, (b.column(c).to_numpy(zero_copy_only=False) for c in ("_is_train", "_is_new"))
+            with np.errstate(invalid="ignore", over="ignore", divide="ignore"):
+                order = np.flatnonzero(train)
+                order = order[np.lexsort((x[order], of[order]))]
+                v, s = x[order], of[order]
+                size = lambda: (lambda n: (np.cumsum(n) - n, n))(np.bincount(s, minlength=of[-1] + 1))  # noqa: B023,E731
+                if keep < 100:
+                    lo = (100 - keep) / 2 / 100
+                    lo, hi = (_quantile(v, *size(), q) for q in (lo, 1 - lo))
+                    kept = (v >= lo[s]) & ~(v > hi[s])
+                    v, s = v[kept], s[kept]
+                start, n = size()
+                lower, upper = (_quantile(v, start, n, q) for q in (1 - bound, bound))
+                rows = np.flatnonzero(new & (n[of] > 0))
+                z = np.concatenate([v, x[rows]]).astype(np.float64) / h
+                box = np.floor(z)
+                t = z - (box + 0.5)
+                codes, index = _box_codes(np.concatenate([s, of[rows]]), box, reach)
+                power = np.empty((len(v), terms))
+                power[:, 0] = np.exp(-0.5 * t[:len(v)] * t[:len(v)])
+                for k in range(1, terms):
+                    power[:, k] = power[:, k - 1] * t[:len(v)]
+                own = np.flatnonzero(np.append(True, np.diff(index[:len(v)]) != 0)[:len(v)])
+                total, met = _summed(codes[index[own]], np.add.reduceat(power, own, axis=0) if len(own) else power, codes,
+                                     _matrices(terms, reach), reach)
+                acc = total[index[:len(v)], terms - 1]
+                for k in range(terms - 2, -1, -1):
+                    acc = total[index[:len(v)], k] + (t[:len(v)] / (k + 1)) * acc
+                dens = np.exp(-0.5 * t[:len(v)] * t[:len(v)]) * acc / (n[s] * (h * math.sqrt(2 * math.pi)))
+                threshold = _quantile(dens[np.lexsort((dens, s))], start, n, quantile)
+                index, t = index[len(v):], t[len(v):]
+                if only:
+                    beyond = np.zeros(len(rows), bool)
+                    if direction in ("low", "lower", "both"):
+                        beyond |= ~(x[rows] >= lower[of[rows]])
+                    if direction in ("high", "upper", "both"):
+                        beyond |= x[rows] > upper[of[rows]]
+                    rows, index, t = rows[beyond], index[beyond], t[beyond]
+            if len(rows):
+                series, none = of[rows], ~met[index]
+                yield pa.RecordBatch.from_arrays(
+                    [*b.take(pa.array(rows)).columns, *[pa.array(c[series]) for c in (lower, upper, n.astype(np.int64), threshold)],
+                     pa.array(t), *[pa.array(total[index, k], mask=none) for k in range(terms)]], names)
+    return run
+
+
 def kde_density(points: DataFrame, train: DataFrame, keys, value: str, bandwidth: float = 0.5,
-                out: str = "density", *, n_col: str | None = None, moments: DataFrame | None = None,
+                out: str = "density", *, n_col: str | None = None, moments: DataFrame | str | None = None,
                 cutoff: float = CUTOFF, terms: int = TERMS) -> DataFrame:
     """Add the Gaussian KDE density of ``value`` in ``points`` under the
     training values of the same series.  Points of series without training
     data, or further than ``cutoff`` bandwidths from it, get 0.  ``moments``
-    of ``train`` (of ``terms`` terms) may be passed when they are known."""
+    of ``train`` (of ``terms`` terms) may be passed when they are known;
+    ``"carried"``: the points have those of their box (``_m0`` .., null
+    without a source) and their distance from its centre (``_t``)."""
     keys = as_list(keys)
     h = float(bandwidth)
+    carried = isinstance(moments, str)
     mom = box_moments(train, keys, value, h, points=points, cutoff=cutoff, terms=terms) if moments is None else moments
     if n_col is None:
         n = train.filter(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_ntrain"))
         points = attach_by_key(points, n, keys)
         n_col = "_ntrain"
-    z = F.col(value) / F.lit(h)
-    p = points.withColumn("_box", _box(z)).withColumn("_t", z - (F.col("_box") + 0.5))
-    # a row of moments is many times as wide as the planner's estimate of it: never broadcast
-    p = join_on(p, mom.hint("merge"), [*keys, "_box"], "left")
+    p = points
+    if not carried:
+        z = F.col(value) / F.lit(h)
+        p = points.withColumn("_box", _box(z)).withColumn("_t", z - (F.col("_box") + 0.5))
+        # a row of moments is many times as wide as the planner's estimate of it: never broadcast
+        p = join_on(p, mom.hint("merge"), [*keys, "_box"], "left")
     norm = F.col(n_col) * F.lit(h * math.sqrt(2 * math.pi))
     dens = F.exp(-0.5 * F.col("_t") * F.col("_t")) * _horner(F.col("_t"), terms) / norm
     p = p.withColumn(out, F.when(F.col(value).isNotNull(), F.coalesce(dens, F.lit(0.0))))
@@ -238,7 +337,8 @@ def kde_detect(df: DataFrame, keys, time: str, value: str, *, tiebreak=(), bandw
     a point is flagged when its density is below the ``density_quantile``
     (fixed 1 %) of training densities **and** it lies strictly beyond the
     ``threshold_percentile`` bound(s) of the trimmed training values.
-    Rows with a null value are ignored.
+    Rows with a null value are ignored.  Series whose rows are all in one
+    partition, as ``_cut`` of :func:`with_position` tells, stay there.
 
     Densities within ``tie_tolerance`` (relative) of the threshold count as
     ties and are not flagged: an isolated point's density is exactly the
@@ -248,35 +348,72 @@ def kde_detect(df: DataFrame, keys, time: str, value: str, *, tiebreak=(), bandw
     keys = as_list(keys)
     d = df.filter(F.col(value).isNotNull() & ~F.isnan(value))
     tails = [x[1] for x in (train, new) if isinstance(x, tuple)]
+    placed = CUT in d.columns
     if tails:
-        d = with_position(d, keys, [time, *as_list(tiebreak)], descending=True, name="_rpos")
-    is_train = F.lit(True) if train == "all" else F.col("_rpos") >= int(train[1])
-    is_new = F.lit(True) if new == "all" else F.col("_rpos") < int(new[1])
-    d = d.withColumn("_is_train", is_train).withColumn("_is_new", is_new)
-    if exclude_new:
-        d = d.withColumn("_is_train", F.col("_is_train") & ~F.col("_is_new"))
-    # the training values are ranked once: for the trim and, past it, for the bounds
-    t = rank_values(d.filter("_is_train").select(*keys, value), keys, value)
-    if filter_percentile < 100:
-        lo = (100 - filter_percentile) / 2 / 100
-        b = percentiles_at(t, keys, value, [lo, 1 - lo], ["_flo", "_fhi"])
-        t = attach_by_key(t, b, keys).filter(F.col(value).between(F.col("_flo"), F.col("_fhi"))).drop("_flo", "_fhi")
-        t = materialize(t)
-    thr_p = threshold_percentile / 100
-    moments = materialize(box_moments(t, keys, value, bandwidth, points=d, cutoff=cutoff, terms=terms))
-    st = materialize(percentiles_at(t, keys, value, [1 - thr_p, thr_p], ["lower", "upper"], n="_ntrain"))
-    tr = kde_density(attach_by_key(t.select(*keys, value), st.select(*keys, "_ntrain"), keys), t, keys, value, bandwidth,
-                     "_dens", n_col="_ntrain", moments=moments, terms=terms)
-    thr = series_percentiles(tr, keys, "_dens", [float(density_quantile)], ["threshold"])
-    st = attach_by_key(st, thr, keys)
-    nw = attach_by_key(d.filter("_is_new"), st, keys)
-    if only_anomalies:
-        # beyond the bounds lie few rows: only they need a density
-        nw = nw.filter(directional_flag(value, "lower", "upper", direction))
-    nw = kde_density(nw, t, keys, value, bandwidth, "density", n_col="_ntrain", moments=moments, terms=terms)
+        d = d.drop(POS, CUT) if placed else d
+        d, placed = with_position(d, keys, [time, *as_list(tiebreak)], descending=True, name="_rpos", cut=CUT), True
+    elif placed:
+        d = d.drop(POS)
+
+    def marked(d: DataFrame) -> DataFrame:
+        is_train = F.lit(True) if train == "all" else F.col("_rpos") >= int(train[1])
+        is_new = F.lit(True) if new == "all" else F.col("_rpos") < int(new[1])
+        d = d.withColumn("_is_train", is_train).withColumn("_is_new", is_new)
+        return d.withColumn("_is_train", F.col("_is_train") & ~F.col("_is_new")) if exclude_new else d
+
+    beyond = directional_flag(value, "lower", "upper", direction)
+
+    def whole(d: DataFrame) -> DataFrame:
+        """Densities of series whose rows follow each other in a partition."""
+        d = marked(d)
+        more = T.StructType.fromDDL("lower double, upper double, _ntrain long, threshold double, _t double")
+        kinds = T.StructType([*d.schema, *more, *[T.StructField(f"_m{k}", T.DoubleType()) for k in range(terms)]])
+        run = _judge(keys, value, float(bandwidth), filter_percentile, threshold_percentile / 100, float(density_quantile), direction,
+                     only_anomalies, terms, math.ceil(cutoff + 0.5), kinds.names)
+        nw = d.mapInArrow(run, kinds)
+        if only_anomalies:
+            nw = nw.filter(beyond)
+        return kde_density(nw, d, keys, value, bandwidth, "density", n_col="_ntrain", moments="carried", terms=terms)
+
+    def spread(d: DataFrame) -> DataFrame:
+        """Densities of series of any length: no task holds one."""
+        d = marked(d)
+        # the training values are ranked once: for the trim and, past it, for the bounds
+        t = rank_values(d.filter("_is_train").select(*keys, value), keys, value)
+        if filter_percentile < 100:
+            lo = (100 - filter_percentile) / 2 / 100
+            b = percentiles_at(t, keys, value, [lo, 1 - lo], ["_flo", "_fhi"])
+            t = attach_by_key(t, b, keys).filter(F.col(value).between(F.col("_flo"), F.col("_fhi"))).drop("_flo", "_fhi")
+            t = materialize(t)
+        thr_p = threshold_percentile / 100
+        moments = materialize(box_moments(t, keys, value, bandwidth, points=d, cutoff=cutoff, terms=terms))
+        st = materialize(percentiles_at(t, keys, value, [1 - thr_p, thr_p], ["lower", "upper"], n="_ntrain"))
+        tr = kde_density(attach_by_key(t.select(*keys, value), st.select(*keys, "_ntrain"), keys), t, keys, value, bandwidth,
+                         "_dens", n_col="_ntrain", moments=moments, terms=terms)
+        thr = series_percentiles(tr, keys, "_dens", [float(density_quantile)], ["threshold"])
+        st = attach_by_key(st, thr, keys)
+        nw = attach_by_key(d.filter("_is_new"), st, keys)
+        if only_anomalies:
+            # beyond the bounds lie few rows: only they need a density
+            nw = nw.filter(beyond)
+        return kde_density(nw, t, keys, value, bandwidth, "density", n_col="_ntrain", moments=moments, terms=terms)
+
+    def dealt(d: DataFrame) -> DataFrame:
+        return whole(d.repartition(*keys).sortWithinPartitions(*keys))
+
+    stay = d.filter(~F.col(CUT)).drop(CUT) if placed else None
+    d = d.filter(CUT).drop(CUT) if placed else d
+    long = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > sequence.WHOLE).select(*keys) if keys else None
+    if keys and long.isEmpty():
+        nw = dealt(d)
+    elif keys:
+        long = materialize(long)
+        nw = spread(materialize(join_on(d, long, keys, "left_semi"))).unionByName(dealt(join_on(d, long, keys, "left_anti")))
+    else:
+        nw = spread(d)
+    nw = nw.unionByName(whole(stay)) if placed else nw
     below = F.col("density") < F.col("threshold") * F.lit(1.0 - tie_tolerance)
-    flag = below & directional_flag(value, "lower", "upper", direction)
-    nw = nw.withColumn("is_outlier", F.coalesce(flag, F.lit(False)))
+    nw = nw.withColumn("is_outlier", F.coalesce(below & beyond, F.lit(False)))
     nw = nw.drop("_is_train", "_is_new", "_ntrain", *(["_rpos"] if tails else []))
     return nw.filter("is_outlier") if only_anomalies else nw
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions.scalar import series_id
-from tidewatch.operators.sequence import (BLK, DEFAULT_BLOCK, HALO, POS, as_list, attach_series_agg,
+from tidewatch.operators.sequence import (BLK, CUT, DEFAULT_BLOCK, HALO, POS, as_list, attach_series_agg,
                                           block_arrays, block_window, effective_block, join_on,
-                                          with_block, with_position)
+                                          whole_runs, with_block, with_position)
 
 
 def wide_to_long(df: DataFrame, ids: Sequence[str], features: Sequence[str],
@@ -154,7 +154,26 @@ def recent_only(df: DataFrame, keys, time: str, n: int, *, tiebreak=()) -> DataF
 
 def min_points(df: DataFrame, keys, n: int) -> DataFrame:
     """Drop series with fewer than ``n`` rows (left-semi join on the
-    qualifying keys; AQE broadcasts or splits skewed keys)."""
+    qualifying keys; AQE broadcasts or splits skewed keys).  Series whose rows
+    are all in one partition, as ``_cut`` of :func:`with_position` tells, are
+    counted there and not joined."""
     keys = as_list(keys)
+    if CUT in df.columns:
+        if df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") < n).isEmpty():
+            return df
+        stay, rest = df.filter(~F.col(CUT)).drop(CUT), df.filter(CUT).drop(CUT)
+        stay = stay.mapInArrow(_long_enough(keys, n), stay.schema).withColumn(CUT, F.lit(False))
+        # a join may leave a series in pieces: its rows are put in order again
+        rest = with_position(min_points(rest, keys, n), keys, [POS]).withColumn(CUT, F.lit(True))
+        return stay.unionByName(rest)
     ok = df.groupBy(*keys).count().filter(F.col("count") >= n).select(*keys)
     return join_on(df, ok, keys, "left_semi")
+
+
+def _long_enough(keys, n: int):
+    """The rows of the runs of equal ``keys`` that are ``n`` long at least."""
+    def run(batches):
+        for b, start in whole_runs(batches, keys):
+            of = np.cumsum(start) - 1
+            yield b.filter(pa.array((np.bincount(of) >= n)[of]))
+    return run
